@@ -1,0 +1,81 @@
+from __future__ import annotations
+
+from datetime import date, datetime
+
+from conftest import plan, rows
+from pyspark.sql import functions as F
+
+from tillstream.functions.money import with_revenue
+from tillstream.operators import rollups
+
+
+def test_revenue_is_rounded_half_up_to_the_cent(spark):
+    given = spark.createDataFrame([(0.125, 1), (19.99, 3)], "price double, quantity int")
+    assert rows(with_revenue(given).select("revenue")) == [(0.13,), (59.97,)]
+    exact = given.withColumn("price", F.col("price").cast("decimal(10,2)"))
+    assert dict(with_revenue(exact).dtypes)["revenue"].startswith("decimal")
+
+
+def test_daily_revenue_by_date(silver):
+    result = rollups.daily_revenue(silver)
+    assert result.columns == ["order_date", "total_daily_revenue", "total_orders"]
+    assert [tuple(r) for r in result.collect()] == [
+        (date(2024, 1, 15), 1499.99, 2),
+        (date(2024, 1, 16), 59.97, 1),
+        (date(2024, 2, 1), 480.03, 1),
+        (date(2024, 2, 2), 300.0, 1),
+        (date(2024, 4, 30), 59.97, 1),
+    ]
+
+
+def test_category_metrics_by_revenue(silver):
+    assert [tuple(r) for r in rollups.category_metrics(silver).collect()] == [
+        ("Electronics", 1259.96, 2),
+        ("Footwear", 600.0, 2),
+        ("Home", 540.0, 2),
+    ]
+
+
+def test_both_tables_hold_the_same_money(silver):
+    days = rollups.daily_revenue(silver).agg(F.round(F.sum("total_daily_revenue"), 2)).first()[0]
+    kinds = rollups.category_metrics(silver).agg(F.round(F.sum("total_revenue"), 2)).first()[0]
+    assert days == kinds == 2399.96
+
+
+def test_orders_without_id_are_not_counted_and_copies_are(spark):
+    given = spark.createDataFrame(
+        [("a", "x", 1.0), ("a", "x", 1.0), (None, "x", 1.0)],
+        "order_id string, category string, revenue double",
+    )
+    assert rows(rollups.category_metrics(given)) == [("x", 3.0, 2)]
+
+
+def test_top_products_breaks_ties_by_id(silver):
+    best = rollups.top_products(silver, 5)
+    assert [tuple(r) for r in best.collect()] == [
+        ("P-1", 'Phone 6"', 1199.99),
+        ("P-4", "Sofa", 480.03),
+        ("P-2", "Boot", 300.0),
+        ("P-5", "Shoe", 300.0),
+        ("P-3", "Lamp", 59.97),
+    ]
+    assert "TakeOrderedAndProject" in plan(best)
+    assert rollups.top_products(silver, 100).count() == 6
+
+
+def test_windowed_metrics(spark):
+    given = spark.createDataFrame(
+        [("2024-05-20 10:00:00", "a", 1.0), ("2024-05-20 10:59:59", "a", 2.0),
+         ("2024-05-20 11:00:00", "a", 4.0), ("2024-05-20 10:30:00", "b", 8.0)],
+        "t string, category string, revenue double",
+    ).withColumn("order_ts", F.to_timestamp("t"))
+    result = rollups.windowed_metrics(given)
+    assert result.columns == [
+        "window_start", "category", "total_revenue", "order_count", "avg_order_value"
+    ]
+    ten, eleven = datetime(2024, 5, 20, 10), datetime(2024, 5, 20, 11)
+    stamp = F.col("window_start").cast("timestamp_ntz").alias("window_start")
+    assert rows(result.select(stamp, *result.columns[1:])) == [
+        (ten, "a", 3.0, 2, 1.5), (ten, "b", 8.0, 1, 8.0), (eleven, "a", 4.0, 1, 4.0)
+    ]
+    assert rollups.windowed_metrics(given, width="1 day").count() == 2

@@ -20,15 +20,20 @@ def decode_events(
 
     Text that is not JSON, or a field of the wrong type, gives NULLs and never an error. With
     ``keep_raw`` the message text and the corrupt-record column stay, for the dead letters.
+
+    The struct is unpacked by a generator: a plain projection would let Catalyst copy ``from_json``
+    into every condition on its fields and parse each message several times.
     """
     text = F.col("value").cast("string")
     if not keep_raw:
-        return messages.select(F.from_json(text, schema).alias("event")).select("event.*")
+        return messages.select(F.inline(F.array(F.from_json(text, schema))))
     with_corrupt = StructType(list(schema.fields)).add(schemas.CORRUPT, StringType())
     parsed = F.from_json(
-        text, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
+        F.col(RAW),
+        with_corrupt,
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT},
     )
-    return messages.select(parsed.alias("event"), text.alias(RAW)).select("event.*", RAW)
+    return messages.select(text.alias(RAW)).select(F.inline(F.array(parsed)), RAW)
 
 
 def encode_events(events: DataFrame, key: str = "order_id") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstream.operators.joins import lookup_join
+from tillstream.operators.joins import fits_broadcast, salted_join
 
 
 def daily_trend(fact: DataFrame, unique_orders: bool = False) -> DataFrame:
@@ -29,8 +29,8 @@ def top_categories(
     """The ``n`` categories with the highest revenue, with distinct orders.
 
     With ``unique_orders`` the fact is summed per product before the join, which then sees one row
-    per product. Otherwise the distinct count needs the category at each order, and the join
-    spreads hot products over the order ids.
+    per product. Otherwise the distinct count needs the category at each order: copies of an order
+    are summed first and the join spreads hot products over the order ids.
     """
     dim = dim_product.select("product_id", "category")
     if unique_orders:
@@ -39,8 +39,11 @@ def top_categories(
         )
         rows, orders = per_product.join(dim, "product_id"), F.sum("orders")
     else:
-        lines = fact.groupBy("product_id", "order_id").agg(F.sum("revenue").alias("revenue"))
-        rows = lookup_join(lines, dim, "product_id", ["order_id"])
+        if fits_broadcast(dim):
+            rows = fact.join(F.broadcast(dim), "product_id")
+        else:
+            lines = fact.groupBy("product_id", "order_id").agg(F.sum("revenue").alias("revenue"))
+            rows = salted_join(lines, dim, "product_id", ["order_id"])
         orders = F.count_distinct("order_id")
     per_category = rows.groupBy("category").agg(
         F.sum("revenue").alias("total_revenue"), orders.alias("order_count")

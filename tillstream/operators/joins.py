@@ -12,24 +12,37 @@ from tillstream import settings
 _SALT = "_salt"
 
 
-def lookup_join(
+def fits_broadcast(dim: DataFrame, rows: int = settings.BROADCAST_ROWS) -> bool:
+    """Whether a narrow dimension is small enough to be sent to every task.
+
+    Counts it; for a parquet table that reads only file footers.
+    """
+    return dim.count() <= rows
+
+
+def salted_join(
     rows: DataFrame,
     dim: DataFrame,
     key: str,
     spread_by: Sequence[str],
     how: str = "inner",
-    broadcast_rows: int = settings.BROADCAST_ROWS,
     salts: int = settings.JOIN_SALTS,
 ) -> DataFrame:
-    """Join ``rows`` to a narrow dimension table on ``key``.
+    """Shuffled join for rows with hot keys.
 
-    The dimension is counted first (a metadata read for parquet). Up to ``broadcast_rows`` it is
-    broadcast. Beyond, it is copied ``salts`` times and the rows of each key are spread over the
-    copies by a hash of ``spread_by``, so that a hot key becomes ``salts`` shuffle keys; AQE splits
-    further what is still too large.
+    The dimension is copied ``salts`` times, and the rows of each key are spread over the copies
+    by a hash of ``spread_by``. A hot key becomes ``salts`` shuffle keys; AQE splits further what is
+    still too large.
     """
-    if dim.count() <= broadcast_rows:
-        return rows.join(F.broadcast(dim), key, how)
     copies = dim.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
     return rows.withColumn(_SALT, salt).join(copies, [key, _SALT], how).drop(_SALT)
+
+
+def lookup_join(
+    rows: DataFrame, dim: DataFrame, key: str, spread_by: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Join rows to a narrow dimension table: broadcast while it is small, else salted."""
+    if fits_broadcast(dim):
+        return rows.join(F.broadcast(dim), key, how)
+    return salted_join(rows, dim, key, spread_by, how)
