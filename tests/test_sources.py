@@ -76,14 +76,29 @@ def test_topic_without_connector_is_an_error(spark):
 
 def test_session_settings(spark, tmp_path):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
-    assert session.shuffle_partitions(0) == settings.SHUFFLE_PARTITIONS
-    assert session.shuffle_partitions(100 * 1024**4) == 819200
+    small, large = session.sized_for(0), session.sized_for(100 * 1024**4)
+    assert small["spark.sql.shuffle.partitions"] == str(settings.SHUFFLE_PARTITIONS)
+    assert large["spark.sql.shuffle.partitions"] == str(settings.MAX_SHUFFLE_PARTITIONS)
+    assert int(small["spark.sql.files.maxPartitionBytes"]) == settings.SCAN_TASK_BYTES
+    assert int(large["spark.sql.files.maxPartitionBytes"]) == 800 * 1024**2
     shared = session.shared_dir(spark)
     assert shared == spark.conf.get("spark.checkpoint.dir")
     one, two = session.scratch_path(spark, "x"), session.scratch_path(spark, "x")
     assert one != two and one.startswith(shared)
 
 
+def test_messages_from_files_keep_to_the_rate(spark, tmp_path):
+    path = str(tmp_path / "topic")
+    spark.createDataFrame([(None, b"{}", "t", 0, 0, None, 0)] * 4, schemas.MESSAGES).repartition(
+        4
+    ).write.parquet(path)
+    messages = topics.subscribe_files(spark, path, max_files_per_trigger=1)
+    writer = messages.writeStream.format("parquet").trigger(availableNow=True)
+    query = writer.option("checkpointLocation", str(tmp_path / "state")).start(str(tmp_path / "out"))
+    query.awaitTermination()
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [1] * 4
+
+
 def test_lake_paths():
     paths = Lake("s3a://bucket/")
     assert paths.bronze == "s3a://bucket/bronze/sales_events"

@@ -6,18 +6,22 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 from tillstream import settings
 
 _SALT = "_salt"
 
 
-def fits_broadcast(dim: DataFrame, rows: int = settings.BROADCAST_ROWS) -> bool:
-    """Whether a narrow dimension is small enough to be sent to every task.
-
-    Counts it; for a parquet table that reads only file footers.
-    """
-    return dim.count() <= rows
+def fits_broadcast(dim: DataFrame, limit: int = settings.BROADCAST_BYTES) -> bool:
+    """Whether a dimension is small enough to be sent to every task, by the bytes of its values."""
+    row = sum(
+        F.coalesce(F.octet_length(field.name), F.lit(0))
+        if isinstance(field.dataType, (StringType, BinaryType))
+        else F.lit(16)
+        for field in dim.schema.fields
+    )
+    return (dim.agg(F.sum(row.cast("long")).alias("bytes")).first().bytes or 0) <= limit
 
 
 def salted_join(
@@ -42,7 +46,7 @@ def salted_join(
 def lookup_join(
     rows: DataFrame, dim: DataFrame, key: str, spread_by: Sequence[str], how: str = "inner"
 ) -> DataFrame:
-    """Join rows to a narrow dimension table: broadcast while it is small, else salted."""
+    """Join rows to a dimension table: broadcast while it is small, else salted."""
     if fits_broadcast(dim):
         return rows.join(F.broadcast(dim), key, how)
     return salted_join(rows, dim, key, spread_by, how)

@@ -22,11 +22,16 @@ SESSION_OPTIONS = {
 }
 
 
-def shuffle_partitions(input_bytes: int) -> int:
-    """Shuffle width that keeps a partition near the aimed-at size; AQE merges what is too many."""
-    return max(
-        settings.SHUFFLE_PARTITIONS, math.ceil(input_bytes / settings.SHUFFLE_PARTITION_BYTES)
-    )
+def sized_for(input_bytes: int) -> dict[str, str]:
+    """Shuffle width and scan split for an input of that size; AQE merges what is too small."""
+    wanted = math.ceil(input_bytes / settings.SHUFFLE_PARTITION_BYTES)
+    width = max(settings.SHUFFLE_PARTITIONS, min(wanted, settings.MAX_SHUFFLE_PARTITIONS))
+    split = max(settings.SCAN_TASK_BYTES, math.ceil(input_bytes / settings.MAX_SCAN_TASKS))
+    return {
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(settings.SHUFFLE_PARTITION_BYTES),
+    }
 
 
 def build_session(
@@ -39,11 +44,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    chosen = {
-        **SESSION_OPTIONS,
-        "spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes)),
-        **(options or {}),
-    }
+    chosen = {**SESSION_OPTIONS, **sized_for(input_bytes), **(options or {})}
     for name, value in chosen.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()

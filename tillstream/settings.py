@@ -23,15 +23,20 @@ CHECKED_COLUMNS = ("order_id", "customer_id", "revenue")
 CRITICAL_COLUMNS = ("order_id", "customer_id", "product_id", "price", "quantity", "order_timestamp")
 POSITIVE_COLUMNS = ("price", "quantity")
 
-# A dimension of at most this many rows is broadcast. Its columns are ids and names of at most
-# 255 characters, so the hash table stays below about 100 MB.
-BROADCAST_ROWS = 100_000
+# A dimension whose columns hold at most this many bytes is broadcast.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 # Copies made of a larger dimension, so that one hot key is joined by this many tasks.
 JOIN_SALTS = 16
 
-# Aimed-at size of one shuffle partition.
-SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+# Aimed-at size of a shuffle partition, and the most partitions: beyond, the blocks of a shuffle
+# (map tasks times partitions) cost more than larger partitions that spill.
+SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 32_768
+
+# Smallest size of a scan task, and the most tasks of a scan.
+SCAN_TASK_BYTES = 128 * 1024 * 1024
+MAX_SCAN_TASKS = 131_072
 
 
 @dataclass(frozen=True)

@@ -16,7 +16,7 @@ from tillstream.operators.dedup import dedup
 from tillstream.operators.joins import lookup_join
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
-LINE_TIES = ["product_id", "l_suppkey", "price", "quantity"]
+LINE_TIES = ["product_id", "l_suppkey", "l_extendedprice", "l_quantity"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,35 +29,50 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/{{{name}.parquet}}")
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line, copies included."""
+def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line, copies included, with the amounts as they are stored."""
     return table(spark, sf_dir, "lineitem").select(
         *LINE_KEY,
         F.col("l_partkey").cast("string").alias("product_id"),
         "l_suppkey",
+        "l_extendedprice",
+        "l_quantity",
+        F.col("l_shipdate").alias("ingestion_timestamp"),
+    )
+
+
+def _typed(lines: DataFrame) -> DataFrame:
+    return lines.select(
+        *LINE_KEY,
+        "product_id",
         F.col("l_extendedprice").cast("decimal(10,2)").alias("price"),
         F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("l_shipdate").alias("ingestion_timestamp"),
+        "ingestion_timestamp",
     )
 
 
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line, copies included."""
+    return _typed(raw_lines(spark, sf_dir))
+
+
 def order_id() -> Column:
     return F.concat_ws("-", *[F.col(name).cast("string") for name in LINE_KEY])
 
 
 def unique_lines(spark: SparkSession, sf_dir: str, keep: str = "last") -> DataFrame:
     """One row per line. Deduplicated on the numeric key and before any join, on narrow rows."""
-    lines = order_lines(spark, sf_dir)
-    return dedup(lines, LINE_KEY, "ingestion_timestamp", LINE_TIES, keep)
+    lines = raw_lines(spark, sf_dir)
+    return _typed(dedup(lines, LINE_KEY, "ingestion_timestamp", LINE_TIES, keep))
 
 
 def customer_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Country per customer key; there are 25 nations."""
+    """Country per customer key."""
     nation = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country")
     )
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    return customer.join(F.broadcast(nation), "c_nationkey").select(
+    return customer.join(nation, "c_nationkey").select(
         F.col("c_custkey").alias("o_custkey"), "country"
     )
 
@@ -90,7 +105,7 @@ def silver(
     lines = unique_lines(spark, sf_dir).join(order_heads(spark, sf_dir, country), "l_orderkey")
     if product:
         lines = lookup_join(lines, products(spark, sf_dir), "product_id", LINE_KEY)
-    sales = lines.withColumn("order_id", order_id()).drop(*LINE_KEY, "l_suppkey")
+    sales = lines.withColumn("order_id", order_id()).drop(*LINE_KEY)
     return with_order_date(with_revenue(sales))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tillstream import settings
+from tillstream import schemas, settings
 from tillstream.functions.codec import encode_events
 
 # Delivery settings of the publisher.
@@ -52,6 +52,16 @@ def subscribe(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return spark.readStream.format("kafka").options(**options).load()
 
 
+def subscribe_files(
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """The same stream from parquet files of messages, where they are landed instead of queued."""
+    reader = spark.readStream.schema(schemas.MESSAGES)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(path)
+
+
 def read_topic(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     """The messages held by the topic now, as a batch."""
     batch = {k: v for k, v in options.items() if k != "maxOffsetsPerTrigger"}
