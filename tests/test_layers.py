@@ -12,7 +12,7 @@ from tillstream.operators import analytics
 from tillstream.plans import layers, star
 from tillstream.settings import Lake
 from tillstream.sources import lake
-from tillstream.sources.warehouse import register_views
+from tillstream.sources.warehouse import register_tables, register_views
 
 
 def bronze_of(silver, hours=0):
@@ -74,7 +74,7 @@ def test_invalid_survivor_takes_its_order_with_it(spark, paths, silver):
 
 def test_star_and_analysis(spark, paths, tmp_path):
     layers.run_layers(spark, paths)
-    star.load_star(spark, paths)
+    written = star.load_star(spark, paths)
     tables = star.read_star(spark, paths)
     results = star.analyze(tables)
     assert rows(results["country_distribution"]) == [
@@ -95,6 +95,16 @@ def test_star_and_analysis(spark, paths, tmp_path):
     )
     assert weekend.first()[0] == Decimal("2409.96")
 
+    register_tables(spark, written, "shop")
+    countries = spark.sql(
+        "SELECT country, sum(revenue) AS total_revenue, count(DISTINCT f.customer_id) AS n "
+        "FROM shop.fact_sales f JOIN shop.dim_customer c ON f.customer_id = c.customer_id "
+        "GROUP BY country"
+    )
+    assert rows(countries) == rows(results["country_distribution"])
+    register_tables(spark, written, "shop")
+    assert spark.table("shop.dim_date").count() == tables["dim_date"].count()
+
     moved = Lake(str(tmp_path / "next"))
     lake.overwrite(
         lake.read_table(spark, paths.silver).filter("customer_id <> 'C-1'"), moved.silver

@@ -22,6 +22,17 @@ def test_latest_attributes_win(silver):
     assert dict(customers.dtypes)["customer_key"] == "int"
 
 
+def test_attributes_of_one_moment_go_by_value(spark):
+    given = spark.createDataFrame(
+        [("a", "x", 1, "2"), ("a", "y", 1, "1"), ("a", "z", 0, "3"), ("b", None, 5, "4"),
+         ("b", "w", 4, "5"), (None, "w", 4, "6")],
+        "k string, v string, order_ts int, order_id string",
+    )
+    assert rows(star.latest_attributes(given, "k", ["v"])) == [("a", "y"), ("b", None)]
+    first = plan(star.latest_attributes(given, "k", ["v"]))
+    assert "HashAggregate(keys=[k" in first
+
+
 def test_keys_are_dense(spark):
     ids = spark.range(1000).selectExpr("concat('P', id) AS product_id")
     keys = star.number_rows(ids, "product_id", "product_key")

@@ -16,11 +16,14 @@ _BUCKET = "_bucket"
 def latest_attributes(silver: DataFrame, key: str, attributes: list[str]) -> DataFrame:
     """One row per key with the attributes of its latest order.
 
-    An aggregate, so each task sends on one row per key.
+    Orders are first summed up to the versions of each key, by hashing and within each task, so
+    that only as many rows are shuffled as there are versions. Versions of the same moment go by
+    their values.
     """
-    latest = F.max_by(F.struct(*attributes), F.struct("order_ts", "order_id"))
-    per_key = silver.filter(F.col(key).isNotNull()).groupBy(key).agg(latest.alias("latest"))
-    return per_key.select(key, "latest.*")
+    versions = silver.filter(F.col(key).isNotNull()).groupBy(key, *attributes)
+    latest = F.max_by(F.struct(*attributes), F.struct("seen", *attributes))
+    per_key = versions.agg(F.max("order_ts").alias("seen")).groupBy(key)
+    return per_key.agg(latest.alias("latest")).select(key, "latest.*")
 
 
 def number_rows(

@@ -89,6 +89,14 @@ def scan(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name if "." in name else f"{SCHEMA}.{name}")
 
 
+def register_tables(spark: SparkSession, paths: dict[str, str], schema: str = SCHEMA) -> None:
+    """Catalog tables over written ones, so that SQL finds them as ``sales.fact_sales``."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+    for name, path in paths.items():
+        spark.sql(f"DROP TABLE IF EXISTS {schema}.{name}")
+        spark.catalog.createTable(f"{schema}.{name}", path=path, source="parquet")
+
+
 def register_views(**tables: DataFrame) -> None:
     """Name frames for SQL, such as ``register_views(fact_sales=fact)``."""
     for name, df in tables.items():
