@@ -50,6 +50,16 @@ def test_orders_without_id_are_not_counted_and_copies_are(spark):
     assert rows(rollups.category_metrics(given)) == [("x", 3.0, 2)]
 
 
+def test_checked_ids_are_not_read(spark, silver, tmp_path):
+    path = str(tmp_path / "silver")
+    silver.write.parquet(path)
+    written = spark.read.parquet(path)
+    for rollup in (rollups.daily_revenue, rollups.category_metrics):
+        quick = rollup(written, ids_present=True)
+        assert rows(quick) == rows(rollup(written))
+        assert "order_id" not in plan(quick).split("== Physical Plan ==")[1]
+
+
 def test_top_products_breaks_ties_by_id(silver):
     best = rollups.top_products(silver, 5)
     assert [tuple(r) for r in best.collect()] == [

@@ -95,6 +95,7 @@ def test_a_batch_run_again_replaces_itself(spark, tmp_path):
     write(batch, 0)
     write(batch, 0)
     write(batch, 1)
+    bronze.split_writer(good, bad, "s", compact=True)(batch, 1)
     assert lake.read_bronze(spark, good).count() == 10
     assert lake.read_table(spark, bad).count() == 2
 

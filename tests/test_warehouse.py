@@ -122,6 +122,7 @@ def test_catalog_tables(spark, silver):
     warehouse.save_fact(fact, "sales.fact_by_customer", customer_buckets=4)
     by_customer = warehouse.scan(spark, "fact_by_customer").groupBy("customer_id").count()
     assert "Exchange hashpartitioning" not in plan(by_customer)
+    assert len(spark.table("sales.fact_by_customer").inputFiles()) <= 4
     with pytest.raises(warehouse.ConstraintViolation):
         warehouse.save_fact(fact.unionByName(fact), "sales.fact_broken")
     assert not spark.catalog.tableExists("sales.fact_broken")

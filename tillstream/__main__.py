@@ -7,6 +7,7 @@ from datetime import date
 
 from tillstream import schemas, settings
 from tillstream.functions.codec import with_event_defaults
+from tillstream.functions.money import with_revenue
 from tillstream.operators.quality import run_all
 from tillstream.plans.layers import run_layers
 from tillstream.plans.star import analyze, load_star, read_star
@@ -14,6 +15,7 @@ from tillstream.session import build_session
 from tillstream.settings import Lake
 from tillstream.sources import lake, topics
 from tillstream.streaming import bronze
+from tillstream.streaming.metrics import start_closed_windows
 
 
 def ingest(spark, args) -> None:
@@ -26,6 +28,19 @@ def ingest(spark, args) -> None:
         paths.checkpoint("bronze"),
         bronze.AVAILABLE_NOW if args.once else bronze.INTERVAL,
         args.strict,
+        compact=args.once,
+    ).awaitTermination()
+
+
+def metrics(spark, args) -> None:
+    paths = Lake(args.root)
+    options = topics.subscribe_options(args.servers, args.topic)
+    accepted, _ = bronze.bronze_and_rejects(topics.subscribe(spark, options))
+    start_closed_windows(
+        with_revenue(accepted),
+        paths.windowed_metrics,
+        paths.checkpoint("windowed_metrics"),
+        bronze.INTERVAL,
     ).awaitTermination()
 
 
@@ -72,6 +87,7 @@ def main() -> None:
     stream.add_argument("--topic", default=settings.TOPIC)
     stream.add_argument("--once", action="store_true", help="stop when all is read")
     stream.add_argument("--strict", action="store_true")
+    job(metrics, "root", "servers").add_argument("--topic", default=settings.TOPIC)
     job(publish, "csv", "servers").add_argument("--topic", default=settings.TOPIC)
     batch = job(layers, "root")
     batch.add_argument("--first", type=date.fromisoformat)

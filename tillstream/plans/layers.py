@@ -43,7 +43,7 @@ def run_layers(
     """Write silver, check it, write gold; returns the paths written.
 
     Gold and the checks read the silver that was written, so bronze is deduplicated once and all
-    tables agree. Gold reads only the columns it sums.
+    tables agree. Gold reads only the columns it sums, and no order ids once they passed the check.
     """
     bronze = lake.read_bronze(spark, paths.bronze, first, last)
     lake.overwrite(to_silver(bronze, only_positive), paths.silver)
@@ -55,8 +55,9 @@ def run_layers(
     if failed:
         raise QualityGateFailed(", ".join(failed))
 
-    lake.overwrite(daily_revenue(silver), paths.daily_revenue)
-    lake.overwrite(category_metrics(silver), paths.category_metrics)
+    ids_present = passed["null_check"]
+    lake.overwrite(daily_revenue(silver, ids_present), paths.daily_revenue)
+    lake.overwrite(category_metrics(silver, ids_present), paths.category_metrics)
     return {
         "silver": paths.silver,
         "quality": paths.quality,

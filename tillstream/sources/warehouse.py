@@ -36,13 +36,19 @@ def sorted_by_time(fact: DataFrame) -> DataFrame:
     return fact.hint("rebalance", "order_date").sortWithinPartitions("order_ts")
 
 
-def _fact_writer(
-    fact: DataFrame, customer_buckets: int | None, mode: str
-) -> DataFrameWriter:
+def by_customer(fact: DataFrame, buckets: int) -> DataFrame:
+    """Rows of a bucket together, so that it is written as few files.
+
+    The hint hashes as ``bucketBy`` does, merges small buckets into one task and splits large ones.
+    """
+    return fact.hint("rebalance", buckets, "customer_id")
+
+
+def _fact_writer(fact: DataFrame, customer_buckets: int | None, mode: str) -> DataFrameWriter:
     if customer_buckets is None:
         return sorted_by_time(fact).write.mode(mode).format("parquet")
-    bucketed = fact.write.mode(mode).format("parquet")
-    return bucketed.bucketBy(customer_buckets, "customer_id").sortBy("order_ts")
+    writer = by_customer(fact, customer_buckets).write.mode(mode).format("parquet")
+    return writer.bucketBy(customer_buckets, "customer_id").sortBy("order_ts")
 
 
 def save_fact(

@@ -55,7 +55,11 @@ def _write_run(df: DataFrame, path: str, *partitions: str) -> None:
 
 
 def split_writer(
-    bronze_path: str, dead_letter_path: str, stream: str, strict: bool = False
+    bronze_path: str,
+    dead_letter_path: str,
+    stream: str,
+    strict: bool = False,
+    compact: bool = False,
 ) -> Callable[[DataFrame, int], None]:
     """Function for ``foreachBatch`` that writes accepted and rejected events of a batch.
 
@@ -68,6 +72,8 @@ def split_writer(
         batch.persist()
         try:
             accepted, rejected = bronze_and_rejects(batch, strict)
+            if compact:
+                accepted = accepted.hint("rebalance", *PARTITIONS)
             _write_run(accepted.withColumn(RUN, run), bronze_path, *PARTITIONS, RUN)
             _write_run(rejected.withColumn(RUN, run), dead_letter_path, RUN)
         finally:
@@ -83,13 +89,15 @@ def start_split(
     checkpoint: str,
     trigger: dict | None = None,
     strict: bool = False,
+    compact: bool = False,
 ) -> StreamingQuery:
     """Accepted events to bronze and rejected ones to the dead letters, reading messages once.
 
     The stream is named after its checkpoint, so another stream, or the same one started afresh
-    with a new checkpoint, never replaces its batches.
+    with a new checkpoint, never replaces its batches. ``compact`` brings the rows of a day together
+    first, at the price of a shuffle: for a backfill, where each task would write to every day.
     """
     stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
-    write = split_writer(bronze_path, dead_letter_path, stream, strict)
+    write = split_writer(bronze_path, dead_letter_path, stream, strict, compact)
     writer = messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()
