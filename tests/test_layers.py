@@ -50,8 +50,13 @@ def test_layers(spark, paths):
     assert rows(checks.filter("NOT passed").select("check", "value")) == [("count_check", 50.0)]
 
 
-def test_layers_of_a_date_range(spark, paths):
-    written = layers.run_layers(spark, paths, date(2024, 2, 1), date(2024, 2, 29))
+def test_layers_of_a_date_range(spark, paths, tmp_path):
+    february = date(2024, 2, 1), date(2024, 2, 29)
+    for target in (None, paths):
+        with pytest.raises(ValueError, match="target"):
+            layers.run_layers(spark, paths, *february, target=target)
+    target = Lake(str(tmp_path / "february"))
+    written = layers.run_layers(spark, paths, *february, target=target)
     silver = lake.read_table(spark, written["silver"])
     assert rows(silver.select("order_id")) == [("O-4",), ("O-5",)]
 

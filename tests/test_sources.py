@@ -42,6 +42,22 @@ def test_bronze_is_partitioned_and_pruned(spark, silver, tmp_path):
     assert len(january.inputFiles()) >= 1
 
 
+def test_a_hot_day_is_written_by_several_tasks(spark, tmp_path):
+    session = spark.newSession()
+    session.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "65536")
+    session.conf.set("spark.sql.shuffle.partitions", "8")
+    events = session.range(0, 60000, 1, 8).selectExpr(
+        "uuid() AS order_id", "2024 AS year", "1 AS month", "IF(id % 3 = 0, id % 10, 15) AS day"
+    )
+    path = tmp_path / "bronze"
+    lake.write_bronze(events, str(path))
+    days = (path / "year=2024" / "month=1").glob("day=*")
+    files = {day.name: len(list(day.glob("*.parquet"))) for day in days}
+    # A day that shares the hash partition of the hot one is split with it.
+    assert files["day=15"] > 4 and min(files.values()) <= 2
+    assert session.read.parquet(str(path)).count() == 60000
+
+
 def test_scans_push_filters_and_prune_columns(spark, silver, tmp_path):
     path = str(tmp_path / "silver")
     lake.overwrite(silver, path)

@@ -112,6 +112,14 @@ def test_constraints(spark, silver):
         warehouse.require_constraints(bad, "fact_sales")
 
 
+def test_a_repeated_join_key_does_not_load(spark, silver, tmp_path):
+    customers = star.dim_customer(silver)
+    warehouse.write_dimension(customers, "dim_customer", str(tmp_path / "good"))
+    again = customers.withColumn("customer_key", F.col("customer_key") + 100)
+    with pytest.raises(warehouse.ConstraintViolation, match="dup_check"):
+        warehouse.require_constraints(customers.unionByName(again), "dim_customer")
+
+
 def test_catalog_tables(spark, silver):
     spark.sql("CREATE DATABASE IF NOT EXISTS sales")
     fact = star.fact_sales(silver)

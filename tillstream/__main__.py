@@ -52,7 +52,8 @@ def publish(spark, args) -> None:
 
 
 def layers(spark, args) -> None:
-    run_layers(spark, Lake(args.root), args.first, args.last)
+    target = args.target and Lake(args.target)
+    run_layers(spark, Lake(args.root), args.first, args.last, target)
 
 
 def star(spark, args) -> None:
@@ -92,6 +93,7 @@ def main() -> None:
     batch = job(layers, "root")
     batch.add_argument("--first", type=date.fromisoformat)
     batch.add_argument("--last", type=date.fromisoformat)
+    batch.add_argument("--target", help="root to write to, needed with a range of dates")
     job(star, "root").add_argument("--previous", help="root whose dimension keys are kept")
     job(questions, "root")
     job(check, "root")

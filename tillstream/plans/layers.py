@@ -37,6 +37,7 @@ def run_layers(
     paths: Lake,
     first: date | None = None,
     last: date | None = None,
+    target: Lake | None = None,
     gates: tuple[str, ...] = GATES,
     only_positive: bool = False,
 ) -> dict[str, str]:
@@ -44,23 +45,29 @@ def run_layers(
 
     Gold and the checks read the silver that was written, so bronze is deduplicated once and all
     tables agree. Gold reads only the columns it sums, and no order ids once they passed the check.
+
+    A range of order dates reads only those days of bronze. Its tables hold nothing else, so it
+    needs a ``target`` with a root of its own.
     """
+    if (first or last) and (target is None or target.root == paths.root):
+        raise ValueError("a range of dates would replace the whole silver; give another target")
+    target = target or paths
     bronze = lake.read_bronze(spark, paths.bronze, first, last)
-    lake.overwrite(to_silver(bronze, only_positive), paths.silver)
-    silver = lake.read_table(spark, paths.silver, schemas.SILVER)
+    lake.overwrite(to_silver(bronze, only_positive), target.silver)
+    silver = lake.read_table(spark, target.silver, schemas.SILVER)
 
-    lake.overwrite(run_all(bronze, silver), paths.quality)
-    passed = verdicts(lake.read_table(spark, paths.quality))
+    lake.overwrite(run_all(bronze, silver), target.quality)
+    passed = verdicts(lake.read_table(spark, target.quality))
     failed = [name for name in gates if not passed[name]]
     if failed:
         raise QualityGateFailed(", ".join(failed))
 
     ids_present = passed["null_check"]
-    lake.overwrite(daily_revenue(silver, ids_present), paths.daily_revenue)
-    lake.overwrite(category_metrics(silver, ids_present), paths.category_metrics)
+    lake.overwrite(daily_revenue(silver, ids_present), target.daily_revenue)
+    lake.overwrite(category_metrics(silver, ids_present), target.category_metrics)
     return {
-        "silver": paths.silver,
-        "quality": paths.quality,
-        "daily_revenue": paths.daily_revenue,
-        "category_metrics": paths.category_metrics,
+        "silver": target.silver,
+        "quality": target.quality,
+        "daily_revenue": target.daily_revenue,
+        "category_metrics": target.category_metrics,
     }

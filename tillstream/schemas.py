@@ -121,3 +121,10 @@ PRIMARY_KEY = {
     "dim_customer": "customer_key",
     "dim_date": "date_key",
 }
+
+# Ids the dimensions are joined on: one row each, or the join would multiply revenue.
+JOIN_KEY = {
+    "dim_product": "product_id",
+    "dim_customer": "customer_id",
+    "dim_date": "full_date",
+}

@@ -5,20 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 from tillstream import schemas
-from tillstream.operators.quality import constraint_profile
+from tillstream.operators.quality import constraint_profile, duplicate_check
 
 SCHEMA = "sales"
 
 
 class ConstraintViolation(ValueError):
-    """A table breaks its declared key, NOT NULL or text length."""
+    """A table breaks its declared key, NOT NULL or text length, or repeats a join key."""
 
 
 def check_constraints(df: DataFrame, table: str) -> DataFrame:
-    """Results of the declared constraints of ``table``."""
-    return constraint_profile(
+    """Results of the declared constraints of ``table`` and, for a dimension, of its join key."""
+    declared = constraint_profile(
         df, schemas.PRIMARY_KEY[table], schemas.REQUIRED[table], schemas.TEXT_LIMITS
     )
+    if table not in schemas.JOIN_KEY:
+        return declared
+    return declared.unionByName(duplicate_check(df, schemas.JOIN_KEY[table]))
 
 
 def require_constraints(df: DataFrame, table: str) -> None:
