@@ -41,6 +41,12 @@ _JOINED = """
 
 _SILVER = f"WITH {_unique('DESC')},\nsales AS ({_JOINED.format(lines='unique_lines')}\n)"
 _BRONZE = f"WITH {_LINES},\nsales AS ({_JOINED.format(lines='lines')}\n)"
+_PRODUCT_SALES = f"""WITH {_unique('DESC')},
+sales AS (
+    SELECT l.order_id, l.product_id, p.p_name AS product_name, p.p_type AS category,
+           CAST(l.price * l.quantity AS DECIMAL(12,2)) AS revenue
+    FROM unique_lines l JOIN part p ON CAST(p.p_partkey AS VARCHAR) = l.product_id
+)"""
 _FIRST = f"WITH {_unique('ASC')}"
 
 _MESSAGES = """
@@ -163,10 +169,10 @@ FROM unique_lines WHERE price - 1000 * quantity > 0 AND quantity > 0""",
 SELECT order_date, CAST(sum(revenue) AS DOUBLE) AS total_daily_revenue,
        count(order_id) AS total_orders
 FROM sales GROUP BY order_date""",
-    "category_metrics": f"""{_SILVER}
+    "category_metrics": f"""{_PRODUCT_SALES}
 SELECT category, CAST(sum(revenue) AS DOUBLE) AS total_revenue, count(order_id) AS order_count
 FROM sales GROUP BY category""",
-    "top_products": f"""{_SILVER}
+    "top_products": f"""{_PRODUCT_SALES}
 SELECT product_id, product_name, CAST(sum(revenue) AS DOUBLE) AS total_revenue
 FROM sales GROUP BY product_id, product_name
 ORDER BY sum(revenue) DESC, product_id, product_name LIMIT 10""",

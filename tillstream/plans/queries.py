@@ -89,11 +89,11 @@ def daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.category_metrics(tables.silver(spark, sf_dir, product=True))
+    return rollups.category_metrics(tables.silver(spark, sf_dir, order=False, product=True))
 
 
 def top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.top_products(tables.silver(spark, sf_dir, product=True), 10)
+    return rollups.top_products(tables.silver(spark, sf_dir, order=False, product=True), 10)
 
 
 def _event_sales(events: DataFrame) -> DataFrame:

@@ -99,14 +99,22 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver(
-    spark: SparkSession, sf_dir: str, product: bool = False, country: bool = False
+    spark: SparkSession,
+    sf_dir: str,
+    order: bool = True,
+    product: bool = False,
+    country: bool = False,
 ) -> DataFrame:
-    """Deduplicated sales with revenue and order date; joins only what is asked for."""
-    lines = unique_lines(spark, sf_dir).join(order_heads(spark, sf_dir, country), "l_orderkey")
+    """Deduplicated sales with revenue; joins only what is asked for.
+
+    ``order`` adds customer, time and date, to which ``country`` adds the customer's country.
+    """
+    sales = unique_lines(spark, sf_dir)
+    if order:
+        sales = with_order_date(sales.join(order_heads(spark, sf_dir, country), "l_orderkey"))
     if product:
-        lines = lookup_join(lines, products(spark, sf_dir), "product_id", LINE_KEY)
-    sales = lines.withColumn("order_id", order_id()).drop(*LINE_KEY)
-    return with_order_date(with_revenue(sales))
+        sales = lookup_join(sales, products(spark, sf_dir), "product_id", LINE_KEY)
+    return with_revenue(sales.withColumn("order_id", order_id()).drop(*LINE_KEY))
 
 
 def bronze_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
