@@ -60,7 +60,8 @@ def test_freshness(spark):
 
 
 def test_duplicates(spark):
-    given = spark.createDataFrame([("a",), ("a",), ("a",), ("b",), (None,), (None,)], "order_id string")
+    ids = ["a", "a", "a", "b", None, None]
+    given = spark.createDataFrame([(i,) for i in ids], "order_id string")
     assert rows(quality.duplicate_keys(given)) == [("a", 3), (None, 2)]
     assert rows(quality.duplicate_check(given)) == [("dup_check", "order_id", 2.0, 0.0, False)]
     assert rows(quality.duplicate_ratio(given)) == [

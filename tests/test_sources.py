@@ -110,7 +110,8 @@ def test_messages_from_files_keep_to_the_rate(spark, tmp_path):
         message.coalesce(1).write.mode("append").parquet(path)
     messages = topics.subscribe_files(spark, path, max_files_per_trigger=1)
     writer = messages.writeStream.format("parquet").trigger(availableNow=True)
-    query = writer.option("checkpointLocation", str(tmp_path / "state")).start(str(tmp_path / "out"))
+    writer = writer.option("checkpointLocation", str(tmp_path / "state"))
+    query = writer.start(str(tmp_path / "out"))
     query.awaitTermination()
     assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [1] * 3
 

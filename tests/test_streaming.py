@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -34,7 +35,8 @@ def stream(spark, path, schema=schemas.MESSAGES, **options):
 
 def test_bronze_and_restart(spark, tmp_path):
     topic, lake_path, state = (str(tmp_path / name) for name in ("topic", "bronze", "state"))
-    send(spark, topic, *map(order, range(6)), "no json", order(7, price=0), order(8, customer_id=None))
+    bad = ["no json", order(7, price=0), order(8, customer_id=None)]
+    send(spark, topic, *map(order, range(6)), *bad)
 
     def run():
         bronze.start_bronze(stream(spark, topic), lake_path, state, NOW).awaitTermination()
@@ -50,6 +52,21 @@ def test_bronze_and_restart(spark, tmp_path):
     assert run().count() == 7
 
 
+def test_bronze_without_copies(spark, tmp_path):
+    topic, lake_path, state = (str(tmp_path / name) for name in ("topic", "bronze", "state"))
+
+    def run():
+        bronze.start_bronze(
+            stream(spark, topic), lake_path, state, NOW, unique_within="2 days"
+        ).awaitTermination()
+        return rows(lake.read_bronze(spark, lake_path).select("order_id"))
+
+    send(spark, topic, order(0), order(0), order(1))
+    assert run() == [("O-0",), ("O-1",)]
+    send(spark, topic, order(1), order(2))
+    assert run() == [("O-0",), ("O-1",), ("O-2",)]
+
+
 def test_stream_and_batch_agree(spark, tmp_path):
     topic = str(tmp_path / "topic")
     send(spark, topic, *map(order, range(20)), "{", order(21, quantity=0))
@@ -104,7 +121,8 @@ SALES = schemas.schema(order_id="string", category="string", revenue="double", o
 
 
 def sell(spark, path, *sales):
-    data = spark.createDataFrame(list(sales), "order_id string, category string, revenue double, t string")
+    columns = "order_id string, category string, revenue double, t string"
+    data = spark.createDataFrame(list(sales), columns)
     shaped = data.select("order_id", "category", "revenue", F.to_timestamp("t").alias("order_ts"))
     shaped.coalesce(1).write.mode("append").parquet(path)
 
@@ -122,14 +140,26 @@ def test_closed_windows_late_event_and_restart(spark, tmp_path):
             .selectExpr("hour(window_start)", "category", "total_revenue", "order_count")
         )
 
-    sell(spark, source, ("1", "a", 1.0, "2024-01-01 10:10:00"), ("2", "a", 2.0, "2024-01-01 10:50:00"),
-         ("3", "b", 4.0, "2024-01-01 11:10:00"))
+    sell(
+        spark, source,
+        ("1", "a", 1.0, "2024-01-01 10:10:00"),
+        ("2", "a", 2.0, "2024-01-01 10:50:00"),
+        ("3", "b", 4.0, "2024-01-01 11:10:00"),
+    )
     assert run() == []
     # Within the hour allowed: still counted. The newest event closes ten o'clock.
-    sell(spark, source, ("4", "a", 8.0, "2024-01-01 10:20:00"), ("5", "b", 1.0, "2024-01-01 12:05:00"))
+    sell(
+        spark, source,
+        ("4", "a", 8.0, "2024-01-01 10:20:00"),
+        ("5", "b", 1.0, "2024-01-01 12:05:00"),
+    )
     assert run() == [(10, "a", 11.0, 3)]
     # Too late for ten o'clock; the sentinel closes the rest.
-    sell(spark, source, ("6", "a", 99.0, "2024-01-01 10:30:00"), ("7", "b", 0.0, "2024-01-02 00:00:00"))
+    sell(
+        spark, source,
+        ("6", "a", 99.0, "2024-01-01 10:30:00"),
+        ("7", "b", 0.0, "2024-01-02 00:00:00"),
+    )
     assert run() == [(10, "a", 11.0, 3), (11, "b", 4.0, 1), (12, "b", 1.0, 1)]
     assert len(run()) == 3
 
@@ -143,7 +173,11 @@ def test_open_windows_hold_the_newest_figures(spark, tmp_path):
         ).awaitTermination()
         return rows(metrics.latest_windows(spark, out).drop("window_start"))
 
-    sell(spark, source, ("1", "a", 1.0, "2024-01-01 10:10:00"), ("2", "b", 2.0, "2024-01-01 10:50:00"))
+    sell(
+        spark, source,
+        ("1", "a", 1.0, "2024-01-01 10:10:00"),
+        ("2", "b", 2.0, "2024-01-01 10:50:00"),
+    )
     assert run() == [("a", 1.0, 1, 1.0), ("b", 2.0, 1, 2.0)]
     sell(spark, source, ("3", "a", 5.0, "2024-01-01 10:30:00"))
     assert run() == [("a", 6.0, 2, 3.0), ("b", 2.0, 1, 2.0)]
@@ -151,29 +185,31 @@ def test_open_windows_hold_the_newest_figures(spark, tmp_path):
     assert rows(batch.drop("window_start")) == run()
 
 
-def test_stream_dedup(spark, tmp_path):
-    source = str(tmp_path / "in")
-    sell(spark, source, *[("1", "a", float(i), f"2024-01-01 10:{i:02d}:00") for i in range(50)],
-         ("2", "a", 1.0, "2024-01-01 10:00:00"))
-    for precombine in (True, False):
-        out, state = str(tmp_path / f"out{precombine}"), str(tmp_path / f"state{precombine}")
-
-        def run():
-            unique = dedup.dedup_stream(stream(spark, source, SALES), precombine=precombine)
-            writer = unique.writeStream.format("parquet").trigger(availableNow=True)
-            writer.option("checkpointLocation", state).start(out).awaitTermination()
-            return rows(spark.read.schema(SALES).parquet(out).select("order_id"))
+@pytest.mark.parametrize("precombine", [True, False])
+def test_stream_dedup(spark, tmp_path, precombine):
+    source, out, state = (str(tmp_path / name) for name in ("in", "out", "state"))
 
-        assert run() == [("1",), ("2",)]
-        if precombine:
-            # A copy in a later batch, within the delay, and a new order.
-            sell(spark, source, ("1", "a", 7.0, "2024-01-01 10:55:00"), ("3", "a", 7.0, "2024-01-01 11:00:00"))
-            assert run() == [("1",), ("2",), ("3",)]
-            break
+    def run():
+        unique = dedup.dedup_stream(stream(spark, source, SALES), precombine=precombine)
+        writer = unique.writeStream.format("parquet").trigger(availableNow=True)
+        writer.option("checkpointLocation", state).start(out).awaitTermination()
+        return rows(spark.read.schema(SALES).parquet(out).select("order_id"))
+
+    copies = [("1", "a", float(i), f"2024-01-01 10:{i:02d}:00") for i in range(50)]
+    sell(spark, source, *copies, ("2", "a", 1.0, "2024-01-01 10:00:00"))
+    assert run() == [("1",), ("2",)]
+    # A copy in a later batch, within the delay, and a new order.
+    sell(
+        spark, source,
+        ("1", "a", 7.0, "2024-01-01 10:55:00"),
+        ("3", "a", 7.0, "2024-01-01 11:00:00"),
+    )
+    assert run() == [("1",), ("2",), ("3",)]
 
 
 def test_dedup_takes_zoneless_event_times(spark, tmp_path):
     source = str(tmp_path / "in")
-    spark.sql("SELECT 'x' AS order_id, TIMESTAMP_NTZ '2024-01-01 00:00:00' AS order_ts").write.parquet(source)
+    one = spark.sql("SELECT 'x' AS order_id, TIMESTAMP_NTZ '2024-01-01 00:00:00' AS order_ts")
+    one.write.parquet(source)
     events = stream(spark, source, spark.read.parquet(source).schema)
     assert dict(dedup.dedup_stream(events).dtypes)["order_ts"] == "timestamp"

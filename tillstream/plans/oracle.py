@@ -8,7 +8,8 @@ from tillstream.plans.queries import AS_OF, FIRST_LOAD
 
 _LINES = """
 lines AS (
-    SELECT l_orderkey || '-' || l_linenumber AS order_id, l_orderkey, l_suppkey, l_extendedprice, l_quantity,
+    SELECT l_orderkey || '-' || l_linenumber AS order_id,
+           l_orderkey, l_suppkey, l_extendedprice, l_quantity,
            CAST(l_partkey AS VARCHAR) AS product_id,
            CAST(l_extendedprice AS DECIMAL(10,2)) AS price,
            CAST(l_quantity AS INTEGER) AS quantity,

@@ -13,6 +13,7 @@ from tillstream import settings
 from tillstream.functions.codec import decode_events
 from tillstream.functions.stamps import with_ingest_columns
 from tillstream.operators.validate import split_valid
+from tillstream.streaming.dedup import dedup_stream
 
 PARTITIONS = ("year", "month", "day")
 RUN = "batch"
@@ -22,12 +23,16 @@ INTERVAL = {"processingTime": settings.TRIGGER_INTERVAL}
 AVAILABLE_NOW = {"availableNow": True}
 
 
+def stamped_events(messages: DataFrame, now: Column | None = None) -> DataFrame:
+    """Every message as an event, with its text and the ingestion columns."""
+    return with_ingest_columns(decode_events(messages, keep_raw=True), now)
+
+
 def bronze_and_rejects(
     messages: DataFrame, strict: bool = False, now: Column | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Decode, stamp and split messages, batch or stream."""
-    events = with_ingest_columns(decode_events(messages, keep_raw=True), now)
-    return split_valid(events, strict)
+    return split_valid(stamped_events(messages, now), strict)
 
 
 def start_bronze(
@@ -36,12 +41,16 @@ def start_bronze(
     checkpoint: str,
     trigger: dict | None = None,
     strict: bool = False,
+    unique_within: str | None = None,
 ) -> StreamingQuery:
     """Append the accepted events to bronze through the file sink, exactly once.
 
-    Stopped and started again with the same checkpoint, it goes on where it was.
+    Stopped and started again with the same checkpoint, it goes on where it was. ``unique_within``
+    leaves out copies of an order within that delay, see ``dedup_stream``; silver does without.
     """
     accepted, _ = bronze_and_rejects(messages, strict)
+    if unique_within is not None:
+        accepted = dedup_stream(accepted, delay=unique_within)
     writer = accepted.writeStream.format("parquet").outputMode("append")
     writer = writer.partitionBy(*PARTITIONS).option("path", path)
     writer = writer.option("checkpointLocation", checkpoint)
@@ -69,15 +78,15 @@ def split_writer(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         run = F.lit(f"{stream}-{batch_id}")
-        batch.persist()
+        events = stamped_events(batch).persist()
         try:
-            accepted, rejected = bronze_and_rejects(batch, strict)
+            accepted, rejected = split_valid(events, strict)
             if compact:
                 accepted = accepted.hint("rebalance", *PARTITIONS)
             _write_run(accepted.withColumn(RUN, run), bronze_path, *PARTITIONS, RUN)
             _write_run(rejected.withColumn(RUN, run), dead_letter_path, RUN)
         finally:
-            batch.unpersist()
+            events.unpersist()
 
     return write
 
@@ -91,7 +100,7 @@ def start_split(
     strict: bool = False,
     compact: bool = False,
 ) -> StreamingQuery:
-    """Accepted events to bronze and rejected ones to the dead letters, reading messages once.
+    """Accepted events to bronze and rejected ones to the dead letters, decoding messages once.
 
     The stream is named after its checkpoint, so another stream, or the same one started afresh
     with a new checkpoint, never replaces its batches. ``compact`` brings the rows of a day together
