@@ -75,6 +75,8 @@ def test_invalid_survivor_takes_its_order_with_it(spark, paths, silver):
     written = layers.run_layers(spark, paths, only_positive=True)
     silver = lake.read_table(spark, written["silver"])
     assert silver.count() == 5 and silver.filter("order_id = 'O-1'").count() == 0
+    lost = lake.read_table(spark, written["quality"]).filter("check = 'key_check'").first()
+    assert (round(lost.value, 2), lost.passed) == (16.67, False)
 
 
 def test_star_and_analysis(spark, paths, tmp_path):

@@ -56,7 +56,8 @@ def run_layers(
     lake.overwrite(to_silver(bronze, only_positive), target.silver)
     silver = lake.read_table(spark, target.silver, schemas.SILVER)
 
-    lake.overwrite(run_all(bronze, silver), target.quality)
+    # Dedup loses no key; only the filter after it can, so only then are bronze keys compared.
+    lake.overwrite(run_all(bronze, silver, key_drift=only_positive), target.quality)
     passed = verdicts(lake.read_table(spark, target.quality))
     failed = [name for name in gates if not passed[name]]
     if failed:
