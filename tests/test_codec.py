@@ -88,6 +88,16 @@ def test_text_amounts(spark):
     assert rows(codec.type_event_strings(text)) == [(1.5, 2), (None, None), (None, None)]
 
 
+def test_orders_placed_now(spark, orders):
+    now = F.lit("2024-03-01 10:00:05").cast("timestamp")
+    sent = stamps.with_ingest_columns(stamps.with_order_time_now(orders, now))
+    assert rows(sent.select("order_timestamp").distinct()) == [("2024-03-01 10:00:05",)]
+    assert sent.filter(F.col("order_ts") == now).count() == orders.count()
+    assert stamps.with_ingest_columns(stamps.with_order_time_now(orders)).filter(
+        "order_ts IS NULL"
+    ).count() == 0
+
+
 def test_order_time_must_have_the_agreed_form(spark):
     texts = [
         "2024-01-15 09:23:45",

@@ -207,6 +207,22 @@ def test_stream_dedup(spark, tmp_path, precombine):
     assert run() == [("1",), ("2",), ("3",)]
 
 
+def test_precombining_keeps_large_and_missing_numbers(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "order_id bigint, n bigint, order_ts timestamp"
+    big = 2**53
+    data = [(big, big + 1), (big + 1, None), (None, big + 3), (None, big + 3)]
+    given = spark.createDataFrame(data, "order_id bigint, n bigint").withColumn(
+        "order_ts", F.to_timestamp(F.lit("2024-01-01 00:00:00"))
+    )
+    given.coalesce(1).write.parquet(source)
+    unique = dedup.dedup_stream(stream(spark, source, schema))
+    writer = unique.writeStream.format("parquet").trigger(availableNow=True)
+    writer.option("checkpointLocation", str(tmp_path / "state")).start(out).awaitTermination()
+    found = spark.read.schema(schema).parquet(out).select("order_id", "n")
+    assert rows(found) == sorted(data[:3], key=repr)
+
+
 def test_dedup_takes_zoneless_event_times(spark, tmp_path):
     source = str(tmp_path / "in")
     one = spark.sql("SELECT 'x' AS order_id, TIMESTAMP_NTZ '2024-01-01 00:00:00' AS order_ts")

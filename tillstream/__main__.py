@@ -8,6 +8,7 @@ from datetime import date
 from tillstream import schemas, settings
 from tillstream.functions.codec import with_event_defaults
 from tillstream.functions.money import with_revenue
+from tillstream.functions.stamps import with_order_time_now
 from tillstream.operators.quality import run_all
 from tillstream.plans.layers import run_layers
 from tillstream.plans.star import analyze, load_star, read_star
@@ -46,9 +47,10 @@ def metrics(spark, args) -> None:
 
 def publish(spark, args) -> None:
     orders = lake.read_csv_orders(spark, args.csv)
-    topics.publish(
-        with_event_defaults(orders), topics.publish_options(args.servers, args.topic)
-    )
+    if not args.keep_times:
+        orders = with_order_time_now(orders)
+    events = with_event_defaults(orders)
+    topics.publish(events, topics.publish_options(args.servers, args.topic))
 
 
 def layers(spark, args) -> None:
@@ -89,7 +91,9 @@ def main() -> None:
     stream.add_argument("--once", action="store_true", help="stop when all is read")
     stream.add_argument("--strict", action="store_true")
     job(metrics, "root", "servers").add_argument("--topic", default=settings.TOPIC)
-    job(publish, "csv", "servers").add_argument("--topic", default=settings.TOPIC)
+    send = job(publish, "csv", "servers")
+    send.add_argument("--topic", default=settings.TOPIC)
+    send.add_argument("--keep-times", action="store_true", help="do not set order times to now")
     batch = job(layers, "root")
     batch.add_argument("--first", type=date.fromisoformat)
     batch.add_argument("--last", type=date.fromisoformat)

@@ -13,6 +13,13 @@ def parse_order_time(text: Column) -> Column:
     return F.try_to_timestamp(text, F.lit(settings.ORDER_TIMESTAMP_FORMAT))
 
 
+def with_order_time_now(events: DataFrame, now: Column | None = None) -> DataFrame:
+    """Orders as if placed now, for sending old orders again."""
+    moment = F.current_timestamp() if now is None else now
+    text = F.date_format(moment, settings.ORDER_TIMESTAMP_FORMAT)
+    return events.withColumn("order_timestamp", text)
+
+
 def with_ingest_columns(events: DataFrame, now: Column | None = None) -> DataFrame:
     """Ingestion time, parsed order time and the year/month/day the lake is partitioned by."""
     parsed = events.withColumns(

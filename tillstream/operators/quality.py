@@ -109,7 +109,10 @@ def freshness(
     column: str = "order_ts",
     max_age_hours: float = settings.MAX_AGE_HOURS,
 ) -> DataFrame:
-    """Hours from the newest row to ``as_of``. A table without rows is not fresh."""
+    """Hours from the newest row to ``as_of``, a column or a datetime with a zone.
+
+    A table without rows is not fresh.
+    """
     now = as_of if isinstance(as_of, Column) else F.lit(as_of)
     newest = df.agg(F.max(F.col(column).cast("timestamp")).alias("newest"))
     seconds = F.unix_micros(now.cast("timestamp")) - F.unix_micros("newest")

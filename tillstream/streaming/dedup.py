@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstream import settings
 
+_ROW = "_row"
+
 
 def dedup_stream(
     events: DataFrame,
@@ -31,10 +34,13 @@ def dedup_stream(
         events = events.withColumn(event_time, F.col(event_time).cast("timestamp"))
     if precombine:
 
-        def newest_per_key(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def newest_per_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                ordered = batch.sort_values(event_time, ascending=False, kind="stable")
-                yield ordered.drop_duplicates(keys).sort_index()
+                newest_first = pc.sort_indices(batch, sort_keys=[(event_time, "descending")])
+                copies = pa.table(batch.select(keys).take(newest_first).columns, names=keys)
+                grouped = copies.append_column(_ROW, newest_first).group_by(keys, use_threads=False)
+                kept = grouped.aggregate([(_ROW, "first")]).column(f"{_ROW}_first")
+                yield batch.take(kept.combine_chunks().sort())
 
-        events = events.mapInPandas(newest_per_key, events.schema)
+        events = events.mapInArrow(newest_per_key, events.schema)
     return events.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)

@@ -43,7 +43,8 @@ def start_open_windows(
 ) -> StreamingQuery:
     """Write the windows each batch changed, under the number of the batch.
 
-    A batch that is run again replaces its own rows. Read with ``latest_windows``.
+    A batch that is run again replaces its own rows. Read with ``latest_windows``. The numbers start
+    again with a new checkpoint, which therefore needs a new path too.
     """
     metrics = windowed_metrics(events, event_time, width, watermark)
 
