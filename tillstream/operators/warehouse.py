@@ -61,17 +61,23 @@ def refresh_dimension(
     """Dimension with the latest attributes (type 1).
 
     Known ids keep their key, new ids get the next ones, and ids that are no longer in ``latest``
-    stay as they were.
+    stay as they were. Both sides meet in one join, which is materialized for the numbering.
     """
-    latest = materialize(latest)
-    columns = [key_col, *latest.columns]
     if existing is None:
-        return number_rows(latest, id_col, key_col)
-    keys = existing.select(id_col, key_col)
-    fresh = number_rows(latest.join(keys, id_col, "left_anti"), id_col, key_col, existing)
-    known = latest.join(keys, id_col).select(*columns)
-    gone = existing.join(latest.select(id_col), id_col, "left_anti").select(*columns)
-    return known.unionByName(fresh).unionByName(gone)
+        return number_rows(materialize(latest), id_col, key_col)
+    attributes = [name for name in latest.columns if name != id_col]
+    before = existing.select(
+        id_col, key_col, *[F.col(name).alias(f"_old_{name}") for name in attributes]
+    )
+    both = latest.withColumn("_seen", F.lit(True)).join(before, id_col, "full_outer")
+    current = [
+        F.when(F.col("_seen"), F.col(name)).otherwise(F.col(f"_old_{name}")).alias(name)
+        for name in attributes
+    ]
+    merged = materialize(both.select(key_col, id_col, *current))
+    known = merged.filter(F.col(key_col).isNotNull())
+    new = merged.filter(F.col(key_col).isNull()).drop(key_col)
+    return known.unionByName(number_rows(new, id_col, key_col, known))
 
 
 def dim_product(silver: DataFrame, existing: DataFrame | None = None) -> DataFrame:
