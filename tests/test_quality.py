@@ -71,6 +71,27 @@ def test_duplicates(spark):
     assert quality.duplicate_check(numbered(spark, 0)).first().passed
 
 
+def test_thresholds(spark, silver):
+    as_of = F.lit("2024-05-01 11:00:00").cast("timestamp")
+    results = quality.run_thresholds(silver, as_of)
+    assert results.filter("NOT passed").count() == 0
+    assert results.count() == 6 + 1 + 2 + 1
+    assert results.filter("check = 'freshness_check'").first().value == 23.0
+    worse = silver.unionByName(
+        silver.filter("order_id = 'O-6'").withColumns(
+            {"price": F.lit(-1.0), "product_id": F.lit(None).cast("string")}
+        )
+    )
+    broken = quality.run_thresholds(worse, as_of).filter("NOT passed")
+    assert rows(broken.select("check", "column", F.round("value", 2))) == [
+        ("duplicate_ratio_check", "order_id", 14.29),
+        ("null_check", "product_id", 14.29),
+        ("positive_check", "price", 1.0),
+    ]
+    nothing = quality.verdicts(quality.run_thresholds(silver.limit(0), as_of))
+    assert [name for name, passed in nothing.items() if not passed] == ["freshness_check"]
+
+
 def test_run_all_on_a_replayed_bronze(silver):
     results = quality.run_all(silver.unionByName(silver), silver)
     assert rows(results) == [

@@ -5,11 +5,13 @@ from __future__ import annotations
 import argparse
 from datetime import date
 
+from pyspark.sql import functions as F
+
 from tillstream import schemas, settings
 from tillstream.functions.codec import with_event_defaults
 from tillstream.functions.money import with_revenue
 from tillstream.functions.stamps import with_order_time_now
-from tillstream.operators.quality import run_all
+from tillstream.operators.quality import run_all, run_thresholds
 from tillstream.plans.layers import run_layers
 from tillstream.plans.star import analyze, load_star, read_star
 from tillstream.session import build_session
@@ -72,6 +74,7 @@ def check(spark, args) -> None:
     paths = Lake(args.root)
     silver = lake.read_table(spark, paths.silver, schemas.SILVER)
     run_all(lake.read_bronze(spark, paths.bronze), silver).show(truncate=False)
+    run_thresholds(silver, F.current_timestamp()).show(truncate=False)
 
 
 def main() -> None:

@@ -103,6 +103,12 @@ def positive_profile(
     )
 
 
+def _age_hours(newest: Column, as_of: datetime | Column) -> Column:
+    now = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    micros = F.unix_micros(now.cast("timestamp")) - F.unix_micros(newest.cast("timestamp"))
+    return micros / 3_600_000_000
+
+
 def freshness(
     df: DataFrame,
     as_of: datetime | Column,
@@ -113,12 +119,9 @@ def freshness(
 
     A table without rows is not fresh.
     """
-    now = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    newest = df.agg(F.max(F.col(column).cast("timestamp")).alias("newest"))
-    seconds = F.unix_micros(now.cast("timestamp")) - F.unix_micros("newest")
-    return _report(
-        newest, [_result("freshness_check", column, seconds / 3_600_000_000, max_age_hours)]
-    )
+    newest = df.agg(F.max(column).alias("newest"))
+    age = _age_hours(F.col("newest"), as_of)
+    return _report(newest, [_result("freshness_check", column, age, max_age_hours)])
 
 
 def duplicate_keys(df: DataFrame, keys: str | Sequence[str] = "order_id") -> DataFrame:
@@ -127,20 +130,33 @@ def duplicate_keys(df: DataFrame, keys: str | Sequence[str] = "order_id") -> Dat
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
 
 
-def key_profile(df: DataFrame, key: str, columns: Sequence[str] = ()) -> DataFrame:
-    """One row: rows, keys, duplicated keys and missing values per column, in one pass.
+def key_profile(
+    df: DataFrame,
+    key: str,
+    columns: Sequence[str] = (),
+    positive: Sequence[str] = (),
+    newest: str | None = None,
+) -> DataFrame:
+    """One row: rows, keys, duplicated keys and more on the given columns, in one pass.
 
-    Counting per key first keeps a hot key to one row per task in the only large shuffle.
+    Counts missing values in ``missing_*`` and values of zero or below in ``low_*``; ``newest`` is
+    the largest value of that column. Counting per key first keeps a hot key to one row per task
+    in the only large shuffle.
     """
+    counts = {f"missing_{name}": F.count_if(is_missing(df, name)) for name in columns}
+    counts |= {f"low_{name}": F.count_if(F.col(name) <= 0) for name in positive}
+    latest = [F.max(newest).alias("newest")] if newest else []
     per_key = df.groupBy(key).agg(
         F.count(F.lit(1)).alias(_ROWS),
-        *[F.count_if(is_missing(df, name)).alias(f"missing_{name}") for name in columns],
+        *[count.alias(name) for name, count in counts.items()],
+        *latest,
     )
-    sums = {"rows": _ROWS, **{f"missing_{name}": f"missing_{name}" for name in columns}}
     return per_key.agg(
-        *[F.coalesce(F.sum(source), F.lit(0)).alias(name) for name, source in sums.items()],
+        F.coalesce(F.sum(_ROWS), F.lit(0)).alias("rows"),
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counts],
         F.count(F.lit(1)).alias("keys"),
         F.count_if(F.col(_ROWS) > 1).alias("duplicated"),
+        *([F.max("newest").alias("newest")] if newest else []),
     )
 
 
@@ -193,6 +209,32 @@ def run_all(
     return _report(both, results)
 
 
+def run_thresholds(
+    df: DataFrame,
+    as_of: datetime | Column,
+    key: str = "order_id",
+    columns: Sequence[str] = settings.CRITICAL_COLUMNS,
+    positive: Sequence[str] = settings.POSITIVE_COLUMNS,
+    event_time: str = "order_ts",
+) -> DataFrame:
+    """The checks with a configured tolerance, on one table in one scan.
+
+    Missing values in the critical columns, surplus copies, amounts of zero or below, and age.
+    """
+    profile = key_profile(df, key, columns, positive, event_time)
+    rows = F.col("rows")
+    results = []
+    for name in columns:
+        missing = _percent(F.col(f"missing_{name}"), rows)
+        results.append(_result("null_check", name, missing, settings.MAX_NULL_RATIO * 100))
+    surplus, limit = _percent(rows - F.col("keys"), rows), settings.MAX_DUPLICATE_RATIO * 100
+    results.append(_result("duplicate_ratio_check", key, surplus, limit))
+    results += [_result("positive_check", name, F.col(f"low_{name}"), 0) for name in positive]
+    age = _age_hours(F.col("newest"), as_of)
+    results.append(_result("freshness_check", event_time, age, settings.MAX_AGE_HOURS))
+    return _report(profile, results)
+
+
 def constraint_profile(
     df: DataFrame,
     primary_key: str,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,8 @@ from tillstream.operators.validate import positive_only
 from tillstream.settings import Lake
 from tillstream.sources import lake
 
+log = logging.getLogger(__name__)
+
 # Replayed events are dropped by design, so lost rows are reported but do not stop a run.
 GATES = ("null_check", "dup_check")
 
@@ -59,6 +62,10 @@ def run_layers(
     # Dedup loses no key; only the filter after it can, so only then are bronze keys compared.
     lake.overwrite(run_all(bronze, silver, key_drift=only_positive), target.quality)
     passed = verdicts(lake.read_table(spark, target.quality))
+    for name, fine in passed.items():
+        log.log(
+            logging.INFO if fine else logging.WARNING, "%s %s", name, "passed" if fine else "failed"
+        )
     failed = [name for name in gates if not passed[name]]
     if failed:
         raise QualityGateFailed(", ".join(failed))

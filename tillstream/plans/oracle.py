@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillstream.plans.queries import AS_OF, FIRST_LOAD
+from tillstream.plans.queries import AS_OF, EVENTS_AS_OF, FIRST_LOAD
 
 # Building blocks, named as in sources/tables.py.
 
@@ -146,6 +146,11 @@ def _share(count: str) -> str:
     return f"CAST({count} AS DOUBLE) / count(*) * 100"
 
 
+def _age(as_of: str, column: str) -> str:
+    passed = f"epoch_us(TIMESTAMP '{as_of}') - epoch_us(max({column}))"
+    return f"CAST({passed} AS DOUBLE) / 3600000000"
+
+
 _CRITICAL = ("order_id", "customer_id", "product_id", "price", "quantity", "order_timestamp")
 
 _COPIES = f"""WITH {_LINES},
@@ -277,8 +282,7 @@ counts AS (SELECT sum(copies) AS before, count(*) AS after FROM per_key)
         _check(
             "freshness_check",
             "order_ts",
-            f"CAST(epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(max(o_orderdate)) AS DOUBLE)"
-            " / 3600000000",
+            _age(AS_OF, "o_orderdate"),
             24.0,
         ),
         source="orders",
@@ -302,6 +306,19 @@ counts AS (SELECT sum(copies) AS before, count(*) AS after FROM per_key)
     _check('null_check', 'revenue', '0', 0.0),
     _check('dup_check', 'order_id', '0', 0.0),
     source='counts')}""",
+    "threshold_report": f"""{_MESSAGES},
+per_key AS (SELECT order_id, count(*) AS copies FROM decoded GROUP BY order_id),
+counts AS (SELECT sum(copies) AS before, count(*) AS after FROM per_key)
+{_checks(
+    *[_check('null_check', name, _share(f'count(*) FILTER (WHERE {name} IS NULL)'), 1.0)
+      for name in _CRITICAL],
+    *[_check('positive_check', name, f'count(*) FILTER (WHERE {name} <= 0)', 0.0)
+      for name in ('price', 'quantity')],
+    _check('freshness_check', 'order_ts', _age(EVENTS_AS_OF, 'order_ts'), 24.0),
+    source='decoded')}
+UNION ALL
+{_checks(_check('duplicate_ratio_check', 'order_id', _drift('before', 'after'), 0.1),
+         source='counts')}""",
     "decode_messages": f"""{_MESSAGES}
 SELECT order_id, customer_id, product_id, product_name, category, price, quantity,
        order_timestamp, CAST(NULL AS VARCHAR) AS country, CAST(NULL AS VARCHAR) AS event_time,

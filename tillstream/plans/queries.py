@@ -24,8 +24,9 @@ from tillstream.streaming.dedup import dedup_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Moment the freshness of the orders is judged from.
+# Moments the freshness of the orders and of the events is judged from.
 AS_OF = "2001-08-02 00:00:00"
+EVENTS_AS_OF = "2024-01-31 00:00:00"
 
 # Orders before this day make up the dimension that is then brought up to date.
 FIRST_LOAD = "1995-06-01"
@@ -248,6 +249,11 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.run_all(lines, tables.silver(spark, sf_dir))
 
 
+def threshold_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = stamps.with_ingest_columns(codec.decode_events(_messages(spark, sf_dir)))
+    return quality.run_thresholds(events, F.lit(EVENTS_AS_OF).cast("timestamp"))
+
+
 # Ingest
 
 
@@ -464,6 +470,7 @@ QUERIES: dict[str, Query] = {
         duplicate_check,
         duplicate_ratio,
         quality_report,
+        threshold_report,
         decode_messages,
         decode_props,
         encode_messages,

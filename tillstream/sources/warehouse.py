@@ -87,11 +87,19 @@ def write_dimension(dim: DataFrame, name: str, path: str) -> None:
     dim.write.mode("overwrite").parquet(path)
 
 
+def copy_statement(table: str, path: str, role: str) -> str:
+    """Statement for a warehouse that loads the files of ``write_fact`` itself."""
+    return f"COPY {table} FROM '{path}' IAM_ROLE '{role}' FORMAT AS PARQUET"
+
+
 def copy_to_jdbc(
     df: DataFrame, url: str, table: str, properties: dict[str, str], connections: int = 16
 ) -> None:
-    """Append to a table of an external warehouse over a bounded number of connections."""
-    df.coalesce(connections).write.jdbc(url, table, mode="append", properties=properties)
+    """Append to a table of an external warehouse over a bounded number of connections.
+
+    The shuffle keeps what comes before the write at its own width.
+    """
+    df.repartition(connections).write.jdbc(url, table, mode="append", properties=properties)
 
 
 def scan(spark: SparkSession, name: str) -> DataFrame:
