@@ -96,7 +96,7 @@ def test_session_settings(spark, tmp_path):
     assert small["spark.sql.shuffle.partitions"] == str(settings.SHUFFLE_PARTITIONS)
     assert large["spark.sql.shuffle.partitions"] == str(settings.MAX_SHUFFLE_PARTITIONS)
     assert int(small["spark.sql.files.maxPartitionBytes"]) == settings.SCAN_TASK_BYTES
-    assert int(large["spark.sql.files.maxPartitionBytes"]) == 800 * 1024**2
+    assert int(large["spark.sql.files.maxPartitionBytes"]) == 400 * 1024**2
     shared = session.shared_dir(spark)
     assert shared == spark.conf.get("spark.checkpoint.dir")
     one, two = session.scratch_path(spark, "x"), session.scratch_path(spark, "x")

@@ -78,6 +78,20 @@ def test_stream_and_batch_agree(spark, tmp_path):
     assert rows(written.drop("ingestion_timestamp")) == rows(accepted.drop("ingestion_timestamp"))
 
 
+def test_dead_letters_and_restart(spark, tmp_path):
+    topic, out, state = (str(tmp_path / name) for name in ("topic", "out", "state"))
+    send(spark, topic, order(0), "no json", order(1, quantity=0))
+
+    def run():
+        bronze.start_dead_letters(stream(spark, topic), out, state, NOW).awaitTermination()
+        return rows(lake.read_table(spark, out).select("order_id", "reasons"))
+
+    fields = ["missing_order_id", "missing_customer_id", "price_not_positive"]
+    malformed = ["malformed_json", *fields, "quantity_not_positive", "bad_order_timestamp"]
+    assert run() == [("O-1", ["quantity_not_positive"]), (None, malformed)]
+    assert len(run()) == 2
+
+
 def test_split_keeps_every_message(spark, tmp_path):
     topic, good, bad = (str(tmp_path / name) for name in ("topic", "good", "bad"))
     send(spark, topic, *map(order, range(4)), "no json")

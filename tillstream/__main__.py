@@ -23,15 +23,34 @@ from tillstream.streaming.metrics import start_closed_windows
 
 def ingest(spark, args) -> None:
     paths = Lake(args.root)
-    options = topics.subscribe_options(args.servers, args.topic)
+    messages = topics.subscribe(spark, topics.subscribe_options(args.servers, args.topic))
+    trigger = bronze.AVAILABLE_NOW if args.once else bronze.INTERVAL
+    start = {"trigger": trigger, "strict": args.strict}
+    running = [
+        bronze.start_bronze(messages, paths.bronze, paths.checkpoint("bronze"), **start),
+        bronze.start_dead_letters(
+            messages, paths.dead_letters, paths.checkpoint("dead_letters"), **start
+        ),
+    ]
+    if not args.once:
+        spark.streams.awaitAnyTermination()
+    for query in running:
+        query.awaitTermination() if args.once else query.stop()
+
+
+def backfill(spark, args) -> None:
+    paths = Lake(args.root)
+    options = topics.subscribe_options(
+        args.servers, args.topic, max_offsets_per_trigger=args.batch_messages
+    )
     bronze.start_split(
         topics.subscribe(spark, options),
         paths.bronze,
         paths.dead_letters,
-        paths.checkpoint("bronze"),
-        bronze.AVAILABLE_NOW if args.once else bronze.INTERVAL,
+        paths.checkpoint("backfill"),
+        bronze.AVAILABLE_NOW,
         args.strict,
-        compact=args.once,
+        compact=True,
     ).awaitTermination()
 
 
@@ -90,9 +109,12 @@ def main() -> None:
         return added
 
     stream = job(ingest, "root", "servers")
-    stream.add_argument("--topic", default=settings.TOPIC)
     stream.add_argument("--once", action="store_true", help="stop when all is read")
-    stream.add_argument("--strict", action="store_true")
+    history = job(backfill, "root", "servers")
+    history.add_argument("--batch-messages", type=int, default=1_000_000_000)
+    for reader in (stream, history):
+        reader.add_argument("--topic", default=settings.TOPIC)
+        reader.add_argument("--strict", action="store_true")
     job(metrics, "root", "servers").add_argument("--topic", default=settings.TOPIC)
     send = job(publish, "csv", "servers")
     send.add_argument("--topic", default=settings.TOPIC)

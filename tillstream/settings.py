@@ -36,7 +36,7 @@ MAX_SHUFFLE_PARTITIONS = 32_768
 
 # Smallest size of a scan task, and the most tasks of a scan.
 SCAN_TASK_BYTES = 128 * 1024 * 1024
-MAX_SCAN_TASKS = 131_072
+MAX_SCAN_TASKS = 262_144
 
 
 @dataclass(frozen=True)

@@ -54,7 +54,8 @@ def write_bronze(events: DataFrame, path: str, mode: str = "append") -> None:
     """Events by year, month and day.
 
     The rebalance hint puts the rows of a day together and splits a day that is too large for one
-    task, so a backfill writes few files and no task gets a whole hot day.
+    task, so a backfill writes few files and no task gets a whole hot day. Not for a path that a
+    stream writes: Spark reads there only the files that the stream lists.
     """
     events.hint("rebalance", "year", "month", "day").write.mode(mode).partitionBy(
         "year", "month", "day"

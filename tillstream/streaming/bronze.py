@@ -51,9 +51,30 @@ def start_bronze(
     accepted, _ = bronze_and_rejects(messages, strict)
     if unique_within is not None:
         accepted = dedup_stream(accepted, delay=unique_within)
-    writer = accepted.writeStream.format("parquet").outputMode("append")
-    writer = writer.partitionBy(*PARTITIONS).option("path", path)
-    writer = writer.option("checkpointLocation", checkpoint)
+    return _start_files(accepted, path, checkpoint, trigger, *PARTITIONS)
+
+
+def start_dead_letters(
+    messages: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    strict: bool = False,
+) -> StreamingQuery:
+    """Append the rejected events, with text and reasons, exactly once.
+
+    Runs beside ``start_bronze`` with a checkpoint of its own. Both read and decode every message;
+    in return bronze has no folder per batch, as ``start_split`` makes.
+    """
+    _, rejected = bronze_and_rejects(messages, strict)
+    return _start_files(rejected, path, checkpoint, trigger)
+
+
+def _start_files(
+    events: DataFrame, path: str, checkpoint: str, trigger: dict | None, *partitions: str
+) -> StreamingQuery:
+    writer = events.writeStream.format("parquet").outputMode("append").partitionBy(*partitions)
+    writer = writer.option("path", path).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
@@ -103,8 +124,12 @@ def start_split(
     """Accepted events to bronze and rejected ones to the dead letters, decoding messages once.
 
     The stream is named after its checkpoint, so another stream, or the same one started afresh
-    with a new checkpoint, never replaces its batches. ``compact`` brings the rows of a day together
-    first, at the price of a shuffle: for a backfill, where each task would write to every day.
+    with a new checkpoint, never replaces its batches.
+
+    Each batch is a folder below each of its days: meant for backfills of few, large batches, not
+    for one every few seconds. Do not mix it with ``start_bronze`` on one path, where readers see
+    only what that stream lists. ``compact`` brings the rows of a day together first, at the price of
+    a shuffle; otherwise each task writes to every day it meets.
     """
     stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
     write = split_writer(bronze_path, dead_letter_path, stream, strict, compact)
