@@ -37,16 +37,16 @@ def paths(silver, tmp_path):
 
 def test_layers(spark, paths):
     written = layers.run_layers(spark, paths)
-    silver = lake.read_table(spark, written["silver"])
+    silver = lake.read_table(spark, written["silver"], schemas.SILVER)
     assert silver.columns == schemas.SILVER.names
     assert silver.count() == 6
     assert rows(silver.filter("order_id = 'O-5'").select("price", "revenue")) == [(310.0, 310.0)]
-    gold = lake.read_table(spark, written["category_metrics"])
+    gold = lake.read_table(spark, written["category_metrics"], schemas.CATEGORY_METRICS)
     assert rows(gold) == [("Electronics", 1259.96, 2), ("Footwear", 610.0, 2), ("Home", 540.0, 2)]
-    days = lake.read_table(spark, written["daily_revenue"])
+    days = lake.read_table(spark, written["daily_revenue"], schemas.DAILY_REVENUE)
     assert days.columns == ["order_date", "total_daily_revenue", "total_orders"]
     assert days.agg(F.round(F.sum("total_daily_revenue"), 2)).first()[0] == 2409.96
-    checks = lake.read_table(spark, written["quality"])
+    checks = lake.read_table(spark, written["quality"], schemas.CHECKS)
     assert rows(checks.filter("NOT passed").select("check", "value")) == [("count_check", 50.0)]
 
 
@@ -57,25 +57,26 @@ def test_layers_of_a_date_range(spark, paths, tmp_path):
             layers.run_layers(spark, paths, *february, target=target)
     target = Lake(str(tmp_path / "february"))
     written = layers.run_layers(spark, paths, *february, target=target)
-    silver = lake.read_table(spark, written["silver"])
+    silver = lake.read_table(spark, written["silver"], schemas.SILVER)
     assert rows(silver.select("order_id")) == [("O-4",), ("O-5",)]
 
 
 def test_gate_stops_before_gold(spark, paths):
     with pytest.raises(layers.QualityGateFailed, match="count_check"):
         layers.run_layers(spark, paths, gates=("count_check",))
-    assert lake.read_table(spark, paths.silver).count() == 6
+    assert lake.read_table(spark, paths.silver, schemas.SILVER).count() == 6
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        lake.read_table(spark, paths.daily_revenue)
+        lake.read_table(spark, paths.daily_revenue, schemas.DAILY_REVENUE)
 
 
 def test_invalid_survivor_takes_its_order_with_it(spark, paths, silver):
     broken = bronze_of(silver, hours=2).filter("order_id = 'O-1'").withColumn("price", F.lit(-1.0))
     lake.write_bronze(broken, paths.bronze)
     written = layers.run_layers(spark, paths, only_positive=True)
-    silver = lake.read_table(spark, written["silver"])
+    silver = lake.read_table(spark, written["silver"], schemas.SILVER)
     assert silver.count() == 5 and silver.filter("order_id = 'O-1'").count() == 0
-    lost = lake.read_table(spark, written["quality"]).filter("check = 'key_check'").first()
+    checks = lake.read_table(spark, written["quality"], schemas.CHECKS)
+    lost = checks.filter("check = 'key_check'").first()
     assert (round(lost.value, 2), lost.passed) == (16.67, False)
 
 
@@ -113,9 +114,8 @@ def test_star_and_analysis(spark, paths, tmp_path):
     assert spark.table("shop.dim_date").count() == tables["dim_date"].count()
 
     moved = Lake(str(tmp_path / "next"))
-    lake.overwrite(
-        lake.read_table(spark, paths.silver).filter("customer_id <> 'C-1'"), moved.silver
-    )
+    silver = lake.read_table(spark, paths.silver, schemas.SILVER)
+    lake.overwrite(silver.filter("customer_id <> 'C-1'"), moved.silver)
     star.load_star(spark, moved, previous=paths)
     assert rows(star.read_star(spark, moved)["dim_customer"]) == rows(tables["dim_customer"])
     with pytest.raises(ValueError):

@@ -61,7 +61,7 @@ def test_a_hot_day_is_written_by_several_tasks(spark, tmp_path):
 def test_scans_push_filters_and_prune_columns(spark, silver, tmp_path):
     path = str(tmp_path / "silver")
     lake.overwrite(silver, path)
-    cheap = lake.read_table(spark, path).filter("price < 100").select("order_id")
+    cheap = lake.read_table(spark, path, schemas.SILVER).filter("price < 100").select("order_id")
     physical = plan(cheap)
     assert "PushedFilters: [IsNotNull(price), LessThan(price,100.0)]" in physical
     assert "ReadSchema: struct<order_id:string,price:double>" in physical

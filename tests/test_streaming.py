@@ -7,6 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tillstream import schemas
+from tillstream.operators.quality import null_profile
 from tillstream.operators.rollups import windowed_metrics
 from tillstream.sources import lake
 from tillstream.streaming import bronze, dedup, metrics
@@ -52,6 +53,17 @@ def test_bronze_and_restart(spark, tmp_path):
     assert run().count() == 7
 
 
+def test_missing_values_in_bronze_are_seen(spark, tmp_path):
+    topic, lake_path = str(tmp_path / "topic"), str(tmp_path / "bronze")
+    send(spark, topic, order(0), order(1, product_id=None))
+    bronze.start_bronze(
+        stream(spark, topic), lake_path, str(tmp_path / "state"), NOW
+    ).awaitTermination()
+    landed = lake.read_bronze(spark, lake_path)
+    assert rows(landed.select("product_id")) == [("P",), (None,)]
+    assert null_profile(landed, ("product_id",)).first().value == 50.0
+
+
 def test_bronze_without_copies(spark, tmp_path):
     topic, lake_path, state = (str(tmp_path / name) for name in ("topic", "bronze", "state"))
 
@@ -84,7 +96,7 @@ def test_dead_letters_and_restart(spark, tmp_path):
 
     def run():
         bronze.start_dead_letters(stream(spark, topic), out, state, NOW).awaitTermination()
-        return rows(lake.read_table(spark, out).select("order_id", "reasons"))
+        return rows(lake.read_table(spark, out, schemas.DEAD_LETTERS).select("order_id", "reasons"))
 
     fields = ["missing_order_id", "missing_customer_id", "price_not_positive"]
     malformed = ["malformed_json", *fields, "quantity_not_positive", "bad_order_timestamp"]
@@ -103,7 +115,7 @@ def test_split_keeps_every_message(spark, tmp_path):
 
     run("state")
     assert lake.read_bronze(spark, good).count() == 5
-    rejected = lake.read_table(spark, bad)
+    rejected = lake.read_table(spark, bad, schemas.DEAD_LETTERS)
     assert rows(rejected.select("raw_value"))[0] == ("no json",)
     assert {tuple(r.reasons) for r in rejected.collect()} == {
         ("malformed_json", "missing_order_id", "missing_customer_id", "price_not_positive",
@@ -128,7 +140,7 @@ def test_a_batch_run_again_replaces_itself(spark, tmp_path):
     write(batch, 1)
     bronze.split_writer(good, bad, "s", compact=True)(batch, 1)
     assert lake.read_bronze(spark, good).count() == 10
-    assert lake.read_table(spark, bad).count() == 2
+    assert lake.read_table(spark, bad, schemas.DEAD_LETTERS).count() == 2
 
 
 SALES = schemas.schema(order_id="string", category="string", revenue="double", order_ts="timestamp")

@@ -61,7 +61,7 @@ def run_layers(
 
     # Dedup loses no key; only the filter after it can, so only then are bronze keys compared.
     lake.overwrite(run_all(bronze, silver, key_drift=only_positive), target.quality)
-    passed = verdicts(lake.read_table(spark, target.quality))
+    passed = verdicts(lake.read_table(spark, target.quality, schemas.CHECKS))
     for name, fine in passed.items():
         log.log(
             logging.INFO if fine else logging.WARNING, "%s %s", name, "passed" if fine else "failed"

@@ -136,9 +136,12 @@ def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Check, write and scan the fact."""
-    path = scratch_path(spark, "fact_sales")
-    warehouse.write_fact(_fact(spark, sf_dir), path)
-    return _plain(lake.read_table(spark, path, schemas.FACT_SALES))
+    paths = Lake(scratch_path(spark, "warehouse"))
+    lake.overwrite(_fact(spark, sf_dir), paths.silver)
+    fact = lake.read_table(spark, paths.silver, schemas.FACT_SALES)
+    warehouse.write_fact(fact, paths.warehouse("fact_sales"))
+    written = lake.read_table(spark, paths.warehouse("fact_sales"), schemas.FACT_SALES)
+    return _plain(written)
 
 
 def fact_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -389,7 +392,7 @@ def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
         paths.checkpoint("split"),
         bronze_stream.AVAILABLE_NOW,
     ).awaitTermination()
-    return _reject_view(lake.read_table(spark, paths.dead_letters))
+    return _reject_view(lake.read_table(spark, paths.dead_letters, schemas.DEAD_LETTERS))
 
 
 def stream_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -400,7 +403,8 @@ def stream_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
         paths.checkpoint("metrics"),
         bronze_stream.AVAILABLE_NOW,
     ).awaitTermination()
-    return _plain(lake.read_table(spark, paths.windowed_metrics))
+    metrics = lake.read_table(spark, paths.windowed_metrics, schemas.WINDOWED_METRICS)
+    return _plain(metrics)
 
 
 def stream_open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -422,7 +426,7 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     writer = dedup_stream(keyed).writeStream.format("parquet").trigger(availableNow=True)
     writer = writer.option("checkpointLocation", paths.checkpoint("dedup"))
     writer.start(paths.bronze).awaitTermination()
-    return lake.read_table(spark, paths.bronze).select("order_id")
+    return lake.read_table(spark, paths.bronze, schemas.schema(order_id="string"))
 
 
 # Layers
@@ -434,7 +438,7 @@ def layered_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     accepted, _ = bronze_stream.bronze_and_rejects(_messages(spark, sf_dir))
     lake.write_bronze(accepted, paths.bronze)
     written = run_layers(spark, paths)
-    return lake.read_table(spark, written["category_metrics"])
+    return lake.read_table(spark, written["category_metrics"], schemas.CATEGORY_METRICS)
 
 
 QUERIES: dict[str, Query] = {

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
 
-def schema(required: tuple[str, ...] = (), **types: str) -> StructType:
-    """Schema from column names and Spark type names; needs no running session."""
+def schema(**types: str | DataType) -> StructType:
+    """Schema from column names and Spark types; needs no running session.
+
+    Every column may be NULL. Spark enforces no NOT NULL on what it reads, it only leaves out the
+    tests for NULL; the ingest rules and the checks enforce it instead.
+    """
     built = StructType()
     for name, kind in types.items():
-        built.add(name, kind, nullable=name not in required)
+        built.add(name, kind)
     return built
 
 
-def extended(base: StructType, **types: str) -> StructType:
+def extended(base: StructType, **types: str | DataType) -> StructType:
     return StructType([*base.fields, *schema(**types).fields])
 
 
@@ -31,9 +35,7 @@ CSV_ORDERS = schema(
     country="string",
 )
 
-# from_json makes every field nullable, whatever is declared here; the ingest rules enforce it.
 EVENTS = schema(
-    required=("order_id", "customer_id", "product_id", "price", "quantity", "order_timestamp"),
     order_id="string",
     customer_id="string",
     product_id="string",
@@ -58,6 +60,30 @@ BRONZE = extended(
 
 SILVER = extended(BRONZE, revenue="double", order_date="date")
 
+DEAD_LETTERS = extended(
+    EVENTS,
+    raw_value="string",
+    ingestion_timestamp="timestamp",
+    order_ts="timestamp",
+    year="integer",
+    month="integer",
+    day="integer",
+    reasons=ArrayType(StringType()),
+)
+
+DAILY_REVENUE = schema(order_date="date", total_daily_revenue="double", total_orders="long")
+CATEGORY_METRICS = schema(category="string", total_revenue="double", order_count="long")
+WINDOWED_METRICS = schema(
+    window_start="timestamp",
+    category="string",
+    total_revenue="double",
+    order_count="long",
+    avg_order_value="double",
+)
+CHECKS = schema(
+    check="string", column="string", value="double", threshold="double", passed="boolean"
+)
+
 # What a Kafka source delivers.
 MESSAGES = schema(
     key="binary",

@@ -45,9 +45,8 @@ def read_bronze(
     return bronze if wanted is None else bronze.filter(wanted)
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(path)
 
 
 def write_bronze(events: DataFrame, path: str, mode: str = "append") -> None:

@@ -128,8 +128,8 @@ def start_split(
 
     Each batch is a folder below each of its days: meant for backfills of few, large batches, not
     for one every few seconds. Do not mix it with ``start_bronze`` on one path, where readers see
-    only what that stream lists. ``compact`` brings the rows of a day together first, at the price of
-    a shuffle; otherwise each task writes to every day it meets.
+    only what that stream lists. ``compact`` brings the rows of a day together first, at the price
+    of a shuffle; otherwise each task writes to every day it meets.
     """
     stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
     write = split_writer(bronze_path, dead_letter_path, stream, strict, compact)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillstream import settings
+from tillstream import schemas, settings
 from tillstream.operators.dedup import dedup
 from tillstream.operators.rollups import windowed_metrics
 
@@ -60,5 +60,14 @@ def start_open_windows(
 
 def latest_windows(spark: SparkSession, path: str, by: str = "category") -> DataFrame:
     """The newest figures of every window written by ``start_open_windows``."""
-    versions = spark.read.parquet(path)
+    versions = spark.read.schema(
+        schemas.schema(
+            window_start="timestamp",
+            **{by: "string"},
+            total_revenue="double",
+            order_count="long",
+            avg_order_value="double",
+            **{VERSION: "long"},
+        )
+    ).parquet(path)
     return dedup(versions, ["window_start", by], VERSION, []).drop(VERSION)
