@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -16,22 +16,6 @@ def read_csv_orders(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.CSV_ORDERS).option("header", True).csv(path)
 
 
-def partition_range(first: date | None, last: date | None) -> Column | None:
-    """Condition on year, month and day alone, so that Spark prunes directories with it."""
-    bounds = []
-    stamp = F.col("year") * 10000 + F.col("month") * 100 + F.col("day")
-    for day, inside, years in (
-        (first, lambda left, right: left >= right, lambda y: F.col("year") >= y),
-        (last, lambda left, right: left <= right, lambda y: F.col("year") <= y),
-    ):
-        if day is not None:
-            number = day.year * 10000 + day.month * 100 + day.day
-            bounds.append(years(day.year) & inside(stamp, F.lit(number)))
-    if not bounds:
-        return None
-    return bounds[0] if len(bounds) == 1 else bounds[0] & bounds[1]
-
-
 def read_bronze(
     spark: SparkSession,
     path: str,
@@ -41,8 +25,13 @@ def read_bronze(
 ) -> DataFrame:
     """Bronze, or only the order dates from ``first`` to ``last``."""
     bronze = spark.read.schema(schema).parquet(path)
-    wanted = partition_range(first, last)
-    return bronze if wanted is None else bronze.filter(wanted)
+    # A condition on partition columns alone, so that Spark lists but does not open other days.
+    day = F.make_date("year", "month", "day")
+    if first is not None:
+        bronze = bronze.filter(day >= F.lit(first))
+    if last is not None:
+        bronze = bronze.filter(day <= F.lit(last))
+    return bronze
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
