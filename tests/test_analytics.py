@@ -99,5 +99,8 @@ def test_lookup_joins_agree_on_a_hot_key(spark, monkeypatch):
         expected = rows(facts.join(dim, "k", how).select("id", "k", "name"))
         assert rows(broadcast.select("id", "k", "name")) == expected
         assert rows(salted.select("id", "k", "name")) == expected
+    assert joins.fits_broadcast(dim) and not joins.fits_broadcast(dim, limit=100)
+    assert not joins.fits_broadcast(dim.selectExpr("k", "array(name) AS names"))
+    assert joins.fits_broadcast(dim.limit(0), limit=0)
     monkeypatch.setattr(joins, "fits_broadcast", lambda dim: False)
     assert joins.lookup_join(facts, dim, "k", ["id"]).count() == facts.join(dim, "k").count()

@@ -26,8 +26,8 @@ def test_null_keys_are_one_group_and_null_times_lose(spark):
 
 
 def test_ties_do_not_depend_on_the_order_of_the_rows(spark):
-    data = [("a", 1, i, {"m": i}) for i in range(20)]
-    schema = "k string, t int, v int, m map<string,int>"
+    data = [("a", 1, i, {"m": i}, [({"m": i},)]) for i in range(20)]
+    schema = "k string, t int, v int, m map<string,int>, n array<struct<m:map<string,int>>>"
     results = set()
     for seed in range(3):
         random.Random(seed).shuffle(data)

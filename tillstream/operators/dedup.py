@@ -6,11 +6,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, VariantType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 _RANK = "_rank"
 
 
+def sortable(kind: DataType) -> bool:
+    """Whether Spark can order values of the type."""
+    if isinstance(kind, StructType):
+        return all(sortable(field.dataType) for field in kind.fields)
+    if isinstance(kind, ArrayType):
+        return sortable(kind.elementType)
+    return not isinstance(kind, (MapType, VariantType))
+
+
 def dedup(
     df: DataFrame,
     keys: str | Sequence[str],
@@ -32,8 +41,7 @@ def dedup(
         tie_breakers = [
             field.name
             for field in df.schema.fields
-            if field.name not in (*keys, *ordering)
-            and not isinstance(field.dataType, (MapType, VariantType))
+            if field.name not in (*keys, *ordering) and sortable(field.dataType)
         ]
     direction = F.desc if keep == "last" else F.asc
     window = Window.partitionBy(*keys).orderBy(*[direction(c) for c in (*ordering, *tie_breakers)])

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from tillstream import settings
 
@@ -14,7 +14,12 @@ _SALT = "_salt"
 
 
 def fits_broadcast(dim: DataFrame, limit: int = settings.BROADCAST_BYTES) -> bool:
-    """Whether a dimension is small enough to be sent to every task, by the bytes of its values."""
+    """Whether a dimension is small enough to be sent to every task, by the bytes of its values.
+
+    Nested columns are not measured; a dimension that has one is not broadcast.
+    """
+    if any(isinstance(f.dataType, (ArrayType, MapType, StructType)) for f in dim.schema.fields):
+        return False
     row = sum(
         F.coalesce(F.octet_length(field.name), F.lit(0))
         if isinstance(field.dataType, (StringType, BinaryType))

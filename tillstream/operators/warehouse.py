@@ -36,7 +36,7 @@ def number_rows(
     group its start. The numbers depend on the ids alone, so a task that is run again gives the
     same ones. ``rows`` is read twice.
     """
-    digest = F.md5(F.col(id_col).cast("binary"))
+    digest = F.md5(F.col(id_col).cast("string"))
     bucketed = rows.withColumn("_digest", digest).withColumn(
         _BUCKET, F.substring("_digest", 1, _BUCKET_DIGITS)
     )

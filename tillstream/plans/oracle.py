@@ -69,7 +69,7 @@ texts AS (
     FROM stamped
 ),
 decoded AS (
-    SELECT CASE WHEN k = 42 THEN substr(full_text, 1, 40) ELSE full_text END AS raw_value,
+    SELECT CASE WHEN k = 42 THEN 'order ' ELSE '' END || full_text AS raw_value,
            k = 42 AS malformed,
            CASE WHEN k <> 42 THEN CAST(event_id AS VARCHAR) END AS order_id,
            CASE WHEN k <> 42 AND event_type <> 'error'
