@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import date
 from decimal import Decimal
 
+import pytest
 from conftest import rows
 
 from tillstream.operators import analytics, joins
@@ -99,6 +100,8 @@ def test_lookup_joins_agree_on_a_hot_key(spark, monkeypatch):
         expected = rows(facts.join(dim, "k", how).select("id", "k", "name"))
         assert rows(broadcast.select("id", "k", "name")) == expected
         assert rows(salted.select("id", "k", "name")) == expected
+    with pytest.raises(ValueError):
+        joins.salted_join(facts, dim, "k", ["id"], "full")
     assert joins.fits_broadcast(dim) and not joins.fits_broadcast(dim, limit=100)
     assert not joins.fits_broadcast(dim.selectExpr("k", "array(name) AS names"))
     assert joins.fits_broadcast(dim.limit(0), limit=0)

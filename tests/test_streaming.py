@@ -115,6 +115,7 @@ def test_split_keeps_every_message(spark, tmp_path):
 
     run("state")
     assert lake.read_bronze(spark, good).count() == 5
+    assert lake.read_bronze(spark, good).columns == schemas.BRONZE.names
     rejected = lake.read_table(spark, bad, schemas.DEAD_LETTERS)
     assert rows(rejected.select("raw_value"))[0] == ("no json",)
     assert {tuple(r.reasons) for r in rejected.collect()} == {

@@ -43,6 +43,8 @@ def salted_join(
     by a hash of ``spread_by``. A hot key becomes ``salts`` shuffle keys; AQE splits further what is
     still too large.
     """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"a {how} join would return the copies of unmatched dimension rows")
     copies = dim.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
     return rows.withColumn(_SALT, salt).join(copies, [key, _SALT], how).drop(_SALT)

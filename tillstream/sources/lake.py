@@ -24,7 +24,7 @@ def read_bronze(
     schema: StructType = schemas.BRONZE,
 ) -> DataFrame:
     """Bronze, or only the order dates from ``first`` to ``last``."""
-    bronze = spark.read.schema(schema).parquet(path)
+    bronze = read_table(spark, path, schema)
     # A condition on partition columns alone, so that Spark lists but does not open other days.
     day = F.make_date("year", "month", "day")
     if first is not None:
@@ -35,7 +35,8 @@ def read_bronze(
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+    """The columns of ``schema``, without partition columns that are not in it."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def write_bronze(events: DataFrame, path: str, mode: str = "append") -> None:

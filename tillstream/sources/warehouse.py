@@ -47,10 +47,10 @@ def by_customer(fact: DataFrame, buckets: int) -> DataFrame:
     return fact.hint("rebalance", buckets, "customer_id")
 
 
-def _fact_writer(fact: DataFrame, customer_buckets: int | None, mode: str) -> DataFrameWriter:
+def _fact_writer(fact: DataFrame, customer_buckets: int | None) -> DataFrameWriter:
     if customer_buckets is None:
-        return sorted_by_time(fact).write.mode(mode).format("parquet")
-    writer = by_customer(fact, customer_buckets).write.mode(mode).format("parquet")
+        return sorted_by_time(fact).write.mode("overwrite").format("parquet")
+    writer = by_customer(fact, customer_buckets).write.mode("overwrite").format("parquet")
     return writer.bucketBy(customer_buckets, "customer_id").sortBy("order_ts")
 
 
@@ -58,22 +58,21 @@ def save_fact(
     fact: DataFrame,
     table: str = f"{SCHEMA}.fact_sales",
     customer_buckets: int | None = None,
-    mode: str = "overwrite",
 ) -> None:
-    """Check and save the fact as a catalog table.
+    """Check the fact and replace the catalog table with it.
 
     By default it is laid out by time. ``customer_buckets`` co-locates customers instead, so joins
     on customer_id need no shuffle; a bucket is read by one task, so leave it off where a single
     customer may hold much of the table. ``fact`` is read twice: pass a written table.
     """
     require_constraints(fact, "fact_sales")
-    _fact_writer(fact, customer_buckets, mode).saveAsTable(table)
+    _fact_writer(fact, customer_buckets).saveAsTable(table)
 
 
-def write_fact(fact: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Check and write the fact below a path, laid out by time."""
+def write_fact(fact: DataFrame, path: str) -> None:
+    """Check the fact and replace what is below a path with it, laid out by time."""
     require_constraints(fact, "fact_sales")
-    _fact_writer(fact, None, mode).save(path)
+    _fact_writer(fact, None).save(path)
 
 
 def save_dimension(dim: DataFrame, name: str, table: str | None = None) -> None:
