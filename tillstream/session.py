@@ -73,6 +73,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute once into the shared folder, for a frame that several branches read."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Compute once into a table in the shared folder, for a frame that several branches read.
+
+    Readers of the table get only the columns they need, and its size is known to the optimizer.
+    """
+    path = scratch_path(df.sparkSession, "scratch")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
