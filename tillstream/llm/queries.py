@@ -4,14 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import line_dedup, mixing
+from tillstream.llm import bpe_count, line_dedup, mixing, packing, token_files
 from tillstream.llm.text import table, whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), WORD_TOKENIZER)
+    return packed.withColumnRenamed("doc", "doc_id")
+
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.plan_mix(table(spark, sf_dir, "documents"))
@@ -21,6 +30,16 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = bpe_count.count_tokens(table(spark, sf_dir, "documents"), PIECE_MODEL)
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), WORD_TOKENIZER)
+    return token_files.read_token_files(manifest).withColumnRenamed("doc", "doc_id")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), stats=True)
     return cleaned.select(
@@ -29,6 +48,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op2_mix_sources": op2_mix_sources,
+    "op4_token_counts": op4_token_counts,
+    "op7_token_files": op7_token_files,
     "op10_line_dedup": op10_line_dedup,
 }
