@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import bpe_count, line_dedup, mixing, packing, token_files
+from tillstream.llm import bpe_count, byte_network, line_dedup, mixing, packing, token_files
 from tillstream.llm.text import table, whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,13 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(manifest).withColumnRenamed("doc", "doc_id")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    network = byte_network.train(docs, table(spark, sf_dir, "labels"))
+    held_out = byte_network.held_out(F.col("doc_id")).alias("held_out")
+    return byte_network.classify(docs, network).select("doc_id", held_out, "score", "predicted")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), stats=True)
     return cleaned.select(
@@ -52,5 +59,6 @@ QUERIES: dict[str, Query] = {
     "op2_mix_sources": op2_mix_sources,
     "op4_token_counts": op4_token_counts,
     "op7_token_files": op7_token_files,
+    "op9_quality": op9_quality,
     "op10_line_dedup": op10_line_dedup,
 }
