@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import bpe_count, byte_network, line_dedup, mixing, packing, token_files
+from tillstream.llm import (
+    bpe_count,
+    byte_network,
+    line_dedup,
+    mixing,
+    ngram_join,
+    packing,
+    token_files,
+)
 from tillstream.llm.text import table, whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +43,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = ngram_join.similar_documents(docs, words=3, similarity=(90, 100))
+    return found.select(F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), WORD_TOKENIZER)
     return token_files.read_token_files(manifest).withColumnRenamed("doc", "doc_id")
@@ -58,6 +72,7 @@ QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_mix_sources": op2_mix_sources,
     "op4_token_counts": op4_token_counts,
+    "op5_ngram_join": op5_ngram_join,
     "op7_token_files": op7_token_files,
     "op9_quality": op9_quality,
     "op10_line_dedup": op10_line_dedup,
