@@ -70,4 +70,74 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
 FROM judged GROUP BY doc_id
 """
 
-ORACLE: dict[str, str] = {"op2_mix_sources": _MIX, "op10_line_dedup": _LINES}
+_SETS = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w]
+           ELSE list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2]) END)) AS s
+  FROM words
+), nodes AS (
+  SELECT s, min(doc_id) AS node, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s
+), grams AS (
+  SELECT node, n, unnest(s) AS g FROM nodes
+), links AS (
+  SELECT x.node AS a, y.node AS b
+  FROM grams x JOIN grams y ON x.g = y.g AND x.node < y.node
+  GROUP BY x.node, y.node, x.n, y.n HAVING 100 * count(*) >= 90 * (x.n + y.n - count(*))
+), around AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT a AS node, a AS other FROM around
+  UNION SELECT r.node, b.b FROM reach r JOIN around b ON r.other = b.a
+), found AS (
+  SELECT node, min(other) AS component FROM reach GROUP BY node
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, coalesce(component, node, doc_id) AS component_id
+FROM sets LEFT JOIN nodes USING (s) LEFT JOIN found USING (node)
+"""
+
+_VALID = """valid AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+)"""
+
+_COSINES = f"""
+WITH RECURSIVE {_VALID}, links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM valid x JOIN valid y ON x.vec_id <> y.vec_id
+  WHERE list_cosine_similarity(x.v, y.v) >= 0.9
+), counts AS (
+  SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a
+), reach AS (
+  SELECT a AS vec_id, a AS other FROM links
+  UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a
+), found AS (
+  SELECT vec_id, min(other) AS component FROM reach GROUP BY vec_id
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component, vec_id) AS component_id,
+       vec_id = coalesce(component, vec_id) AS kept
+FROM embeddings LEFT JOIN counts USING (vec_id) LEFT JOIN found USING (vec_id)
+"""
+
+_NEAREST = f"""
+WITH {_VALID}, scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+  FROM valid q JOIN valid c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+  SELECT query_id, vec_id, score,
+         row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_mix_sources": _MIX,
+    "op5_ngram_join": _SETS,
+    "op6_embedding_dedup": _COSINES,
+    "op8_nearest_neighbours": _NEAREST,
+    "op10_line_dedup": _LINES,
+}

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from tillstream.llm import (
     bpe_count,
     byte_network,
+    lattice_dedup,
     line_dedup,
     mixing,
+    neighbours,
     ngram_join,
     packing,
     token_files,
@@ -49,11 +51,25 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lattice_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+    kept = F.col("id").eqNullSafe(F.col("component"))
+    return found.select(
+        F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), kept.alias("kept")
+    )
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), WORD_TOKENIZER)
     return token_files.read_token_files(manifest).withColumnRenamed("doc", "doc_id")
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings")
+    found = neighbours.nearest_neighbours(embeddings, F.col("id") % 20 == 0)
+    return found.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     network = byte_network.train(docs, table(spark, sf_dir, "labels"))
@@ -73,7 +89,9 @@ QUERIES: dict[str, Query] = {
     "op2_mix_sources": op2_mix_sources,
     "op4_token_counts": op4_token_counts,
     "op5_ngram_join": op5_ngram_join,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op7_token_files": op7_token_files,
+    "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_quality": op9_quality,
     "op10_line_dedup": op10_line_dedup,
 }
