@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.llm import (
@@ -17,6 +17,7 @@ from tillstream.llm import (
     neighbours,
     ngram_join,
     packing,
+    pii,
     token_files,
 )
 from tillstream.llm.text import table, whole_text
@@ -40,6 +41,24 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", pii.personal_data(F.col("text"), pii.train(docs)).alias("spans"))
+    base = F.filter("spans", lambda span: ~span["added"])
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda span: span["kind"] == kind)).cast("long")
+
+    counts = [count(kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.withColumn("base", base).select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"),
+        pii.joined(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda span: span["added"])).cast("long").alias("n_added"),
+    )
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = bpe_count.count_tokens(table(spark, sf_dir, "documents"), PIECE_MODEL)
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
@@ -87,6 +106,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_mix_sources": op2_mix_sources,
+    "op3_personal_data": op3_personal_data,
     "op4_token_counts": op4_token_counts,
     "op5_ngram_join": op5_ngram_join,
     "op6_embedding_dedup": op6_embedding_dedup,
