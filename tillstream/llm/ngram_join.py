@@ -188,9 +188,9 @@ def prefix_tokens(sets: DataFrame, frequencies: np.ndarray, similarity: Similari
     return filled.mapInArrow(cut, "token long, doc long, n long, place int")
 
 
-def _among(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Rows whose ``doc`` is, or is not, among the ids; they are broadcast if that is small."""
-    return rows.join(F.broadcast(ids) if fits_broadcast(ids) else ids, "doc", how)
+def among(rows: DataFrame, ids: DataFrame, how: str, key: str | list[str] = "doc") -> DataFrame:
+    """Rows whose key is, or is not, among the ids; these are broadcast if that is small."""
+    return rows.join(F.broadcast(ids) if fits_broadcast(ids) else ids, key, how)
 
 
 def _pairwise(pairs: DataFrame, values: DataFrame, keep: Callable[..., bool], columns: Sequence[str]) -> DataFrame:
@@ -239,10 +239,10 @@ def similar_pairs(pairs: DataFrame, sets: DataFrame, similarity: Similarity) ->
     def ids(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
 
-    held = materialize(_among(sets.select("doc", "tokens"), materialize(ids(pairs)), "left_semi"))
+    held = materialize(among(sets.select("doc", "tokens"), materialize(ids(pairs)), "left_semi"))
     fronts = held.mapInArrow(prefixes, "doc long, first binary, second binary")
     passed = materialize(_pairwise(pairs, fronts, share, ["first", "second"]))
-    needed = _among(held, materialize(ids(passed)), "left_semi")
+    needed = among(held, materialize(ids(passed)), "left_semi")
     return materialize(_pairwise(passed, needed, similar, ["tokens"]))
 
 
@@ -308,8 +308,7 @@ def similar_documents(
     members = sets.select("doc", "n", "digest").join(nodes, "digest", "left")
     copies = materialize(members.where("doc > node").select("doc", "digest").distinct())
     own = sets.where("doc IS NOT NULL AND n > 0")
-    marked = F.broadcast(copies) if fits_broadcast(copies) else copies
-    distinct_sets = own.join(marked, ["doc", "digest"], "left_anti").select("doc", "n", "tokens")
+    distinct_sets = among(own, copies, "left_anti", ["doc", "digest"]).select("doc", "n", "tokens")
     links = links_between(distinct_sets, Similarity(*similarity))
     # A document with several texts holds the nodes of all of them together.
     held = members.where("doc > node").select(F.col("doc").alias("a"), F.col("node").alias("b"))
