@@ -165,7 +165,7 @@ def nearby(members: DataFrame, limit: int) -> DataFrame:
             home = block.column("home").to_numpy(zero_copy_only=False)
             differ = np.zeros((len(x), len(y)), np.uint8)
             for name in ("s0", "s1"):
-                sketch = block.column(name).to_numpy()
+                sketch = block.column(name).to_numpy().view(np.uint64)
                 differ += np.bitwise_count(sketch[x, None] ^ sketch[None, y])
             close = (differ <= limit) & (home[x, None] | home[None, y])
             if same:
