@@ -77,12 +77,15 @@ class Network:
 
 
 def padded(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of all texts, each filled up to whole segments, and the segments per text."""
-    counts = np.array([max(1, -(-len(x) // SEGMENT)) for x in texts])
+    """Bytes of all texts, each filled up to whole segments, and the segments per text.
+
+    A text starts with one step of padding, so the last window before it sees none of its bytes.
+    """
+    counts = np.array([-(-(STEP + len(x)) // SEGMENT) for x in texts])
     stream = np.full(int(counts.sum()) * SEGMENT + STEP, PAD, np.int16)
     at = 0
     for text, count in zip(texts, counts, strict=True):
-        stream[at : at + len(text)] = np.frombuffer(text, np.uint8)
+        stream[at + STEP : at + STEP + len(text)] = np.frombuffer(text, np.uint8)
         at += count * SEGMENT
     return stream, counts
 
