@@ -8,8 +8,9 @@ base spans flow along these edges; a token whose probability of a kind is the la
 that of no kind, is an added span.
 
 A token's own potentials are log-odds by its shape, counted on a bounded sample of documents
-that the rules have labelled. They are limited, as the rules know only what they match. Occurrences of
-a token are linked one to the next, so edges grow with the text, not with its square.
+that the rules have labelled. They are limited, as the rules know only what they match, and never speak
+for a kind by themselves. Each occurrence of a token is linked to the one before and to an
+occurrence in a base span, so edges grow with the text, not with its square.
 
 Defined results: a NULL or empty text has no spans. Positions are code points, the end exclusive.
 Every row is judged by its text alone, so repeated rows get the same spans. An empty table gives an
@@ -39,8 +40,8 @@ SAMPLE_BYTES = 32_768
 SAME = 4.0
 SIMILAR = 3.5
 CHAIN = 0.5
-SHAPE_LIMIT = 3.0
-LETTERS_LIMIT = 8.0
+SHAPE_LIMITS = (-2.0, -1.0)
+LETTERS = -8.0
 # Tokens of each shape that are none of the kinds, before any is counted; of each kind, one.
 _PRIOR = 20
 ROUNDS = 10
@@ -167,7 +168,7 @@ def shape(token: str) -> int:
 
 
 def fit(texts: Iterable[str]) -> np.ndarray:
-    """Log-odds of each kind against none, by shape, limited on either side."""
+    """Log-odds of each kind against none, by shape, within limits."""
     counts: Counter = Counter()
     for text in texts:
         if _HINT.search(text):
@@ -176,11 +177,9 @@ def fit(texts: Iterable[str]) -> np.ndarray:
     table[:, 0] = _PRIOR
     for place, count in counts.items():
         table[place] += count
-    odds = np.log(table) - np.log(table[:, :1])
-    limits = np.full((len(SHAPES), 1), SHAPE_LIMIT)
-    limits[SHAPES.index("letters")] = LETTERS_LIMIT
-    odds = np.clip(odds, -limits, limits)
-    odds[SHAPES.index("letters"), 1:] = -LETTERS_LIMIT
+    odds = np.clip(np.log(table) - np.log(table[:, :1]), *SHAPE_LIMITS)
+    odds[:, 0] = 0
+    odds[SHAPES.index("letters"), 1:] = LETTERS
     return odds
 
 
@@ -200,16 +199,29 @@ def _keys(token: str) -> list[tuple[str, float]]:
 
 def _edges(tokens: Sequence[Token]) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of tokens with the logarithm of their potential for equal labels."""
-    last: dict[str, int] = {}
+    places: dict[str, list[int]] = {}
+    strengths: dict[str, float] = {}
     edges: dict[tuple[int, int], float] = {}
+
+    def link(a: int, b: int, strength: float) -> None:
+        pair = (min(a, b), max(a, b))
+        edges[pair] = max(edges.get(pair, 0.0), strength)
+
     for place, token in enumerate(tokens):
         for key, strength in _keys(token.text):
-            if key in last:
-                pair = (last[key], place)
-                edges[pair] = max(edges.get(pair, 0), strength)
-            last[key] = place
+            places.setdefault(key, []).append(place)
+            strengths[key] = strength
         if place and token.start - tokens[place - 1].end <= 3:
-            edges.setdefault((place - 1, place), CHAIN)
+            link(place - 1, place, CHAIN)
+    for key, found in places.items():
+        known = next((k for k in found if tokens[k].kind), None)
+        for before, place in zip(found, found[1:], strict=False):
+            link(before, place, strengths[key])
+        for place in found if known is not None else ():
+            if tokens[place].kind:
+                known = place
+            else:
+                link(known, place, strengths[key])
     pairs = np.array(list(edges), np.int64).reshape(-1, 2)
     return pairs, np.array(list(edges.values()))
 
