@@ -98,6 +98,15 @@ def _get(path: str) -> bytes:
         return source.read()
 
 
+def _manifest_row(path: str) -> dict[str, object]:
+    """A row of the manifest, from the header of a file."""
+    files, place = _filesystem(path)
+    with files.open_input_stream(place) as source:
+        _, _, n_docs, n_ids, _, _ = _HEAD.unpack(source.read(_HEAD.size))
+    shard = path.rpartition("/")[2].removesuffix(".ids")
+    return {"path": path, "shard": shard, "n_docs": n_docs, "n_ids": n_ids}
+
+
 def write_token_files(
     docs: DataFrame,
     tokenizer: str,
@@ -184,12 +193,7 @@ def read_folder(spark: SparkSession, folder: str) -> DataFrame:
 
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path in batch.column("path").to_pylist():
-                system, at = _filesystem(path)
-                with system.open_input_stream(at) as source:
-                    _, _, n_docs, n_ids, _, _ = _HEAD.unpack(source.read(_HEAD.size))
-                shard = path.rpartition("/")[2].removesuffix(".ids")
-                row = {"path": path, "shard": shard, "n_docs": n_docs, "n_ids": n_ids}
-                yield pa.RecordBatch.from_pylist([row])
+            rows = [_manifest_row(path) for path in batch.column("path").to_pylist()]
+            yield pa.RecordBatch.from_pylist(rows)
 
     return names.mapInArrow(heads, MANIFEST)
