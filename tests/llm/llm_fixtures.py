@@ -1,0 +1,41 @@
+"""Small tables with the cases that every operator must take."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+import pytest
+
+SF_DIR = "/root/testdata/sf0.001"
+needs_tables = pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="benchmark tables not found")
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+# Names that the operators use themselves.
+CLASHING = ("doc", "key", "size", "copies", "row", "n", "digest", "token", "component", "length", "score")
+
+LONG = " ".join(f"word{k % 977}" for k in range(60_000))
+EDGES = [
+    (1, "One line of text.\nAnother line.", "en", "a", 31),
+    (2, None, None, None, None),
+    (3, "", "en", "b", 0),
+    (None, "A text without an id.", "en", "a", 21),
+    (4, LONG, "en", "b", len(LONG)),
+    (5, "The same text twice.", "de", "c", 20),
+    (5, "The same text twice.", "de", "c", 20),
+    (6, "The same text twice.", "de", None, 20),
+    (7, " \t\n\x0b\x0c\r ", "en", "c", 7),
+    (8, "ÀÉ ñ 日本語 🙂 \x00 \x1c end", "es", "ü", 18),
+]
+
+
+def documents(spark, rows, clash=False):
+    frame = spark.createDataFrame(rows, DOCUMENTS)
+    if clash:
+        for name in CLASHING:
+            frame = frame.selectExpr("*", f"'x' AS `{name}`")
+    return frame
+
+
+def texts(spark, *values):
+    """Documents numbered from 1."""
+    return documents(spark, [(k, x, "en", "a", None) for k, x in enumerate(values, 1)])

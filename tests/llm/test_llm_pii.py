@@ -1,0 +1,133 @@
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+import pytest
+from llm_fixtures import EDGES, documents
+from pyspark.sql import functions as F
+
+from tillstream.llm import pii
+
+RULES = (
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    ("card", r"[0-9]([\x20-]?[0-9])+"),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
+)
+CARD = "4111 1111 1111 1111"
+
+
+def brute(text):
+    """The rules as they are stated."""
+    out = []
+    for kind, pattern in RULES:
+        for match in re.finditer(pattern, text or ""):
+            digits = [int(x) for x in match[0] if x in "0123456789"]
+            doubled = [sum(divmod(2 * x, 10)) if k % 2 else x for k, x in enumerate(reversed(digits))]
+            if kind == "ip" and any(int(x) > 255 for x in match[0].split(".")):
+                continue
+            if kind == "card" and not (16 <= len(digits) <= 19 and sum(doubled) % 10 == 0):
+                continue
+            if kind == "phone" and not 8 <= len(digits) <= 15:
+                continue
+            out.append((kind, *match.span()))
+    return out
+
+
+@pytest.mark.parametrize("alphabet", ["ab@@..-+ 019  ()%é", "0123456789 -", "1.2.3.25.+ (", "a@b.c-@."])
+def test_base_spans_follow_the_rules(alphabet):
+    rng = random.Random(alphabet)
+    for _ in range(4000):
+        text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 45)))
+        assert [tuple(x)[:3] for x in pii.base_spans(text)] == brute(text), text
+
+
+def test_long_runs_take_linear_time():
+    for text in ("a" * 300_000 + "@", "1" * 300_000, "1." * 100_000, "@" * 200_000, "+1" + "(" * 200_000):
+        pii.find_spans(text + " x@y.zz", pii.fit([]))
+
+
+@pytest.fixture(scope="module")
+def odds():
+    rng = random.Random(1)
+    words = "one two three four".split()
+    samples = [f"{rng.choice(words)} a{k}@mail.example.com {rng.choice(words)} 10.0.0.{k} 77" for k in range(200)]
+    return pii.fit(samples)
+
+
+def added(text, odds):
+    return [(x.kind, text[x.start : x.end]) for x in pii.find_spans(text, odds) if x.added]
+
+
+def test_repeats_of_an_entity_are_found(odds):
+    assert added("call +1 (017) 555-7713, or later 555-7713.", odds) == [("phone", "555-7713")]
+    assert added(f"{CARD.replace(' ', '')} x 4111.1111.1111.1111", odds) == [("card", "4111.1111.1111.1111")]
+    assert added("write to jo.smith77@mail.example.com or jo.smith77", odds) == [("email", "jo.smith77")]
+
+
+def test_labels_flow_along_repeats(odds):
+    """The second written form is linked to the first one only through the token between."""
+    text = "a1b2c3d4@mail.example.com then a1b2c3d4 and at last A1B2C3D4"
+    assert added(text, odds) == [("email", "a1b2c3d4"), ("email", "A1B2C3D4")]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "plain words only",
+        "order 4111111111111112 of 2024-01-05, version 3.11.2, room 555-7713",
+        "support@mail.example.com gives support to mail.example.com",
+        "10.0.0.1 is not 10.0.0.7, and costs 12.50",
+    ],
+)
+def test_clean_tokens_are_left_alone(odds, text):
+    assert added(text, odds) == []
+
+
+def test_base_spans_stay(odds):
+    rng = random.Random(8)
+    parts = ["+1 (017) 555-7713", CARD, "10.1.2.3", "me77.x@a.b", "555-7713", "me77.x", "word", "4111111111111111"]
+    for _ in range(200):
+        text = " ".join(rng.choice(parts) for _ in range(12))
+        spans = pii.find_spans(text, odds)
+        assert [tuple(x)[:3] for x in spans if not x.added] == brute(text)
+        for x in spans:
+            assert not x.added or all(x.end <= s or x.start >= e for _, s, e in brute(text))
+
+
+def test_messages_are_exact_on_a_tree():
+    rng = np.random.default_rng(4)
+    unary = rng.standard_normal((4, 3))
+    pairs, strengths = np.array([[0, 1], [1, 2], [1, 3]]), np.array([0.5, 2.0, 1.0])
+    joint = np.zeros((3, 3, 3, 3))
+    for labels in np.ndindex(joint.shape):
+        score = sum(unary[k, x] for k, x in enumerate(labels))
+        score += sum(s for (a, b), s in zip(pairs, strengths, strict=True) if labels[a] == labels[b])
+        joint[labels] = np.exp(score)
+    joint /= joint.sum()
+    expected = [joint.sum(tuple(set(range(4)) - {k})) for k in range(4)]
+    np.testing.assert_allclose(pii.marginals(unary, pairs, strengths), expected, atol=1e-3)
+
+
+def test_redact(odds):
+    text = f"mail jo77x@a.b or pay {CARD}"
+    assert pii.redact(text, pii.find_spans(text, odds)) == "mail [email] or pay [card]"
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_edges(spark, clash):
+    rows = [*EDGES, (11, f"é {CARD} x@y.zz", "en", "a", 0), (11, f"é {CARD} x@y.zz", "en", "a", 0)]
+    frame = documents(spark, rows, clash)
+    spans = pii.personal_data(F.col("text"), pii.train(frame))
+    got = frame.select("doc_id", spans.alias("spans")).collect()
+    found = sorted(((row[0], [tuple(x)[:3] for x in row[1]]) for row in got), key=repr)
+    assert found == sorted(((row[0], brute(row[1])) for row in rows), key=repr)
+    joined = frame.where("doc_id = 11").select(pii.joined(spans).alias("s")).first().s
+    assert joined == "email:22:28,card:2:21"
+
+
+def test_empty_table(spark):
+    frame = documents(spark, [])
+    assert frame.select(pii.personal_data(F.col("text"), pii.train(frame))).collect() == []

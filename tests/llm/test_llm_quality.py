@@ -1,0 +1,113 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from llm_fixtures import EDGES, LONG, documents
+from pyspark.sql import functions as F
+
+from tillstream.llm import byte_network
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def sample(n=240, seed=3):
+    """Plain words are good; words with signs or in a shout are not."""
+    rng = random.Random(seed)
+    words = "river stone light under garden winter paper quiet silver morning".split()
+    out = []
+    for k in range(n):
+        text = [rng.choice(words) for _ in range(rng.randint(20, 260))]
+        good = k % 4 != 0
+        if not good:
+            text = [x + "###" if k % 8 else x.upper() + "!!" for x in text]
+        out.append((k, " ".join(text), int(good)))
+    return out
+
+
+@pytest.fixture(scope="module")
+def network():
+    rows = sample()
+    return byte_network.fit([row[1] for row in rows], [row[2] for row in rows])
+
+
+def test_held_out_accuracy(network):
+    rows = sample(seed=4)
+    found = byte_network.scores(network, [row[1] for row in rows]) >= byte_network.THRESHOLD
+    assert np.mean(found == np.array([row[2] for row in rows])) > 0.97
+
+
+def test_whole_text_counts(network):
+    """Noise far behind the start of a long text is seen."""
+    plain = sample()[1][1]
+    long = " ".join([plain] * 400)
+    noise = " ".join(["x###&&&"] * 4000)
+    good, bad = byte_network.scores(network, [long, long + noise + long])
+    assert good > bad
+
+
+def test_scores_do_not_depend_on_the_batch(network):
+    values = [row[1] for row in sample(40)] + ["", LONG, "é" * 3000, "a"]
+    together = byte_network.scores(network, values)
+    alone = np.concatenate([byte_network.scores(network, [x]) for x in values])
+    np.testing.assert_allclose(together, alone, rtol=1e-4)
+    assert ((together >= 0) & (together <= 1)).all()
+
+
+def test_gradients_follow_the_loss():
+    rng = np.random.default_rng(2)
+    network = byte_network.Network.fresh(1)
+    weights = {k: v.astype(np.float64) for k, v in network.weights.items()}
+    weights["bias"] += 0.3
+    data = [bytes(rng.integers(32, 120, n).astype(np.uint8)) for n in (40, 700, 1500)]
+    labels, importance = np.array([1.0, 0.0, 1.0]), np.ones(3)
+
+    def loss():
+        stream, counts = byte_network.padded(data)
+        maxima = byte_network._windows(weights, stream)[1].max(1)
+        p = byte_network._head(weights, maxima, counts)[0]
+        return -(labels * np.log(p) + (1 - labels) * np.log(1 - p)).mean()
+
+    grads = byte_network._gradients(weights, data, labels, importance)
+    for name, grad in grads.items():
+        place = np.unravel_index(np.abs(grad).argmax(), grad.shape)
+        before = weights[name][place]
+        weights[name][place] = before + 1e-4
+        above = loss()
+        weights[name][place] = before - 1e-4
+        below = loss()
+        weights[name][place] = before
+        assert (above - below) / 2e-4 == pytest.approx(grad[place], rel=0.05, abs=1e-5), name
+
+
+def test_labels_of_one_kind_or_none():
+    assert byte_network.scores(byte_network.fit(["a", "b"], [1, 1]), ["x"]).tolist() == [1.0]
+    assert byte_network.scores(byte_network.fit([], []), ["x", ""]).tolist() == [0.5, 0.5]
+
+
+def test_training_rows(spark):
+    docs = documents(spark, [*EDGES, (9, "x" * 20_000, "en", "a", 0)])
+    rows = [(k, 1, 0) for k in range(1, 10)] + [(None, 0, 0), (3, 0, 1), (4, None, 0), (77, 1, 0)]
+    labels = spark.createDataFrame(rows, LABELS)
+    got = {row.doc: row.label for row in byte_network.training_rows(docs, labels).collect()}
+    kept = {k for k in range(1, 9) if zlib.crc32(str(k).encode()) % 4 != 2}
+    assert got == {k: 0 if k == 3 else 1 for k in kept - {4}}
+    assert byte_network.training_rows(docs, labels, rows=2).count() <= 2
+
+
+def test_held_out(spark):
+    got = spark.range(50).select("id", byte_network.held_out(F.col("id")).alias("held")).collect()
+    assert [row.held for row in got] == [zlib.crc32(str(k).encode()) % 4 == 2 for k in range(50)]
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_edges(spark, network, clash):
+    frame = documents(spark, EDGES, clash)
+    rows = byte_network.classify(frame, network).collect()
+    assert len(rows) == len(EDGES)
+    assert all(0 <= row.score <= 1 and row.predicted == (row.score >= 0.7) for row in rows)
+    assert len({round(row.score, 5) for row in rows if row.text == "The same text twice."}) == 1
+    assert len({round(row.score, 5) for row in rows if not row.text}) == 1
+    assert byte_network.classify(documents(spark, []), network).collect() == []

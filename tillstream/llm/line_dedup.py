@@ -6,7 +6,8 @@ over the threshold are dropped and the others put together again by position.
 Defined results: a NULL or empty text is one empty line. Rows with the same id are one document
 when documents are counted, and each row is cleaned. NULL ids count as one document that precedes
 all others. A key is dropped everywhere but in the largest id that holds it (there, all its lines
-stay). An empty table gives an empty table. Other columns are left as they are.
+stay). An empty table gives an empty table. Other columns are left as they are, whatever their names;
+counts take the place of columns of their name.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tillstream.llm.text import LOWERED, SPACES, lower_ascii, whole_text
+from tillstream.llm.text import LOWERED, SPACES, as_rows, lower_ascii, own_columns, whole_text
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -99,15 +100,16 @@ def dedup_lines(
         .groupBy("_doc")
         .agg(F.collect_set("_hash").alias("_drop"))
     )
-    joined = docs.join(drops, docs[doc_col].eqNullSafe(drops["_doc"]), "left")
+    text = F.col("row").getField(text_col)
+    same = F.col("row").getField(doc_col).eqNullSafe(F.col("_doc"))
     loses = F.col("_drop").isNotNull()
-    cut = _cut(F.when(loses, whole_text(text_col)), F.col("_drop"))
-    cleaned = joined.withColumn("_cut", cut)
-    kept = F.when(loses, F.col("_cut.kept")).otherwise(F.col(text_col))
-    columns = [kept.alias(c) if c == text_col else F.col(c) for c in docs.columns]
+    joined = as_rows(docs).join(drops, same, "left")
+    cleaned = joined.withColumn("_cut", _cut(F.when(loses, whole_text(text)), F.col("_drop")))
+    changed = {text_col: F.when(loses, F.col("_cut.kept")).otherwise(text)}
     if stats:
-        columns += [
-            F.size(split_lines(whole_text(text_col))).cast("long").alias("n_lines"),
-            F.coalesce(F.col("_cut.n_dropped"), F.lit(0)).cast("long").alias("n_dropped"),
-        ]
-    return cleaned.select(*columns)
+        changed["n_lines"] = F.size(split_lines(whole_text(text))).cast("long")
+        changed["n_dropped"] = F.coalesce(F.col("_cut.n_dropped"), F.lit(0)).cast("long")
+    kept = [column for c, column in zip(docs.columns, own_columns(docs), strict=True) if c not in changed]
+    return cleaned.select(*kept, *[column.alias(c) for c, column in changed.items()]).select(
+        *[f"`{c}`" for c in [*docs.columns, *[c for c in changed if c not in docs.columns]]]
+    )

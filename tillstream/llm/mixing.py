@@ -8,7 +8,8 @@ sum comes nearest to its target, so that a few long documents do not throw the m
 Defined results: a NULL text has size 0. A NULL source is a source of its own, ordered last. A
 source without words has target 0 and its documents, all of size 0, are taken 0 words (and emitted
 once by ``mix``, as nothing can be repeated or missing). Rows with the same id and text are taken
-alike. No row exceeds ``max_repeats`` copies. An empty table gives an empty table.
+alike. No row exceeds ``max_repeats`` copies. Other columns are carried along, whatever their names.
+An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from math import lcm
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstream.llm.text import count_words, whole_text
+from tillstream.llm.text import as_rows, count_words, own_columns, whole_text
 from tillstream.operators.joins import lookup_join
 from tillstream.session import materialize
 
@@ -164,12 +165,12 @@ def mix(
     Texts are not shuffled while the table of sources can be broadcast.
     """
     sizes = count_sizes(docs, doc_col, text_col, source_col).select("doc", "key", "size")
-    rates = source_rates(sizes, weights, max_repeats).select(
-        F.col("key").alias("_mix_key"), F.col("rate").alias("_mix_rate"), F.col("lane").alias("_mix_lane")
+    rates = source_rates(sizes, weights, max_repeats).select("key", "rate", "lane")
+    row = F.col("row")
+    keyed = as_rows(docs).withColumns(
+        {"key": source_key(row.getField(source_col)), "doc": row.getField(doc_col)}
     )
-    keyed = docs.withColumn("_mix_key", source_key(F.col(source_col)))
-    rated = lookup_join(keyed, rates, "_mix_key", [doc_col])
-    copies = copies_of(F.col(doc_col), F.col("_mix_rate"), F.col("_mix_lane"))
-    taken = rated.withColumn("_mix_copies", copies).where(F.col("_mix_copies") > 0)
-    each = F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))
-    return taken.select(*docs.columns, each.alias("_mix_copy")).drop("_mix_copy")
+    copies = copies_of(F.col("doc"), F.col("rate"), F.col("lane"))
+    taken = lookup_join(keyed, rates, "key", ["doc"]).select("row", copies.alias("copies"))
+    each = taken.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return each.select(*own_columns(docs))

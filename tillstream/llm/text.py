@@ -32,3 +32,13 @@ def lower_ascii(text: Column) -> Column:
 
 def count_words(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
+
+
+def as_rows(docs: DataFrame) -> DataFrame:
+    """The columns as one struct ``row``, so that no name of theirs can clash with others."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
+def own_columns(docs: DataFrame) -> list[Column]:
+    """The columns of ``docs`` out of ``row``."""
+    return [F.col("row").getField(c).alias(c) for c in docs.columns]
