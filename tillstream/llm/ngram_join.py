@@ -21,7 +21,7 @@ empty table gives an empty table.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +37,10 @@ WORDS = 5
 SIMILARITY = (80, 100)
 
 CELLS_LOG2 = 18
+BITS_LOG2 = 27
 _BLOCK = 1 << 14
-_MAX_REMEMBERED = 400_000
+_SLICE = 256
+_MAX_REMEMBERED = 200_000
 # One of these seeds per further order.
 _SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _MULTIPLIER = np.uint64(0x5851F42D4C957F2D)
@@ -107,15 +109,22 @@ class Similarity:
         )
 
 
-def _binaries(column: pa.Array) -> list[np.ndarray]:
-    return [np.frombuffer(x.as_buffer(), np.uint64) for x in column]
+def slices(batches: Iterator[pa.RecordBatch], rows: int = _SLICE) -> Iterator[pa.RecordBatch]:
+    """The batches in small parts, so that a worker holds little beside the batch itself."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
+def _binaries(column: pa.Array, kind: type = np.uint64) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), kind) for x in column]
 
 
 def token_sets(docs: DataFrame, doc_col: str, text_col: str, words: int) -> DataFrame:
     """``(doc, n, digest, tokens)``: set size, a digest of the set, and the sorted hashes."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = [tokens_of(text, words) for text in batch.column("text").to_pylist()]
             data = [x.tobytes() for x in sets]
             columns = [
@@ -130,52 +139,107 @@ def token_sets(docs: DataFrame, doc_col: str, text_col: str, words: int) -> Data
     return source.mapInArrow(hashed, "doc long, n long, digest binary, tokens binary")
 
 
+_BLOCKS = "block int, counts binary"
+
+
+def _block_rows(blocks: Iterable[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+    pairs = [(block, values.tobytes()) for block, values in blocks]
+    columns = [pa.array([x[0] for x in pairs], pa.int32()), pa.array([x[1] for x in pairs], pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["block", "counts"])
+
+
+def _reduced(
+    parts: DataFrame, add: Callable[[np.ndarray | None, np.ndarray], np.ndarray], kind: type
+) -> dict[int, np.ndarray]:
+    """The parts of each block combined, one after the other; a fixed number of blocks."""
+
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, part in zip(batch.column("block").to_pylist(), batch.column("counts"), strict=True):
+                sums[block] = add(sums.get(block), np.frombuffer(part.as_buffer(), np.uint32))
+        if sums:
+            yield _block_rows(sums.items())
+
+    rows = parts.repartition("block").mapInArrow(combine, _BLOCKS).collect()
+    return {row.block: np.frombuffer(row.counts, kind) for row in rows}
+
+
 def token_frequencies(sets: DataFrame) -> np.ndarray:
     """Tokens of all sets per cell: a fixed number of counts, summed per task, then per block."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << CELLS_LOG2, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             tokens = np.concatenate(_binaries(batch.column("tokens")))
             cells += np.bincount((tokens >> np.uint64(64 - CELLS_LOG2)).view(np.int64), minlength=len(cells))
-        for block in range(len(cells) // _BLOCK):
-            part = cells[block * _BLOCK : (block + 1) * _BLOCK]
-            columns = [pa.array([block], pa.int32()), pa.array([part.tobytes()], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["block", "counts"])
+        limited = np.minimum(cells, 0xFFFFFFFF).astype(np.uint32).reshape(-1, _BLOCK)
+        yield _block_rows(enumerate(limited))
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
+    def add(total: np.ndarray | None, part: np.ndarray) -> np.ndarray:
+        return part.astype(np.int64) if total is None else total + part
+
+    sums = _reduced(sets.select("tokens").mapInArrow(count, _BLOCKS), add, np.int64)
+    cells = np.zeros((1 << CELLS_LOG2) // _BLOCK * _BLOCK, np.int64).reshape(-1, _BLOCK)
+    for block, values in sums.items():
+        cells[block] = values
+    return cells.ravel()
+
+
+def token_bits(tokens: DataFrame) -> np.ndarray:
+    """A bit for each of ``2**BITS_LOG2`` values of a part of the token's hash, set where one has it."""
+    block_bits = 1 << (BITS_LOG2 - 8)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts"), strict=True):
-                values = np.frombuffer(counts.as_buffer(), np.int64)
-                sums[block] = sums[block] + values if block in sums else values
-        for block, values in sums.items():
-            columns = [pa.array([block], pa.int32()), pa.array([values.tobytes()], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["block", "counts"])
-
-    kind = "block int, counts binary"
-    counted = sets.select("tokens").mapInArrow(count, kind)
-    # Rows are added one after the other, so a task holds one count per cell at most.
-    summed = counted.repartition("block").mapInArrow(add, kind)
-    cells = np.zeros(1 << CELLS_LOG2, np.int64)
-    for row in summed.collect():
-        cells[row.block * _BLOCK : (row.block + 1) * _BLOCK] = np.frombuffer(row.counts, np.int64)
-    return cells
-
-
-def prefix_tokens(sets: DataFrame, frequencies: np.ndarray, similarity: Similarity) -> DataFrame:
-    """``(token, doc, n, place)`` of the prefix of each set under the order by frequency."""
-    cells = sets.sparkSession.sparkContext.broadcast(frequencies.astype(np.int64))
+            slots = np.unique(_slots(batch.column("token").to_numpy().view(np.uint64)))
+            edges = np.searchsorted(slots, np.arange(257) * block_bits)
+            inside = (slots % block_bits).astype(np.uint32)
+            yield _block_rows((k, inside[edges[k] : edges[k + 1]]) for k in range(256))
+
+    def mark(bits: np.ndarray | None, slots: np.ndarray) -> np.ndarray:
+        bits = np.zeros(block_bits // 8, np.uint8) if bits is None else bits
+        np.bitwise_or.at(bits, slots >> 3, np.left_shift(1, slots & 7).astype(np.uint8))
+        return bits
+
+    found = _reduced(tokens.select("token").mapInArrow(deal, _BLOCKS), mark, np.uint8)
+    bits = np.zeros((256, block_bits // 8), np.uint8)
+    for block, values in found.items():
+        bits[block] = values
+    return bits.ravel()
+
+
+def _slots(tokens: np.ndarray) -> np.ndarray:
+    return (tokens >> np.uint64(8)) & np.uint64((1 << BITS_LOG2) - 1)
+
+
+def prefix_tokens(
+    sets: DataFrame,
+    frequencies: np.ndarray,
+    similarity: Similarity,
+    bits: np.ndarray | None = None,
+) -> DataFrame:
+    """``(token, doc, n, place)`` of the prefix of each set under the order by frequency.
+
+    With ``bits`` only tokens whose bit is set; both tables have a fixed size.
+    """
+    context = sets.sparkSession.sparkContext
+    cells, wanted = context.broadcast(frequencies), context.broadcast(bits)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fronts = []
+        for batch in slices(batches):
+            fronts, places = [], []
             for tokens in _binaries(batch.column("tokens")):
                 counts = cells.value[tokens >> np.uint64(64 - CELLS_LOG2)]
-                fronts.append(tokens[np.argsort(counts, kind="stable")[: similarity.prefix(len(tokens))]])
-            lengths = [len(x) for x in fronts]
-            rows = pa.array(np.repeat(np.arange(len(fronts)), lengths))
-            places = [np.arange(x, dtype=np.int32) for x in lengths]
+                front = tokens[np.argsort(counts, kind="stable")[: similarity.prefix(len(tokens))]]
+                place = np.arange(len(front), dtype=np.int32)
+                if wanted.value is not None:
+                    slots = _slots(front)
+                    there = wanted.value[slots >> np.uint64(3)] >> (slots & np.uint64(7)).astype(np.uint8) & 1
+                    front, place = front[there == 1], place[there == 1]
+                fronts.append(front)
+                places.append(place)
+            rows = pa.array(np.repeat(np.arange(len(fronts)), [len(x) for x in fronts]))
             columns = [
                 pa.array(np.concatenate(fronts).view(np.int64)),
                 batch.column("doc").take(rows),
@@ -193,57 +257,78 @@ def among(rows: DataFrame, ids: DataFrame, how: str, key: str | list[str] = "doc
     return rows.join(F.broadcast(ids) if fits_broadcast(ids) else ids, key, how)
 
 
-def _pairwise(pairs: DataFrame, values: DataFrame, keep: Callable[..., bool], columns: Sequence[str]) -> DataFrame:
+def _pairwise(
+    pairs: DataFrame,
+    values: DataFrame,
+    keep: Callable[..., bool],
+    columns: Sequence[str],
+    kind: type,
+) -> DataFrame:
     """Pairs ``(a, b)`` whose values pass ``keep(*values of a, *values of b)``."""
     left = values.select(F.col("doc").alias("a"), *[F.col(c).alias(f"{c}_a") for c in columns])
     right = values.select(F.col("doc").alias("b"), *[F.col(c).alias(f"{c}_b") for c in columns])
     joined = pairs.join(left, "a").join(right, "b")
 
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [_binaries(batch.column(f"{c}_{side}")) for side in "ab" for c in columns]
+        for batch in slices(batches):
+            own = [_binaries(batch.column(f"{c}_{side}"), kind) for side in "ab" for c in columns]
             stay = pa.array([keep(*x) for x in zip(*own, strict=True)], pa.bool_())
             yield batch.select(["a", "b"]).filter(stay)
 
-    return joined.mapInArrow(passing, "a long, b long").distinct()
+    return materialize(joined.mapInArrow(passing, "a long, b long").distinct())
+
+
+def _numbered(values: np.ndarray) -> np.ndarray:
+    """Sorted values, made distinct by counting the equal ones."""
+    repeats = np.arange(len(values)) - np.searchsorted(values, values, "left")
+    return (values.astype(np.uint64) << np.uint64(32)) | repeats.astype(np.uint64)
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    return len(np.intersect1d(a, b, assume_unique=True))
 
 
 def similar_pairs(pairs: DataFrame, sets: DataFrame, similarity: Similarity) -> DataFrame:
-    """The pairs ``(a, b)`` that are similar: first the other orders' prefixes, then whole sets.
+    """The pairs ``(a, b)`` that are similar: the other orders' prefixes, then the sets.
 
-    Only prefixes travel for the first, and only sets of pairs that pass for the second.
+    Prefixes and sets travel as the 16-bit ends of their hashes first. What two sets share, their
+    ends share too, so a pair that fails by them is not similar; whole sets follow for the few left.
     """
 
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = [batch.column("doc")]
+    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
             sets = _binaries(batch.column("tokens"))
+            columns = [batch.column("doc")]
             for seed in _SEEDS:
                 fronts = []
                 for tokens in sets:
-                    order = np.sort(_mixed(tokens ^ np.uint64(seed)))
-                    fronts.append(order[: similarity.prefix(len(tokens))].tobytes())
+                    front = np.sort(_mixed(tokens ^ np.uint64(seed)))[: similarity.prefix(len(tokens))]
+                    fronts.append(np.unique(front.astype(np.uint16)).tobytes())
                 columns.append(pa.array(fronts, pa.binary()))
-            yield pa.RecordBatch.from_arrays(columns, ["doc", "first", "second"])
+            ends = [(tokens >> np.uint64(48)).astype(np.uint16).tobytes() for tokens in sets]
+            columns.append(pa.array(ends, pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, ["doc", "first", "second", "ends"])
 
     def share(*fronts: np.ndarray) -> bool:
         half = len(fronts) // 2
-        return all(
-            len(np.intersect1d(x, y, assume_unique=True))
-            for x, y in zip(fronts[:half], fronts[half:], strict=True)
-        )
+        return all(_common(x, y) for x, y in zip(fronts[:half], fronts[half:], strict=True))
+
+    def may_be_similar(a: np.ndarray, b: np.ndarray) -> bool:
+        return similarity.holds(_common(_numbered(a), _numbered(b)), len(a), len(b))
 
     def similar(a: np.ndarray, b: np.ndarray) -> bool:
-        return similarity.holds(len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b))
+        return similarity.holds(_common(a, b), len(a), len(b))
 
     def ids(pairs: DataFrame) -> DataFrame:
-        return pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
+        return materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct())
 
-    held = materialize(among(sets.select("doc", "tokens"), materialize(ids(pairs)), "left_semi"))
-    fronts = held.mapInArrow(prefixes, "doc long, first binary, second binary")
-    passed = materialize(_pairwise(pairs, fronts, share, ["first", "second"]))
-    needed = among(held, materialize(ids(passed)), "left_semi")
-    return materialize(_pairwise(passed, needed, similar, ["tokens"]))
+    held = among(sets.select("doc", "tokens"), ids(pairs), "left_semi")
+    kind = "doc long, first binary, second binary, ends binary"
+    short = materialize(held.mapInArrow(shorten, kind))
+    passed = _pairwise(pairs, short, share, ["first", "second"], np.uint16)
+    likely = _pairwise(passed, short, may_be_similar, ["ends"], np.uint16)
+    whole = among(sets.select("doc", "tokens"), ids(likely), "left_semi")
+    return _pairwise(likely, whole, similar, ["tokens"], np.uint64)
 
 
 def _ordered(a: Column, b: Column) -> list[Column]:
@@ -252,12 +337,15 @@ def _ordered(a: Column, b: Column) -> list[Column]:
 
 def links_between(sets: DataFrame, similarity: Similarity) -> DataFrame:
     """``(a, b)``: links that connect whatever similar sets connect; sets are read repeatedly."""
-    tokens = prefix_tokens(sets, token_frequencies(sets), similarity)
+    frequencies = token_frequencies(sets)
+    tokens = prefix_tokens(sets, frequencies, similarity)
     hubs = tokens.groupBy("token").agg(
         F.min(F.struct("place", "doc", "n")).alias("hub"), F.count(F.lit(1)).alias("members")
     )
-    # Tokens of one document alone, the most by far, end here.
-    shared = materialize(tokens.join(hubs.where("members > 1").drop("members"), "token"))
+    # Tokens of one document alone, the most by far, end here, and mostly before the next shuffle.
+    hubs = materialize(hubs.where("members > 1").drop("members"))
+    members = prefix_tokens(sets, frequencies, similarity, token_bits(hubs))
+    shared = materialize(members.join(hubs, "token"))
     with_hub = shared.where(
         (F.col("doc") != F.col("hub.doc"))
         & similarity.possible(F.col("n"), F.col("place"), F.col("hub.n"), F.col("hub.place"))
