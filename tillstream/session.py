@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,6 +53,17 @@ def build_session(
     return builder.getOrCreate()
 
 
+def input_size(spark: SparkSession, *paths: str) -> int:
+    """Bytes of the files below paths, those that do not exist counting as empty."""
+    total = 0
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        if files.exists(place):
+            total += files.getContentSummary(place).getLength()
+    return total
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -72,11 +85,62 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete what is below a path, if anything is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+class Scratch:
+    """Tables in the shared folder that are removed together, when no result depends on them.
+
+    As a context it removes them at its end, so whatever leaves it must have been materialized.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark = spark
+        self._folder = scratch_path(spark, "scratch")
+        self._tables = 0
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Compute once into a table of this scratch."""
+        self._tables += 1
+        return _written(df, f"{self._folder}/{self._tables}")
+
+    def remove(self) -> None:
+        remove(self._spark, self._folder)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.remove()
+
+
+@contextmanager
+def session_options(spark: SparkSession, options: dict[str, str]) -> Iterator[None]:
+    """Options for the jobs started inside; afterwards they are as before."""
+    before = {name: spark.conf.get(name, None) for name in options}
+    for name, value in options.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute once into a table in the shared folder, for a frame that several branches read.
 
     Readers of the table get only the columns they need, and its size is known to the optimizer.
     """
-    path = scratch_path(df.sparkSession, "scratch")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _written(df, scratch_path(df.sparkSession, "scratch"))
