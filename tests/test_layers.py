@@ -8,7 +8,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tillstream import schemas
-from tillstream.operators import analytics
+from tillstream.operators import analytics, rollups
 from tillstream.plans import layers, star
 from tillstream.settings import Lake
 from tillstream.sources import lake
@@ -61,6 +61,70 @@ def test_layers_of_a_date_range(spark, paths, tmp_path):
     assert rows(silver.select("order_id")) == [("O-4",), ("O-5",)]
 
 
+def test_a_range_is_a_part_of_the_full_run(spark, paths, silver, tmp_path):
+    """An order sent again for another day counts there alone, in the range as in the whole."""
+    moved = bronze_of(silver, hours=3).filter("order_id IN ('O-1', 'O-4')").withColumns(
+        {
+            "order_ts": F.when(F.col("order_id") == "O-1", F.to_timestamp(F.lit("2024-02-10 00:00:00")))
+            .otherwise(F.to_timestamp(F.lit("2024-01-20 00:00:00"))),
+            "year": F.lit(2024),
+            "month": F.when(F.col("order_id") == "O-1", 2).otherwise(1),
+            "day": F.when(F.col("order_id") == "O-1", 10).otherwise(20),
+        }
+    )
+    lake.write_bronze(moved, paths.bronze)
+    whole = lake.read_table(spark, layers.run_layers(spark, paths)["silver"], schemas.SILVER)
+    for name, first, last in (
+        ("january", date(2024, 1, 1), date(2024, 1, 31)),
+        ("february", date(2024, 2, 1), date(2024, 2, 29)),
+        ("later", date(2024, 2, 1), None),
+        ("earlier", None, date(2024, 1, 31)),
+    ):
+        target = Lake(str(tmp_path / name))
+        written = layers.run_layers(spark, paths, first, last, target)
+        part = lake.read_table(spark, written["silver"], schemas.SILVER)
+        inside = whole.filter(F.lit(first).isNull() | (F.col("order_date") >= F.lit(first)))
+        inside = inside.filter(F.lit(last).isNull() | (F.col("order_date") <= F.lit(last)))
+        assert rows(part) == rows(inside) and part.count() > 0
+
+
+def test_odd_amounts_stop_neither_gold_nor_star(spark, paths, silver):
+    huge = bronze_of(silver, hours=2).filter("order_id = 'O-1'").withColumn("price", F.lit(1e9))
+    lake.write_bronze(huge, paths.bronze)
+    written = layers.run_layers(spark, paths)
+    gold = lake.read_table(spark, written["category_metrics"], schemas.CATEGORY_METRICS)
+    assert dict((r[0], r[1]) for r in gold.collect())["Electronics"] == 1e9 + 59.97
+    star.load_star(spark, paths)
+    fact = star.read_star(spark, paths)["fact_sales"]
+    assert fact.count() == 5 and fact.filter("price IS NULL OR revenue IS NULL").count() == 0
+    rejects = spark.read.parquet(paths.warehouse("fact_rejects"))
+    assert rows(rejects.select("order_id", "reasons")) == [("O-1", ["price_out_of_range"])]
+    checks = spark.read.schema(schemas.CHECKS).parquet(paths.warehouse("load_checks"))
+    assert rows(checks.select("check", "value", "passed")) == [("reject_check", 1.0, False)]
+
+
+def test_gold_does_not_depend_on_the_order_of_rows(spark):
+    """Sums of cents are exact, however a million rows lie in partitions."""
+    sales = spark.range(0, 1_000_000, 1, 16).selectExpr(
+        "concat('O', id) AS order_id", "concat('c', id % 7) AS category",
+        "date_add(date'2024-01-01', CAST(id % 30 AS int)) AS order_date",
+        "round(CAST(xxhash64(id) % 100000000 AS double) / 100, 2) AS revenue",
+    )
+    other = sales.repartition(3, "revenue")
+    for gold in (rollups.category_metrics, rollups.daily_revenue):
+        assert rows(gold(sales)) == rows(gold(other))
+
+
+def test_all_questions_are_written_in_full(spark, paths):
+    layers.run_layers(spark, paths)
+    written = star.load_star(spark, paths)
+    answers = star.write_answers(spark, paths)
+    register_tables(spark, {k: v for k, v in written.items()}, "asked")
+    for name, result in star.analyze(star.read_star(spark, paths)).items():
+        assert rows(spark.read.parquet(answers[name])) == rows(result)
+        assert rows(star.ask(spark, name, "asked")) == rows(result)
+
+
 def test_gate_stops_before_gold(spark, paths):
     with pytest.raises(layers.QualityGateFailed, match="count_check"):
         layers.run_layers(spark, paths, gates=("count_check",))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tillstream import schemas
 from tillstream.operators.quality import null_profile
 from tillstream.operators.rollups import windowed_metrics
+from tillstream.settings import Lake
 from tillstream.sources import lake
 from tillstream.streaming import bronze, dedup, metrics
 
@@ -68,7 +69,7 @@ def test_bronze_without_copies(spark, tmp_path):
     topic, lake_path, state = (str(tmp_path / name) for name in ("topic", "bronze", "state"))
 
     def run():
-        bronze.start_bronze(
+        bronze.start_unique_bronze(
             stream(spark, topic), lake_path, state, NOW, unique_within="2 days"
         ).awaitTermination()
         return rows(lake.read_bronze(spark, lake_path).select("order_id"))
@@ -158,12 +159,11 @@ def test_closed_windows_late_event_and_restart(spark, tmp_path):
     source, out, state = (str(tmp_path / name) for name in ("in", "out", "state"))
 
     def run():
-        metrics.start_closed_windows(
-            stream(spark, source, SALES), out, state, NOW
+        metrics.start_windows(
+            stream(spark, source, SALES), out, state, NOW, watermark="1 hour"
         ).awaitTermination()
         return rows(
-            spark.read.schema("window_start timestamp, category string, total_revenue double, "
-                              "order_count long").parquet(out)
+            metrics.read_windows(spark, out, "1 hour")
             .selectExpr("hour(window_start)", "category", "total_revenue", "order_count")
         )
 
@@ -187,18 +187,46 @@ def test_closed_windows_late_event_and_restart(spark, tmp_path):
         ("6", "a", 99.0, "2024-01-01 10:30:00"),
         ("7", "b", 0.0, "2024-01-02 00:00:00"),
     )
-    assert run() == [(10, "a", 11.0, 3), (11, "b", 4.0, 1), (12, "b", 1.0, 1)]
-    assert len(run()) == 3
+    expected = [(10, "a", 11.0, 3), (11, "b", 4.0, 1), (12, "b", 1.0, 1)]
+    assert run() == expected
+    assert run() == expected
+    late = metrics.late_rows(spark, out)
+    assert rows(late.select("order_id", "reasons")) == [("6", [metrics.REASON])]
+    # The sentinel's own window is still open; counted and late rows are the input.
+    counted = metrics.read_windows(spark, out).agg(F.sum("order_count")).first()[0]
+    assert counted + late.count() == spark.read.parquet(source).count()
+
+    merged = str(tmp_path / "merged")
+    metrics.compact_windows(spark, out, merged)
+    again = metrics.read_windows(spark, merged, "1 hour")
+    assert rows(again) == rows(metrics.read_windows(spark, out, "1 hour"))
+    assert rows(metrics.late_rows(spark, merged)) == rows(late)
+
+
+def test_a_batch_of_windows_run_again_replaces_itself(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    sell(spark, source, ("1", "a", 1.0, "2024-01-01 10:10:00"), ("2", "a", 2.0, "2024-01-01 13:00:00"))
+    write = metrics.window_writer(out, "order_ts", "1 hour", "1 hour", "category")
+    batch = spark.read.schema(SALES).parquet(source)
+    write(batch, 0)
+    write(batch, 0)
+    write(batch, 1)
+    write(batch, 1)
+    # Of the second batch the first order is late; nothing is counted twice.
+    assert rows(metrics.read_windows(spark, out).select("total_revenue", "order_count")) == [
+        (1.0, 1), (4.0, 2)
+    ]
+    assert metrics.late_rows(spark, out).count() == 1
 
 
 def test_open_windows_hold_the_newest_figures(spark, tmp_path):
     source, out, state = (str(tmp_path / name) for name in ("in", "out", "state"))
 
     def run():
-        metrics.start_open_windows(
+        metrics.start_windows(
             stream(spark, source, SALES), out, state, NOW
         ).awaitTermination()
-        return rows(metrics.latest_windows(spark, out).drop("window_start"))
+        return rows(metrics.read_windows(spark, out).drop("window_start"))
 
     sell(
         spark, source,
@@ -243,7 +271,7 @@ def test_precombining_keeps_large_and_missing_numbers(spark, tmp_path):
         "order_ts", F.to_timestamp(F.lit("2024-01-01 00:00:00"))
     )
     given.coalesce(1).write.parquet(source)
-    unique = dedup.dedup_stream(stream(spark, source, schema))
+    unique = dedup.dedup_stream(stream(spark, source, schema), precombine=True)
     writer = unique.writeStream.format("parquet").trigger(availableNow=True)
     writer.option("checkpointLocation", str(tmp_path / "state")).start(out).awaitTermination()
     found = spark.read.schema(schema).parquet(out).select("order_id", "n")
@@ -256,3 +284,81 @@ def test_dedup_takes_zoneless_event_times(spark, tmp_path):
     one.write.parquet(source)
     events = stream(spark, source, spark.read.parquet(source).schema)
     assert dict(dedup.dedup_stream(events).dtypes)["order_ts"] == "timestamp"
+
+
+def test_unique_keys_in_any_order(spark, tmp_path):
+    """Keys that come long after newer ones pass; copies do not, in whichever batch they come."""
+    source, out, state = (str(tmp_path / name) for name in ("in", "out", "state"))
+    sell(spark, source, ("1", "a", 1.0, "2024-03-01 00:00:00"), ("1", "a", 2.0, "2024-03-01 01:00:00"))
+    sell(spark, source, ("2", "a", 1.0, "2024-01-01 00:00:00"), ("1", "a", 3.0, "2024-01-05 00:00:00"))
+    sell(spark, source, ("2", "a", 4.0, "2024-02-01 00:00:00"), ("3", "a", 1.0, "2023-01-01 00:00:00"))
+
+    def run(path, checkpoint, delay=None):
+        events = stream(spark, source, SALES, maxFilesPerTrigger=1)
+        dedup.start_unique(events, path, checkpoint, NOW, delay=delay).awaitTermination()
+        return rows(spark.read.schema(SALES).parquet(path).select("order_id", "revenue"))
+
+    assert run(out, state) == [("1", 1.0), ("2", 1.0), ("3", 1.0)]
+    assert run(out, state) == [("1", 1.0), ("2", 1.0), ("3", 1.0)]
+    near = run(str(tmp_path / "near"), str(tmp_path / "near-state"), "2 days")
+    assert near == [("1", 1.0), ("1", 3.0), ("2", 1.0), ("2", 4.0), ("3", 1.0)]
+
+
+def test_a_batch_of_unique_keys_run_again_replaces_itself(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    sell(spark, source, ("1", "a", 1.0, "2024-01-01 00:00:00"), ("2", "a", 1.0, "2024-01-01 00:00:00"))
+    write = dedup.unique_writer(out, ["order_id"], "order_ts")
+    batch = spark.read.schema(SALES).parquet(source)
+    for number in (0, 0, 1, 1):
+        write(batch, number)
+    assert rows(spark.read.schema(SALES).parquet(out).select("order_id")) == [("1",), ("2",)]
+
+
+@pytest.mark.parametrize("order_of_jobs", [("ingest", "backfill"), ("backfill", "ingest")])
+def test_both_jobs_fill_one_lake(spark, tmp_path, order_of_jobs):
+    paths = Lake(str(tmp_path / "lake"))
+    for number, job in enumerate(order_of_jobs):
+        topic = str(tmp_path / job)
+        send(spark, topic, *[order(10 * number + i) for i in range(3)], f"no json {number}")
+        messages = stream(spark, topic)
+        if job == "ingest":
+            bronze.start_bronze(
+                messages, paths.bronze, paths.checkpoint("bronze"), NOW
+            ).awaitTermination()
+            bronze.start_dead_letters(
+                messages, paths.dead_letters, paths.checkpoint("dead"), NOW
+            ).awaitTermination()
+        else:
+            bronze.start_split(
+                messages, paths.bronze_batches, paths.dead_letter_batches,
+                paths.checkpoint("backfill"), NOW,
+            ).awaitTermination()
+        assert lake.read_bronze(spark, paths.bronze_tables).count() == 3 * (number + 1)
+    dead = lake.read_tables(spark, paths.dead_letter_tables, schemas.DEAD_LETTERS)
+    assert rows(dead.select("raw_value")) == [("no json 0",), ("no json 1",)]
+
+
+def test_writers_of_both_kinds_do_not_share_a_table(spark, tmp_path):
+    topic, streamed, written = (str(tmp_path / name) for name in ("topic", "streamed", "written"))
+    send(spark, topic, order(0))
+    messages = stream(spark, topic)
+    bronze.start_bronze(messages, streamed, str(tmp_path / "s1"), NOW).awaitTermination()
+    batch, _ = bronze.bronze_and_rejects(spark.read.schema(schemas.MESSAGES).parquet(topic))
+    with pytest.raises(lake.MixedWriters, match="a stream writes"):
+        lake.write_bronze(batch, streamed)
+    with pytest.raises(lake.MixedWriters, match="a stream writes"):
+        bronze.start_split(messages, streamed, str(tmp_path / "dead"), str(tmp_path / "s2"), NOW)
+    lake.write_bronze(batch, written)
+    with pytest.raises(lake.MixedWriters, match="batches have written"):
+        bronze.start_bronze(messages, written, str(tmp_path / "s3"), NOW)
+
+
+def test_prices_that_are_no_numbers_are_dead_letters(spark, tmp_path):
+    topic = str(tmp_path / "topic")
+    odd = [json.dumps(order(i)).replace("1.5", x) for i, x in enumerate(("NaN", "Infinity", "2.5"))]
+    send(spark, topic, *odd)
+    accepted, rejected = bronze.bronze_and_rejects(spark.read.schema(schemas.MESSAGES).parquet(topic))
+    assert rows(accepted.select("order_id")) == [("O-2",)]
+    assert rows(rejected.select("order_id", "reasons")) == [
+        ("O-0", ["price_not_finite"]), ("O-1", ["price_not_finite"])
+    ]

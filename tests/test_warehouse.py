@@ -5,7 +5,6 @@ from decimal import Decimal
 
 import pytest
 from conftest import plan, rows
-from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
 from tillstream import schemas
@@ -88,10 +87,25 @@ def test_fact_columns(silver):
     assert fact.filter("order_id = 'O-3'").first().revenue == Decimal("59.97")
 
 
-def test_amount_that_does_not_fit_is_an_error(silver):
-    huge = silver.withColumn("revenue", F.lit(1e11))
-    with pytest.raises(ArithmeticException):
-        star.fact_sales(huge).collect()
+def test_amounts_that_do_not_fit_are_set_apart(silver):
+    amounts = {"O-1": 1e11, "O-2": float("inf"), "O-3": float("nan")}
+    odd = silver
+    for order, value in amounts.items():
+        odd = odd.withColumn("revenue", F.when(F.col("order_id") == order, value).otherwise(F.col("revenue")))
+    assert sorted(r.order_id for r in star.fact_sales(odd).collect()) == ["O-4", "O-5", "O-6"]
+    assert rows(star.fact_rejects(odd).select("order_id", "reasons")) == [
+        (order, ["revenue_out_of_range"]) for order in amounts
+    ]
+    # A missing amount is not one that does not fit.
+    missing = silver.withColumn("revenue", F.lit(None).cast("double"))
+    assert star.fact_rejects(missing).count() == 0 and star.fact_sales(missing).count() == 6
+
+
+def test_merge_statement():
+    assert warehouse.merge_statement("f", "s_f", "id", ["id", "a", "b"]) == (
+        "MERGE INTO f USING s_f AS s ON f.id = s.id WHEN MATCHED THEN UPDATE SET a = s.a, b = s.b "
+        "WHEN NOT MATCHED THEN INSERT (id, a, b) VALUES (s.id, s.a, s.b)"
+    )
 
 
 def test_constraints(spark, silver):

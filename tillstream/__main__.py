@@ -13,21 +13,41 @@ from tillstream.functions.money import with_revenue
 from tillstream.functions.stamps import with_order_time_now
 from tillstream.operators.quality import run_all, run_thresholds
 from tillstream.plans.layers import run_layers
-from tillstream.plans.star import analyze, load_star, read_star
-from tillstream.session import build_session
+from tillstream.plans.star import load_star, write_answers
+from tillstream.session import build_session, input_size, sized_for
 from tillstream.settings import Lake
 from tillstream.sources import lake, topics
 from tillstream.streaming import bronze
-from tillstream.streaming.metrics import start_closed_windows
+from tillstream.streaming.metrics import start_windows
+
+
+def _messages(spark, args):
+    options = topics.subscribe_options(
+        args.servers,
+        args.topic,
+        max_offsets_per_trigger=args.max_offsets or None,
+        min_partitions=args.min_partitions,
+        security=dict(pair.split("=", 1) for pair in args.security),
+    )
+    return topics.subscribe(spark, options)
 
 
 def ingest(spark, args) -> None:
     paths = Lake(args.root)
-    messages = topics.subscribe(spark, topics.subscribe_options(args.servers, args.topic))
+    messages = _messages(spark, args)
     trigger = bronze.AVAILABLE_NOW if args.once else bronze.INTERVAL
     start = {"trigger": trigger, "strict": args.strict}
+    if args.unique_within:
+        unique = start | {"unique_within": args.unique_within}
+        landing = bronze.start_unique_bronze(
+            messages, paths.bronze_batches, paths.checkpoint("unique_bronze"), **unique
+        )
+    else:
+        landing = bronze.start_bronze(
+            messages, paths.bronze, paths.checkpoint("bronze"), **start
+        )
     running = [
-        bronze.start_bronze(messages, paths.bronze, paths.checkpoint("bronze"), **start),
+        landing,
         bronze.start_dead_letters(
             messages, paths.dead_letters, paths.checkpoint("dead_letters"), **start
         ),
@@ -40,13 +60,10 @@ def ingest(spark, args) -> None:
 
 def backfill(spark, args) -> None:
     paths = Lake(args.root)
-    options = topics.subscribe_options(
-        args.servers, args.topic, max_offsets_per_trigger=args.batch_messages
-    )
     bronze.start_split(
-        topics.subscribe(spark, options),
-        paths.bronze,
-        paths.dead_letters,
+        _messages(spark, args),
+        paths.bronze_batches,
+        paths.dead_letter_batches,
         paths.checkpoint("backfill"),
         bronze.AVAILABLE_NOW,
         args.strict,
@@ -56,13 +73,13 @@ def backfill(spark, args) -> None:
 
 def metrics(spark, args) -> None:
     paths = Lake(args.root)
-    options = topics.subscribe_options(args.servers, args.topic)
-    accepted, _ = bronze.bronze_and_rejects(topics.subscribe(spark, options))
-    start_closed_windows(
+    accepted, _ = bronze.bronze_and_rejects(_messages(spark, args))
+    start_windows(
         with_revenue(accepted),
         paths.windowed_metrics,
         paths.checkpoint("windowed_metrics"),
         bronze.INTERVAL,
+        watermark=args.watermark,
     ).awaitTermination()
 
 
@@ -76,7 +93,17 @@ def publish(spark, args) -> None:
 
 def layers(spark, args) -> None:
     target = args.target and Lake(args.target)
-    run_layers(spark, Lake(args.root), args.first, args.last, target)
+    run_layers(
+        spark, Lake(args.root), args.first, args.last, target, only_positive=args.only_positive
+    )
+
+
+def compact(spark, args) -> None:
+    """Bronze with few files per day, in a lake of its own."""
+    if args.root.rstrip("/") == args.target.rstrip("/"):
+        raise ValueError("compact into another root; bronze is read meanwhile")
+    source = lake.read_bronze(spark, Lake(args.root).bronze_tables)
+    lake.write_bronze(source, Lake(args.target).bronze_batches, mode="overwrite")
 
 
 def star(spark, args) -> None:
@@ -84,21 +111,26 @@ def star(spark, args) -> None:
 
 
 def questions(spark, args) -> None:
-    for name, result in analyze(read_star(spark, Lake(args.root))).items():
-        print(name)
-        result.show(truncate=False)
+    for name, path in write_answers(spark, Lake(args.root)).items():
+        print(name, path)
 
 
 def check(spark, args) -> None:
     paths = Lake(args.root)
     silver = lake.read_table(spark, paths.silver, schemas.SILVER)
-    run_all(lake.read_bronze(spark, paths.bronze), silver).show(truncate=False)
-    run_thresholds(silver, F.current_timestamp()).show(truncate=False)
+    for report in (
+        run_all(lake.read_bronze(spark, paths.bronze_tables), silver),
+        run_thresholds(silver, F.current_timestamp()),
+    ):
+        for row in report.collect():  # a row per check
+            print(*row)
 
 
 def main() -> None:
     parser = argparse.ArgumentParser(prog="tillstream")
-    parser.add_argument("--input-bytes", type=int, default=0, help="size of the largest input")
+    parser.add_argument(
+        "--input-bytes", type=int, help="size of the largest input; found from the files if left out"
+    )
     jobs = parser.add_subparsers(required=True)
 
     def job(run, *needs: str) -> argparse.ArgumentParser:
@@ -111,11 +143,19 @@ def main() -> None:
     stream = job(ingest, "root", "servers")
     stream.add_argument("--once", action="store_true", help="stop when all is read")
     history = job(backfill, "root", "servers")
-    history.add_argument("--batch-messages", type=int, default=1_000_000_000)
-    for reader in (stream, history):
+    windows = job(metrics, "root", "servers")
+    windows.add_argument("--watermark", help="delay after which a window is final")
+    stream.add_argument("--unique-within", help="leave out copies of an order within this time")
+    rate = settings.MAX_OFFSETS_PER_TRIGGER
+    for reader, most in ((stream, rate), (windows, rate), (history, 1_000_000_000)):
         reader.add_argument("--topic", default=settings.TOPIC)
+        reader.add_argument(
+            "--max-offsets", type=int, default=most, help="messages per batch, 0 for all there are"
+        )
+        reader.add_argument("--min-partitions", type=int, help="tasks to read the topic with")
+        reader.add_argument("--security", action="append", default=[], metavar="NAME=VALUE")
+    for reader in (stream, history):
         reader.add_argument("--strict", action="store_true")
-    job(metrics, "root", "servers").add_argument("--topic", default=settings.TOPIC)
     send = job(publish, "csv", "servers")
     send.add_argument("--topic", default=settings.TOPIC)
     send.add_argument("--keep-times", action="store_true", help="do not set order times to now")
@@ -123,12 +163,19 @@ def main() -> None:
     batch.add_argument("--first", type=date.fromisoformat)
     batch.add_argument("--last", type=date.fromisoformat)
     batch.add_argument("--target", help="root to write to, needed with a range of dates")
+    batch.add_argument("--only-positive", action="store_true")
+    job(compact, "root", "target")
     job(star, "root").add_argument("--previous", help="root whose dimension keys are kept")
     job(questions, "root")
     job(check, "root")
 
     args = parser.parse_args()
-    spark = build_session(input_bytes=args.input_bytes)
+    spark = build_session(input_bytes=args.input_bytes or 0)
+    if args.input_bytes is None and "root" in args:
+        paths = Lake(args.root)
+        size = max(input_size(spark, *paths.bronze_tables), input_size(spark, paths.silver))
+        for name, value in sized_for(size).items():
+            spark.conf.set(name, value)
     try:
         args.run(spark, args)
     finally:

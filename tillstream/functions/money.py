@@ -11,6 +11,14 @@ def with_revenue(df: DataFrame) -> DataFrame:
     return df.withColumn("revenue", F.round(F.col("price") * F.col("quantity"), 2))
 
 
+EXACT = "decimal(38,2)"
+
+
+def exact(amount: str = "revenue") -> Column:
+    """Amount to the cent as decimal; NULL where it is no finite number."""
+    return F.col(amount).try_cast(EXACT)
+
+
 def total(amount: str = "revenue") -> Column:
-    """Sum to the cent as double. Decimal input is summed exactly before the cast."""
-    return F.round(F.sum(amount), 2).cast("double")
+    """Sum to the cent as double, summed exactly: the order of the rows makes no difference."""
+    return F.sum(exact(amount)).cast("double")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstream.operators.joins import fits_broadcast, salted_join
+from tillstream.operators.joins import fits_broadcast
 
 
 def daily_trend(fact: DataFrame, unique_orders: bool = False) -> DataFrame:
@@ -30,7 +30,7 @@ def top_categories(
 
     With ``unique_orders`` the fact is summed per product before the join, which then sees one row
     per product. Otherwise the distinct count needs the category at each order: copies of an order
-    are summed first and the join spreads hot products over the order ids.
+    are summed first, and a hot product is split at run time.
     """
     dim = dim_product.select("product_id", "category")
     if unique_orders:
@@ -43,7 +43,7 @@ def top_categories(
             rows = fact.join(F.broadcast(dim), "product_id")
         else:
             lines = fact.groupBy("product_id", "order_id").agg(F.sum("revenue").alias("revenue"))
-            rows = salted_join(lines, dim, "product_id", ["order_id"])
+            rows = lines.join(dim, "product_id")
         orders = F.count_distinct("order_id")
     per_category = rows.groupBy("category").agg(
         F.sum("revenue").alias("total_revenue"), orders.alias("order_count")

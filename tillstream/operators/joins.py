@@ -12,15 +12,31 @@ from tillstream import settings
 
 _SALT = "_salt"
 
+# Parts of a plan whose size the optimizer does not know.
+_UNKNOWN = ("Generate", "MapIn", "FlatMap", "Expand", "LogicalRDD", "Range")
+
+
+def _known_to_fit(dim: DataFrame, limit: int) -> bool:
+    """Whether the optimizer's estimate, compressed files expanded, is within the limit already."""
+    plan = dim._jdf.queryExecution().optimizedPlan()
+    estimate = int(plan.stats().sizeInBytes())
+    if estimate * settings.EXPANSION > limit:
+        return False
+    text = plan.toString()
+    return not any(part in text for part in _UNKNOWN)
+
 
 def fits_broadcast(dim: DataFrame, limit: int = settings.BROADCAST_BYTES) -> bool:
-    """Whether a dimension is small enough to be sent to every task, by the bytes of its values.
+    """Whether a dimension is small enough to be sent to every task.
 
-    Nested columns are not measured; a dimension that has one is not broadcast.
+    Where the optimizer's estimate does not tell, the bytes of its rows are summed. Nested columns
+    are not measured; a dimension that has one is not broadcast.
     """
     if any(isinstance(f.dataType, (ArrayType, MapType, StructType)) for f in dim.schema.fields):
         return False
-    row = sum(
+    if _known_to_fit(dim, limit):
+        return True
+    row = settings.BROADCAST_ROW_BYTES + sum(
         F.coalesce(F.octet_length(field.name), F.lit(0))
         if isinstance(field.dataType, (StringType, BinaryType))
         else F.lit(16)
@@ -51,9 +67,20 @@ def salted_join(
 
 
 def lookup_join(
-    rows: DataFrame, dim: DataFrame, key: str, spread_by: Sequence[str], how: str = "inner"
+    rows: DataFrame,
+    dim: DataFrame,
+    key: str,
+    spread_by: Sequence[str] = (),
+    how: str = "inner",
 ) -> DataFrame:
-    """Join rows to a dimension table: broadcast while it is small, else salted."""
+    """Join rows to a dimension table: broadcast while it is small, else shuffled.
+
+    A skewed partition is split at run time; the dimension is then copied for that partition alone.
+    With ``spread_by`` the whole dimension is copied and every key spread instead, for sessions that
+    do not split.
+    """
     if fits_broadcast(dim):
         return rows.join(F.broadcast(dim), key, how)
-    return salted_join(rows, dim, key, spread_by, how)
+    if spread_by and rows.sparkSession.conf.get("spark.sql.adaptive.skewJoin.enabled") != "true":
+        return salted_join(rows, dim, key, spread_by, how)
+    return rows.join(dim, key, how)

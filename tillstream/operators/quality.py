@@ -109,6 +109,12 @@ def _age_hours(newest: Column, as_of: datetime | Column) -> Column:
     return micros / 3_600_000_000
 
 
+def _until(column: str, as_of: datetime | Column) -> Column:
+    """The moments up to ``as_of``; later ones, as from a wrong clock, say nothing of age."""
+    now = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    return F.when(F.col(column) <= now, F.col(column))
+
+
 def freshness(
     df: DataFrame,
     as_of: datetime | Column,
@@ -117,9 +123,9 @@ def freshness(
 ) -> DataFrame:
     """Hours from the newest row to ``as_of``, a column or a datetime with a zone.
 
-    A table without rows is not fresh.
+    A table without rows is not fresh. Rows dated after ``as_of`` do not make it so.
     """
-    newest = df.agg(F.max(column).alias("newest"))
+    newest = df.agg(F.max(_until(column, as_of)).alias("newest"))
     age = _age_hours(F.col("newest"), as_of)
     return _report(newest, [_result("freshness_check", column, age, max_age_hours)])
 
@@ -135,17 +141,17 @@ def key_profile(
     key: str,
     columns: Sequence[str] = (),
     positive: Sequence[str] = (),
-    newest: str | None = None,
+    newest: Column | None = None,
 ) -> DataFrame:
     """One row: rows, keys, duplicated keys and more on the given columns, in one pass.
 
     Counts missing values in ``missing_*`` and values of zero or below in ``low_*``; ``newest`` is
-    the largest value of that column. Counting per key first keeps a hot key to one row per task
+    the largest value of that expression. Counting per key first keeps a hot key to one row per task
     in the only large shuffle.
     """
     counts = {f"missing_{name}": F.count_if(is_missing(df, name)) for name in columns}
     counts |= {f"low_{name}": F.count_if(F.col(name) <= 0) for name in positive}
-    latest = [F.max(newest).alias("newest")] if newest else []
+    latest = [F.max(newest).alias("newest")] if newest is not None else []
     per_key = df.groupBy(key).agg(
         F.count(F.lit(1)).alias(_ROWS),
         *[count.alias(name) for name, count in counts.items()],
@@ -156,7 +162,7 @@ def key_profile(
         *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counts],
         F.count(F.lit(1)).alias("keys"),
         F.count_if(F.col(_ROWS) > 1).alias("duplicated"),
-        *([F.max("newest").alias("newest")] if newest else []),
+        *([F.max("newest").alias("newest")] if latest else []),
     )
 
 
@@ -221,7 +227,7 @@ def run_thresholds(
 
     Missing values in the critical columns, surplus copies, amounts of zero or below, and age.
     """
-    profile = key_profile(df, key, columns, positive, event_time)
+    profile = key_profile(df, key, columns, positive, _until(event_time, as_of))
     rows = F.col("rows")
     results = []
     for name in columns:
@@ -235,6 +241,12 @@ def run_thresholds(
     return _report(profile, results)
 
 
+def reject_count(rejects: DataFrame, table: str) -> DataFrame:
+    """Number of rows that a load set apart; any fails the check, none stops the load."""
+    counted = rejects.agg(F.count(F.lit(1)).alias(_ROWS))
+    return _report(counted, [_result("reject_check", table, F.col(_ROWS), 0)])
+
+
 def constraint_profile(
     df: DataFrame,
     primary_key: str,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillstream import settings
 from tillstream.functions import money
+from tillstream.operators.joins import lookup_join
 
 
 def _orders(ids_present: bool) -> Column:
@@ -24,16 +25,38 @@ def daily_revenue(silver: DataFrame, ids_present: bool = False) -> DataFrame:
     return per_day.orderBy("order_date")
 
 
-def category_metrics(silver: DataFrame, ids_present: bool = False) -> DataFrame:
-    """Revenue and orders per category, highest revenue first; counts as in daily revenue."""
+def _per_product(silver: DataFrame, products: DataFrame, ids_present: bool) -> DataFrame:
+    """Sums per product with the product's columns: the join sees one row per product."""
+    sums = silver.groupBy("product_id").agg(
+        F.sum(money.exact()).alias("revenue"), _orders(ids_present).alias("orders")
+    )
+    return lookup_join(sums, products, "product_id")
+
+
+def category_metrics(
+    silver: DataFrame, ids_present: bool = False, products: DataFrame | None = None
+) -> DataFrame:
+    """Revenue and orders per category, highest revenue first; counts as in daily revenue.
+
+    The category is a column of the rows, or of ``products``, one row per product id.
+    """
+    orders = _orders(ids_present)
+    if products is not None:
+        silver = _per_product(silver, products.select("product_id", "category"), ids_present)
+        orders = F.sum("orders")
     per_category = silver.groupBy("category").agg(
-        money.total().alias("total_revenue"), _orders(ids_present).alias("order_count")
+        money.total().alias("total_revenue"), orders.alias("order_count")
     )
     return per_category.orderBy(F.desc("total_revenue"), "category")
 
 
-def top_products(silver: DataFrame, n: int = 10) -> DataFrame:
+def top_products(
+    silver: DataFrame, n: int = 10, products: DataFrame | None = None
+) -> DataFrame:
     """The ``n`` products with the highest revenue; equal revenue goes by id, then name."""
+    if products is not None:
+        names = products.select("product_id", "product_name")
+        silver = _per_product(silver, names, ids_present=True)
     per_product = silver.groupBy("product_id", "product_name").agg(
         money.total().alias("total_revenue")
     )

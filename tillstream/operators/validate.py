@@ -12,12 +12,23 @@ from tillstream import schemas, settings
 REASONS = "reasons"
 
 
+def finite(name: str) -> Column:
+    """Neither NaN nor infinite. Missing values are not judged here."""
+    value = F.col(name).cast("double")
+    return value.isNull() | (~F.isnan(value) & (F.abs(value) < F.lit(float("inf"))))
+
+
 def ingest_rules() -> dict[str, Column]:
-    """Rules for bronze, by the reason given when one does not hold."""
+    """Rules for bronze, by the reason given when one does not hold.
+
+    NaN is greater than zero in Spark, and neither it nor infinity can be summed or stored as
+    money, so a price must be finite.
+    """
     return {
         "missing_order_id": F.col("order_id").isNotNull(),
         "missing_customer_id": F.col("customer_id").isNotNull(),
         "price_not_positive": F.col("price") > 0,
+        "price_not_finite": finite("price"),
         "quantity_not_positive": F.col("quantity") > 0,
     }
 
@@ -30,7 +41,8 @@ def strict_rules() -> dict[str, Column]:
     }
     return {
         **filled,
-        "price_not_positive": (F.col("price") > 0) & ~F.isnan("price"),
+        "price_not_positive": F.col("price") > 0,
+        "price_not_finite": finite("price"),
         "quantity_not_positive": F.col("quantity") > 0,
     }
 

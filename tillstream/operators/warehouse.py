@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,6 +63,8 @@ def refresh_dimension(
 ) -> DataFrame:
     """Dimension with the latest attributes (type 1).
 
+    Keys are integers, as the warehouse declares them: up to 2^31 ids.
+
     Known ids keep their key, new ids get the next ones, and ids that are no longer in ``latest``
     stay as they were. Both sides meet in one join, which is materialized for the numbering.
     """
@@ -117,8 +122,25 @@ def dim_date(facts: DataFrame, day: str = "order_date") -> DataFrame:
     return date_attributes(days)
 
 
+def _misfits() -> dict[str, Column]:
+    """By column, whether its value is lost when it is cast to the column of the fact."""
+    return {
+        f.name: F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
+        for f in schemas.FACT_SALES.fields
+        if f.name in ("price", "quantity", "revenue")
+    }
+
+
 def fact_sales(silver: DataFrame) -> DataFrame:
-    """Silver cut and cast to the columns of the fact; a value that does not fit is an error."""
-    return silver.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.FACT_SALES.fields]
+    """Silver cut and cast to the columns of the fact; ``fact_rejects`` has what does not fit."""
+    fits = ~reduce(or_, _misfits().values())
+    return silver.filter(fits).select(
+        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schemas.FACT_SALES.fields]
     )
+
+
+def fact_rejects(silver: DataFrame) -> DataFrame:
+    """Rows whose amounts the fact cannot hold, as infinite or too large, with the reasons."""
+    found = [F.when(lost, f"{name}_out_of_range") for name, lost in _misfits().items()]
+    reasons = F.array_compact(F.array(*found))
+    return silver.filter(reduce(or_, _misfits().values())).withColumn("reasons", reasons)

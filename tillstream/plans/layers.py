@@ -6,6 +6,7 @@ import logging
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillstream import schemas
 from tillstream.functions.money import with_revenue
@@ -35,6 +36,26 @@ def to_silver(bronze: DataFrame, only_positive: bool = False) -> DataFrame:
     return with_order_date(with_revenue(unique))
 
 
+def silver_of(
+    spark: SparkSession,
+    paths: Lake,
+    first: date | None = None,
+    last: date | None = None,
+    only_positive: bool = False,
+) -> DataFrame:
+    """Silver from bronze, or the part of it whose order date lies in a range."""
+    bronze = lake.read_bronze(spark, paths.bronze_tables)
+    if first is None and last is None:
+        return to_silver(bronze, only_positive)
+    ids = lake.read_bronze(spark, paths.bronze_tables, first, last).select("order_id").distinct()
+    silver = to_silver(bronze.join(ids, "order_id", "left_semi"), only_positive)
+    if first is not None:
+        silver = silver.filter(F.col("order_date") >= F.lit(first))
+    if last is not None:
+        silver = silver.filter(F.col("order_date") <= F.lit(last))
+    return silver.select(*schemas.SILVER.names)
+
+
 def run_layers(
     spark: SparkSession,
     paths: Lake,
@@ -49,14 +70,15 @@ def run_layers(
     Gold and the checks read the silver that was written, so bronze is deduplicated once and all
     tables agree. Gold reads only the columns it sums, and no order ids once they passed the check.
 
-    A range of order dates reads only those days of bronze. Its tables hold nothing else, so it
-    needs a ``target`` with a root of its own.
+    A range of order dates gives the rows that the whole silver has in it: an order sent again for
+    another day counts on the day of its last copy, so copies of the orders in range are looked up
+    on all days. The tables hold nothing else, so they need a ``target`` with a root of their own.
     """
     if (first or last) and (target is None or target.root == paths.root):
         raise ValueError("a range of dates would replace the whole silver; give another target")
     target = target or paths
-    bronze = lake.read_bronze(spark, paths.bronze, first, last)
-    lake.overwrite(to_silver(bronze, only_positive), target.silver)
+    bronze = lake.read_bronze(spark, paths.bronze_tables, first, last)
+    lake.overwrite(silver_of(spark, paths, first, last, only_positive), target.silver)
     silver = lake.read_table(spark, target.silver, schemas.SILVER)
 
     # Dedup loses no key; only the filter after it can, so only then are bronze keys compared.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillstream.plans.queries import AS_OF, EVENTS_AS_OF, FIRST_LOAD
+from tillstream.plans.queries import AS_OF, EVENTS_AS_OF, FIRST_LOAD, INGESTED_AT, RANGE
 
 # Building blocks, named as in sources/tables.py.
 
@@ -151,6 +151,16 @@ def _age(as_of: str, column: str) -> str:
     return f"CAST({passed} AS DOUBLE) / 3600000000"
 
 
+# Prices that are no amounts, as in queries.py.
+_ODD_PRICES = """
+WITH odd AS (
+    SELECT event_id, CAST(event_id AS VARCHAR) AS order_id, CAST(user_id AS VARCHAR) AS customer_id,
+           CASE WHEN event_id % 97 = 0 THEN CAST('NaN' AS DOUBLE)
+                WHEN event_id % 89 = 0 THEN CAST('Infinity' AS DOUBLE)
+                WHEN event_id % 83 = 0 THEN 1e9 ELSE value END AS price, ts
+    FROM events
+)"""
+
 _CRITICAL = ("order_id", "customer_id", "product_id", "price", "quantity", "order_timestamp")
 
 _COPIES = f"""WITH {_LINES},
@@ -200,6 +210,30 @@ known AS (SELECT DISTINCT customer_id, TRUE AS loaded FROM sales
 SELECT CAST(row_number() OVER (ORDER BY coalesce(loaded, FALSE) DESC, md5(customer_id),
                                customer_id) AS INTEGER) AS customer_key, customer_id, country
 FROM latest LEFT JOIN known USING (customer_id)""",
+    "dim_supplier": f"""WITH {_LINES},
+latest AS (SELECT product_id,
+                  max(struct_pack(seen := o.o_orderdate, s := CAST(l_suppkey AS VARCHAR),
+                                  p := CAST(price AS VARCHAR))) AS v
+           FROM lines l JOIN orders o ON o.o_orderkey = l.l_orderkey GROUP BY product_id)
+SELECT CAST(row_number() OVER (ORDER BY md5(product_id), product_id) AS INTEGER) AS product_key,
+       product_id, v.s AS product_name, v.p AS category
+FROM latest""",
+    "fact_by_time": f"""{_SILVER}
+SELECT order_date, count(*) AS orders, 0 AS out_of_order FROM sales GROUP BY order_date""",
+    "fact_by_customer": f"""{_SILVER}
+SELECT customer_id, CAST(sum(revenue) AS DOUBLE) AS revenue FROM sales GROUP BY customer_id""",
+    "amount_rejects": f"""{_ODD_PRICES},
+refused AS (SELECT *, concat_ws(',',
+                CASE WHEN coalesce(customer_id, '') = '' THEN 'missing_customer_id' END,
+                CASE WHEN NOT price > 0 THEN 'price_not_positive' END,
+                CASE WHEN NOT isfinite(price) THEN 'price_not_finite' END) AS reasons
+            FROM odd),
+judged AS (SELECT CASE WHEN reasons <> '' THEN reasons
+                       WHEN price >= 1e8 THEN 'price_out_of_range' ELSE 'loaded' END AS outcome
+           FROM refused)
+SELECT outcome, count(*) AS orders FROM judged GROUP BY outcome
+UNION ALL SELECT 'gold', count(*) FROM judged WHERE outcome IN ('loaded', 'price_out_of_range')
+UNION ALL SELECT 'reject_check', count(*) FROM judged WHERE outcome = 'price_out_of_range'""",
     "dim_date": """
 WITH span AS (SELECT CAST(min(o_orderdate) AS DATE) AS first_day,
                      CAST(max(o_orderdate) AS DATE) AS last_day FROM orders),
@@ -263,6 +297,9 @@ SELECT sales_month, CAST(revenue AS DOUBLE) AS revenue,
        CAST(round((revenue - previous) / nullif(previous, 0) * 100, 2) AS DOUBLE)
        AS growth_percentage
 FROM paired""",
+    "ingest_stamp": f"""{_MESSAGES}
+SELECT order_id, TIMESTAMP '{INGESTED_AT}' AS ingestion_timestamp, order_timestamp, order_ts
+FROM flagged WHERE valid AND order_ts IS NOT NULL""",
     "sql_views": f"""{_SILVER}
 SELECT country, CAST(date_trunc('month', order_date) AS DATE) AS sales_month,
        CAST(sum(revenue) AS DOUBLE) AS total_revenue,
@@ -296,15 +333,27 @@ SELECT order_id, copies FROM per_key WHERE copies > 1""",
 counts AS (SELECT sum(copies) AS before, count(*) AS after FROM per_key)
 {_checks(_check('duplicate_ratio_check', 'order_id', _drift('before', 'after'), 0.1),
          source='counts')}""",
-    "quality_report": f"""{_COPIES},
-counts AS (SELECT sum(copies) AS before, count(*) AS after FROM per_key)
+    "quality_report": f"""{_SILVER},
+per_key AS (SELECT order_id, count(*) AS copies FROM lines GROUP BY order_id),
+silver AS (SELECT u.order_id, o.o_custkey AS customer_id, u.price * u.quantity AS revenue
+           FROM unique_lines u JOIN orders o ON o.o_orderkey = u.l_orderkey),
+silver_keys AS (SELECT order_id, count(*) AS copies FROM silver GROUP BY order_id),
+counts AS (SELECT
+    (SELECT sum(copies) FROM per_key) AS before,
+    (SELECT count(*) FROM per_key) AS after,
+    (SELECT count(*) FROM silver) AS silver_rows,
+    (SELECT count(*) FROM silver_keys) AS silver_keys,
+    (SELECT count(*) FROM silver WHERE order_id IS NULL) AS no_order,
+    (SELECT count(*) FROM silver WHERE customer_id IS NULL) AS no_customer,
+    (SELECT count(*) FROM silver WHERE revenue IS NULL) AS no_revenue,
+    (SELECT count(*) FROM silver_keys WHERE copies > 1) AS duplicated)
 {_checks(
-    _check('count_check', 'bronze to silver', _drift('before', 'after'), 5.0),
-    _check('key_check', 'order_id', '0', 5.0),
-    _check('null_check', 'order_id', '0', 0.0),
-    _check('null_check', 'customer_id', '0', 0.0),
-    _check('null_check', 'revenue', '0', 0.0),
-    _check('dup_check', 'order_id', '0', 0.0),
+    _check('count_check', 'bronze to silver', _drift('before', 'silver_rows'), 5.0),
+    _check('key_check', 'order_id', _drift('after', 'silver_keys'), 5.0),
+    _check('null_check', 'order_id', 'CAST(no_order AS DOUBLE) / silver_rows * 100', 0.0),
+    _check('null_check', 'customer_id', 'CAST(no_customer AS DOUBLE) / silver_rows * 100', 0.0),
+    _check('null_check', 'revenue', 'CAST(no_revenue AS DOUBLE) / silver_rows * 100', 0.0),
+    _check('dup_check', 'order_id', 'duplicated', 0.0),
     source='counts')}""",
     "threshold_report": f"""{_MESSAGES},
 per_key AS (SELECT order_id, count(*) AS copies FROM decoded GROUP BY order_id),
@@ -359,6 +408,22 @@ SELECT order_id, customer_id, price, quantity, order_timestamp FROM flagged WHER
 SELECT * FROM ({_HOURLY})
 WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
     "stream_open_windows": _HOURLY,
+    "stream_late_events": """
+SELECT event_type AS category, count(*) AS orders, TRUE AS some_late FROM events GROUP BY 1""",
+    "bronze_of_both_jobs": _BRONZE_VIEW,
+    "layered_daily": f"""{_MESSAGES}
+SELECT CAST(order_ts AS DATE) AS order_date,
+       CAST(sum(CAST(price AS DECIMAL(10,2)) * quantity) AS DOUBLE) AS total_daily_revenue,
+       count(order_id) AS total_orders
+FROM flagged WHERE valid AND order_ts IS NOT NULL GROUP BY 1""",
+    "layered_range": f"""{_ODD_PRICES},
+latest AS (SELECT customer_id || '-' || event_id % 5 AS order_id,
+                  arg_max(struct_pack(p := price, d := CAST(ts AS DATE)),
+                          event_id * 7919 % 1000003) AS v
+           FROM odd WHERE isfinite(price) AND price > 0 AND customer_id IS NOT NULL
+           GROUP BY 1)
+SELECT order_id, v.d AS order_date, v.p AS price FROM latest
+WHERE v.d BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'""",
     "stream_dedup": f"WITH {_LINES}\nSELECT DISTINCT order_id FROM lines",
     "layered_gold": f"""{_MESSAGES}
 SELECT category,
@@ -372,4 +437,11 @@ SELECT order_id, customer_id, product_id, CAST(price AS DOUBLE) AS price, quanti
        CAST(revenue AS DOUBLE) AS revenue, order_ts, order_date
 FROM sales"""
 
-ORACLE = {**_ORACLE, "fact_sales": _FACT, "fact_load": _FACT}
+_ASKED = ("daily_trend", "top_categories", "country_distribution", "mom_growth")
+
+ORACLE = {
+    **_ORACLE,
+    "fact_sales": _FACT,
+    "fact_load": _FACT,
+    **{f"asked_{name}": _ORACLE[name] for name in _ASKED},
+}

@@ -5,28 +5,36 @@ Money leaves as double, counts as bigint, so that another engine gives the same
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillstream import schemas
+from tillstream import schemas, settings
 from tillstream.functions import codec, stamps
 from tillstream.operators import analytics, quality, rollups, validate
 from tillstream.operators import warehouse as star
 from tillstream.plans.layers import run_layers
-from tillstream.session import scratch_path
+from tillstream.plans.star import ask, load_star
+from tillstream.session import materialize, scratch_path
 from tillstream.settings import Lake
 from tillstream.sources import lake, tables, warehouse
 from tillstream.streaming import bronze as bronze_stream
 from tillstream.streaming import metrics as metric_stream
-from tillstream.streaming.dedup import dedup_stream
+from tillstream.streaming.dedup import start_unique
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Moments the freshness of the orders and of the events is judged from.
 AS_OF = "2001-08-02 00:00:00"
 EVENTS_AS_OF = "2024-01-31 00:00:00"
+INGESTED_AT = "2024-02-01 12:34:56"
+
+# Order dates of a partial run, and batches that a table is streamed in.
+RANGE = ("2024-01-10", "2024-01-19")
+PIECES = 6
 
 # Orders before this day make up the dimension that is then brought up to date.
 FIRST_LOAD = "1995-06-01"
@@ -90,11 +98,13 @@ def daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.category_metrics(tables.silver(spark, sf_dir, order=False, product=True))
+    sales = tables.silver(spark, sf_dir, order=False)
+    return rollups.category_metrics(sales, products=tables.products(spark, sf_dir))
 
 
 def top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.top_products(tables.silver(spark, sf_dir, order=False, product=True), 10)
+    sales = tables.silver(spark, sf_dir, order=False)
+    return rollups.top_products(sales, 10, tables.products(spark, sf_dir))
 
 
 def _event_sales(events: DataFrame) -> DataFrame:
@@ -121,11 +131,27 @@ def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_customer_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sales = tables.silver(spark, sf_dir, country=True)
+    sales = materialize(
+        tables.silver(spark, sf_dir, country=True).select(
+            "customer_id", "country", "order_ts", "order_date"
+        )
+    )
     loaded = star.dim_customer(sales.filter(F.col("order_date") < F.lit(FIRST_LOAD).cast("date")))
     return star.dim_customer(sales, loaded)
 
 
+def dim_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attributes that change over time: the supplier of a product's latest line, and its price."""
+    lines = tables.raw_lines(spark, sf_dir).join(tables.order_heads(spark, sf_dir), "l_orderkey")
+    versions = lines.select(
+        "product_id",
+        F.col("l_suppkey").cast("string").alias("product_name"),
+        F.col("l_extendedprice").cast("decimal(10,2)").cast("string").alias("category"),
+        "order_ts",
+    )
+    return star.dim_product(versions)
+
+
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.dim_date(stamps.with_order_date(tables.order_heads(spark, sf_dir)))
 
@@ -144,6 +170,79 @@ def fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(written)
 
 
+def fact_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact as it lies in its files: rows per day, and rows before an earlier one of their file."""
+    path = scratch_path(spark, "fact-by-time")
+    warehouse.write_fact(materialize(_fact(spark, sf_dir)), path)
+    placed = spark.read.parquet(path).select(
+        "order_date",
+        "order_ts",
+        F.input_file_name().alias("file"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    before = F.lag("order_ts").over(Window.partitionBy("file").orderBy("place"))
+    return (
+        placed.withColumn("early", F.coalesce(F.col("order_ts") < before, F.lit(False)))
+        .groupBy("order_date")
+        .agg(F.count(F.lit(1)).alias("orders"), F.count_if("early").alias("out_of_order"))
+    )
+
+
+def fact_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spending per customer of the fact saved in buckets, where grouping needs no shuffle."""
+    name = "fact_by_customer_" + uuid.uuid4().hex
+    warehouse.save_fact(materialize(_fact(spark, sf_dir)), name, customer_buckets=16)
+    spent = F.sum("revenue").alias("revenue")
+    per_customer = warehouse.scan(spark, f"default.{name}").groupBy("customer_id").agg(spent)
+    return _plain(per_customer)
+
+
+def _with_odd_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decoded events; some prices are no number, some infinite, some too large for the fact."""
+    odd = (
+        F.when(F.col("event_id") % 97 == 0, "NaN")
+        .when(F.col("event_id") % 89 == 0, "Infinity")
+        .when(F.col("event_id") % 83 == 0, "1000000000")
+    )
+    events = tables.table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("order_id"),
+        F.col("user_id").cast("string").alias("customer_id"),
+        F.col("event_type").alias("product_id"),
+        F.col("event_type").alias("product_name"),
+        F.col("event_type").alias("category"),
+        F.coalesce(odd.cast("double"), F.col("value")).alias("price"),
+        F.lit(1).alias("quantity"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("order_timestamp"),
+        *[F.lit(None).cast("string").alias(c) for c in ("country", "event_time", "event_source")],
+        "event_id",
+    )
+    return stamps.with_ingest_columns(events, F.to_timestamp("order_timestamp"))
+
+
+def amount_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What becomes of odd prices: rejected at ingest or by the fact load; the rest reaches both."""
+    accepted, refused = validate.split_valid(_with_odd_prices(spark, sf_dir).drop("event_id"))
+    paths = Lake(scratch_path(spark, "lake"))
+    lake.write_bronze(accepted, paths.bronze_batches)
+    run_layers(spark, paths)
+    load_star(spark, paths)
+    rejects = spark.read.parquet(paths.warehouse("fact_rejects"))
+    fact = lake.read_table(spark, paths.warehouse("fact_sales"), schemas.FACT_SALES)
+    gold = lake.read_table(spark, paths.category_metrics, schemas.CATEGORY_METRICS)
+    reasons = F.array_join("reasons", ",").alias("outcome")
+    outcomes = refused.select(reasons).unionByName(rejects.select(reasons))
+    loaded = F.when(F.col("revenue").isNull(), "no money").otherwise("loaded").alias("outcome")
+    counted = outcomes.unionByName(fact.select(loaded)).groupBy("outcome")
+    checks = spark.read.schema(schemas.CHECKS).parquet(paths.warehouse("load_checks"))
+    return (
+        counted.agg(F.count(F.lit(1)).alias("orders"))
+        .unionByName(gold.agg(F.lit("gold").alias("outcome"), F.sum("order_count").alias("orders")))
+        .unionByName(
+            checks.select(F.col("check").alias("outcome"), F.col("value").cast("long").alias("orders"))
+        )
+    )
+
+
 def fact_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Constraints on the lines before dedup, where the key does not hold."""
     fact = star.fact_sales(stamps.with_order_date(tables.bronze_lines(spark, sf_dir)))
@@ -188,6 +287,40 @@ def mom_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(analytics.mom_growth(_fact(spark, sf_dir)))
 
 
+def _asked(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A question in SQL over the loaded star."""
+    paths = Lake(scratch_path(spark, "star"))
+    lake.overwrite(_fact(spark, sf_dir), paths.silver)
+    fact = lake.read_table(spark, paths.silver, schemas.FACT_SALES)
+    warehouse.write_fact(fact, paths.warehouse("fact_sales"))
+    written = {"fact_sales": paths.warehouse("fact_sales")}
+    dims = {"top_categories": "dim_product", "country_distribution": "dim_customer"}
+    if dim := dims.get(name):
+        source = {"dim_product": _dim_product, "dim_customer": _dim_customer}[dim](spark, sf_dir)
+        id_col, key_col = dim.replace("dim_", "") + "_id", dim.replace("dim_", "") + "_key"
+        keyed = star.number_rows(materialize(source), id_col, key_col)
+        written[dim] = paths.warehouse(dim)
+        warehouse.write_dimension(keyed, dim, written[dim])
+    warehouse.register_tables(spark, written)
+    return _plain(ask(spark, name))
+
+
+def asked_daily_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _asked(spark, sf_dir, "daily_trend")
+
+
+def asked_top_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _asked(spark, sf_dir, "top_categories")
+
+
+def asked_country_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _asked(spark, sf_dir, "country_distribution")
+
+
+def asked_mom_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _asked(spark, sf_dir, "mom_growth")
+
+
 def sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain SQL over the registered star: a CTE, a join and grouping by position."""
     warehouse.register_views(
@@ -332,6 +465,13 @@ def bronze_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bronze_view(accepted)
 
 
+def ingest_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ingestion columns at a given moment."""
+    now = F.lit(INGESTED_AT).cast("timestamp")
+    accepted, _ = bronze_stream.bronze_and_rejects(_messages(spark, sf_dir), now=now)
+    return _plain(accepted.select("order_id", "ingestion_timestamp", "order_timestamp", "order_ts"))
+
+
 def _bronze_view(bronze: DataFrame) -> DataFrame:
     wanted = ("order_id", "customer_id", "product_id", "category", "price", "quantity")
     return _plain(bronze.select(*wanted, "order_ts", "year", "month", "day"))
@@ -374,6 +514,29 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.stream_table(spark, sf_dir, "events")
 
 
+def bronze_of_both_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the messages come by the running ingest, half by the backfill, into one lake."""
+    paths, topic = Lake(scratch_path(spark, "lake")), scratch_path(spark, "topic")
+    messages = _messages(spark, sf_dir)
+    half = F.col("key").cast("string").cast("long") % 2
+    for part in (0, 1):
+        messages.filter(half == part).write.parquet(f"{topic}/{part}")
+    bronze_stream.start_bronze(
+        spark.readStream.schema(messages.schema).parquet(f"{topic}/0"),
+        paths.bronze,
+        paths.checkpoint("bronze"),
+        bronze_stream.AVAILABLE_NOW,
+    ).awaitTermination()
+    bronze_stream.start_split(
+        spark.readStream.schema(messages.schema).parquet(f"{topic}/1"),
+        paths.bronze_batches,
+        paths.dead_letter_batches,
+        paths.checkpoint("backfill"),
+        bronze_stream.AVAILABLE_NOW,
+    ).awaitTermination()
+    return _bronze_view(lake.read_bronze(spark, paths.bronze_tables))
+
+
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = Lake(scratch_path(spark, "stream"))
     messages = tables.order_messages(_event_stream(spark, sf_dir))
@@ -395,50 +558,116 @@ def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _reject_view(lake.read_table(spark, paths.dead_letters, schemas.DEAD_LETTERS))
 
 
-def stream_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _event_pieces(spark: SparkSession, sf_dir: str, shuffled: bool = False) -> DataFrame:
+    """The events as a stream of several batches, in order of time or thoroughly mixed."""
+    events = tables.table(spark, sf_dir, "events")
+    if shuffled:
+        piece = F.pmod(F.xxhash64("event_id"), F.lit(PIECES))
+    else:
+        bounds = events.agg(F.min("ts").alias("first"), F.max("ts").alias("last")).first()
+        span = (bounds.last - bounds.first).total_seconds() + 1
+        since = F.unix_timestamp(F.col("ts").cast("timestamp")) - F.unix_timestamp(
+            F.lit(bounds.first).cast("timestamp")
+        )
+        piece = F.floor(since / span * PIECES)
+    path = scratch_path(spark, "events")
+    tables.land_in_pieces(events, path, [piece == k for k in range(PIECES)])
+    return tables.stream_pieces(spark, path)
+
+
+def _windows(spark: SparkSession, events: DataFrame, watermark: str | None) -> str:
     paths = Lake(scratch_path(spark, "stream"))
-    metric_stream.start_closed_windows(
-        _event_sales(_event_stream(spark, sf_dir)),
+    metric_stream.start_windows(
+        _event_sales(events),
         paths.windowed_metrics,
         paths.checkpoint("metrics"),
         bronze_stream.AVAILABLE_NOW,
+        watermark=watermark,
     ).awaitTermination()
-    metrics = lake.read_table(spark, paths.windowed_metrics, schemas.WINDOWED_METRICS)
-    return _plain(metrics)
+    return paths.windowed_metrics
+
+
+def stream_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that are final, of events that come in order of time."""
+    delay = settings.WATERMARK_DELAY
+    path = _windows(spark, _event_pieces(spark, sf_dir), delay)
+    return _plain(metric_stream.read_windows(spark, path, delay))
 
 
 def stream_open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paths = Lake(scratch_path(spark, "stream"))
-    metric_stream.start_open_windows(
-        _event_sales(_event_stream(spark, sf_dir)),
-        paths.windowed_metrics,
-        paths.checkpoint("metrics"),
-        bronze_stream.AVAILABLE_NOW,
-    ).awaitTermination()
-    return _plain(metric_stream.latest_windows(spark, paths.windowed_metrics))
+    """All windows, of events that come in no order."""
+    path = _windows(spark, _event_pieces(spark, sf_dir, shuffled=True), None)
+    return _plain(metric_stream.read_windows(spark, path))
+
+
+def stream_late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With final windows, events in no order are counted in one, or kept as late: none is lost."""
+    path = _windows(spark, _event_pieces(spark, sf_dir, shuffled=True), settings.WATERMARK_DELAY)
+    counted = metric_stream.read_windows(spark, path).select(
+        "category", F.col("order_count").alias("orders"), F.lit(0).alias("late")
+    )
+    late = metric_stream.late_rows(spark, path)
+    behind = late.select("category", F.lit(1).alias("orders"), F.lit(1).alias("late"))
+    totals = counted.unionByName(behind).groupBy("category")
+    return totals.agg(F.sum("orders").alias("orders"), (F.sum("late") > 0).alias("some_late"))
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The order ids that pass; which copy passes depends on arrival."""
-    paths = Lake(scratch_path(spark, "stream"))
-    lines = tables.stream_table(spark, sf_dir, "lineitem")
-    keyed = lines.select(tables.order_id().alias("order_id"), F.col("l_shipdate").alias("order_ts"))
-    writer = dedup_stream(keyed).writeStream.format("parquet").trigger(availableNow=True)
-    writer = writer.option("checkpointLocation", paths.checkpoint("dedup"))
-    writer.start(paths.bronze).awaitTermination()
-    return lake.read_table(spark, paths.bronze, schemas.schema(order_id="string"))
+    """The order ids that pass, of lines that come in no order; which copy passes depends on it."""
+    paths, landing = Lake(scratch_path(spark, "stream")), scratch_path(spark, "lines")
+    lines = tables.table(spark, sf_dir, "lineitem").select(
+        tables.order_id().alias("order_id"), F.col("l_shipdate").alias("order_ts"), "l_extendedprice"
+    )
+    piece = F.pmod(F.xxhash64("order_ts", "l_extendedprice"), F.lit(PIECES))
+    tables.land_in_pieces(lines, landing, [piece == k for k in range(PIECES)])
+    start_unique(
+        tables.stream_pieces(spark, landing).drop("l_extendedprice"),
+        paths.bronze_batches,
+        paths.checkpoint("dedup"),
+        bronze_stream.AVAILABLE_NOW,
+    ).awaitTermination()
+    return lake.read_table(spark, paths.bronze_batches, schemas.schema(order_id="string"))
 
 
 # Layers
 
 
-def layered_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _layered(spark: SparkSession, sf_dir: str) -> Lake:
     """Messages through bronze, silver, the checks and gold, by way of written tables."""
     paths = Lake(scratch_path(spark, "lake"))
     accepted, _ = bronze_stream.bronze_and_rejects(_messages(spark, sf_dir))
-    lake.write_bronze(accepted, paths.bronze)
-    written = run_layers(spark, paths)
-    return lake.read_table(spark, written["category_metrics"], schemas.CATEGORY_METRICS)
+    lake.write_bronze(accepted, paths.bronze_batches)
+    run_layers(spark, paths)
+    return paths
+
+
+def layered_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = _layered(spark, sf_dir)
+    return lake.read_table(spark, paths.category_metrics, schemas.CATEGORY_METRICS)
+
+
+def layered_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = _layered(spark, sf_dir)
+    return lake.read_table(spark, paths.daily_revenue, schemas.DAILY_REVENUE)
+
+
+def layered_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver of some days, where orders are sent again for other days, in no order of time."""
+    paths = Lake(scratch_path(spark, "lake"))
+    number = F.col("event_id")
+    order = F.concat_ws("-", F.col("customer_id"), (number % 5).cast("string"))
+    resent = _with_odd_prices(spark, sf_dir).withColumn("order_id", order)
+    # The last one sent is the one that counts.
+    sent = F.timestamp_seconds(number * 7919 % 1000003)
+    accepted, _ = validate.split_valid(
+        resent.withColumn("ingestion_timestamp", sent).drop("event_id")
+    )
+    lake.write_bronze(accepted, paths.bronze_batches)
+    days = date.fromisoformat(RANGE[0]), date.fromisoformat(RANGE[1])
+    target = Lake(scratch_path(spark, "range"))
+    run_layers(spark, paths, *days, target)
+    silver = lake.read_table(spark, target.silver, schemas.SILVER)
+    return silver.select("order_id", "order_date", "price")
 
 
 QUERIES: dict[str, Query] = {
@@ -454,9 +683,13 @@ QUERIES: dict[str, Query] = {
         dim_product,
         dim_customer,
         dim_customer_refresh,
+        dim_supplier,
         dim_date,
         fact_sales,
         fact_load,
+        fact_by_time,
+        fact_by_customer,
+        amount_rejects,
         fact_constraints,
         daily_trend,
         daily_trend_distinct,
@@ -465,6 +698,10 @@ QUERIES: dict[str, Query] = {
         country_distribution,
         monthly_revenue,
         mom_growth,
+        asked_daily_trend,
+        asked_top_categories,
+        asked_country_distribution,
+        asked_mom_growth,
         sql_views,
         row_count_drift,
         null_profile,
@@ -482,15 +719,20 @@ QUERIES: dict[str, Query] = {
         typed_strings,
         csv_orders,
         bronze_columns,
+        ingest_stamp,
         loosely_accepted,
         rejected_events,
         strictly_rejected,
         bronze_table,
+        bronze_of_both_jobs,
         stream_bronze,
         stream_dead_letters,
         stream_closed_windows,
         stream_open_windows,
+        stream_late_events,
         stream_dedup,
         layered_gold,
+        layered_daily,
+        layered_range,
     )
 }

@@ -6,8 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillstream import schemas
 from tillstream.operators import analytics
-from tillstream.operators.warehouse import dim_customer, dim_date, dim_product, fact_sales
-from tillstream.session import materialize
+from tillstream.operators.quality import reject_count
+from tillstream.operators.warehouse import (
+    dim_customer,
+    dim_date,
+    dim_product,
+    fact_rejects,
+    fact_sales,
+)
 from tillstream.settings import Lake
 from tillstream.sources import lake, warehouse
 
@@ -22,16 +28,22 @@ def load_star(
 ) -> dict[str, str]:
     """Write the fact and the dimensions from silver.
 
+    Rows whose amounts the fact cannot hold go to a table of rejects, are counted in the checks of
+    the load, and stop nothing.
+
     Products and customers of ``previous``, an earlier load below another root, keep their keys.
     """
     if previous is not None and previous.root.rstrip("/") == paths.root.rstrip("/"):
         raise ValueError("load into a new root; the previous dimensions are read meanwhile")
     silver = lake.read_table(spark, paths.silver, schemas.SILVER)
+    rejects = paths.warehouse("fact_rejects")
+    lake.overwrite(fact_rejects(silver), rejects)
+    refused = reject_count(spark.read.parquet(rejects), "fact_sales")
+    lake.overwrite(refused, paths.warehouse("load_checks"))
     warehouse.write_fact(fact_sales(silver), paths.warehouse("fact_sales"))
     for name, (build, schema) in _DIMENSIONS.items():
         existing = previous and lake.read_table(spark, previous.warehouse(name), schema)
-        dim = materialize(build(silver, existing))
-        warehouse.write_dimension(dim, name, paths.warehouse(name))
+        warehouse.write_dimension(build(silver, existing), name, paths.warehouse(name))
     warehouse.write_dimension(dim_date(silver), "dim_date", paths.warehouse("dim_date"))
     return {name: paths.warehouse(name) for name in ("fact_sales", *_DIMENSIONS, "dim_date")}
 
@@ -50,6 +62,65 @@ def read_star(spark: SparkSession, paths: Lake) -> dict[str, DataFrame]:
     }
 
 
+# The four questions over the tables of ``register_tables``.
+QUESTIONS = {
+    "daily_trend": """
+        SELECT order_date, sum(revenue) AS total_revenue,
+               count(DISTINCT order_id) AS total_orders, sum(quantity) AS total_items_sold
+        FROM {schema}.fact_sales
+        GROUP BY order_date
+        ORDER BY order_date DESC
+    """,
+    "top_categories": """
+        WITH sold AS (
+            SELECT product_id, order_id, sum(revenue) AS revenue
+            FROM {schema}.fact_sales GROUP BY product_id, order_id
+        )
+        SELECT category, sum(revenue) AS total_revenue, count(DISTINCT order_id) AS order_count
+        FROM sold JOIN {schema}.dim_product USING (product_id)
+        GROUP BY category
+        ORDER BY total_revenue DESC, category
+        LIMIT 10
+    """,
+    "country_distribution": """
+        WITH spent AS (
+            SELECT customer_id, sum(revenue) AS revenue
+            FROM {schema}.fact_sales GROUP BY customer_id
+        )
+        SELECT country, sum(revenue) AS total_revenue,
+               count(DISTINCT customer_id) AS unique_customers
+        FROM spent JOIN {schema}.dim_customer USING (customer_id)
+        GROUP BY country
+        ORDER BY total_revenue DESC, country
+    """,
+    "mom_growth": """
+        WITH months AS (
+            SELECT trunc(order_date, 'month') AS sales_month, sum(revenue) AS revenue
+            FROM {schema}.fact_sales GROUP BY 1
+        ), paired AS (
+            SELECT *, lag(revenue) OVER (ORDER BY sales_month) AS prev_month_revenue FROM months
+        )
+        SELECT sales_month, revenue, prev_month_revenue,
+               round(try_divide(revenue - prev_month_revenue, prev_month_revenue) * 100, 2)
+                   AS growth_percentage
+        FROM paired
+    """,
+}
+
+
+def ask(spark: SparkSession, name: str, schema: str = warehouse.SCHEMA) -> DataFrame:
+    """One of the four questions, in SQL over the catalog tables of a loaded star."""
+    return spark.sql(QUESTIONS[name].format(schema=schema))
+
+
+def write_answers(spark: SparkSession, paths: Lake) -> dict[str, str]:
+    """Answer all questions in full, each written below the root; returns the paths."""
+    answers = {name: paths.question(name) for name in QUESTIONS}
+    for name, result in analyze(read_star(spark, paths)).items():
+        lake.overwrite(result, answers[name])
+    return answers
+
+
 def analyze(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The four analytical results over a loaded star, whose order ids were checked as key."""
     fact = tables["fact_sales"]

@@ -26,6 +26,12 @@ POSITIVE_COLUMNS = ("price", "quantity")
 # A dimension whose columns hold at most this many bytes is broadcast.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
+# Bytes that a row takes in a broadcast table beside its values.
+BROADCAST_ROW_BYTES = 64
+
+# Files are compressed: their bytes times this are taken as an upper bound of the values' bytes.
+EXPANSION = 16
+
 # Copies made of a larger dimension, so that one hot key is joined by this many tasks.
 JOIN_SALTS = 16
 
@@ -39,9 +45,14 @@ SCAN_TASK_BYTES = 128 * 1024 * 1024
 MAX_SCAN_TASKS = 262_144
 
 
+# Where the tables of a lake lie below its root.
 @dataclass(frozen=True)
 class Lake:
-    """Paths of one lake below a root such as ``s3a://bucket`` or a local folder."""
+    """Paths of one lake below a root such as ``s3a://bucket`` or a local folder.
+
+    What a running stream appends and what batches write are tables of their own, as Spark reads
+    only listed files where a stream has written. Readers take both.
+    """
 
     root: str
 
@@ -52,6 +63,14 @@ class Lake:
     def bronze(self) -> str:
         return self._at("bronze/sales_events")
 
+    @property
+    def bronze_batches(self) -> str:
+        return self._at("bronze/sales_events_batches")
+
+    @property
+    def bronze_tables(self) -> tuple[str, str]:
+        return self.bronze, self.bronze_batches
+
     @property
     def silver(self) -> str:
         return self._at("silver/sales_transactions")
@@ -76,6 +95,17 @@ class Lake:
     def dead_letters(self) -> str:
         return self._at("dlq/malformed_records")
 
+    @property
+    def dead_letter_batches(self) -> str:
+        return self._at("dlq/malformed_records_batches")
+
+    @property
+    def dead_letter_tables(self) -> tuple[str, str]:
+        return self.dead_letters, self.dead_letter_batches
+
+    def question(self, name: str) -> str:
+        return self._at(f"questions/{name}")
+
     def warehouse(self, table: str) -> str:
         return self._at(f"warehouse/{table}")
 

@@ -29,6 +29,21 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/{{{name}.parquet}}")
 
 
+def land_in_pieces(rows: DataFrame, path: str, pieces: list[Column]) -> None:
+    """Append the rows as one file after the other, so that a stream sees a batch for each.
+
+    ``pieces`` are conditions that together hold for every row once.
+    """
+    for piece in pieces:
+        rows.filter(piece).coalesce(1).write.mode("append").parquet(path)
+
+
+def stream_pieces(spark: SparkSession, path: str) -> DataFrame:
+    """The files of ``land_in_pieces`` as a stream, one per batch."""
+    schema = spark.read.parquet(path).schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line, copies included, with the amounts as they are stored."""
     return table(spark, sf_dir, "lineitem").select(

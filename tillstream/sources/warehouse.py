@@ -91,14 +91,27 @@ def copy_statement(table: str, path: str, role: str) -> str:
     return f"COPY {table} FROM '{path}' IAM_ROLE '{role}' FORMAT AS PARQUET"
 
 
-def copy_to_jdbc(
-    df: DataFrame, url: str, table: str, properties: dict[str, str], connections: int = 16
+def stage_to_jdbc(
+    df: DataFrame, url: str, staging: str, properties: dict[str, str], connections: int = 16
 ) -> None:
-    """Append to a table of an external warehouse over a bounded number of connections.
+    """Replace the rows of a staging table of an external warehouse, so a retry repeats nothing.
 
-    The shuffle keeps what comes before the write at its own width.
+    The connections are bounded; the shuffle keeps what comes before at its own width. What
+    ``merge_statement`` gives, run by the warehouse, takes the rows over.
     """
-    df.repartition(connections).write.jdbc(url, table, mode="append", properties=properties)
+    writer = df.repartition(connections).write.option("truncate", "true")
+    writer.jdbc(url, staging, mode="overwrite", properties=properties)
+
+
+def merge_statement(table: str, staging: str, key: str, columns: list[str]) -> str:
+    """Statement that takes staged rows over: known keys are replaced, new ones added."""
+    changed = ", ".join(f"{c} = s.{c}" for c in columns if c != key)
+    listed, staged = ", ".join(columns), ", ".join(f"s.{c}" for c in columns)
+    return (
+        f"MERGE INTO {table} USING {staging} AS s ON {table}.{key} = s.{key} "
+        f"WHEN MATCHED THEN UPDATE SET {changed} "
+        f"WHEN NOT MATCHED THEN INSERT ({listed}) VALUES ({staged})"
+    )
 
 
 def scan(spark: SparkSession, name: str) -> DataFrame:

@@ -13,7 +13,8 @@ from tillstream import settings
 from tillstream.functions.codec import decode_events
 from tillstream.functions.stamps import with_ingest_columns
 from tillstream.operators.validate import split_valid
-from tillstream.streaming.dedup import dedup_stream
+from tillstream.sources import lake
+from tillstream.streaming.dedup import start_unique
 
 PARTITIONS = ("year", "month", "day")
 RUN = "batch"
@@ -41,19 +42,33 @@ def start_bronze(
     checkpoint: str,
     trigger: dict | None = None,
     strict: bool = False,
-    unique_within: str | None = None,
 ) -> StreamingQuery:
     """Append the accepted events to bronze through the file sink, exactly once.
 
-    Stopped and started again with the same checkpoint, it goes on where it was. ``unique_within``
-    leaves out copies of an order within that delay, see ``dedup_stream``; silver does without.
+    Stopped and started again with the same checkpoint, it goes on where it was.
     """
     accepted, _ = bronze_and_rejects(messages, strict)
-    if unique_within is not None:
-        accepted = dedup_stream(accepted, delay=unique_within)
     return _start_files(accepted, path, checkpoint, trigger, *PARTITIONS)
 
 
+def start_unique_bronze(
+    messages: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    strict: bool = False,
+    unique_within: str | None = None,
+) -> StreamingQuery:
+    """Accepted events without copies of an order within that delay, see ``start_unique``.
+
+    Silver does without. The path is one of batches, such as ``Lake.bronze_batches``.
+    """
+    accepted, _ = bronze_and_rejects(messages, strict)
+    return start_unique(
+        accepted, path, checkpoint, trigger, delay=unique_within, partitions=PARTITIONS
+    )
+
+
 def start_dead_letters(
     messages: DataFrame,
     path: str,
@@ -73,6 +88,7 @@ def start_dead_letters(
 def _start_files(
     events: DataFrame, path: str, checkpoint: str, trigger: dict | None, *partitions: str
 ) -> StreamingQuery:
+    lake.require_stream_path(events.sparkSession, path)
     writer = events.writeStream.format("parquet").outputMode("append").partitionBy(*partitions)
     writer = writer.option("path", path).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()
@@ -80,6 +96,7 @@ def _start_files(
 
 def _write_run(df: DataFrame, path: str, *partitions: str) -> None:
     """Replace only the partitions in ``df``, so a batch that is run again writes nothing twice."""
+    lake.require_batch_path(df.sparkSession, path)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partitions).parquet(path)
 
@@ -127,10 +144,12 @@ def start_split(
     with a new checkpoint, never replaces its batches.
 
     Each batch is a folder below each of its days: meant for backfills of few, large batches, not
-    for one every few seconds. Do not mix it with ``start_bronze`` on one path, where readers see
-    only what that stream lists. ``compact`` brings the rows of a day together first, at the price
+    for one every few seconds. Its paths are tables of batches, such as ``Lake.bronze_batches``;
+    one that ``start_bronze`` has written is refused. ``compact`` brings the rows of a day together first, at the price
     of a shuffle; otherwise each task writes to every day it meets.
     """
+    for path in (bronze_path, dead_letter_path):
+        lake.require_batch_path(messages.sparkSession, path)
     stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
     write = split_writer(bronze_path, dead_letter_path, stream, strict, compact)
     writer = messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from tillstream import settings
+from tillstream import schemas, settings
+from tillstream.operators.dedup import dedup
+from tillstream.sources import lake
+
+RUN = "batch"
 
 _ROW = "_row"
+_SEEN = "_seen"
 
 
 def dedup_stream(
@@ -19,15 +25,14 @@ def dedup_stream(
     keys: str | Sequence[str] = "order_id",
     event_time: str = "order_ts",
     delay: str = settings.WATERMARK_DELAY,
-    precombine: bool = True,
+    precombine: bool = False,
 ) -> DataFrame:
-    """The first row per key; copies within ``delay`` of it are left out, later ones may stay.
+    """The first row per key, for streams that arrive in order of time up to ``delay``.
 
-    Batch dedup keeps the last copy instead, so this is not a step of the bronze stream. All rows of
-    a key meet in one state partition. Spark has no partial aggregate for this operator, so
-    ``precombine`` first keeps one copy per key in each Arrow batch, the one with the newest event
-    time: the state would have dropped the others of that batch anyway, and the newest is the
-    last to count as late.
+    Spark drops rows that come later than that, copies or not; ``start_unique`` keeps them. Copies
+    within ``delay`` of the first are left out, later ones may stay. All rows of a key meet in one
+    state partition. For hot keys ``precombine`` keeps one copy per key in each Arrow batch, the
+    one with the newest event time, at the price of sending every row through Python.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if dict(events.dtypes)[event_time] == "timestamp_ntz":
@@ -44,3 +49,62 @@ def dedup_stream(
 
         events = events.mapInArrow(newest_per_key, events.schema)
     return events.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+
+
+def unique_writer(
+    path: str,
+    keys: Sequence[str],
+    event_time: str,
+    delay: str | None = None,
+    partitions: Sequence[str] = (),
+) -> Callable[[DataFrame, int], None]:
+    """Function for ``foreachBatch`` that adds the rows whose key the table does not hold yet.
+
+    Copies within a batch are ranked before the shuffle. Of the table only keys and event times are
+    read, and not those of the batch itself, which a replay replaces.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        lake.require_batch_path(spark, path)
+        first = dedup(batch, keys, event_time, keep="first")
+        if batch_id and lake.exists(spark, path):
+            table = schemas.extended(first.schema, **{RUN: "long"})
+            held = spark.read.schema(table).parquet(path)
+            seen = held.where(F.col(RUN) < batch_id).select(
+                *[F.col(key).alias(f"{_SEEN}_{key}") for key in keys],
+                F.col(event_time).alias(_SEEN),
+            )
+            copy = [F.col(key).eqNullSafe(F.col(f"{_SEEN}_{key}")) for key in keys]
+            if delay is not None:
+                near = F.expr(f"INTERVAL {delay}")
+                copy += [F.col(_SEEN) >= F.col(event_time) - near]
+                copy += [F.col(_SEEN) <= F.col(event_time) + near]
+            first = first.join(seen, copy, "left_anti")
+        writer = first.withColumn(RUN, F.lit(batch_id).cast("long")).write.mode("overwrite")
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*partitions, RUN).parquet(path)
+
+    return write
+
+
+def start_unique(
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    keys: str | Sequence[str] = "order_id",
+    event_time: str = "order_ts",
+    delay: str | None = None,
+    partitions: Sequence[str] = (),
+) -> StreamingQuery:
+    """Append each key once, in whatever order its rows arrive; no row counts as late.
+
+    Every batch is compared with the keys in the table, so there is no state to grow and no
+    watermark to fall behind; a batch costs a scan of the key columns. With ``delay`` a copy that
+    far from a row of its key stays. A new checkpoint needs a new path.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    write = unique_writer(path, keys, event_time, delay, partitions)
+    writer = events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(**trigger) if trigger else writer).start()
