@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.session import materialize
+from tillstream.session import Scratch, materialize
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -39,12 +39,14 @@ def components(links: DataFrame) -> DataFrame:
     edges = links.where(F.col("a") != F.col("b")).select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     )
-    edges = materialize(edges.distinct())
-    state = _state(edges)
-    while state[0]:
-        edges = materialize(_small_star(_large_star(edges)))
-        before, state = state, _state(edges)
-        if state == before:
-            break
-    stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return stars.union(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    with Scratch(links.sparkSession) as scratch:
+        edges = scratch.keep(edges.distinct())
+        state = _state(edges)
+        while state[0]:
+            edges = scratch.keep(_small_star(_large_star(edges)))
+            before, state = state, _state(edges)
+            if state == before:
+                break
+        stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+        return materialize(stars.union(roots))

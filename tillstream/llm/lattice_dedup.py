@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tillstream.llm.components import components
 from tillstream.llm.e8_lattice import cells
 from tillstream.llm.vectors import arrays, distinct_vectors
-from tillstream.session import materialize
+from tillstream.session import Scratch, materialize
 
 COSINE = 0.9
 TABLES = 8
@@ -270,27 +270,30 @@ def near_duplicates(
     scale: float = SCALE,
 ) -> DataFrame:
     """``(id, n_links, component)`` per row: vectors linked directly, and the least id reachable."""
-    codes = materialize(coded(distinct_vectors(frame, id_col, vector_col), tables, probes, scale))
-    classes = materialize(
-        codes.groupBy("digest").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("copies"))
-    )
-    nodes = codes.join(classes.withColumn("id", F.col("node")), ["digest", "id"])
-    members = entries(nodes, tables, probes)
-    left = materialize(nearby(members, sketch_limit(cosine)))
-    heavy = nodes.select("node", "copies", "unit", "cells")
-    found = materialize(block_links(left.join(heavy, "node"), cosine, tables, probes))
-    counts = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
-    connected = components(found.where("b IS NOT NULL").select("a", "b"))
-    result = (
-        classes.join(counts, "node", "left")
-        .join(connected, "node", "left")
-        .select(
-            "digest",
-            (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component", "node").alias("component"),
+    with Scratch(frame.sparkSession) as scratch:
+        codes = scratch.keep(
+            coded(distinct_vectors(frame, id_col, vector_col), tables, probes, scale)
         )
-    )
-    by_id = codes.select("id", "digest").join(result, "digest").drop("digest")
+        classes = scratch.keep(
+            codes.groupBy("digest").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("copies"))
+        )
+        nodes = codes.join(classes.withColumn("id", F.col("node")), ["digest", "id"])
+        members = entries(nodes, tables, probes)
+        left = scratch.keep(nearby(members, sketch_limit(cosine)))
+        heavy = nodes.select("node", "copies", "unit", "cells")
+        found = scratch.keep(block_links(left.join(heavy, "node"), cosine, tables, probes))
+        counts = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
+        connected = components(found.where("b IS NOT NULL").select("a", "b"))
+        result = (
+            classes.join(counts, "node", "left")
+            .join(connected, "node", "left")
+            .select(
+                "digest",
+                (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+                F.coalesce("component", "node").alias("component"),
+            )
+        )
+        by_id = materialize(codes.select("id", "digest").join(result, "digest").drop("digest"))
     rows = frame.select(F.col(id_col).cast("long").alias("id"))
     return rows.join(by_id, "id", "left").select(
         "id",

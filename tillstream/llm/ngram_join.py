@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tillstream.llm.components import components
 from tillstream.llm.text import LOWERED, whole_text
 from tillstream.operators.joins import fits_broadcast
-from tillstream.session import materialize
+from tillstream.session import Scratch, materialize, session_options
 
 WORDS = 5
 SIMILARITY = (80, 100)
@@ -40,6 +40,7 @@ CELLS_LOG2 = 18
 BITS_LOG2 = 27
 _BLOCK = 1 << 14
 _SLICE = 256
+_SMALL_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 _MAX_REMEMBERED = 200_000
 # One of these seeds per further order.
 _SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -263,6 +264,7 @@ def _pairwise(
     keep: Callable[..., bool],
     columns: Sequence[str],
     kind: type,
+    scratch: Scratch,
 ) -> DataFrame:
     """Pairs ``(a, b)`` whose values pass ``keep(*values of a, *values of b)``."""
     left = values.select(F.col("doc").alias("a"), *[F.col(c).alias(f"{c}_a") for c in columns])
@@ -275,24 +277,38 @@ def _pairwise(
             stay = pa.array([keep(*x) for x in zip(*own, strict=True)], pa.bool_())
             yield batch.select(["a", "b"]).filter(stay)
 
-    return materialize(joined.mapInArrow(passing, "a long, b long").distinct())
+    return scratch.keep(joined.mapInArrow(passing, "a long, b long").distinct())
 
 
-def _numbered(values: np.ndarray) -> np.ndarray:
-    """Sorted values, made distinct by counting the equal ones."""
-    repeats = np.arange(len(values)) - np.searchsorted(values, values, "left")
-    return (values.astype(np.uint64) << np.uint64(32)) | repeats.astype(np.uint64)
+def _tally(tokens: np.ndarray) -> np.ndarray:
+    """How many tokens have each value of the first bits of their hash, about one value per token.
+
+    Nothing if a count does not fit one byte.
+    """
+    bits = min(max(len(tokens).bit_length() - 1, 6), 16)
+    counts = np.bincount((tokens >> np.uint64(64 - bits)).view(np.int64), minlength=1 << bits)
+    return counts.astype(np.uint8) if counts.max(initial=0) < 256 else np.zeros(0, np.uint8)
+
+
+def _most_common(a: np.ndarray, b: np.ndarray) -> int:
+    """Upper bound of the tokens that sets with these tallies share."""
+    if len(a) > len(b):
+        a, b = b, a
+    folded = b.reshape(len(a), -1).sum(1, dtype=np.int64)
+    return int(np.minimum(a, folded).sum())
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
     return len(np.intersect1d(a, b, assume_unique=True))
 
 
-def similar_pairs(pairs: DataFrame, sets: DataFrame, similarity: Similarity) -> DataFrame:
+def similar_pairs(
+    pairs: DataFrame, sets: DataFrame, similarity: Similarity, scratch: Scratch
+) -> DataFrame:
     """The pairs ``(a, b)`` that are similar: the other orders' prefixes, then the sets.
 
-    Prefixes and sets travel as the 16-bit ends of their hashes first. What two sets share, their
-    ends share too, so a pair that fails by them is not similar; whole sets follow for the few left.
+    Prefixes travel as the 16-bit ends of their hashes: what two share, their ends share too. Of
+    the sets the tallies follow, that bound what they can share; whole sets for the few left.
     """
 
     def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,37 +321,40 @@ def similar_pairs(pairs: DataFrame, sets: DataFrame, similarity: Similarity) ->
                     front = np.sort(_mixed(tokens ^ np.uint64(seed)))[: similarity.prefix(len(tokens))]
                     fronts.append(np.unique(front.astype(np.uint16)).tobytes())
                 columns.append(pa.array(fronts, pa.binary()))
-            ends = [(tokens >> np.uint64(48)).astype(np.uint16).tobytes() for tokens in sets]
-            columns.append(pa.array(ends, pa.binary()))
-            yield pa.RecordBatch.from_arrays(columns, ["doc", "first", "second", "ends"])
+            columns.append(pa.array([_tally(tokens).tobytes() for tokens in sets], pa.binary()))
+            columns.append(pa.array([np.uint64(len(x)).tobytes() for x in sets], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, ["doc", "first", "second", "tally", "n"])
 
     def share(*fronts: np.ndarray) -> bool:
         half = len(fronts) // 2
         return all(_common(x, y) for x, y in zip(fronts[:half], fronts[half:], strict=True))
 
-    def may_be_similar(a: np.ndarray, b: np.ndarray) -> bool:
-        return similarity.holds(_common(_numbered(a), _numbered(b)), len(a), len(b))
+    def may_be_similar(a: np.ndarray, size_a: np.ndarray, b: np.ndarray, size_b: np.ndarray) -> bool:
+        if not len(a) or not len(b):
+            return True
+        sizes = (int(size.view(np.uint64)[0]) for size in (size_a, size_b))
+        return similarity.holds(_most_common(a, b), *sizes)
 
     def similar(a: np.ndarray, b: np.ndarray) -> bool:
         return similarity.holds(_common(a, b), len(a), len(b))
 
     def ids(pairs: DataFrame) -> DataFrame:
-        return materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct())
+        return scratch.keep(pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct())
 
     held = among(sets.select("doc", "tokens"), ids(pairs), "left_semi")
-    kind = "doc long, first binary, second binary, ends binary"
-    short = materialize(held.mapInArrow(shorten, kind))
-    passed = _pairwise(pairs, short, share, ["first", "second"], np.uint16)
-    likely = _pairwise(passed, short, may_be_similar, ["ends"], np.uint16)
+    kind = "doc long, first binary, second binary, tally binary, n binary"
+    short = scratch.keep(held.mapInArrow(shorten, kind))
+    passed = _pairwise(pairs, short, share, ["first", "second"], np.uint16, scratch)
+    likely = _pairwise(passed, short, may_be_similar, ["tally", "n"], np.uint8, scratch)
     whole = among(sets.select("doc", "tokens"), ids(likely), "left_semi")
-    return _pairwise(likely, whole, similar, ["tokens"], np.uint64)
+    return _pairwise(likely, whole, similar, ["tokens"], np.uint64, scratch)
 
 
 def _ordered(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def links_between(sets: DataFrame, similarity: Similarity) -> DataFrame:
+def links_between(sets: DataFrame, similarity: Similarity, scratch: Scratch) -> DataFrame:
     """``(a, b)``: links that connect whatever similar sets connect; sets are read repeatedly."""
     frequencies = token_frequencies(sets)
     tokens = prefix_tokens(sets, frequencies, similarity)
@@ -343,18 +362,18 @@ def links_between(sets: DataFrame, similarity: Similarity) -> DataFrame:
         F.min(F.struct("place", "doc", "n")).alias("hub"), F.count(F.lit(1)).alias("members")
     )
     # Tokens of one document alone, the most by far, end here, and mostly before the next shuffle.
-    hubs = materialize(hubs.where("members > 1").drop("members"))
+    hubs = scratch.keep(hubs.where("members > 1").drop("members"))
     members = prefix_tokens(sets, frequencies, similarity, token_bits(hubs))
-    shared = materialize(members.join(hubs, "token"))
+    shared = scratch.keep(members.join(hubs, "token"))
     with_hub = shared.where(
         (F.col("doc") != F.col("hub.doc"))
         & similarity.possible(F.col("n"), F.col("place"), F.col("hub.n"), F.col("hub.place"))
     )
-    first = materialize(with_hub.select(*_ordered(F.col("doc"), F.col("hub.doc"))).distinct())
-    first_links = similar_pairs(first, sets, similarity)
+    first = scratch.keep(with_hub.select(*_ordered(F.col("doc"), F.col("hub.doc"))).distinct())
+    first_links = similar_pairs(first, sets, similarity, scratch)
 
     found = components(first_links).select(F.col("node").alias("doc"), "component")
-    placed = materialize(
+    placed = scratch.keep(
         shared.drop("hub")
         .join(found, "doc", "left")
         .withColumn("component", F.coalesce("component", "doc"))
@@ -374,8 +393,8 @@ def links_between(sets: DataFrame, similarity: Similarity) -> DataFrame:
         & similarity.possible(F.col("x.n"), F.col("x.place"), F.col("y.n"), F.col("y.place"))
     )
     second = x.join(y, meeting).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
-    second = materialize(second.join(first, ["a", "b"], "left_anti"))
-    return first_links.union(similar_pairs(second, sets, similarity))
+    second = scratch.keep(second.join(first, ["a", "b"], "left_anti"))
+    return first_links.union(similar_pairs(second, sets, similarity, scratch))
 
 
 def similar_documents(
@@ -389,20 +408,24 @@ def similar_documents(
 
     ``component`` is the least id that links lead to, the document's own included.
     """
-    sets = materialize(token_sets(docs, doc_col, text_col, words))
-    nodes = materialize(
-        sets.where("doc IS NOT NULL AND n > 0").groupBy("digest").agg(F.min("doc").alias("node"))
-    )
-    members = sets.select("doc", "n", "digest").join(nodes, "digest", "left")
-    copies = materialize(members.where("doc > node").select("doc", "digest").distinct())
-    own = sets.where("doc IS NOT NULL AND n > 0")
-    distinct_sets = among(own, copies, "left_anti", ["doc", "digest"]).select("doc", "n", "tokens")
-    links = links_between(distinct_sets, Similarity(*similarity))
-    # A document with several texts holds the nodes of all of them together.
-    held = members.where("doc > node").select(F.col("doc").alias("a"), F.col("node").alias("b"))
-    several = members.where("doc IS NOT NULL").groupBy("doc").agg(F.count_distinct("digest").alias("k"))
-    bridges = held.join(several.where("k > 1"), held["a"] == several["doc"], "left_semi")
-    found = components(links.union(bridges))
+    with Scratch(docs.sparkSession) as scratch:
+        with session_options(docs.sparkSession, _SMALL_BATCHES):
+            sets = scratch.keep(token_sets(docs, doc_col, text_col, words))
+        nodes = scratch.keep(
+            sets.where("doc IS NOT NULL AND n > 0").groupBy("digest").agg(F.min("doc").alias("node"))
+        )
+        members = materialize(
+            sets.select("doc", "n", "digest").join(nodes, "digest", "left").select("doc", "n", "digest", "node")
+        )
+        copies = scratch.keep(members.where("doc > node").select("doc", "digest").distinct())
+        own = sets.where("doc IS NOT NULL AND n > 0")
+        distinct_sets = among(own, copies, "left_anti", ["doc", "digest"]).select("doc", "n", "tokens")
+        links = links_between(distinct_sets, Similarity(*similarity), scratch)
+        # A document with several texts holds the nodes of all of them together.
+        held = members.where("doc > node").select(F.col("doc").alias("a"), F.col("node").alias("b"))
+        several = members.where("doc IS NOT NULL").groupBy("doc").agg(F.count_distinct("digest").alias("k"))
+        bridges = held.join(several.where("k > 1"), held["a"] == several["doc"], "left_semi")
+        found = components(links.union(bridges))
     joined = members.withColumn("_node", F.coalesce("node", "doc")).join(
         found.withColumnRenamed("node", "_node"), "_node", "left"
     )
