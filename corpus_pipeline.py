@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tillstream.llm import byte_network, line_dedup, mixing, ngram_join, packing
 from tillstream.llm.queries import WORD_TOKENIZER
 from tillstream.llm.text import table, whole_text
-from tillstream.session import materialize
+from tillstream.session import Scratch, materialize
 
 # The classifier is fitted on the rows, so SQL cannot express the whole.
 ORACLE_SQL = None
@@ -72,7 +72,11 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage, applied to all documents."""
-    docs = table(spark, sf_dir, "documents")
+    docs, read = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir))
+        written = Scratch(spark)
+        docs = written.keep(stage(spark, docs, sf_dir))
+        if read:
+            read.remove()
+        read = written
     return STAGES[-1][1](spark, docs, sf_dir)
