@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.llm.text import whole_text
+from tillstream.llm.worker_memory import remember
 
 LIMIT = 4096
 MARK = "▁"
@@ -104,6 +105,7 @@ _COUNTERS: dict[str, PieceCounter] = {}
 
 def counter(path: str) -> PieceCounter:
     """One per worker process and file."""
+    remember("bpe_count", _COUNTERS.clear)
     if path not in _COUNTERS:
         _COUNTERS[path] = PieceCounter(path)
     return _COUNTERS[path]

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.llm.text import whole_text
+from tillstream.llm.worker_memory import remember
 
 TRAIN_ROWS = 8000
 TRAIN_BYTES = 16_384
@@ -269,11 +270,16 @@ def train(
     return fit([row.text for row in sample], [row.label for row in sample])
 
 
+def _nothing() -> None:
+    """There is nothing to forget."""
+
+
 def quality_score(text: Column, network: Network) -> Column:
     """Score of each whole text; the network has a fixed size and travels with the task."""
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
+        remember("byte_network", _nothing)
         return pd.Series(scores(network, texts.tolist()))
 
     return scored(whole_text(text))

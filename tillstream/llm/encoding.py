@@ -15,13 +15,28 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 
-MAX_WORDS = 400_000
-MAX_WORD_CHARS = 8_000_000
+from tillstream.llm.worker_memory import remember
+
+MAX_WORDS = 600_000
+MAX_WORD_CHARS = 12_000_000
 RUN_CHARS = 2_000_000
 
-# Letters, then signs other than the apostrophe, that makes endings such as 's.
-_PLAIN = re.compile(r"([A-Za-z]+)([!-&(-/:-@\[-`{-~]*)")
-_PROBES = ("Word", "word,", "WORD...", "a", "don't", "x<|endoftext|>y", "tab\tbed", "été!", "3rd")
+# Letters of one code point up to ÿ, then signs other than the apostrophe, that makes endings.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_PROBES = (
+    "Word", "word,", "WORD...", "a", "don't", "x<|endoftext|>y", "tab\tbed", "été!", "3rd", "Straße,",
+    "ÀÉÎÕÜÝÞ", "ñandú;", "øre", "日本", "İx",
+)
+
+
+def _byte_signs() -> dict[int, str]:
+    """The sign that stands for each byte: itself if it can be seen, else one behind the bytes."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    unseen = [x for x in range(256) if x not in seen]
+    return {x: chr(x) for x in seen} | {x: chr(256 + k) for k, x in enumerate(unseen)}
+
+
+_SIGNS = _byte_signs()
 
 
 class _Index(dict):
@@ -44,7 +59,7 @@ class WordEncoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self.largest_id = max(self._tokenizer.get_vocab(with_added_tokens=True).values())
-        self._plain = False
+        self._plain = True
         self._plain = self._ids(_PROBES) == self._whole(_PROBES)
         joined = self._whole([" ".join(_PROBES), "\n".join(_PROBES), "  ".join(_PROBES)])
         apart = [number for ids in self._whole(_PROBES) for number in ids]
@@ -70,7 +85,10 @@ class WordEncoder:
         rest = []
         for place, word in enumerate(words):
             if self._plain and (plain := _PLAIN.fullmatch(word)):
-                ids = [x.id for x in merges(plain[1].lower())]
+                letters = plain[1].lower()
+                if not letters.isascii():
+                    letters = letters.encode().decode("latin-1").translate(_SIGNS)
+                ids = [x.id for x in merges(letters)]
                 out[place] = ids + [x.id for x in merges(plain[2])] if plain[2] else ids
             else:
                 rest.append(place)
@@ -130,6 +148,7 @@ _ENCODERS: dict[str, WordEncoder] = {}
 
 def encoder(path: str) -> WordEncoder:
     """One per worker process and file."""
+    remember("encoding", _ENCODERS.clear)
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
     return _ENCODERS[path]

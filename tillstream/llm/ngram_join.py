@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from tillstream.llm.components import components
 from tillstream.llm.text import LOWERED, whole_text
+from tillstream.llm.worker_memory import SMALL_BATCHES, remember
 from tillstream.operators.joins import fits_broadcast
 from tillstream.session import Scratch, materialize, session_options
 
@@ -40,7 +41,6 @@ CELLS_LOG2 = 18
 BITS_LOG2 = 27
 _BLOCK = 1 << 14
 _SLICE = 256
-_SMALL_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 _MAX_REMEMBERED = 200_000
 # One of these seeds per further order.
 _SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -69,6 +69,14 @@ class _WordHashes(dict):
 _HASHES = _WordHashes()
 
 
+def _start_hashing() -> None:
+    remember("ngram_join", _HASHES.clear)
+
+
+def _stop_hashing() -> None:
+    _HASHES.clear()
+
+
 def tokens_of(text: str, words: int) -> np.ndarray:
     """Sorted distinct hashes of the n-grams of a text."""
     for space in "\t\n\x0b\x0c\r":
@@ -125,6 +133,7 @@ def token_sets(docs: DataFrame, doc_col: str, text_col: str, words: int) -> Data
     """``(doc, n, digest, tokens)``: set size, a digest of the set, and the sorted hashes."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _start_hashing()
         for batch in slices(batches):
             sets = [tokens_of(text, words) for text in batch.column("text").to_pylist()]
             data = [x.tobytes() for x in sets]
@@ -170,6 +179,7 @@ def token_frequencies(sets: DataFrame) -> np.ndarray:
     """Tokens of all sets per cell: a fixed number of counts, summed per task, then per block."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _stop_hashing()
         cells = np.zeros(1 << CELLS_LOG2, np.int64)
         for batch in slices(batches):
             tokens = np.concatenate(_binaries(batch.column("tokens")))
@@ -408,9 +418,9 @@ def similar_documents(
 
     ``component`` is the least id that links lead to, the document's own included.
     """
-    with Scratch(docs.sparkSession) as scratch:
-        with session_options(docs.sparkSession, _SMALL_BATCHES):
-            sets = scratch.keep(token_sets(docs, doc_col, text_col, words))
+    spark = docs.sparkSession
+    with Scratch(spark) as scratch, session_options(spark, SMALL_BATCHES):
+        sets = scratch.keep(token_sets(docs, doc_col, text_col, words))
         nodes = scratch.keep(
             sets.where("doc IS NOT NULL AND n > 0").groupBy("digest").agg(F.min("doc").alias("node"))
         )

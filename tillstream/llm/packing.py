@@ -26,7 +26,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from tillstream.llm.encoding import checksum, encoder
 from tillstream.llm.text import whole_text
-from tillstream.session import materialize
+from tillstream.llm.worker_memory import SMALL_BATCHES
+from tillstream.session import materialize, session_options
 
 CAPACITY = 4096
 END_ID = 1
@@ -195,7 +196,10 @@ def pack(
     with_ids: bool = False,
 ) -> DataFrame:
     """``(doc, piece, start, length, ids_crc32[, ids], sequence_id, offset)`` per piece."""
-    pieces = materialize(cut_pieces(docs, tokenizer, doc_col, text_col, capacity, end_id, with_ids))
+    with session_options(docs.sparkSession, SMALL_BATCHES):
+        pieces = materialize(
+            cut_pieces(docs, tokenizer, doc_col, text_col, capacity, end_id, with_ids)
+        )
     return place_pieces(pieces, ["doc", "piece", "ids_crc32"], capacity)
 
 

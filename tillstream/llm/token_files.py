@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from tillstream.llm.elias_fano import EliasFano
 from tillstream.llm.encoding import checksum, encoder
 from tillstream.llm.text import whole_text
-from tillstream.session import materialize, scratch_path
+from tillstream.llm.worker_memory import SMALL_BATCHES
+from tillstream.session import materialize, scratch_path, session_options
 
 END_ID = 1
 # A shard is closed when it has so many ids or documents.
@@ -154,7 +155,8 @@ def write_token_files(
     source = docs.select(F.col(doc_col).cast("long").alias("doc"), whole_text(text_col).alias("text"))
     ranged = source.withColumn("_tie", F.xxhash64("text")).repartitionByRange("doc", "_tie")
     ordered = ranged.sortWithinPartitions("doc", "_tie").drop("_tie")
-    return materialize(ordered.mapInArrow(write, MANIFEST))
+    with session_options(spark, SMALL_BATCHES):
+        return materialize(ordered.mapInArrow(write, MANIFEST))
 
 
 def read_token_files(manifest: DataFrame) -> DataFrame:
