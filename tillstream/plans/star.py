@@ -23,6 +23,15 @@ _DIMENSIONS = {
 }
 
 
+def load_fact(spark: SparkSession, silver: DataFrame, paths: Lake) -> None:
+    """Write the fact, the rows it cannot hold, and their number as a check."""
+    rejects = paths.warehouse("fact_rejects")
+    lake.overwrite(fact_rejects(silver), rejects)
+    refused = reject_count(spark.read.parquet(rejects), "fact_sales")
+    lake.overwrite(refused, paths.warehouse("load_checks"))
+    warehouse.write_fact(fact_sales(silver), paths.warehouse("fact_sales"))
+
+
 def load_star(
     spark: SparkSession, paths: Lake, previous: Lake | None = None
 ) -> dict[str, str]:
@@ -36,11 +45,7 @@ def load_star(
     if previous is not None and previous.root.rstrip("/") == paths.root.rstrip("/"):
         raise ValueError("load into a new root; the previous dimensions are read meanwhile")
     silver = lake.read_table(spark, paths.silver, schemas.SILVER)
-    rejects = paths.warehouse("fact_rejects")
-    lake.overwrite(fact_rejects(silver), rejects)
-    refused = reject_count(spark.read.parquet(rejects), "fact_sales")
-    lake.overwrite(refused, paths.warehouse("load_checks"))
-    warehouse.write_fact(fact_sales(silver), paths.warehouse("fact_sales"))
+    load_fact(spark, silver, paths)
     for name, (build, schema) in _DIMENSIONS.items():
         existing = previous and lake.read_table(spark, previous.warehouse(name), schema)
         warehouse.write_dimension(build(silver, existing), name, paths.warehouse(name))
