@@ -67,6 +67,10 @@ class WordEncoder:
             raise ValueError(f"{path} does not keep to words")
         self._clear()
 
+    def forget(self) -> None:
+        """Drop what is remembered; a worker that waits for another task holds none of it."""
+        self._clear()
+
     def _clear(self) -> None:
         self._index = _Index()
         self._chars = 0

@@ -144,6 +144,7 @@ def token_sets(docs: DataFrame, doc_col: str, text_col: str, words: int) -> Data
                 pa.array(data, pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["doc", "n", "digest", "tokens"])
+        _stop_hashing()
 
     source = docs.select(F.col(doc_col).cast("long").alias("doc"), whole_text(text_col).alias("text"))
     return source.mapInArrow(hashed, "doc long, n long, digest binary, tokens binary")
@@ -179,7 +180,6 @@ def token_frequencies(sets: DataFrame) -> np.ndarray:
     """Tokens of all sets per cell: a fixed number of counts, summed per task, then per block."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _stop_hashing()
         cells = np.zeros(1 << CELLS_LOG2, np.int64)
         for batch in slices(batches):
             tokens = np.concatenate(_binaries(batch.column("tokens")))
@@ -235,7 +235,7 @@ def prefix_tokens(
     With ``bits`` only tokens whose bit is set; both tables have a fixed size.
     """
     context = sets.sparkSession.sparkContext
-    cells, wanted = context.broadcast(frequencies), context.broadcast(bits)
+    cells, wanted = context.broadcast(frequencies.astype(np.uint32)), context.broadcast(bits)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

@@ -69,6 +69,7 @@ def cut_pieces(
             if with_ids:
                 columns.append(pa.array(out["ids"], pa.list_(pa.int64())))
             yield pa.RecordBatch.from_arrays(columns, ["doc", *names[1 : 5 + with_ids]])
+        library.forget()
 
     source = docs.select(F.col(doc_col).alias("doc"), whole_text(text_col).alias("text"))
     kind = source.schema["doc"].dataType.simpleString()

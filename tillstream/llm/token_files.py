@@ -151,6 +151,7 @@ def write_token_files(
                     held, ids, size, shards = [], [], 0, shards + 1
         if held:
             yield close()
+        library.forget()
 
     source = docs.select(F.col(doc_col).cast("long").alias("doc"), whole_text(text_col).alias("text"))
     ranged = source.withColumn("_tie", F.xxhash64("text")).repartitionByRange("doc", "_tie")
