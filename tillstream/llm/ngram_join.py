@@ -235,7 +235,8 @@ def prefix_tokens(
     With ``bits`` only tokens whose bit is set; both tables have a fixed size.
     """
     context = sets.sparkSession.sparkContext
-    cells, wanted = context.broadcast(frequencies.astype(np.uint32)), context.broadcast(bits)
+    limited = np.minimum(frequencies, 0xFFFFFFFF).astype(np.uint32)
+    cells, wanted = context.broadcast(limited), context.broadcast(bits)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
