@@ -15,7 +15,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 
-from tillstream.llm.worker_memory import remember
+from tillstream.llm.worker_memory import give_back, remember
 
 MAX_WORDS = 600_000
 MAX_WORD_CHARS = 12_000_000
@@ -70,6 +70,7 @@ class WordEncoder:
     def forget(self) -> None:
         """Drop what is remembered; a worker that waits for another task holds none of it."""
         self._clear()
+        give_back()
 
     def _clear(self) -> None:
         self._index = _Index()

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tillstream.llm.components import components
 from tillstream.llm.text import LOWERED, whole_text
-from tillstream.llm.worker_memory import SMALL_BATCHES, remember
+from tillstream.llm.worker_memory import SMALL_BATCHES, give_back, remember
 from tillstream.operators.joins import fits_broadcast
 from tillstream.session import Scratch, materialize, session_options
 
@@ -75,6 +75,7 @@ def _start_hashing() -> None:
 
 def _stop_hashing() -> None:
     _HASHES.clear()
+    give_back()
 
 
 def tokens_of(text: str, words: int) -> np.ndarray:
@@ -123,6 +124,7 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = _SLICE) -> Iterator[pa
     for batch in batches:
         for first in range(0, batch.num_rows, rows):
             yield batch.slice(first, rows)
+    give_back()
 
 
 def _binaries(column: pa.Array, kind: type = np.uint64) -> list[np.ndarray]:

@@ -6,8 +6,11 @@ one starts, so that the bounds of the operators hold for the worker as a whole.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable
 
+import pyarrow as pa
+
 # Options for jobs with whole texts: batches of about a thousand rows between Spark and Python.
 SMALL_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 
@@ -22,3 +25,14 @@ def remember(owner: str, forget: Callable[[], None]) -> None:
     for other in [x for x in _HELD if x != owner]:
         del _HELD[other]
     _HELD[owner] = forget
+
+
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task, where its allocators can.
+
+    A worker that waits would otherwise keep the most that any of its tasks has used.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
