@@ -15,6 +15,7 @@ import pandas as pd
 import pytest
 import sentencepiece
 from llm_fixtures import CLASHING, EDGES, SF_DIR, documents, needs_tables
+from pyspark.sql import functions as F
 from test_llm_ngram_join import brute as components_of
 from test_llm_pii import brute as personal_data
 from tokenizers import Tokenizer
@@ -192,3 +193,15 @@ def test_one_row_of_a_repeated_id_stays(spark):
     rows += [(None, "x", "en", "a", 1), (None, "x", "en", "a", 1)]
     kept = corpus_pipeline.keep_one_of_each_group(spark, documents(spark, rows), SF_DIR).collect()
     assert sorted((row.doc_id or 0, row.text) for row in kept) == [(0, "x"), (0, "x"), (5, "a a a")]
+
+
+def test_unlike_texts_of_a_repeated_id_stay(spark):
+    rows = [(5, "b b b", "en", "a", 5), (5, "a a a", "en", "a", 5), (5, "a a a", "en", "a", 5)]
+    rows += [(6, None, "en", "a", 0), (6, None, "en", "a", 0), (6, "c c c", "en", "a", 5)]
+    rows += [(7, "b b b", "en", "a", 5), (4, "c c c", "en", "a", 5), (None, "x", "en", "a", 1)]
+    frame = documents(spark, rows, clash=True).withColumn("tags", F.create_map(F.lit("k"), F.lit(1)))
+    kept = corpus_pipeline.keep_one_of_each_group(spark, frame, SF_DIR)
+    assert kept.columns == frame.columns
+    got = sorted(((row.doc_id, row.text) for row in kept.collect()), key=repr)
+    expected = [(4, "c c c"), (5, "a a a"), (5, "b b b"), (6, None), (None, "x")]
+    assert got == sorted(expected, key=repr)
