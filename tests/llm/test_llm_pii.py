@@ -67,6 +67,32 @@ def test_repeats_of_an_entity_are_found(odds):
     assert added("write to jo.smith77@mail.example.com or jo.smith77", odds) == [("email", "jo.smith77")]
 
 
+def test_repeats_of_numbers_in_groups_are_found(odds):
+    for again in ("4111.1111.1111.1111", "4111 . 1111 . 1111 . 1111", "4111 1111 1111 1112", "4111111111111112"):
+        assert added(f"{CARD} and then {again}", odds) == [("card", again)]
+        assert added(f"{again}, before: {CARD}", odds) == [("card", again)]
+    phone = "+49 30 12 34 56"
+    assert added(f"{phone} or 49-30-12-34-56", odds) == [("phone", "49-30-12-34-56")]
+    assert added(f"call {phone}, in town (30) 12 34 56, room 12", odds) == [("phone", "30) 12 34 56")]
+    assert added(f"call {phone}, not 49 30 12 34 77", odds) == [("phone", "49 30 12 34 77")]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        f"{CARD} in 2024 at 4111 or 1111, 5111 1111 1111 1111 and 4111 1111",
+        "+49 30 12 34 56 on 30 12 2024, from 12 to 34",
+        "192.168.100.1 is not 192.168.100.999 nor 192 168 100 7",
+    ],
+)
+def test_other_groups_are_left_alone(odds, text):
+    assert added(text, odds) == []
+
+
+def test_runs_take_linear_time(odds):
+    pii.find_spans(f"{CARD} +49 30 12 34 56 " + "4 " * 60_000 + "4111 " * 20_000, odds)
+
+
 def test_labels_flow_along_repeats(odds):
     """The second written form is linked to the first one only through the token between."""
     text = "a1b2c3d4@mail.example.com then a1b2c3d4 and at last A1B2C3D4"

@@ -3,10 +3,15 @@
 The rules give base spans, which stay. The field then labels the tokens of each document that could
 belong to the same entities: its chain edges link neighbouring tokens, its skip edges link
 distant tokens that repeat or resemble each other, such as a card number written again with
-other separators or without its last digit group right. Loopy message passing lets the labels of
-base spans flow along these edges; a token whose probability of a kind is the largest, and not
+other separators or with other digits among its last four. Loopy message passing lets the labels
+of base spans flow along these edges; a token whose probability of a kind is the largest, and not
 that of no kind, is an added span.
 
+A number may be written in groups. So each base span is a node with all its digits, a phone also
+one without its leading groups, and tokens that only together have the digits of a base span, or
+all but its last four, are a node too. At least 7 digits must agree: shorter ones, and numbers
+with a wrong digit further in front, are not linked.
+
 A token's own potentials are log-odds by its shape, counted on a bounded sample of documents
 that the rules have labelled. They are limited, as the rules know only what they match, and never speak
 for a kind by themselves. Each occurrence of a token is linked to the one before and to an
@@ -50,6 +55,9 @@ DAMPING = 0.3
 # Shortest strings of letters and digits, and of digits, that tell one entity from another.
 _NAME_CHARS = 5
 _NUMBER_DIGITS = 7
+# Digits at the end that may differ, and the most that a number of any kind has.
+_LAST_DIGITS = 4
+_MOST_DIGITS = 19
 
 # What counts as which kind. Runs are taken whole, which does not change the matches.
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -60,7 +68,10 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 _HINT = re.compile(r"[0-9@]")
 _DIGITS = re.compile(r"[0-9]")
+_GROUP = re.compile(r"[0-9]+")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
+# What may stand between the groups of one number.
+_BETWEEN = " ()./-"
 _EDGES = ".,;:!?\"'()[]{}<>"
 
 SPANS = ArrayType(
@@ -130,6 +141,7 @@ class Token(NamedTuple):
     end: int
     text: str
     kind: int  # of the base span it lies in, 0 for none
+    alone: bool = True  # between white space, not a base span or a run of tokens
 
 
 def tokens_of(text: str, spans: Sequence[Span]) -> list[Token]:
@@ -150,6 +162,67 @@ def tokens_of(text: str, spans: Sequence[Span]) -> list[Token]:
     return out
 
 
+def _is_number(token: str) -> bool:
+    return not any(x.isalpha() or x == "@" for x in token)
+
+
+def _base_nodes(text: str, spans: Sequence[Span]) -> list[Token]:
+    """Each base span of digits as a whole; phones also without their leading groups."""
+    out = []
+    for span in spans:
+        if span.kind == "email":
+            continue
+        whole, kind = text[span.start : span.end], KINDS.index(span.kind) + 1
+        starts = [0]
+        if span.kind == "phone":
+            starts += [x.start() for x in _GROUP.finditer(whole) if x.start() > 1]
+        out += [Token(span.start + at, span.end, whole[at:], kind, False) for at in starts]
+    return out
+
+
+def _run_nodes(text: str, tokens: Sequence[Token], known: Sequence[Token]) -> list[Token]:
+    """Runs of tokens outside base spans that together have a key of a known node.
+
+    From each token the run that equals a known number is taken, else the longest that resembles
+    one; the next run starts behind it. A run has at most ``_MOST_DIGITS`` digits, so this takes
+    linear time.
+    """
+    keys = {key for node in known for key, _ in _number_keys(node.text, node.kind)}
+    fronts = {key.rpartition(":")[2].lstrip("#")[:_NUMBER_DIGITS] for key in keys}
+    if not keys:
+        return []
+    out: list[Token] = []
+    digits = ["" if x.kind or not _is_number(x.text) else _digits(x.text) for x in tokens]
+    first = 0
+    while first < len(tokens):
+        held, best, last = digits[first], 0, first
+        while held and last + 1 < len(tokens) and digits[last + 1]:
+            between = text[tokens[last].end : tokens[last + 1].start]
+            last += 1
+            held += digits[last]
+            if len(between) > 3 or between.strip(_BETWEEN) or len(held) > _MOST_DIGITS:
+                break
+            if len(held) >= _NUMBER_DIGITS and held[:_NUMBER_DIGITS] not in fronts:
+                break
+            shared = [key for key, _ in _number_keys(held) if key in keys]
+            if shared:
+                best = last
+            if any(key[0] == "#" for key in shared):
+                break
+        if best:
+            start, end = tokens[first].start, tokens[best].end
+            out.append(Token(start, end, text[start:end], 0, False))
+        first = max(first, best) + 1
+    return out
+
+
+def nodes_of(text: str, spans: Sequence[Span]) -> list[Token]:
+    """The tokens, then base spans and runs of tokens that are no token by themselves."""
+    tokens = tokens_of(text, spans)
+    known = _base_nodes(text, spans)
+    return [*tokens, *known, *_run_nodes(text, tokens, known)]
+
+
 SHAPES = ("letters", "mixed", "at", "dotted", "short", "number", "long number", "too long")
 
 
@@ -183,18 +256,27 @@ def fit(texts: Iterable[str]) -> np.ndarray:
     return odds
 
 
-def _keys(token: str) -> list[tuple[str, float]]:
+def _number_keys(number: str, kind: int = 0) -> list[tuple[str, float]]:
+    """The digits of a number and, but for addresses, those in front of its last four."""
+    digits = _digits(number)
+    if len(digits) < _NUMBER_DIGITS:
+        return []
+    keys = [("#" + digits, SIMILAR)]
+    if _NUMBER_DIGITS < len(digits) <= _MOST_DIGITS and kind != KINDS.index("ip") + 1:
+        front = max(_NUMBER_DIGITS, len(digits) - _LAST_DIGITS)
+        keys.append((f"^{len(digits)}:{digits[:front]}", SIMILAR))
+    return keys
+
+
+def _keys(token: Token) -> list[tuple[str, float]]:
     """What a token shares with others, and how strongly: itself, its name, its digits."""
-    lowered = token.lower()
+    lowered = token.text.lower()
     name = lowered.partition("@")[0]
     plain = "".join(x for x in name if x.isalnum())
-    keys = [("=" + lowered, SAME)] if len(plain) >= _NAME_CHARS else []
-    if len(plain) >= _NAME_CHARS and any(x.isdigit() for x in plain):
+    keys = [("=" + lowered, SAME)] if len(plain) >= _NAME_CHARS and token.alone else []
+    if len(plain) >= _NAME_CHARS and any(x.isdigit() for x in plain) and token.alone:
         keys.append(("~" + plain, SIMILAR))
-    digits = _digits(token)
-    if len(digits) >= _NUMBER_DIGITS and not any(x.isalpha() for x in token):
-        keys.append(("#" + digits, SIMILAR))
-    return keys
+    return keys + (_number_keys(token.text, token.kind) if _is_number(token.text) else [])
 
 
 def _edges(tokens: Sequence[Token]) -> tuple[np.ndarray, np.ndarray]:
@@ -208,10 +290,10 @@ def _edges(tokens: Sequence[Token]) -> tuple[np.ndarray, np.ndarray]:
         edges[pair] = max(edges.get(pair, 0.0), strength)
 
     for place, token in enumerate(tokens):
-        for key, strength in _keys(token.text):
+        for key, strength in _keys(token):
             places.setdefault(key, []).append(place)
             strengths[key] = strength
-        if place and token.start - tokens[place - 1].end <= 3:
+        if place and token.alone and token.start - tokens[place - 1].end <= 3:
             link(place - 1, place, CHAIN)
     for key, found in places.items():
         known = next((k for k in found if tokens[k].kind), None)
@@ -253,6 +335,15 @@ def marginals(unary: np.ndarray, pairs: np.ndarray, strengths: np.ndarray) -> np
 _CLAMPED = 50.0
 
 
+def _outermost(spans: Sequence[Span]) -> list[Span]:
+    """The spans that lie in no other one."""
+    out: list[Span] = []
+    for span in sorted(spans, key=lambda span: (span.start, -span.end)):
+        if not out or span.end > out[-1].end:
+            out.append(span)
+    return out
+
+
 def find_spans(text: str, odds: np.ndarray) -> list[Span]:
     """Base spans and added ones, by kind and start."""
     if not _HINT.search(text):
@@ -260,7 +351,7 @@ def find_spans(text: str, odds: np.ndarray) -> list[Span]:
     base = base_spans(text)
     if not base:
         return []
-    tokens = tokens_of(text, base)
+    tokens = nodes_of(text, base)
     pairs, strengths = _edges(tokens)
     added = []
     if len(pairs) and any(not token.kind for token in tokens):
@@ -274,7 +365,7 @@ def find_spans(text: str, odds: np.ndarray) -> list[Span]:
             for token, kind in zip(tokens, label, strict=True)
             if kind and not token.kind
         ]
-    return sorted([*base, *added], key=lambda span: (KINDS.index(span.kind), span.start))
+    return sorted([*base, *_outermost(added)], key=lambda span: (KINDS.index(span.kind), span.start))
 
 
 def train(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
