@@ -49,6 +49,12 @@ def test_long_runs_take_linear_time():
         pii.find_spans(text + " x@y.zz", pii.fit([]))
 
 
+def test_parts_of_addresses_may_have_many_zeros():
+    text = "0" * 5000 + ".1.1.1"
+    assert pii.base_spans(text) == [pii.Span("ip", 0, len(text))]
+    assert pii.base_spans("1.1.1." + "0" * 5000 + "256") == []
+
+
 @pytest.fixture(scope="module")
 def odds():
     rng = random.Random(1)

@@ -122,7 +122,8 @@ def base_spans(text: str) -> list[Span]:
     """Spans by the rules, by kind and start."""
     found = [Span("email", *span) for span in _emails(text)] if "@" in text else []
     for match in _IP.finditer(text):
-        if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in match[0].split(".")):
+        parts = [part.lstrip("0") or "0" for part in match[0].split(".")]
+        if all(len(part) <= 3 and int(part) <= 255 for part in parts):
             found.append(Span("ip", *match.span()))
     for match in _CARD.finditer(text):
         if match.end() - match.start() <= 37:
