@@ -160,6 +160,17 @@ def test_edges(spark, clash):
     assert joined == "email:22:28,card:2:21"
 
 
+def test_shapes_are_counted_over_all_documents(spark, monkeypatch):
+    """One id for all, as many documents as no sample holds, and one longer than the others."""
+    values = ["call 555-7713 or +1 (017) 555-7713"] * 9000 + ["me77.x@a.b 10.0.0.1 " * 4000]
+    frame = documents(spark, [(7, x, "en", "a", 0) for x in [*values, None]])
+    counted, log_odds = [], pii.log_odds
+    monkeypatch.setattr(pii, "log_odds", lambda counts: counted.append(counts) or log_odds(counts))
+    odds = pii.train(frame)
+    assert (counted[0] == pii.shape_counts(values)).all()
+    assert (odds == pii.fit(values)).all()
+
+
 def test_empty_table(spark):
     frame = documents(spark, [])
     assert frame.select(pii.personal_data(F.col("text"), pii.train(frame))).collect() == []

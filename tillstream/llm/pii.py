@@ -12,8 +12,8 @@ one without its leading groups, and tokens that only together have the digits of
 all but its last four, are a node too. At least 7 digits must agree: shorter ones, and numbers
 with a wrong digit further in front, are not linked.
 
-A token's own potentials are log-odds by its shape, counted on a bounded sample of documents
-that the rules have labelled. They are limited, as the rules know only what they match, and never speak
+A token's own potentials are log-odds by its shape, counted over all documents as the rules
+label them. They are limited, as the rules know only what they match, and never speak
 for a kind by themselves. Each occurrence of a token is linked to the one before and to an
 occurrence in a base span, so edges grow with the text, not with its square.
 
@@ -25,12 +25,12 @@ empty table.
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
@@ -38,8 +38,6 @@ from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, S
 from tillstream.llm.text import whole_text
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_DOCS = 2000
-SAMPLE_BYTES = 32_768
 
 # Potentials of the field, as logarithms.
 SAME = 4.0
@@ -84,6 +82,7 @@ SPANS = ArrayType(
         ]
     )
 )
+_CELLS = "shape long, kind long, tokens long"
 
 
 class Span(NamedTuple):
@@ -241,22 +240,32 @@ def shape(token: str) -> int:
     return SHAPES.index(names[(digits >= _NUMBER_DIGITS) + (digits >= 16) + (digits >= 20)])
 
 
-def fit(texts: Iterable[str]) -> np.ndarray:
-    """Log-odds of each kind against none, by shape, within limits."""
-    counts: Counter = Counter()
+def shape_counts(texts: Iterable[str]) -> np.ndarray:
+    """Tokens by shape and kind, 0 for none."""
+    counts = np.zeros((len(SHAPES), len(KINDS) + 1), np.int64)
     for text in texts:
         if _HINT.search(text):
-            counts.update((shape(x.text), x.kind) for x in tokens_of(text, base_spans(text)))
+            for token in tokens_of(text, base_spans(text)):
+                counts[shape(token.text), token.kind] += 1
+    return counts
+
+
+def log_odds(counts: np.ndarray) -> np.ndarray:
+    """Log-odds of each kind against none, by shape, within limits."""
     table = np.ones((len(SHAPES), len(KINDS) + 1))
     table[:, 0] = _PRIOR
-    for place, count in counts.items():
-        table[place] += count
+    table += counts
     odds = np.clip(np.log(table) - np.log(table[:, :1]), *SHAPE_LIMITS)
     odds[:, 0] = 0
     odds[SHAPES.index("letters"), 1:] = LETTERS
     return odds
 
 
+def fit(texts: Iterable[str]) -> np.ndarray:
+    """Potentials by shape from these texts."""
+    return log_odds(shape_counts(texts))
+
+
 def _number_keys(number: str, kind: int = 0) -> list[tuple[str, float]]:
     """The digits of a number and, but for addresses, those in front of its last four."""
     digits = _digits(number)
@@ -369,13 +378,22 @@ def find_spans(text: str, odds: np.ndarray) -> list[Span]:
     return sorted([*base, *_outermost(added)], key=lambda span: (KINDS.index(span.kind), span.start))
 
 
-def train(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
-    """Shape potentials from about ``SAMPLE_DOCS`` documents of at most ``SAMPLE_BYTES`` bytes."""
-    one_in = max(1, docs.count() // SAMPLE_DOCS)
-    chosen = F.pmod(F.xxhash64(doc_col), F.lit(one_in)) == 0
-    short = F.octet_length(text_col) <= SAMPLE_BYTES
-    sample = docs.where(chosen & short).select(F.col(text_col).alias("text")).limit(2 * SAMPLE_DOCS)
-    return fit(row.text for row in sample.collect())
+def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
+    """Shape potentials from all documents: the counts are summed per task, then over the tasks."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(SHAPES), len(KINDS) + 1), np.int64)
+        for batch in batches:
+            total += shape_counts(text.as_py() for text in batch.column("text"))
+        shapes, kinds = np.nonzero(total)
+        columns = [pa.array(x, pa.int64()) for x in (shapes, kinds, total[shapes, kinds])]
+        yield pa.RecordBatch.from_arrays(columns, ["shape", "kind", "tokens"])
+
+    parts = docs.select(whole_text(text_col).alias("text")).mapInArrow(count, _CELLS)
+    counts = np.zeros((len(SHAPES), len(KINDS) + 1), np.int64)
+    for row in parts.groupBy("shape", "kind").agg(F.sum("tokens").alias("tokens")).collect():
+        counts[row["shape"], row["kind"]] = row["tokens"]
+    return log_odds(counts)
 
 
 def personal_data(text: Column, odds: np.ndarray) -> Column:
