@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from llm_fixtures import EDGES, documents, texts
 
-from tillstream.llm.line_dedup import dedup_lines
+from tillstream.llm.line_dedup import dedup_lines, lines_to_drop
 
 LINE = "This line is long enough to be counted, surely."
 OTHER = "Another line that is long enough to count too."
@@ -87,3 +87,15 @@ def test_hot_line_and_long_text(spark):
     rows = [(k, f"{LINE}\nOwn {k}", "en", "a", 0) for k in range(200)]
     rows += [(1000 + k, body, "en", "a", 0) for k in range(5)]
     assert result(documents(spark, rows)) == sorted(brute([row[:2] for row in rows]), key=repr)
+
+
+def test_hashes_are_gathered_per_text(spark):
+    """Rows without id hold a shared line each; none is joined with the lines of the others."""
+    lines = [f"{LINE} Number {k}." for k in range(30)]
+    rows = [(None, f"{line}\nOwn", "en", "a", 0) for line in lines]
+    rows += [(7, f"{line}\nOwn", "en", "a", 0) for line in lines]
+    rows += [(k, "\n".join(lines), "en", "a", 0) for k in range(11, 15)]
+    frame = documents(spark, rows)
+    drops = lines_to_drop(frame, "doc_id", "text", 40, 5).collect()
+    assert sorted(len(row["_drop"]) for row in drops) == [1] * 60 + [30] * 3
+    assert result(frame) == sorted(brute([row[:2] for row in rows]), key=repr)

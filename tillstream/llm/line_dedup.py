@@ -4,8 +4,9 @@ Lines are exploded, normalised and hashed; the distinct documents of each hash a
 over the threshold are dropped and the others put together again by position.
 
 Defined results: a NULL or empty text is one empty line. Rows with the same id are one document
-when documents are counted, and each row is cleaned. NULL ids count as one document that precedes
-all others. A key is dropped everywhere but in the largest id that holds it (there, all its lines
+when documents are counted, and each row is cleaned by itself: the hashes to drop are gathered per
+id and text, so never more than one text has lines. NULL ids count as one document that precedes
+all others: a line that only they hold is in one document and stays. A key is dropped everywhere but in the largest id that holds it (there, all its lines
 stay). An empty table gives an empty table. Other columns are left as they are, whatever their names;
 counts take the place of columns of their name.
 """
@@ -39,30 +40,49 @@ def _python_key(line: str) -> str:
     return line.strip(SPACES).translate(LOWERED)
 
 
-def line_holders(docs: DataFrame, doc_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """``(_doc, _hash)``, once for each document and long key in it."""
+def text_digest(text: Column) -> Column:
+    return F.unhex(F.md5(whole_text(text)))
+
+
+def text_lines(docs: DataFrame, doc_col: str, text_col: str, min_chars: int) -> DataFrame:
+    """``(_doc, _text, _hash)``: id, digest of the text, and each long key once per row."""
     keys = F.array_distinct(
         F.filter(
             F.transform(split_lines(whole_text(text_col)), line_key),
             lambda key: F.length(key) >= min_chars,
         )
     )
-    return (
-        docs.select(F.col(doc_col).alias("_doc"), F.explode(keys).alias("_key"))
-        .select("_doc", F.md5("_key").alias("_hash"))
-        .dropDuplicates()
+    named = docs.select(
+        F.col(doc_col).alias("_doc"), text_digest(F.col(text_col)).alias("_text"), keys.alias("_keys")
     )
+    exploded = named.select("_doc", "_text", F.explode("_keys").alias("_key"))
+    return exploded.select("_doc", "_text", F.unhex(F.md5("_key")).alias("_hash"))
 
 
-def shared_lines(holders: DataFrame, min_docs: int) -> DataFrame:
+def shared_lines(lines: DataFrame, min_docs: int) -> DataFrame:
     """``(_hash, n_docs, keeper)`` of the keys in at least ``min_docs`` documents."""
     return (
-        holders.groupBy("_hash")
+        lines.select("_doc", "_hash")
+        .dropDuplicates()
+        .groupBy("_hash")
         .agg(F.count(F.lit(1)).alias("n_docs"), F.max("_doc").alias("keeper"))
         .where(F.col("n_docs") >= min_docs)
     )
 
 
+def lines_to_drop(
+    docs: DataFrame, doc_col: str, text_col: str, min_chars: int, min_docs: int
+) -> DataFrame:
+    """``(_doc, _text, _drop)``: the hashes that go from the rows of this id and text."""
+    lines = text_lines(docs, doc_col, text_col, min_chars)
+    return (
+        lines.join(shared_lines(lines, min_docs), "_hash")
+        .where(F.col("_doc").isNull() | (F.col("_doc") < F.col("keeper")))
+        .groupBy("_doc", "_text")
+        .agg(F.collect_set("_hash").alias("_drop"))
+    )
+
+
 @F.pandas_udf(_CUT)
 def _cut(texts: pd.Series, hashes: pd.Series) -> pd.DataFrame:
     kept, dropped = [], []
@@ -73,7 +93,7 @@ def _cut(texts: pd.Series, hashes: pd.Series) -> pd.DataFrame:
             continue
         drop = set(drop)
         lines = text.split("\n")
-        stay = [x for x in lines if hashlib.md5(_python_key(x).encode()).hexdigest() not in drop]
+        stay = [x for x in lines if hashlib.md5(_python_key(x).encode()).digest() not in drop]
         kept.append("\n".join(stay))
         dropped.append(len(lines) - len(stay))
     return pd.DataFrame({"kept": kept, "n_dropped": dropped})
@@ -90,18 +110,12 @@ def dedup_lines(
     """The documents without their shared lines; with ``stats`` also ``n_lines``, ``n_dropped``.
 
     Only hashes are shuffled for the counting, summed before the shuffle, so that a line of every
-    document is no hot key. Texts are joined with the hashes to drop by document id; only texts
+    document is no hot key. Texts are joined with the hashes to drop by id and digest; only texts
     that lose a line go to Python.
     """
-    holders = line_holders(docs, doc_col, text_col, min_chars)
-    drops = (
-        holders.join(shared_lines(holders, min_docs), "_hash")
-        .where(F.col("_doc").isNull() | (F.col("_doc") < F.col("keeper")))
-        .groupBy("_doc")
-        .agg(F.collect_set("_hash").alias("_drop"))
-    )
+    drops = lines_to_drop(docs, doc_col, text_col, min_chars, min_docs)
     text = F.col("row").getField(text_col)
-    same = F.col("row").getField(doc_col).eqNullSafe(F.col("_doc"))
+    same = F.col("row").getField(doc_col).eqNullSafe(F.col("_doc")) & (text_digest(text) == F.col("_text"))
     loses = F.col("_drop").isNotNull()
     joined = as_rows(docs).join(drops, same, "left")
     cleaned = joined.withColumn("_cut", _cut(F.when(loses, whole_text(text)), F.col("_drop")))
