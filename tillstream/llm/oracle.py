@@ -134,10 +134,175 @@ WITH {_VALID}, scored AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
+# Four bits of a CRC-32 at a time, by the rule of its reflected polynomial.
+def _nibble(value: int) -> int:
+    for _ in range(4):
+        value = (value >> 1) ^ (0xEDB88320 if value & 1 else 0)
+    return value
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of a text's UTF-8 bytes, the low half of each byte first."""
+    steps = ", ".join(str(_nibble(k)) for k in range(16))
+    halves = (
+        f"list_transform(range(2 * strlen({text})), lambda i: "
+        f"(strpos('0123456789ABCDEF', substr(hex({text}), xor(i, 1) + 1, 1)) - 1)::BIGINT)"
+    )
+    return (
+        f"xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, {halves}), "
+        f"lambda c, b: xor(c >> 4, ([{steps}]::BIGINT[])[((xor(c, b) & 15) + 1)::INT])))"
+    )
+
+
+# Levels of a Merkle tree that the SQL goes up; more than tables of this size need.
+_LEVELS = range(8)
+
+
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({value}::VARCHAR) || ':' || {value}::VARCHAR END"
+
+
+def _leaf(text: str) -> str:
+    fields = " || ".join(_field(value) for value in ("doc_id", "source", "lang", "n_chars", text))
+    return f"sha256({fields})"
+
+
+def _tree(name: str, leaves: str, by: str) -> str:
+    """Levels of trees, ``(tree, pos, digest)`` and the runs they are cut into; lone nodes move up."""
+    levels = [f"{name}0 AS (SELECT tree, row_number() OVER (PARTITION BY tree ORDER BY {by}) - 1 AS pos, "
+              f"digest, count(*) OVER (PARTITION BY tree) AS n FROM {leaves})"]
+    for k in _LEVELS:
+        levels += [
+            f"{name}_run{k} AS (SELECT tree, pos // 16 AS run, n, list(digest ORDER BY pos) AS l "
+            f"FROM {name}{k} GROUP BY tree, pos // 16, n)",
+            f"{name}{k + 1} AS (SELECT tree, run AS pos, (n + 15) // 16 AS n, "
+            f"CASE WHEN n > 1 THEN sha256(array_to_string(l, '')) ELSE l[1] END AS digest FROM {name}_run{k})",
+        ]
+    return ",\n".join(levels)
+
+
+def _up(name: str, start: str, tree: str, rank: str, k: int) -> str:
+    """One level up: the siblings so far and the folded digest of every row of ``start``."""
+    place = f"(s.{rank} // {16**k}) % 16"
+    before, after = f"array_to_string(r.l[1:{place}], '')", f"array_to_string(r.l[{place} + 2:], '')"
+    return f"""SELECT s.* EXCLUDE (siblings, folded), s.siblings || {before} || {after} AS siblings,
+    CASE WHEN r.n > 1 THEN sha256({before} || s.folded || {after}) ELSE s.folded END AS folded
+  FROM {start} s JOIN {name}_run{k} r ON r.tree = s.{tree} AND r.run = s.{rank} // {16 ** (k + 1)}"""
+
+
+def _merkle() -> str:
+    steps, last = [], "asked"
+    for name, tree, rank in (("src", "tree", "pos"), ("top", "one", "place")):
+        if name == "top":
+            steps.append(f"placed AS (SELECT s.*, t.pos AS place, t.digest AS subroot, '' AS one "
+                         f"FROM {last} s JOIN tops t USING (tree))")
+            last = "placed"
+        for k in _LEVELS:
+            steps.append(f"{name}_up{k} AS ({_up(name, last, tree, rank, k)})")
+            last = f"{name}_up{k}"
+    end = _LEVELS.stop
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    ups = ",\n".join(steps)
+    return f"""
+WITH leaves AS (
+  SELECT doc_id, coalesce('1' || source, '0') AS tree, {_leaf('text')} AS digest,
+         CASE WHEN {_crc32('doc_id::VARCHAR')} % 5 = 0 THEN {_leaf(lowered)} END AS tampered
+  FROM documents
+), {_tree('src', 'leaves', 'doc_id NULLS FIRST, digest')},
+named AS (SELECT '' AS tree, tree AS source, digest FROM src{end}),
+{_tree('top', 'named', 'source')},
+tops AS (
+  SELECT source AS tree, row_number() OVER (ORDER BY source) - 1 AS pos, digest FROM named
+), asked AS (
+  SELECT doc_id, tree, digest AS leaf, coalesce(tampered, digest) AS folded, '' AS siblings,
+         row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS pos
+  FROM leaves
+), {ups}
+SELECT doc_id, leaf, subroot, (SELECT digest FROM top{end}) AS root, sha256(siblings) AS proof_sha256,
+       folded AS folded_root, folded = (SELECT digest FROM top{end}) AS verified
+FROM {last}
+"""
+
+
+# Near words by the strings that a deletion leaves: of one of the two, or of both at the same place.
+_SPELLING = f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents
+), counted AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id,
+         translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM runs GROUP BY 1, 2
+), hashed AS (
+  SELECT run, n, {_crc32("(id || ':' || run)")} AS h FROM counted
+), typed AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+              ELSE run END AS word, n
+  FROM hashed
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM typed WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), cuts AS (
+  SELECT word, k, substr(word, 1, k) || substr(word, k + 2) AS rest
+  FROM (SELECT word, unnest(range(length(word))) AS k FROM words)
+), pairs AS (
+  SELECT a.word, b.word AS near FROM cuts a JOIN cuts b USING (k, rest) WHERE a.word <> b.word
+  UNION SELECT a.word, b.word FROM cuts a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word FROM cuts a JOIN words b ON a.rest = b.word
+), ranked AS (
+  SELECT p.word, p.near, w.n, count(*) OVER (PARTITION BY p.word) AS n_near,
+         row_number() OVER (PARTITION BY p.word ORDER BY w.n DESC, p.near) AS nth
+  FROM pairs p JOIN words w ON w.word = p.near
+), formed AS (
+  SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.n >= 5 * w.n THEN r.near END AS form,
+         CASE WHEN r.n >= 5 * w.n THEN r.n END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.word = w.word AND r.nth = 1
+), walk AS (
+  SELECT word, word AS here, form AS next FROM formed
+  UNION ALL SELECT w.word, f.word, f.form FROM walk w JOIN formed f ON f.word = w.next
+)
+SELECT word, form, here AS root, n, n_near, form_n
+FROM formed JOIN (SELECT word, here FROM walk WHERE next IS NULL) USING (word)
+"""
+
+_WINDOWS = r"""
+WITH worded AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), items AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item, len(g) AS size, array_to_string(g, ' ') AS g
+  FROM (SELECT item, unnest(list_transform(range(greatest(len(w) - 9, 1)), lambda i: w[i + 1:i + 10])) AS g
+        FROM items WHERE len(w) > 0)
+), grams AS (
+  SELECT row, size, pos, array_to_string(w[pos + 1:pos + size], ' ') AS g
+  FROM (SELECT row, w, size, unnest(range(len(w) - size + 1)) AS pos
+        FROM worded, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size)
+), found AS (
+  SELECT g.row, g.pos, g.size, w.item FROM grams g JOIN windows w USING (size, g)
+), hits AS (
+  SELECT row, count(DISTINCT pos) AS n_hit
+  FROM (SELECT row, unnest(range(pos, pos + size)) AS pos FROM found) GROUP BY row
+), named AS (
+  SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT row, item FROM found) GROUP BY row
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM worded LEFT JOIN hits USING (row) LEFT JOIN named USING (row)
+"""
+
 ORACLE: dict[str, str] = {
     "op2_mix_sources": _MIX,
     "op5_ngram_join": _SETS,
     "op6_embedding_dedup": _COSINES,
     "op8_nearest_neighbours": _NEAREST,
     "op10_line_dedup": _LINES,
+    "op11_decontamination": _WINDOWS,
+    "op12_merkle_manifest": _merkle(),
+    "op13_spelling_variants": _SPELLING,
 }

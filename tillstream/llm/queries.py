@@ -11,16 +11,20 @@ from pyspark.sql import functions as F
 from tillstream.llm import (
     bpe_count,
     byte_network,
+    inverted_index,
     lattice_dedup,
     line_dedup,
+    merkle,
     mixing,
     neighbours,
     ngram_join,
     packing,
     pii,
+    spelling,
     token_files,
 )
 from tillstream.llm.text import table, whole_text
+from tillstream.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,6 +107,50 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = inverted_index.find_contamination(
+        table(spark, sf_dir, "documents"),
+        table(spark, sf_dir, "benchmark"),
+        scratch_path(spark, "index"),
+    )
+    return found.select(
+        F.col("doc").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    doc_id = F.col("doc_id")
+    tampered = F.when(
+        F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, merkle.lowered_leaf_digest()
+    )
+    manifest = merkle.write_manifest(
+        table(spark, sf_dir, "documents"),
+        scratch_path(spark, "manifest"),
+        {"doc_id": doc_id, "tampered": tampered},
+    )
+    proofs = merkle.prove(manifest).withColumn(
+        "folded", merkle.fold(F.coalesce("row.tampered", "leaf"), F.col("path"))
+    )
+    digests = [merkle.hexed(F.col(name)).alias(name) for name in ("leaf", "subroot", "root")]
+    return proofs.select(
+        "row.doc_id",
+        *digests,
+        F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
+        merkle.hexed(F.col("folded")).alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = spelling.letter_runs(table(spark, sf_dir, "documents"))
+    return spelling.group_variants(spelling.count_words(spelling.with_typos(runs)))
+
+
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_mix_sources": op2_mix_sources,
@@ -114,4 +162,7 @@ QUERIES: dict[str, Query] = {
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_quality": op9_quality,
     "op10_line_dedup": op10_line_dedup,
+    "op11_decontamination": op11_decontamination,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_spelling_variants": op13_spelling_variants,
 }
