@@ -314,6 +314,133 @@ def test_a_batch_of_unique_keys_run_again_replaces_itself(spark, tmp_path):
     assert rows(spark.read.schema(SALES).parquet(out).select("order_id")) == [("1",), ("2",)]
 
 
+@pytest.mark.parametrize("cuts", [(8,), (1,) * 8, (3, 5), (2, 2, 4)])
+def test_unique_within_a_delay_however_the_stream_is_cut(spark, tmp_path, cuts):
+    """Of rows in order of time the next one beyond the delay stays, whichever batch it comes in."""
+    days = ("01-01", "01-02", "01-03", "01-04", "01-31", "02-01", "02-03", "02-10")
+    sales = [("1", "a", float(i), f"2024-{day} 00:00:00") for i, day in enumerate(days)]
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    begun = 0
+    for size in cuts:
+        sell(spark, source, *sales[begun : begun + size])
+        begun += size
+    events = stream(spark, source, SALES, maxFilesPerTrigger=1)
+    for _ in range(2):
+        dedup.start_unique(events, out, str(tmp_path / "state"), NOW, delay="2 days").awaitTermination()
+        kept = spark.read.schema(SALES).parquet(out)
+        assert rows(kept.select("revenue")) == [(0.0,), (3.0,), (4.0,), (6.0,), (7.0,)]
+
+
+def test_spaced_rows_without_time_and_ties(spark):
+    data = [("1", 2.0, None), ("1", 1.0, None), (None, 3.0, "2024-01-01 00:00:00"), (None, 4.0, "2024-01-01 00:00:00"),
+            ("1", 6.0, "2024-01-01 00:00:00"), ("1", 5.0, "2024-01-01 00:00:00"), ("2", 7.0, "2024-01-01 00:00:01")]
+    given = spark.createDataFrame(data, "order_id string, revenue double, t string").select(
+        "order_id", "revenue", F.to_timestamp("t").alias("order_ts")
+    )
+    kept = dedup.spaced(given, ["order_id"], "order_ts", "1 hour")
+    assert kept.columns == given.columns
+    assert rows(kept.select("revenue")) == [(1.0,), (2.0,), (3.0,), (5.0,), (7.0,)]
+
+
+def test_unique_within_a_delay_reads_only_the_days_around(spark, tmp_path):
+    out = str(tmp_path / "out")
+    days = spark.range(60).selectExpr(
+        "CAST(id AS string) AS order_id", "TIMESTAMP '2024-01-01 12:00:00' + make_interval(0, 0, 0, id) AS order_ts"
+    )
+    dated = days.selectExpr("*", "year(order_ts) AS year", "month(order_ts) AS month", "day(order_ts) AS day")
+    write = dedup.unique_writer(out, ["order_id"], "order_ts", "1 day", bronze.PARTITIONS)
+    write(dated, 0)
+    for folder in (tmp_path / "out").glob("year=2024/month=1/day=*"):
+        if folder.name != "day=20":
+            for file in folder.rglob("*.parquet"):
+                file.write_bytes(b"no parquet")
+    again = dated.where("order_id IN ('18', '19', '20')").withColumn(
+        "order_ts", F.to_timestamp(F.lit("2024-01-20 13:00:00"))
+    ).withColumn("day", F.lit(20))
+    with pytest.raises(Exception, match="(?i)parquet"):
+        write(again, 1)
+    near = dedup.unique_writer(out, ["order_id"], "order_ts", "1 hour", bronze.PARTITIONS)
+    near(again, 1)
+    added = spark.read.parquet(f"{out}/year=2024/month=1/day=20")
+    assert rows(added.where("batch = 1").select("order_id")) == [("18",), ("20",)]
+
+
+def test_windows_in_state_late_rows_and_restart(spark, tmp_path):
+    source, out, state = (str(tmp_path / name) for name in ("in", "out", "state"))
+
+    def run():
+        query = metrics.start_state_windows(stream(spark, source, SALES), out, state, NOW)
+        query.awaitTermination()
+        written = lake.read_table(spark, out, schemas.WINDOWED_METRICS)
+        final = rows(written.selectExpr("hour(window_start)", "category", "total_revenue", "order_count"))
+        return final, metrics.late_count(query), metrics.state_rows(query)
+
+    sell(
+        spark, source,
+        ("1", "a", 1.0, "2024-01-01 10:10:00"),
+        ("2", "a", 2.0, "2024-01-01 10:50:00"),
+        ("3", "b", 4.0, "2024-01-01 12:10:00"),
+    )
+    # The newest event closes ten o'clock; twelve o'clock stays in the state.
+    assert run() == ([(10, "a", 3.0, 2)], 0, 1)
+    # One row is late by hours, one is within the delay.
+    sell(
+        spark, source,
+        ("4", "a", 99.0, "2024-01-01 10:30:00"),
+        ("5", "c", 8.0, "2024-01-01 11:20:00"),
+        ("6", "b", 1.0, "2024-01-01 12:20:00"),
+    )
+    final, late, held = run()
+    assert (final, late, held) == ([(10, "a", 3.0, 2)], 1, 2)
+    sell(spark, source, ("7", "b", 0.0, "2024-01-02 00:00:00"))
+    assert run() == ([(10, "a", 3.0, 2), (11, "c", 8.0, 1), (12, "b", 5.0, 2)], 0, 1)
+    # Nothing new: nothing is written twice.
+    assert run()[0] == [(10, "a", 3.0, 2), (11, "c", 8.0, 1), (12, "b", 5.0, 2)]
+
+
+def test_state_of_dedup_holds_the_last_keys_alone(spark, tmp_path):
+    """Many batches of new keys an hour apart: the state never holds more than those of three."""
+    source, out, state = (str(tmp_path / name) for name in ("in", "out", "state"))
+    held = []
+    for hour in range(8):
+        start = 100 * hour
+        sell(spark, source, *[(str(k), "a", 1.0, f"2024-01-01 {2 * hour:02d}:30:00") for k in range(start, start + 100)],
+             *[(str(k), "a", 2.0, f"2024-01-01 {2 * hour:02d}:40:00") for k in range(start, start + 100)])
+        query = dedup.start_dedup(stream(spark, source, SALES), out, state, NOW)
+        query.awaitTermination()
+        held.append(metrics.state_rows(query))
+    assert max(held) <= 300 and spark.read.schema(SALES).parquet(out).count() == 800
+
+
+def test_a_batch_without_its_commit_is_not_written_twice(spark, tmp_path):
+    """Stopped after the sink has listed the files of a batch, and before the batch was committed."""
+    topic, out, state = (str(tmp_path / name) for name in ("topic", "out", "state"))
+    for batch in range(3):
+        send(spark, topic, *map(order, range(10 * batch, 10 * batch + 4)))
+
+    def run():
+        messages = stream(spark, topic, maxFilesPerTrigger=1)
+        bronze.start_bronze(messages, out, state, NOW).awaitTermination()
+        return rows(lake.read_bronze(spark, out).select("order_id"))
+
+    first = run()
+    assert len(first) == 12
+    for name in ("2", ".2.crc"):
+        (tmp_path / "state" / "commits" / name).unlink()
+    send(spark, topic, order(99))
+    assert run() == sorted([*first, ("O-99",)])
+
+
+def test_rows_per_batch(spark, tmp_path):
+    topic, good, bad = (str(tmp_path / name) for name in ("topic", "good", "bad"))
+    send(spark, topic, *map(order, range(4)), "no json")
+    send(spark, topic, order(4))
+    bronze.start_split(
+        stream(spark, topic, maxFilesPerTrigger=1), good, bad, str(tmp_path / "state"), NOW
+    ).awaitTermination()
+    assert rows(bronze.rows_per_batch(spark, good, bad).select("rows")) == [(1,), (5,)]
+
+
 @pytest.mark.parametrize("order_of_jobs", [("ingest", "backfill"), ("backfill", "ingest")])
 def test_both_jobs_fill_one_lake(spark, tmp_path, order_of_jobs):
     paths = Lake(str(tmp_path / "lake"))

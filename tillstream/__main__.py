@@ -18,7 +18,7 @@ from tillstream.session import build_session, input_size, sized_for
 from tillstream.settings import Lake
 from tillstream.sources import lake, topics
 from tillstream.streaming import bronze
-from tillstream.streaming.metrics import start_windows
+from tillstream.streaming.metrics import start_state_windows, start_windows
 
 
 def _messages(spark, args):
@@ -74,12 +74,16 @@ def backfill(spark, args) -> None:
 def metrics(spark, args) -> None:
     paths = Lake(args.root)
     accepted, _ = bronze.bronze_and_rejects(_messages(spark, args))
-    start_windows(
+    start, options = start_windows, {"watermark": args.watermark}
+    if args.in_order:
+        start = start_state_windows
+        options = {"watermark": args.watermark or settings.WATERMARK_DELAY}
+    start(
         with_revenue(accepted),
         paths.windowed_metrics,
         paths.checkpoint("windowed_metrics"),
         bronze.INTERVAL,
-        watermark=args.watermark,
+        **options,
     ).awaitTermination()
 
 
@@ -145,6 +149,9 @@ def main() -> None:
     history = job(backfill, "root", "servers")
     windows = job(metrics, "root", "servers")
     windows.add_argument("--watermark", help="delay after which a window is final")
+    windows.add_argument(
+        "--in-order", action="store_true", help="final windows alone, kept in the stream's state"
+    )
     stream.add_argument("--unique-within", help="leave out copies of an order within this time")
     rate = settings.MAX_OFFSETS_PER_TRIGGER
     for reader, most in ((stream, rate), (windows, rate), (history, 1_000_000_000)):

@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from tillstream.plans.queries import AS_OF, EVENTS_AS_OF, FIRST_LOAD, INGESTED_AT, RANGE
+from tillstream.plans.queries import (
+    ADMITTED_FILES,
+    AS_OF,
+    EVENTS_AS_OF,
+    FILES_PER_BATCH,
+    FIRST_LOAD,
+    INGESTED_AT,
+    PIECES,
+    RANGE,
+)
 
 # Building blocks, named as in sources/tables.py.
 
@@ -170,6 +179,13 @@ _LATEST_CUSTOMER = """
 latest AS (SELECT customer_id, arg_max(country, (order_ts, order_id)) AS country
            FROM sales GROUP BY customer_id)"""
 
+# Orders that come once, and those that come again long after; copies that come soon are left out.
+_SENT_AGAIN = """
+SELECT CAST(event_id AS VARCHAR) AS order_id, FALSE AS again FROM events
+UNION ALL
+SELECT CAST(event_id AS VARCHAR), TRUE FROM events
+WHERE CAST(json_extract_string(props, '$.k') AS INTEGER) % 5 = 0"""
+
 _ORACLE: dict[str, str] = {
     "dedup_latest": f"""{_SILVER}
 SELECT order_id, customer_id, product_id, CAST(price AS DOUBLE) AS price, quantity,
@@ -425,6 +441,16 @@ latest AS (SELECT customer_id || '-' || event_id % 5 AS order_id,
 SELECT order_id, v.d AS order_date, v.p AS price FROM latest
 WHERE v.d BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'""",
     "stream_dedup": f"WITH {_LINES}\nSELECT DISTINCT order_id FROM lines",
+    "stream_state_windows": _HOURLY,
+    "stream_state_dedup": _SENT_AGAIN,
+    "stream_unique_within": f"""
+SELECT * FROM ({_SENT_AGAIN}), (SELECT unnest([1, {PIECES}]) AS batches)""",
+    "stream_restart": _BRONZE_VIEW,
+    "stream_admission": f"""
+WITH files AS (SELECT count(*) AS n, ceil(count(*) / {ADMITTED_FILES}) AS most FROM events)
+SELECT CAST(ceil(ceil(n / most) / {FILES_PER_BATCH}) AS BIGINT) AS batches,
+       CAST(least(n, most * {FILES_PER_BATCH}) AS BIGINT) AS largest, TRUE AS within_limit, n AS rows
+FROM files""",
     "layered_gold": f"""{_MESSAGES}
 SELECT category,
        CAST(sum(CAST(price AS DECIMAL(10,2)) * quantity) AS DOUBLE) AS total_revenue,

@@ -5,11 +5,12 @@ Money leaves as double, counts as bigint, so that another engine gives the same
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillstream import schemas, settings
@@ -23,7 +24,7 @@ from tillstream.settings import Lake
 from tillstream.sources import lake, tables, warehouse
 from tillstream.streaming import bronze as bronze_stream
 from tillstream.streaming import metrics as metric_stream
-from tillstream.streaming.dedup import start_unique
+from tillstream.streaming.dedup import start_dedup, start_unique
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +40,13 @@ PIECES = 4
 # Orders before this day make up the dimension that is then brought up to date.
 FIRST_LOAD = "1995-06-01"
 
+# Copies of an order that come soon, within the delay of the watermark, and long after; and the batches
+# they come in, so narrow that the long one is three of them and more.
+SOON, LONG_AFTER, COPY_PIECES = "10 minutes", "20 days", 8
+
+# Files that a table is admitted in, and how many of them make a batch.
+ADMITTED_FILES, FILES_PER_BATCH = 20, 2
+
 SALES_COLUMNS = ("order_id", "customer_id", "product_id", "price", "quantity", "revenue")
 
 
@@ -558,20 +566,27 @@ def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _reject_view(lake.read_table(spark, paths.dead_letters, schemas.DEAD_LETTERS))
 
 
+def _in_time_order(events: DataFrame, pieces: int) -> list[Column]:
+    """Conditions that cut events into pieces of equal time, one after the other."""
+    bounds = events.agg(F.min("ts").alias("first"), F.max("ts").alias("last")).first()
+    span = (bounds.last - bounds.first).total_seconds() + 1
+    since = F.unix_timestamp(F.col("ts").cast("timestamp")) - F.unix_timestamp(
+        F.lit(bounds.first).cast("timestamp")
+    )
+    piece = F.floor(since / span * pieces)
+    return [piece == k for k in range(pieces)]
+
+
 def _event_pieces(spark: SparkSession, sf_dir: str, shuffled: bool = False) -> DataFrame:
     """The events as a stream of several batches, in order of time or thoroughly mixed."""
     events = tables.table(spark, sf_dir, "events")
     if shuffled:
         piece = F.pmod(F.xxhash64("event_id"), F.lit(PIECES))
+        conditions = [piece == k for k in range(PIECES)]
     else:
-        bounds = events.agg(F.min("ts").alias("first"), F.max("ts").alias("last")).first()
-        span = (bounds.last - bounds.first).total_seconds() + 1
-        since = F.unix_timestamp(F.col("ts").cast("timestamp")) - F.unix_timestamp(
-            F.lit(bounds.first).cast("timestamp")
-        )
-        piece = F.floor(since / span * PIECES)
+        conditions = _in_time_order(events, PIECES)
     path = scratch_path(spark, "events")
-    tables.land_in_pieces(events, path, [piece == k for k in range(PIECES)])
+    tables.land_in_pieces(events, path, conditions)
     return tables.stream_pieces(spark, path)
 
 
@@ -629,6 +644,128 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read_table(spark, paths.bronze_batches, schemas.schema(order_id="string"))
 
 
+def stream_state_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly windows out of Spark's state, of events in order of time and one that closes the last."""
+    events = tables.table(spark, sf_dir, "events")
+    path, paths = scratch_path(spark, "events"), Lake(scratch_path(spark, "stream"))
+    tables.land_in_pieces(events, path, _in_time_order(events, PIECES))
+    # Its own window stays open.
+    closing = events.agg((F.max("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"))
+    tables.land_in_pieces(closing, path, [F.lit(True)])
+    metric_stream.start_state_windows(
+        _event_sales(tables.stream_pieces(spark, path, events.schema)),
+        paths.windowed_metrics,
+        paths.checkpoint("metrics"),
+        bronze_stream.AVAILABLE_NOW,
+    ).awaitTermination()
+    return _plain(lake.read_table(spark, paths.windowed_metrics, schemas.WINDOWED_METRICS))
+
+
+def _sent_again(events: DataFrame) -> DataFrame:
+    """Orders in order of time; some come a second time soon, some again long after."""
+    counter = F.get_json_object("props", "$.k").cast("int")
+    order = F.col("event_id").cast("string").alias("order_id")
+
+    def copy(condition: Column, later: str, again: bool) -> DataFrame:
+        moment = (F.col("ts") + F.expr(f"INTERVAL {later}")).alias("ts")
+        return events.where(condition).select(order, moment, F.lit(again).alias("again"))
+
+    return (
+        copy(F.lit(True), "0 days", False)
+        .unionByName(copy(counter % 3 == 0, SOON, False))
+        .unionByName(copy(counter % 5 == 0, LONG_AFTER, True))
+    )
+
+
+def stream_state_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies within the delay go, those that come when the state has forgotten the order stay."""
+    sent = materialize(_sent_again(tables.table(spark, sf_dir, "events")))
+    path, paths = scratch_path(spark, "orders"), Lake(scratch_path(spark, "stream"))
+    tables.land_in_pieces(sent, path, _in_time_order(sent, COPY_PIECES))
+    start_dedup(
+        tables.stream_pieces(spark, path),
+        paths.bronze,
+        paths.checkpoint("dedup"),
+        bronze_stream.AVAILABLE_NOW,
+        event_time="ts",
+    ).awaitTermination()
+    return lake.read_table(spark, paths.bronze, schemas.schema(order_id="string", again="boolean"))
+
+
+def stream_unique_within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same orders cut in one batch and in several: copies within two days go, others stay."""
+    sent = materialize(_sent_again(tables.table(spark, sf_dir, "events"))).withColumn(
+        "order_ts", F.col("ts").cast("timestamp")
+    )
+    dated = sent.select(
+        "order_id",
+        "order_ts",
+        "again",
+        F.year("order_ts").alias("year"),
+        F.month("order_ts").alias("month"),
+        F.dayofmonth("order_ts").alias("day"),
+        "ts",
+    )
+    results = []
+    for pieces in (1, PIECES):
+        path, paths = scratch_path(spark, "orders"), Lake(scratch_path(spark, "stream"))
+        tables.land_in_pieces(dated, path, _in_time_order(dated, pieces))
+        start_unique(
+            tables.stream_pieces(spark, path).drop("ts"),
+            paths.bronze_batches,
+            paths.checkpoint("unique"),
+            bronze_stream.AVAILABLE_NOW,
+            delay="2 days",
+            partitions=bronze_stream.PARTITIONS,
+        ).awaitTermination()
+        kept = schemas.schema(order_id="string", again="boolean")
+        landed = lake.read_table(spark, paths.bronze_batches, kept)
+        results.append(landed.withColumn("batches", F.lit(pieces)))
+    return results[0].unionByName(results[1])
+
+
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze of a stream that runs, is stopped, and goes on with what came meanwhile."""
+    paths, topic = Lake(scratch_path(spark, "stream")), scratch_path(spark, "topic")
+    messages = _messages(spark, sf_dir)
+    half = F.col("key").cast("string").cast("long") % 2
+    checkpoint = paths.checkpoint("bronze")
+    messages.filter(half == 0).write.parquet(topic)
+    arriving = spark.readStream.schema(messages.schema).parquet(topic)
+    running = bronze_stream.start_bronze(arriving, paths.bronze, checkpoint)
+    running.processAllAvailable()
+    running.stop()
+    messages.filter(half == 1).write.mode("append").parquet(topic)
+    bronze_stream.start_bronze(
+        arriving, paths.bronze, checkpoint, bronze_stream.AVAILABLE_NOW
+    ).awaitTermination()
+    return _bronze_view(lake.read_bronze(spark, paths.bronze))
+
+
+def stream_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How a stream at an interval takes up a topic: its batches, the largest, and all of its rows."""
+    paths, topic = Lake(scratch_path(spark, "stream")), scratch_path(spark, "topic")
+    messages = _messages(spark, sf_dir)
+    in_file = math.ceil(messages.count() / ADMITTED_FILES)
+    tables.land_in_files(messages, topic, in_file)
+    running = bronze_stream.start_split(
+        tables.stream_pieces(spark, topic, files=FILES_PER_BATCH),
+        paths.bronze_batches,
+        paths.dead_letter_batches,
+        paths.checkpoint("admission"),
+        {"processingTime": "100 milliseconds"},
+    )
+    running.processAllAvailable()
+    running.stop()
+    per_batch = bronze_stream.rows_per_batch(spark, paths.bronze_batches, paths.dead_letter_batches)
+    return per_batch.agg(
+        F.count(F.lit(1)).alias("batches"),
+        F.max("rows").alias("largest"),
+        (F.max("rows") <= in_file * FILES_PER_BATCH).alias("within_limit"),
+        F.sum("rows").alias("rows"),
+    )
+
+
 # Layers
 
 
@@ -731,6 +868,11 @@ QUERIES: dict[str, Query] = {
         stream_open_windows,
         stream_late_events,
         stream_dedup,
+        stream_state_windows,
+        stream_state_dedup,
+        stream_unique_within,
+        stream_restart,
+        stream_admission,
         layered_gold,
         layered_daily,
         layered_range,

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillstream.functions.money import with_revenue
 from tillstream.functions.stamps import with_order_date
@@ -38,10 +39,17 @@ def land_in_pieces(rows: DataFrame, path: str, pieces: list[Column]) -> None:
         rows.filter(piece).coalesce(1).write.mode("append").parquet(path)
 
 
-def stream_pieces(spark: SparkSession, path: str) -> DataFrame:
-    """The files of ``land_in_pieces`` as a stream, one per batch."""
-    schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+def land_in_files(rows: DataFrame, path: str, most: int) -> None:
+    """The rows as files of so many rows, the last one of fewer."""
+    rows.coalesce(1).write.option("maxRecordsPerFile", most).parquet(path)
+
+
+def stream_pieces(
+    spark: SparkSession, path: str, schema: StructType | None = None, files: int = 1
+) -> DataFrame:
+    """The files landed at a path as a stream, so many per batch."""
+    schema = schema or spark.read.parquet(path).schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

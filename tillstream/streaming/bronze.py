@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillstream import settings
+from tillstream import schemas, settings
 from tillstream.functions.codec import decode_events
 from tillstream.functions.stamps import with_ingest_columns
 from tillstream.operators.validate import split_valid
@@ -154,3 +155,14 @@ def start_split(
     write = split_writer(bronze_path, dead_letter_path, stream, strict, compact)
     writer = messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+def rows_per_batch(spark: SparkSession, bronze_path: str, dead_letter_path: str) -> DataFrame:
+    """``(batch, rows)``: messages that ``start_split`` took up in each batch, whatever became of them."""
+    run = schemas.schema(**{RUN: "string"})
+    written = [
+        lake.read_table(spark, path, run)
+        for path in (bronze_path, dead_letter_path)
+        if lake.exists(spark, path)
+    ]
+    return reduce(DataFrame.unionByName, written).groupBy(RUN).agg(F.count(F.lit(1)).alias("rows"))

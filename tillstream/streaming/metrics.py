@@ -1,6 +1,8 @@
 """Metrics per category and window, kept up to date by a stream.
 
-Every batch adds its own sums per window, and reading adds them up: no state, and no row is lost
+``start_state_windows`` keeps open windows in Spark's own state and appends each once it is final.
+
+``start_windows`` is for events in no order. Every batch adds its own sums per window, and reading adds them up: no state, and no row is lost
 for being late. Where windows must be final, rows behind the watermark are set apart and kept.
 """
 
@@ -14,6 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillstream import schemas, settings
 from tillstream.functions import money
+from tillstream.operators.rollups import windowed_metrics
+from tillstream.session import STATE_OPTIONS, session_options
 from tillstream.sources import lake
 
 RUN = "batch"
@@ -24,6 +28,50 @@ _LATE = "late"
 _PROGRESS = "progress"
 
 
+def start_state_windows(
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    event_time: str = "order_ts",
+    width: str = settings.METRIC_WINDOW,
+    watermark: str = settings.WATERMARK_DELAY,
+    by: str = "category",
+) -> StreamingQuery:
+    """Append each window once the newest event of the batches before is ``watermark`` past its end.
+
+    The open windows are Spark's state, a row per window and category. Rows behind the watermark are
+    left out by Spark; ``late_count`` tells how many.
+    """
+    spark = events.sparkSession
+    lake.require_stream_path(spark, path)
+    if dict(events.dtypes)[event_time] == "timestamp_ntz":
+        events = events.withColumn(event_time, F.col(event_time).cast("timestamp"))
+    final = windowed_metrics(events, event_time, width, watermark, by)
+    writer = final.writeStream.format("parquet").outputMode("append")
+    writer = writer.option("path", path).option("checkpointLocation", checkpoint)
+    with session_options(spark, STATE_OPTIONS):
+        return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+def late_count(query: StreamingQuery) -> int:
+    """Rows that a query with state has left out as late, by the progress it still remembers.
+
+    Sums per task come before the state, so rows of one window and category may count as one.
+    """
+    return sum(
+        operator.numRowsDroppedByWatermark
+        for progress in query.recentProgress
+        for operator in progress.stateOperators
+    )
+
+
+def state_rows(query: StreamingQuery) -> int:
+    """Rows of state after the last batch."""
+    last = query.lastProgress
+    return sum(operator.numRowsTotal for operator in last.stateOperators) if last else 0
+
+
 def _sums_schema(by: str):
     return schemas.schema(
         window_start="timestamp",
