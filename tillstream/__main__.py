@@ -12,11 +12,12 @@ from tillstream.functions.codec import with_event_defaults
 from tillstream.functions.money import with_revenue
 from tillstream.functions.stamps import with_order_time_now
 from tillstream.operators.quality import run_all, run_thresholds
-from tillstream.plans.layers import run_layers
-from tillstream.plans.star import load_star, write_answers
+from tillstream.plans.increments import take_up
+from tillstream.plans.layers import release_layers, run_layers
+from tillstream.plans.star import load_star, merge_fact, write_answers
 from tillstream.session import build_session, input_size, sized_for
 from tillstream.settings import Lake
-from tillstream.sources import lake, topics
+from tillstream.sources import lake, releases, topics
 from tillstream.streaming import bronze
 from tillstream.streaming.metrics import start_state_windows, start_windows
 
@@ -102,6 +103,24 @@ def layers(spark, args) -> None:
     )
 
 
+def release(spark, args) -> None:
+    """The layers into folders of their own, visible together at the end."""
+    release_layers(spark, Lake(args.root), only_positive=args.only_positive)
+    releases.forget(spark, Lake(args.root).releases, args.keep)
+
+
+def increments(spark, args) -> None:
+    """What came to bronze since the last time, into silver and gold."""
+    take_up(spark, Lake(args.root))
+    releases.forget(spark, Lake(args.root).increments, args.keep)
+
+
+def merge(spark, args) -> None:
+    """The orders of a lake's silver into the fact of another."""
+    silver = lake.read_table(spark, Lake(args.changes).silver, schemas.SILVER)
+    merge_fact(spark, silver, Lake(args.root))
+
+
 def compact(spark, args) -> None:
     """Bronze with few files per day, in a lake of its own."""
     if args.root.rstrip("/") == args.target.rstrip("/"):
@@ -171,6 +190,11 @@ def main() -> None:
     batch.add_argument("--last", type=date.fromisoformat)
     batch.add_argument("--target", help="root to write to, needed with a range of dates")
     batch.add_argument("--only-positive", action="store_true")
+    whole = job(release, "root")
+    whole.add_argument("--only-positive", action="store_true")
+    for history in (whole, job(increments, "root")):
+        history.add_argument("--keep", type=int, default=10, help="releases that stay readable")
+    job(merge, "root", "changes")
     job(compact, "root", "target")
     job(star, "root").add_argument("--previous", help="root whose dimension keys are kept")
     job(questions, "root")

@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
@@ -203,6 +203,13 @@ def run_all(
     else:
         before = bronze.agg(F.count(F.lit(1)).alias("source_rows"))
     both = _one_row(before, key_profile(silver, key, columns))
+    return _report(both, _layer_results(key, columns, tolerance, key_drift))
+
+
+def _layer_results(
+    key: str, columns: Sequence[str], tolerance: float, key_drift: bool
+) -> list[Column]:
+    """Results over one row with the counts of both layers."""
     rows_lost = _drift(F.col("source_rows"), F.col("rows"))
     results = [_result("count_check", "bronze to silver", rows_lost, tolerance * 100)]
     if key_drift:
@@ -212,6 +219,50 @@ def run_all(
         missing = _percent(F.col(f"missing_{name}"), F.col("rows"))
         results.append(_result("null_check", name, missing, 0))
     results.append(_result("dup_check", key, F.col("duplicated"), 0))
+    return results
+
+
+def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """The same rows, counted by whatever action runs over them."""
+    counted = Observation(name)
+    return df.observe(counted, F.count(F.lit(1)).alias("rows")), counted
+
+
+def observe_values(
+    df: DataFrame,
+    name: str,
+    columns: Sequence[str] = settings.CHECKED_COLUMNS,
+    positive: Sequence[str] = settings.POSITIVE_COLUMNS,
+) -> tuple[DataFrame, Observation]:
+    """The same rows, whose missing values, and values of zero or below, are counted on the way."""
+    counted = Observation(name)
+    missing = [F.count_if(is_missing(df, c)).alias(f"missing_{c}") for c in columns]
+    low = [F.count_if(F.col(c) <= 0).alias(f"low_{c}") for c in positive]
+    return df.observe(counted, F.count(F.lit(1)).alias("rows"), *missing, *low), counted
+
+
+def run_observed(
+    bronze_rows: Observation,
+    silver_values: Observation,
+    silver: DataFrame,
+    key: str = "order_id",
+    columns: Sequence[str] = settings.CHECKED_COLUMNS,
+    positive: Sequence[str] = settings.POSITIVE_COLUMNS,
+    tolerance: float = settings.ROW_COUNT_TOLERANCE,
+) -> DataFrame:
+    """``run_all`` without drift of keys, and the amounts of zero or below.
+
+    Bronze rows and silver values were counted while silver was written, so bronze is not read again
+    and of silver only the key is. Values are counted where silver leaves its last stage, once per
+    partition. Bronze rows are counted before the shuffle: map tasks run again for a lost executor count
+    twice, which can only show more rows as lost than there are.
+    """
+    before, after = bronze_rows.get["rows"], silver_values.get
+    counts = {f"missing_{name}": F.lit(after[f"missing_{name}"]) for name in columns}
+    counts |= {f"low_{name}": F.lit(after[f"low_{name}"]) for name in positive}
+    both = key_profile(silver, key).withColumns({"source_rows": F.lit(before), **counts})
+    results = _layer_results(key, columns, tolerance, key_drift=False)
+    results += [_result("positive_check", name, F.col(f"low_{name}"), 0) for name in positive]
     return _report(both, results)
 
 

@@ -12,11 +12,17 @@ from tillstream import schemas
 from tillstream.functions.money import with_revenue
 from tillstream.functions.stamps import with_order_date
 from tillstream.operators.dedup import dedup
-from tillstream.operators.quality import run_all, verdicts
+from tillstream.operators.quality import (
+    observe_rows,
+    observe_values,
+    run_all,
+    run_observed,
+    verdicts,
+)
 from tillstream.operators.rollups import category_metrics, daily_revenue
 from tillstream.operators.validate import positive_only
 from tillstream.settings import Lake
-from tillstream.sources import lake
+from tillstream.sources import lake, releases
 
 log = logging.getLogger(__name__)
 
@@ -78,11 +84,18 @@ def run_layers(
         raise ValueError("a range of dates would replace the whole silver; give another target")
     target = target or paths
     bronze = lake.read_bronze(spark, paths.bronze_tables, first, last)
-    lake.overwrite(silver_of(spark, paths, first, last, only_positive), target.silver)
-    silver = lake.read_table(spark, target.silver, schemas.SILVER)
-
-    # Dedup loses no key; only the filter after it can, so only then are bronze keys compared.
-    lake.overwrite(run_all(bronze, silver, key_drift=only_positive), target.quality)
+    if first or last or only_positive:
+        lake.overwrite(silver_of(spark, paths, first, last, only_positive), target.silver)
+        silver = lake.read_table(spark, target.silver, schemas.SILVER)
+        # Dedup loses no key; only the filter after it can, so only then are bronze keys compared.
+        checks = run_all(bronze, silver, key_drift=only_positive)
+    else:
+        counted, bronze_rows = observe_rows(bronze, "bronze")
+        written, silver_values = observe_values(to_silver(counted), "silver")
+        lake.overwrite(written, target.silver)
+        silver = lake.read_table(spark, target.silver, schemas.SILVER)
+        checks = run_observed(bronze_rows, silver_values, silver)
+    lake.overwrite(checks, target.quality)
     passed = verdicts(lake.read_table(spark, target.quality, schemas.CHECKS))
     for name, fine in passed.items():
         log.log(
@@ -101,3 +114,35 @@ def run_layers(
         "daily_revenue": target.daily_revenue,
         "category_metrics": target.category_metrics,
     }
+
+
+def release_layers(
+    spark: SparkSession,
+    paths: Lake,
+    gates: tuple[str, ...] = GATES,
+    only_positive: bool = False,
+) -> releases.Release:
+    """Run the layers into folders of their own, and make silver, checks and gold visible together.
+
+    Until the last of them is written, and for good where the gate or anything else stops the run,
+    readers of the current release see the tables of the run before.
+    """
+    before = releases.current(spark, paths.releases)
+    target = Lake(releases.new_folder(paths.releases))
+    written = run_layers(spark, paths, target=target, gates=gates, only_positive=only_positive)
+    tables = {name: {releases.WHOLE: path} for name, path in written.items()}
+    return releases.publish(spark, paths.releases, before, tables)
+
+
+RELEASED = {
+    "silver": schemas.SILVER,
+    "quality": schemas.CHECKS,
+    "daily_revenue": schemas.DAILY_REVENUE,
+    "category_metrics": schemas.CATEGORY_METRICS,
+}
+
+
+def read_released(spark: SparkSession, paths: Lake) -> dict[str, DataFrame]:
+    """The tables of the current release, all of one run."""
+    release = releases.current(spark, paths.releases)
+    return {name: releases.read(spark, release, name, schema) for name, schema in RELEASED.items()}

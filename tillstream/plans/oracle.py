@@ -11,6 +11,7 @@ from tillstream.plans.queries import (
     INGESTED_AT,
     PIECES,
     RANGE,
+    SENT_FIRST,
 )
 
 # Building blocks, named as in sources/tables.py.
@@ -179,6 +180,28 @@ _LATEST_CUSTOMER = """
 latest AS (SELECT customer_id, arg_max(country, (order_ts, order_id)) AS country
            FROM sales GROUP BY customer_id)"""
 
+# Of orders sent again the last one sent counts, of those sent by then.
+def _resent(before: int = 1_000_003) -> str:
+    return f"""{_ODD_PRICES},
+latest AS (SELECT customer_id || '-' || event_id % 5 AS order_id,
+                  arg_max(struct_pack(p := price, t := date_trunc('second', ts), c := event_type,
+                                      customer := customer_id),
+                          event_id * 7919 % 1000003) AS v
+           FROM odd JOIN (SELECT event_id, event_type FROM events) USING (event_id)
+           WHERE isfinite(price) AND price > 0 AND customer_id IS NOT NULL
+             AND event_id * 7919 % 1000003 < {before}
+           GROUP BY 1),
+silver AS (SELECT order_id, v.customer AS customer_id, v.p AS price, v.c AS category, v.t AS order_ts,
+                  CAST(v.t AS DATE) AS order_date, CAST(v.p AS DECIMAL(38,2)) AS revenue FROM latest)"""
+
+
+def _resent_gold(number: int, before: int) -> str:
+    return f"""SELECT * FROM ({_resent(before)}
+SELECT category, CAST(sum(revenue) AS DOUBLE) AS total_revenue, count(*) AS order_count,
+       {number} AS release
+FROM silver GROUP BY category)"""
+
+
 # Orders that come once, and those that come again long after; copies that come soon are left out.
 _SENT_AGAIN = """
 SELECT CAST(event_id AS VARCHAR) AS order_id, FALSE AS again FROM events
@@ -441,6 +464,21 @@ latest AS (SELECT customer_id || '-' || event_id % 5 AS order_id,
 SELECT order_id, v.d AS order_date, v.p AS price FROM latest
 WHERE v.d BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'""",
     "stream_dedup": f"WITH {_LINES}\nSELECT DISTINCT order_id FROM lines",
+    "incremental_silver": f"""{_resent()}
+SELECT order_id, order_date, price FROM silver""",
+    "incremental_daily": f"""{_resent()}
+SELECT order_date, CAST(sum(revenue) AS DOUBLE) AS total_daily_revenue, count(*) AS total_orders
+FROM silver GROUP BY order_date""",
+    "incremental_gold": f"""{_resent()}
+SELECT category, CAST(sum(revenue) AS DOUBLE) AS total_revenue, count(*) AS order_count
+FROM silver GROUP BY category""",
+    "released_gold": f"""{_resent_gold(1, SENT_FIRST)}
+UNION ALL
+{_resent_gold(2, 1_000_003)}""",
+    "fact_merge": f"""{_resent()}
+SELECT order_id, customer_id, CAST(price AS DECIMAL(10,2))::DOUBLE AS price, 1 AS quantity,
+       revenue::DOUBLE AS revenue, order_ts, order_date
+FROM silver WHERE price < 1e8""",
     "stream_state_windows": _HOURLY,
     "stream_state_dedup": _SENT_AGAIN,
     "stream_unique_within": f"""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillstream import schemas
 from tillstream.operators import analytics
+from tillstream.operators.joins import lookup_join
 from tillstream.operators.quality import reject_count
 from tillstream.operators.warehouse import (
     dim_customer,
@@ -15,7 +16,8 @@ from tillstream.operators.warehouse import (
     fact_sales,
 )
 from tillstream.settings import Lake
-from tillstream.sources import lake, warehouse
+from tillstream.session import Scratch
+from tillstream.sources import lake, releases, warehouse
 
 _DIMENSIONS = {
     "dim_product": (dim_product, schemas.DIM_PRODUCT),
@@ -32,6 +34,41 @@ def load_fact(spark: SparkSession, silver: DataFrame, paths: Lake) -> None:
     warehouse.write_fact(fact_sales(silver), paths.warehouse("fact_sales"))
 
 
+def merge_fact(spark: SparkSession, silver: DataFrame, paths: Lake) -> releases.Release:
+    """Bring new and changed orders into the fact by days: known orders are replaced, new ones added.
+
+    Only days that get or lose an order are written anew; the files of all other days stay. The first
+    merge is the base load. Rows that the fact cannot hold go to the rejects of this merge and are
+    counted in its checks; what the fact held of their orders goes, as after a full load.
+    """
+    root = paths.warehouse("fact_releases")
+    before = releases.current(spark, root)
+    folder = releases.new_folder(root)
+    with Scratch(spark) as scratch:
+        rejects = releases.write_whole(fact_rejects(silver), f"{folder}/fact_rejects")
+        refused = reject_count(spark.read.parquet(*rejects.values()), "fact_sales")
+        checks = releases.write_whole(refused, f"{folder}/load_checks")
+        changes = scratch.keep(fact_sales(silver))
+        warehouse.require_constraints(changes, "fact_sales")
+        sent = scratch.keep(silver.select("order_id").distinct())
+
+        def replaced(there: DataFrame, changed: DataFrame) -> DataFrame:
+            return lookup_join(there, sent, "order_id", how="left_anti").unionByName(changed)
+
+        parts, _ = releases.rewrite_days(
+            spark, before, "fact_sales", schemas.FACT_SALES, changes, "order_id", "order_date",
+            f"{folder}/fact_sales", replaced, ["order_ts"], sent,
+        )
+    tables = {"fact_sales": parts, "fact_rejects": rejects, "load_checks": checks}
+    return releases.publish(spark, root, before, tables)
+
+
+def read_merged(spark: SparkSession, paths: Lake) -> DataFrame:
+    """The fact as all merges so far have made it."""
+    release = releases.current(spark, paths.warehouse("fact_releases"))
+    return releases.read(spark, release, "fact_sales", schemas.FACT_SALES)
+
+
 def load_star(
     spark: SparkSession, paths: Lake, previous: Lake | None = None
 ) -> dict[str, str]:

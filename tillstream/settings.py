@@ -103,6 +103,14 @@ class Lake:
     def dead_letter_tables(self) -> tuple[str, str]:
         return self.dead_letters, self.dead_letter_batches
 
+    @property
+    def releases(self) -> str:
+        return self._at("releases")
+
+    @property
+    def increments(self) -> str:
+        return self._at("increments")
+
     def question(self, name: str) -> str:
         return self._at(f"questions/{name}")
 
