@@ -8,6 +8,7 @@ from tillstream.plans.queries import (
     EVENTS_AS_OF,
     FILES_PER_BATCH,
     FIRST_LOAD,
+    HOURS,
     INGESTED_AT,
     PIECES,
     RANGE,
@@ -261,6 +262,22 @@ FROM latest""",
 SELECT order_date, count(*) AS orders, 0 AS out_of_order FROM sales GROUP BY order_date""",
     "fact_by_customer": f"""{_SILVER}
 SELECT customer_id, CAST(sum(revenue) AS DOUBLE) AS revenue FROM sales GROUP BY customer_id""",
+    "colocated_countries": f"""{_SILVER}
+SELECT country, CAST(date_trunc('month', order_date) AS DATE) AS sales_month,
+       CAST(sum(revenue) AS DOUBLE) AS total_revenue,
+       count(DISTINCT customer_id) AS unique_customers
+FROM sales GROUP BY 1, 2""",
+    "monthly_customers": f"""{_SILVER}
+SELECT country, CAST(date_trunc('month', order_date) AS DATE) AS sales_month,
+       count(DISTINCT customer_id) AS unique_customers
+FROM sales GROUP BY 1, 2""",
+    "fact_hours": f"""{_ODD_PRICES}
+SELECT order_id, customer_id, event_type AS product_id, CAST(price AS DECIMAL(10,2))::DOUBLE AS price,
+       1 AS quantity, CAST(price AS DECIMAL(12,2))::DOUBLE AS revenue,
+       date_trunc('second', ts) AS order_ts, CAST(ts AS DATE) AS order_date
+FROM odd JOIN (SELECT event_id, event_type FROM events) USING (event_id)
+WHERE isfinite(price) AND price < 1e8 AND customer_id IS NOT NULL
+  AND date_trunc('second', ts) >= TIMESTAMP '{HOURS[0]}' AND date_trunc('second', ts) < TIMESTAMP '{HOURS[1]}'""",
     "amount_rejects": f"""{_ODD_PRICES},
 refused AS (SELECT *, concat_ws(',',
                 CASE WHEN coalesce(customer_id, '') = '' THEN 'missing_customer_id' END,

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from tillstream import schemas, settings
 from tillstream.functions import codec, stamps
-from tillstream.operators import analytics, quality, rollups, validate
+from tillstream.functions.money import with_revenue
+from tillstream.operators import analytics, bitmaps, quality, rollups, validate
 from tillstream.operators import warehouse as star
 from tillstream.plans.increments import read_increments, take_up
 from tillstream.plans.layers import read_released, release_layers, run_layers, to_silver
@@ -38,6 +39,10 @@ INGESTED_AT = "2024-02-01 12:34:56"
 RANGE = ("2024-01-10", "2024-01-19")
 PIECES = 4
 
+# Buckets of tables that are joined by customer, and hours that are read of a fact by time.
+BUCKETS = 16
+HOURS = ("2024-01-10 08:00:00", "2024-01-10 20:00:00")
+
 # Seconds up to which the first half of the orders is sent.
 SENT_FIRST = 500_000
 
@@ -203,12 +208,53 @@ def fact_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spending per customer of the fact saved in buckets, where grouping needs no shuffle."""
     name = "fact_by_customer_" + uuid.uuid4().hex
-    warehouse.save_fact(materialize(_fact(spark, sf_dir)), name, customer_buckets=16)
+    path = scratch_path(spark, "fact-by-customer")
+    warehouse.save_fact(materialize(_fact(spark, sf_dir)), name, customer_buckets=16, path=path)
     spent = F.sum("revenue").alias("revenue")
     per_customer = warehouse.scan(spark, f"default.{name}").groupBy("customer_id").agg(spent)
     return _plain(per_customer)
 
 
+def colocated_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spending per country and month of a fact and a dimension that lie in equal buckets."""
+    run = uuid.uuid4().hex
+    fact, dim = f"fact_{run}", f"dim_customer_{run}"
+    keyed = star.number_rows(materialize(_dim_customer(spark, sf_dir)), "customer_id", "customer_key")
+    warehouse.save_fact(
+        materialize(_fact(spark, sf_dir)), fact, BUCKETS, scratch_path(spark, "fact-by-customer")
+    )
+    warehouse.save_dimension(
+        materialize(keyed), "dim_customer", dim, BUCKETS, scratch_path(spark, "dim-by-customer")
+    )
+    joined = warehouse.colocated_join(
+        warehouse.scan(spark, f"default.{fact}"), warehouse.scan(spark, f"default.{dim}")
+    )
+    month = F.trunc("order_date", "month").alias("sales_month")
+    spent = joined.groupBy("customer_id", "country", month).agg(F.sum("revenue").alias("revenue"))
+    per_country = spent.groupBy("country", "sales_month").agg(
+        F.sum("revenue").alias("total_revenue"), F.count(F.lit(1)).alias("unique_customers")
+    )
+    return _plain(per_country)
+
+
+def monthly_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unique customers per country and month, out of stored bitmaps of each day."""
+    keyed = star.number_rows(materialize(_dim_customer(spark, sf_dir)), "customer_id", "customer_key")
+    daily = materialize(bitmaps.daily_customers(_fact(spark, sf_dir), materialize(keyed)))
+    month = F.trunc("order_date", "month").alias("sales_month")
+    return bitmaps.unique_keys(daily, ["country", month])
+
+
+def fact_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders of some hours, out of a fact of a month that is laid out by time."""
+    path = scratch_path(spark, "fact-by-time")
+    # The decimals of the fact do not hold the odd prices; they are among the rejects.
+    sold = stamps.with_order_date(with_revenue(_with_odd_prices(spark, sf_dir)))
+    known = sold.where("customer_id IS NOT NULL")
+    warehouse.write_fact(materialize(star.fact_sales(known)), path)
+    return _plain(warehouse.read_hours(spark, path, *HOURS))
+
+
 def _with_odd_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decoded events; some prices are no number, some infinite, some too large for the fact."""
     odd = (
@@ -313,8 +359,10 @@ def _asked(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         keyed = star.number_rows(materialize(source), id_col, key_col)
         written[dim] = paths.warehouse(dim)
         warehouse.write_dimension(keyed, dim, written[dim])
-    warehouse.register_tables(spark, written)
-    return _plain(ask(spark, name))
+    # A schema of its own, so that loads of one session do not see each other's tables.
+    schema = "sales_" + uuid.uuid4().hex
+    warehouse.register_tables(spark, written, schema)
+    return _plain(ask(spark, name, schema))
 
 
 def asked_daily_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -886,6 +934,9 @@ QUERIES: dict[str, Query] = {
         fact_load,
         fact_by_time,
         fact_by_customer,
+        colocated_countries,
+        monthly_customers,
+        fact_hours,
         amount_rejects,
         fact_constraints,
         daily_trend,

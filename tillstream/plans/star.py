@@ -114,11 +114,12 @@ QUESTIONS = {
         ORDER BY order_date DESC
     """,
     "top_categories": """
+        -- The load has found the order id to be a key, so rows are orders.
         WITH sold AS (
-            SELECT product_id, order_id, sum(revenue) AS revenue
-            FROM {schema}.fact_sales GROUP BY product_id, order_id
+            SELECT product_id, sum(revenue) AS revenue, count(*) AS orders
+            FROM {schema}.fact_sales GROUP BY product_id
         )
-        SELECT category, sum(revenue) AS total_revenue, count(DISTINCT order_id) AS order_count
+        SELECT category, sum(revenue) AS total_revenue, sum(orders) AS order_count
         FROM sold JOIN {schema}.dim_product USING (product_id)
         GROUP BY category
         ORDER BY total_revenue DESC, category

@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import functions as F
 
 from tillstream import schemas
 from tillstream.operators.quality import constraint_profile, duplicate_check
+from tillstream.session import session_options
+from tillstream.sources.releases import TIMES_WITH_BOUNDS
 
 SCHEMA = "sales"
 
+# Bytes of a row group of the fact by time.
+ROW_GROUP_BYTES = 16 * 1024 * 1024
+
 
 class ConstraintViolation(ValueError):
     """A table breaks its declared key, NOT NULL or text length, or repeats a join key."""
@@ -39,12 +47,12 @@ def sorted_by_time(fact: DataFrame) -> DataFrame:
     return fact.hint("rebalance", "order_date").sortWithinPartitions("order_ts")
 
 
-def by_customer(fact: DataFrame, buckets: int) -> DataFrame:
+def by_customer(rows: DataFrame, buckets: int) -> DataFrame:
     """Rows of a bucket together, so that it is written as few files.
 
     The hint hashes as ``bucketBy`` does, merges small buckets into one task and splits large ones.
     """
-    return fact.hint("rebalance", buckets, "customer_id")
+    return rows.hint("rebalance", buckets, "customer_id")
 
 
 def _fact_writer(fact: DataFrame, customer_buckets: int | None) -> DataFrameWriter:
@@ -54,31 +62,73 @@ def _fact_writer(fact: DataFrame, customer_buckets: int | None) -> DataFrameWrit
     return writer.bucketBy(customer_buckets, "customer_id").sortBy("order_ts")
 
 
+def _save(writer: DataFrameWriter, table: str, path: str | None) -> None:
+    (writer if path is None else writer.option("path", path)).saveAsTable(table)
+
+
 def save_fact(
     fact: DataFrame,
     table: str = f"{SCHEMA}.fact_sales",
     customer_buckets: int | None = None,
+    path: str | None = None,
 ) -> None:
     """Check the fact and replace the catalog table with it.
 
     By default it is laid out by time. ``customer_buckets`` co-locates customers instead, so joins
     on customer_id need no shuffle; a bucket is read by one task, so leave it off where a single
-    customer may hold much of the table. ``fact`` is read twice: pass a written table.
+    customer may hold much of the table. ``fact`` is read twice: pass a written table. Without ``path``
+    the files lie in the warehouse folder of the session.
     """
     require_constraints(fact, "fact_sales")
-    _fact_writer(fact, customer_buckets).saveAsTable(table)
+    _save(_fact_writer(fact, customer_buckets), table, path)
 
 
-def write_fact(fact: DataFrame, path: str) -> None:
-    """Check the fact and replace what is below a path with it, laid out by time."""
+def write_fact(fact: DataFrame, path: str, row_group_bytes: int = ROW_GROUP_BYTES) -> None:
+    """Check the fact and replace what is below a path with it, laid out by time.
+
+    Times are written in the form that has minima and maxima in the files, so a filter on time skips the
+    row groups outside; the smaller these are, the less is read beside what is asked for.
+    """
     require_constraints(fact, "fact_sales")
-    _fact_writer(fact, None).save(path)
+    with session_options(fact.sparkSession, TIMES_WITH_BOUNDS):
+        _fact_writer(fact, None).option("parquet.block.size", row_group_bytes).save(path)
+
+
+def read_hours(spark: SparkSession, path: str, first: datetime | str, last: datetime | str) -> DataFrame:
+    """Rows of a written fact from ``first`` up to, but not including, ``last``.
+
+    The day is compared as well, which some files alone can tell.
+    """
+    fact = spark.read.schema(schemas.FACT_SALES).parquet(path)
+    begin, end = F.lit(first).cast("timestamp"), F.lit(last).cast("timestamp")
+    inside = (F.col("order_ts") >= begin) & (F.col("order_ts") < end)
+    return fact.where(inside & F.col("order_date").between(F.to_date(begin), F.to_date(end)))
 
 
-def save_dimension(dim: DataFrame, name: str, table: str | None = None) -> None:
-    """Check and save a dimension as a catalog table."""
+def save_dimension(
+    dim: DataFrame,
+    name: str,
+    table: str | None = None,
+    customer_buckets: int | None = None,
+    path: str | None = None,
+) -> None:
+    """Check and save a dimension as a catalog table; with buckets it lies as a fact with as many."""
     require_constraints(dim, name)
-    dim.write.mode("overwrite").format("parquet").saveAsTable(table or f"{SCHEMA}.{name}")
+    if customer_buckets is not None:
+        writer = by_customer(dim, customer_buckets).write.mode("overwrite").format("parquet")
+        writer = writer.bucketBy(customer_buckets, "customer_id").sortBy("customer_id")
+    else:
+        writer = dim.write.mode("overwrite").format("parquet")
+    _save(writer, table or f"{SCHEMA}.{name}", path)
+
+
+def colocated_join(fact: DataFrame, dim: DataFrame, key: str = "customer_id") -> DataFrame:
+    """Join tables that lie in equal buckets of the key, bucket by bucket, without a shuffle.
+
+    For dimensions too large to broadcast; rows that stay in their buckets are grouped by the key
+    without a shuffle, too.
+    """
+    return fact.join(dim.hint("merge"), key)
 
 
 def write_dimension(dim: DataFrame, name: str, path: str) -> None:
