@@ -4,6 +4,7 @@ import re
 
 import pytest
 from llm_fixtures import EDGES, documents
+from pyspark.sql import functions as F
 
 from tillstream.llm import mixing
 
@@ -80,12 +81,47 @@ def test_edges(spark, clash):
     assert len(planned) == len(EDGES)
     words = {row[0]: len(re.findall(r"[^\x20\x09-\x0D]+", row[1] or "")) for row in EDGES}
     assert all(row["size"] == words[row["doc"]] for row in planned)
-    assert len({row["copies"] for row in planned if row["doc"] == 5}) == 1
     mixed = mixing.mix(frame)
     assert mixed.columns == frame.columns
     assert mixed.count() == sum(row["copies"] for row in planned)
 
 
+@pytest.mark.parametrize("text", ["all the same words", None])
+def test_rows_without_id_or_with_one_id_reach_the_targets(spark, text):
+    """Equal rows draw each for itself: 2000 of a source, without an id, and as many of another one."""
+    words = len((text or "").split())
+    rows = [(None, text, "en", "a", 0)] * 2000 + [(7, "of another source", "en", "b", 0)] * 2000
+    rows += [(k, "a b c d e", "en", "c", 0) for k in range(100)]
+    frame = documents(spark, rows).repartition(5)
+    planned = plan(frame)
+    target = {row["source"]: row["target"] for row in planned}
+    for source in "abc":
+        copies = [row["copies"] for row in planned if row["source"] == source]
+        taken = sum(row["size"] * row["copies"] for row in planned if row["source"] == source)
+        assert taken == pytest.approx(target[source], rel=0.02, abs=1)
+        assert max(copies) - min(copies) <= 1 and max(copies) <= 3
+    assert words == 0 or target["a"] > 0
+    emitted = mixing.mix(frame.withColumn("tags", F.create_map(F.lit("k"), F.rand(3)))).groupBy("source").count()
+    expected = {}
+    for row in planned:
+        expected[row["source"]] = expected.get(row["source"], 0) + row["copies"]
+    assert {row.source: row["count"] for row in emitted.collect()} == expected
+    again = mixing.plan_mix(frame.repartition(2)).groupBy("doc", "copies").count()
+    assert sorted(map(tuple, again.collect()), key=repr) == sorted(
+        map(tuple, mixing.plan_mix(frame).groupBy("doc", "copies").count().collect()), key=repr
+    )
+
+
+def test_many_sources(spark):
+    """Targets of thousands of sources, some limited in the first round and some in later ones."""
+    totals = {f"s{k:05d}": 1 + (k * k) % (10 if k % 4 else 5000) for k in range(3000)}
+    sizes = spark.createDataFrame([("0" + k, v) for k, v in totals.items()], "key string, size long")
+    got = {row["key"][1:]: row["target"] for row in mixing.source_targets(sizes).collect()}
+    expected = targets(totals)
+    assert got.keys() == expected.keys()
+    assert all(got[source] == pytest.approx(expected[source]) for source in got)
+
+
 def test_source_without_words(spark):
     frame = documents(spark, [(1, "", "en", "a", 0), (2, None, "en", "a", 0), (3, "x y", "en", "b", 3)])
     found = {row["doc"]: (row["target"], row["copies"]) for row in plan(frame)}

@@ -20,11 +20,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillstream.llm.ranks import ranked
 from tillstream.llm.text import lower_ascii
-from tillstream.operators.joins import lookup_join
 from tillstream.session import Scratch
 
 # Children of a node, bytes of a digest, columns of a leaf in their order.
@@ -71,36 +71,6 @@ def _levels(n: Column) -> Column:
     return sum(((n > F.lit(FAN_OUT**k)).cast("int") for k in range(_MOST_LEVELS)), F.lit(0))
 
 
-def _ranked(leaves: DataFrame, order: list[str], scratch: Scratch) -> DataFrame:
-    """Leaves with ``rank`` in their tree and ``n``, the leaves of that tree.
-
-    Rows are sorted over all partitions, equal ones spread by their place in the input, and written
-    once with their places; what a partition holds of a tree, a row each, gives the ranks.
-    """
-    width = int(leaves.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by = ["tree", *order, "_spread"]
-    spread = leaves.withColumn("_spread", F.monotonically_increasing_id())
-    in_order = spread.repartitionByRange(width, *by).sortWithinPartitions(*by).drop("_spread")
-    placed = scratch.keep(in_order.withColumn("_place", F.monotonically_increasing_id()))
-    placed = placed.withColumn("_part", F.shiftright("_place", 33))
-
-    held = placed.groupBy("tree", "_part").agg(
-        F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_first")
-    )
-    of_tree = Window.partitionBy("tree")
-    earlier = of_tree.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = scratch.keep(
-        held.select(
-            "tree",
-            "_part",
-            (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
-            F.sum("_rows").over(of_tree).alias("n"),
-        )
-    )
-    ranked = lookup_join(placed, starts, ["tree", "_part"])
-    return ranked.withColumn("rank", F.col("_place") + F.col("_shift")).drop("_place", "_part", "_shift")
-
-
 def _runs(level: DataFrame) -> DataFrame:
     """The nodes above a level: every 16 consecutive nodes of a tree, by rank."""
     child = F.struct(F.col("rank"), hexed(F.col("digest")).alias("digest"))
@@ -121,7 +91,7 @@ def _tallest(trees: DataFrame) -> int:
 def _store_forest(leaves: DataFrame, order: list[str], folder: str, scratch: Scratch) -> DataFrame:
     """Write the leaves with their ranks, the records of all nodes, and the roots, returned."""
     spark = leaves.sparkSession
-    _ranked(leaves, order, scratch).write.parquet(f"{folder}/leaves")
+    ranked(leaves, "tree", order, scratch).write.parquet(f"{folder}/leaves")
     stored = spark.read.parquet(f"{folder}/leaves")
     level = stored.select("tree", "n", "rank", "digest")
     roots = [level.where(_levels(F.col("n")) == 0)]

@@ -9,13 +9,16 @@ _LANES = ", ".join(
     for seed in range(4)
     for k in range(8)
 )
-_HASHES = ", ".join(f"sha256('{seed}:' || coalesce(doc_id::VARCHAR, '')) AS h{seed}" for seed in range(4))
+_HASHES = ", ".join(f"sha256('{seed}:' || name) AS h{seed}" for seed in range(4))
 
 _MIX = f"""
 WITH sizes AS (
-  SELECT doc_id, coalesce('0' || source, '1') AS key,
-         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size, {_HASHES}
-  FROM documents
+  SELECT *, {_HASHES} FROM (
+    SELECT doc_id, coalesce('0' || source, '1') AS key,
+           len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+           coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')) || ':'
+             || (row_number() OVER (PARTITION BY doc_id, source, md5(coalesce(text, ''))) - 1) AS name
+    FROM documents)
 ), totals AS (
   SELECT key, sum(size)::BIGINT AS source_size FROM sizes GROUP BY key
 ), weighed AS (
