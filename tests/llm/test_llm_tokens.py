@@ -90,10 +90,36 @@ def test_elias_fano_round_trip(numbers):
     assert held.all().tolist() == numbers
     for k in range(0, len(numbers), 7):
         assert held[k] == numbers[k]
+    assert held.take(np.arange(len(numbers))).tolist() == numbers
+    assert held.take(np.arange(len(numbers))[::-3]).tolist() == numbers[::-3]
     with pytest.raises(IndexError):
         held[len(numbers)]
 
 
+def test_select_starts_from_the_samples_of_the_file():
+    ends = np.cumsum(np.random.default_rng(1).integers(1, 3000, 2000))
+    data = EliasFano.of(ends).to_bytes()
+    held, behind = EliasFano.from_bytes(data)
+    assert behind == len(data)
+    places = held.select_many(np.arange(len(ends)))
+    stored = np.frombuffer(data, "<u4", -(-len(ends) // 256), len(data) - 4 * -(-len(ends) // 256))
+    assert stored.tolist() == places[::256].tolist()
+    # With other samples select goes elsewhere: it has nothing else to start from.
+    shifted = data[: -stored.nbytes] + np.roll(stored, 1).tobytes()
+    wrong, _ = EliasFano.from_bytes(shifted)
+    assert wrong.select(300) != held.select(300) and wrong.take(np.array([300]))[0] != ends[300]
+
+
+def test_spans_in_blocks():
+    ids = [np.arange(k % 50 + 1) for k in range(1000)]
+    docs = [None] * 7 + list(range(-500, 493))
+    shard = token_files.Shard(token_files.shard_bytes(docs, ids, 2))
+    for first, last in ((0, 1000), (0, 3), (5, 9), (7, 8), (999, 1000), (400, 400)):
+        starts, ends = shard.spans(first, last)
+        assert list(zip(starts.tolist(), ends.tolist(), strict=True)) == [shard.span(k) for k in range(first, last)]
+        assert shard.doc_ids(first, last) == docs[first:last]
+
+
 def test_elias_fano_is_small():
     ends = np.cumsum(np.random.default_rng(0).integers(1, 2000, 100_000))
     assert len(EliasFano.of(ends).to_bytes()) < 100_000 * 13 / 8

@@ -2,7 +2,8 @@
 
 Each number is split: its low bits are stored as they are, its high part in unary, as a one at
 position ``high + rank`` of a bit array. The k-th number needs the k-th one: ``select`` starts from
-the sampled one before it and counts ones in a few bytes from there.
+the sampled one before it and counts ones in a few bytes from there. The samples are stored with the
+list, an eighth of a bit per number, so a list that is read is ready for use.
 """
 
 from __future__ import annotations
@@ -12,19 +13,21 @@ import struct
 import numpy as np
 
 _HEAD = struct.Struct("<QQBQQ")  # count, largest, low bits, bytes of low bits, bytes of high bits
+_STEP = 64
 # A position is kept for every so many ones, in 32 bits.
 SAMPLE = 256
 _BLOCK = 1 << 16
 
-_ONES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(1).astype(np.int64)
+_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
+_ONES = _BITS.sum(1).astype(np.int64)
 
 
 class EliasFano:
-    def __init__(self, count: int, largest: int, bits: int, low: np.ndarray, high: np.ndarray) -> None:
+    def __init__(
+        self, count: int, largest: int, bits: int, low: np.ndarray, high: np.ndarray, samples: np.ndarray
+    ) -> None:
         self.count, self.largest, self.bits = count, largest, bits
-        self._low, self._high = low, high
-        ones = np.flatnonzero(np.unpackbits(high, bitorder="little"))[::SAMPLE]
-        self._samples = ones.astype(np.uint32)
+        self._low, self._high, self._samples = low, high, samples
 
     @classmethod
     def of(cls, numbers: np.ndarray) -> EliasFano:
@@ -42,11 +45,11 @@ class EliasFano:
             part = numbers[first : first + _BLOCK, None] >> np.arange(bits, dtype=np.uint64)
             low[first * bits : (first + len(part)) * bits] = (part & np.uint64(1)).ravel()
         pack = lambda x: np.packbits(x, bitorder="little")
-        return cls(count, largest, bits, pack(low), pack(unary))
+        return cls(count, largest, bits, pack(low), pack(unary), places[::SAMPLE].astype("<u4"))
 
     def to_bytes(self) -> bytes:
         head = _HEAD.pack(self.count, self.largest, self.bits, len(self._low), len(self._high))
-        return head + self._low.tobytes() + self._high.tobytes()
+        return head + self._low.tobytes() + self._high.tobytes() + self._samples.tobytes()
 
     @classmethod
     def from_bytes(cls, data: bytes | memoryview, at: int = 0) -> tuple[EliasFano, int]:
@@ -55,7 +58,44 @@ class EliasFano:
         at += _HEAD.size
         low = np.frombuffer(data, np.uint8, n_low, at)
         high = np.frombuffer(data, np.uint8, n_high, at + n_low)
-        return cls(count, largest, bits, low, high), at + n_low + n_high
+        at += n_low + n_high
+        samples = np.frombuffer(data, "<u4", -(-count // SAMPLE), at)
+        return cls(count, largest, bits, low, high, samples), at + samples.nbytes
+
+    def select_many(self, ks: np.ndarray) -> np.ndarray:
+        """``select`` of many at once, each from its sample; memory follows their number alone."""
+        position = self._samples[ks // SAMPLE].astype(np.int64)
+        byte = position // 8
+        before = _ONES[self._high[byte] & ((1 << position % 8) - 1)]
+        missing = ks % SAMPLE + before
+        found = np.empty(len(ks), np.int64)
+        left = np.arange(len(ks))
+        window = np.arange(_STEP)
+        while len(left):
+            at = byte[left, None] + window
+            held = np.where(at < len(self._high), self._high[np.minimum(at, len(self._high) - 1)], 0)
+            ones = np.cumsum(_ONES[held], axis=1)
+            here = ones[:, -1] > missing[left]
+            done = left[here]
+            inside = (ones[here] <= missing[done, None]).sum(axis=1)
+            counted = np.where(inside > 0, ones[here][np.arange(len(done)), np.maximum(inside - 1, 0)], 0)
+            value = held[here][np.arange(len(done)), inside]
+            nth = (np.cumsum(_BITS[value], axis=1) <= (missing[done] - counted)[:, None]).sum(axis=1)
+            found[done] = (byte[done] + inside) * 8 + nth
+            missing[left] -= ones[:, -1]
+            byte[left] += _STEP
+            left = left[~here]
+        return found
+
+    def take(self, ks: np.ndarray) -> np.ndarray:
+        """The numbers at some places, through ``select``."""
+        ks = np.asarray(ks, np.int64)
+        numbers = (self.select_many(ks) - ks).astype(np.uint64) << np.uint64(self.bits)
+        if self.bits:
+            bit = ks[:, None] * self.bits + np.arange(self.bits)
+            bits = (self._low[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1
+            numbers |= bits.astype(np.uint64) @ (np.uint64(1) << np.arange(self.bits, dtype=np.uint64))
+        return numbers
 
     def select(self, k: int) -> int:
         """Position of the k-th one of the unary part."""

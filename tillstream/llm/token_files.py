@@ -2,7 +2,9 @@
 
 Documents are ranged by id over the partitions, so shards in the order of their names hold the
 documents in ascending order. A shard is one file: a header, the boundaries and the document ids
-as Elias-Fano lists, then the ids as 16-bit numbers, or 32-bit ones for larger vocabularies.
+as Elias-Fano lists with their select samples, then the ids as 16-bit numbers, or 32-bit ones for
+larger vocabularies. Readers find the boundaries of a document by select, a block of documents at a
+time; no table of all boundaries is built.
 
 A shard's name and content follow from its partition alone, and it gets its name only when it is
 complete, so a task that is run again replaces the same files. Paths are resolved by Arrow's
@@ -35,9 +37,11 @@ END_ID = 1
 # A shard is closed when it has so many ids or documents.
 SHARD_IDS = 8_000_000
 SHARD_DOCS = 500_000
+# Documents whose boundaries a reader holds at once.
+READ_DOCS = 2048
 
 # Fixed values of the format: its mark and its header.
-MAGIC = b"TSEF0001"
+MAGIC = b"TSEF0002"
 _HEAD = struct.Struct("<8sBQQQq")  # mark, bytes per id, documents, ids, NULL ids, least id
 
 MANIFEST = "path string, shard string, n_docs long, n_ids long"
@@ -72,9 +76,19 @@ class Shard:
         """First and behind the last id of the k-th document."""
         return (self.boundaries[k - 1] if k else 0), self.boundaries[k]
 
-    def doc_ids(self) -> list[int | None]:
+    def spans(self, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+        """``span`` of the documents from ``first`` up to, but not including, ``last``."""
+        ends = self.boundaries.take(np.arange(max(first - 1, 0), last)).astype(np.int64)
+        starts = ends[:-1] if first else np.concatenate([[0], ends[:-1]])
+        return starts, ends[1:] if first else ends
+
+    def doc_ids(self, first: int = 0, last: int | None = None) -> list[int | None]:
+        """Ids of the documents from ``first`` up to, but not including, ``last``."""
+        last = self.n_docs if last is None else last
         least = np.array(self._least, np.int64).view(np.uint64)
-        return [None] * self.n_null + (self._above.all() + least).view(np.int64).tolist()
+        known = np.arange(max(first, self.n_null), max(last, self.n_null)) - self.n_null
+        above = self._above.take(known) if len(known) else np.empty(0, np.uint64)
+        return [None] * (last - first - len(known)) + (above + least).view(np.int64).tolist()
 
 
 def _filesystem(path: str):
@@ -172,16 +186,17 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
         for batch in batches:
             for path, base in zip(*(batch.column(c).to_pylist() for c in ("path", "base")), strict=True):
                 shard = Shard(_get(path))
-                ends = shard.boundaries.all().astype(np.int64)
-                starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-                sums = [checksum(shard.ids[a:b]) for a, b in zip(starts, ends, strict=True)]
-                columns = [
-                    pa.array(shard.doc_ids(), pa.int64()),
-                    pa.array(starts + base),
-                    pa.array(ends - starts),
-                    pa.array(sums, pa.int64()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc", "start", "n_tokens", "ids_crc32"])
+                for first in range(0, shard.n_docs, READ_DOCS):
+                    last = min(first + READ_DOCS, shard.n_docs)
+                    starts, ends = shard.spans(first, last)
+                    sums = [checksum(shard.ids[a:b]) for a, b in zip(starts, ends, strict=True)]
+                    columns = [
+                        pa.array(shard.doc_ids(first, last), pa.int64()),
+                        pa.array(starts + base),
+                        pa.array(ends - starts),
+                        pa.array(sums, pa.int64()),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc", "start", "n_tokens", "ids_crc32"])
 
     return based.repartition("path").mapInArrow(read, DOCUMENTS)
 
