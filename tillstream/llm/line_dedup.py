@@ -21,6 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tillstream.llm.text import LOWERED, SPACES, as_rows, lower_ascii, own_columns, whole_text
+from tillstream.operators.joins import lookup_join
+from tillstream.session import Scratch, materialize
+
+# Bytes of a line's hash.
+_DIGEST = 16
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -40,12 +45,13 @@ def _python_key(line: str) -> str:
     return line.strip(SPACES).translate(LOWERED)
 
 
-def text_digest(text: Column) -> Column:
-    return F.unhex(F.md5(whole_text(text)))
+def row_name(doc: Column, text: Column) -> Column:
+    """A digest of id and text, never NULL: rows with the same of both have the same."""
+    return F.unhex(F.md5(F.concat(F.coalesce(doc.cast("string"), F.lit("-")), F.lit(":"), whole_text(text))))
 
 
 def text_lines(docs: DataFrame, doc_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """``(_doc, _text, _hash)``: id, digest of the text, and each long key once per row."""
+    """``(_doc, _name, _hash)``: id, name of the row, and each long key once per row."""
     keys = F.array_distinct(
         F.filter(
             F.transform(split_lines(whole_text(text_col)), line_key),
@@ -53,10 +59,12 @@ def text_lines(docs: DataFrame, doc_col: str, text_col: str, min_chars: int) ->
         )
     )
     named = docs.select(
-        F.col(doc_col).alias("_doc"), text_digest(F.col(text_col)).alias("_text"), keys.alias("_keys")
+        F.col(doc_col).alias("_doc"),
+        row_name(F.col(doc_col), F.col(text_col)).alias("_name"),
+        keys.alias("_keys"),
     )
-    exploded = named.select("_doc", "_text", F.explode("_keys").alias("_key"))
-    return exploded.select("_doc", "_text", F.unhex(F.md5("_key")).alias("_hash"))
+    exploded = named.select("_doc", "_name", F.explode("_keys").alias("_key"))
+    return exploded.select("_doc", "_name", F.unhex(F.md5("_key")).alias("_hash"))
 
 
 def shared_lines(lines: DataFrame, min_docs: int) -> DataFrame:
@@ -73,14 +81,19 @@ def shared_lines(lines: DataFrame, min_docs: int) -> DataFrame:
 def lines_to_drop(
     docs: DataFrame, doc_col: str, text_col: str, min_chars: int, min_docs: int
 ) -> DataFrame:
-    """``(_doc, _text, _drop)``: the hashes that go from the rows of this id and text."""
-    lines = text_lines(docs, doc_col, text_col, min_chars)
-    return (
-        lines.join(shared_lines(lines, min_docs), "_hash")
-        .where(F.col("_doc").isNull() | (F.col("_doc") < F.col("keeper")))
-        .groupBy("_doc", "_text")
-        .agg(F.collect_set("_hash").alias("_drop"))
-    )
+    """``(_name, _drop)``: the hashes that go from the rows of this name, one behind the other.
+
+    Lines are split and hashed once, into a table of hashes. Shared lines are looked up by a broadcast
+    while they fit; beyond, a line of very many documents is split at run time.
+    """
+    with Scratch(docs.sparkSession) as scratch:
+        lines = scratch.keep(text_lines(docs, doc_col, text_col, min_chars))
+        shared = scratch.keep(shared_lines(lines, min_docs))
+        dropped = lookup_join(lines, shared, "_hash", ["_name"]).where(
+            F.col("_doc").isNull() | (F.col("_doc") < F.col("keeper"))
+        )
+        hashes = F.array_join(F.transform(F.collect_set("_hash"), F.hex), "")
+        return materialize(dropped.groupBy("_name").agg(F.unhex(hashes).alias("_drop")))
 
 
 @F.pandas_udf(_CUT)
@@ -91,7 +104,7 @@ def _cut(texts: pd.Series, hashes: pd.Series) -> pd.DataFrame:
             kept.append(None)
             dropped.append(0)
             continue
-        drop = set(drop)
+        drop = {drop[k : k + _DIGEST] for k in range(0, len(drop), _DIGEST)}
         lines = text.split("\n")
         stay = [x for x in lines if hashlib.md5(_python_key(x).encode()).digest() not in drop]
         kept.append("\n".join(stay))
@@ -110,14 +123,14 @@ def dedup_lines(
     """The documents without their shared lines; with ``stats`` also ``n_lines``, ``n_dropped``.
 
     Only hashes are shuffled for the counting, summed before the shuffle, so that a line of every
-    document is no hot key. Texts are joined with the hashes to drop by id and digest; only texts
-    that lose a line go to Python.
+    document is no hot key. What goes from each text is broadcast while it fits, so that texts stay where
+    they are, and else joined by the names of the rows. Only texts that lose a line go to Python.
     """
     drops = lines_to_drop(docs, doc_col, text_col, min_chars, min_docs)
     text = F.col("row").getField(text_col)
-    same = F.col("row").getField(doc_col).eqNullSafe(F.col("_doc")) & (text_digest(text) == F.col("_text"))
     loses = F.col("_drop").isNotNull()
-    joined = as_rows(docs).join(drops, same, "left")
+    named = as_rows(docs).withColumn("_name", row_name(F.col("row").getField(doc_col), text))
+    joined = lookup_join(named, drops, "_name", how="left")
     cleaned = joined.withColumn("_cut", _cut(F.when(loses, whole_text(text)), F.col("_drop")))
     changed = {text_col: F.when(loses, F.col("_cut.kept")).otherwise(text)}
     if stats:
