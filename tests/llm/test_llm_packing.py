@@ -12,6 +12,8 @@ from hypothesis import strategies as st
 from llm_fixtures import EDGES, documents, texts
 from tokenizers import Tokenizer
 
+from pyspark.sql import functions as F
+
 from tillstream.llm import packing
 from tillstream.session import materialize
 
@@ -113,6 +115,26 @@ def test_hot_length(spark, monkeypatch):
     assert check(placed, 32) <= math.ceil(sum(row[2] for row in rows) / 32) + 2
 
 
+def test_equal_rows_spread_over_groups(spark, monkeypatch):
+    """Thousands of rows without id and of one text: no window gets more than a few groups' worth."""
+    monkeypatch.setattr(packing, "GROUP_ROWS", 50)
+    sizes = []
+    number = packing.numbered
+
+    def watched(pieces, counts, order):
+        group = F.pmod(F.xxhash64(*order), F.lit(pieces.count() // 50 + 1))
+        sizes.append(pieces.groupBy("length", group).count().agg(F.max("count")).first()[0])
+        return number(pieces, counts, order)
+
+    monkeypatch.setattr(packing, "numbered", watched)
+    frame = documents(spark, [(None, "a b c d e f", "en", "a", 0)] * 4000)
+    packed = packing.pack(frame, PATH)
+    assert packed.columns == ["doc", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    rows = packed.collect()
+    assert len(rows) == 4000 and sizes[0] < 150
+    assert check(rows, 4096) == math.ceil(sum(row["length"] for row in rows) / (4096 // rows[0]["length"] * rows[0]["length"]))
+
+
 @pytest.mark.parametrize("clash", [False, True])
 def test_edges(spark, clash):
     rows = packing.pack(documents(spark, EDGES, clash), PATH).collect()

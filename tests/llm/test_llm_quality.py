@@ -111,3 +111,11 @@ def test_edges(spark, network, clash):
     assert len({round(row.score, 5) for row in rows if row.text == "The same text twice."}) == 1
     assert len({round(row.score, 5) for row in rows if not row.text}) == 1
     assert byte_network.classify(documents(spark, []), network).collect() == []
+
+
+def test_scores_replace_columns_of_their_name(spark, network):
+    frame = documents(spark, EDGES, True).selectExpr("*", "'old' AS predicted")
+    found = byte_network.classify(frame, network)
+    assert found.columns == frame.columns
+    kinds = dict(found.dtypes)
+    assert (kinds["score"], kinds["predicted"], kinds["doc"]) == ("double", "int", "string")

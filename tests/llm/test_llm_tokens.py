@@ -181,3 +181,12 @@ def test_foreign_files_are_refused():
 
 def test_texts_of_one_run(spark):
     assert [row["n_tokens"] for row in count_tokens(texts(spark, "a"), PIECE_PATH).collect()] == [1]
+
+
+def test_counts_replace_columns_of_their_name(spark):
+    frame = texts(spark, "a b").selectExpr("*", "'old' AS n_tokens", "'x' AS n_bytes")
+    row = count_tokens(frame, PIECE_PATH).first()
+    assert (row.n_bytes, row.n_tokens, row.text) == (3, 2, "a b")
+    beside = count_tokens(frame, PIECE_PATH, prefix="new_").first()
+    assert (beside.n_tokens, beside.new_n_tokens) == ("old", 2)
+    assert count_tokens(frame.limit(0), PIECE_PATH).collect() == []

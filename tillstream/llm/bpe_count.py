@@ -125,7 +125,11 @@ def token_count(text: Column, model: str) -> Column:
 def count_tokens(
     docs: DataFrame, model: str, text_col: str = "text", limit: int = LIMIT, prefix: str = ""
 ) -> DataFrame:
-    """The documents with ``n_bytes``, ``n_tokens`` and ``over_limit``, each behind ``prefix``."""
+    """The documents with ``n_bytes``, ``n_tokens`` and ``over_limit``, each behind ``prefix``.
+
+    These take the place of columns of the same name; with ``prefix`` both can stay. An empty table
+    gives an empty table.
+    """
     n_tokens = F.col(f"{prefix}n_tokens")
     return (
         docs.withColumn(f"{prefix}n_bytes", F.octet_length(whole_text(text_col)).cast("long"))

@@ -11,7 +11,9 @@ the smallest hash of their id, of at most ``TRAIN_BYTES`` bytes each. Scores cov
 Defined results: a NULL or empty text is scored as one chunk of padding. Labels that are NULL or of
 a NULL id are not used; several labels of a document count as the lowest. Without labels of both
 kinds every score is the mean label, or 0.5 without any. NULL ids are held out by the remainder of
-the empty string. Every row is scored by its text alone.
+the empty string. Every row is scored by its text alone. Other columns are carried along, whatever
+their names, but for ``score`` and ``predicted``, which ``classify`` replaces. An empty table gives an
+empty table.
 """
 
 from __future__ import annotations
@@ -288,7 +290,7 @@ def quality_score(text: Column, network: Network) -> Column:
 def classify(
     docs: DataFrame, network: Network, text_col: str = "text", threshold: float = THRESHOLD
 ) -> DataFrame:
-    """The documents with ``score`` and ``predicted``."""
+    """The documents with ``score`` and ``predicted``, which take the place of columns of these names."""
     return docs.withColumn("score", quality_score(F.col(text_col), network)).withColumn(
         "predicted", (F.col("score") >= threshold).cast("int")
     )

@@ -143,7 +143,7 @@ def segments(plan: list[tuple[list[tuple[int, int]], int]]) -> dict[str, np.ndar
 def numbered(pieces: DataFrame, counts: DataFrame, order: list[str]) -> DataFrame:
     """The pieces with ``_number``, from 0 within each length.
 
-    A length is split into groups by a hash, so that a frequent one is no hot key; groups are
+    A length is split into groups by a hash of ``order``, so that a frequent one is no hot key; groups are
     numbered first, and get the rows of the groups before them added. ``counts`` has a row per
     length, at most the capacity.
     """
@@ -167,7 +167,8 @@ def numbered(pieces: DataFrame, counts: DataFrame, order: list[str]) -> DataFram
 def place_pieces(pieces: DataFrame, order: list[str], capacity: int = CAPACITY) -> DataFrame:
     """The pieces, which have a ``length``, with ``sequence_id`` and ``offset``.
 
-    ``pieces`` is read several times and should be a written table.
+    ``pieces`` is read several times and should be a written table. ``order`` should tell all of them
+    apart: rows that are equal in it are numbered in one group.
     """
     counts = pieces.groupBy("length").count()
     plan = plan_bins({row["length"]: row["count"] for row in counts.collect()}, capacity)
@@ -198,10 +199,10 @@ def pack(
 ) -> DataFrame:
     """``(doc, piece, start, length, ids_crc32[, ids], sequence_id, offset)`` per piece."""
     with session_options(docs.sparkSession, SMALL_BATCHES):
-        pieces = materialize(
-            cut_pieces(docs, tokenizer, doc_col, text_col, capacity, end_id, with_ids)
-        )
-    return place_pieces(pieces, ["doc", "piece", "ids_crc32"], capacity)
+        cut = cut_pieces(docs, tokenizer, doc_col, text_col, capacity, end_id, with_ids)
+        # Written with the pieces, so that equal ones differ and spread over the groups.
+        pieces = materialize(cut.withColumn("_row", F.monotonically_increasing_id()))
+    return place_pieces(pieces, ["doc", "piece", "ids_crc32", "_row"], capacity).drop("_row")
 
 
 def sequences(packed: DataFrame) -> DataFrame:
