@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 from itertools import combinations
 
+import numpy as np
 import pytest
 from llm_fixtures import EDGES, documents
 
@@ -87,6 +88,51 @@ def test_links_that_the_hubs_miss(spark):
     assert len({row[2] for row in check(spark, rows)}) == 1
 
 
+def passages(seed, texts, pool=40, each=9):
+    """Unlike texts made of shared passages: all their rare tokens are those of many texts."""
+    rng = random.Random(seed)
+    parts = [" ".join(f"p{k}w{j}" for j in range(12)) for k in range(pool)]
+    return [(k, " ".join(rng.sample(parts, each)), "en", "a", 0) for k in range(texts)]
+
+
+def test_unlike_texts_of_shared_passages_leave_no_pairs(spark, monkeypatch):
+    """The pairs that leave the tiles do not grow with the square of the group."""
+    counts = []
+    verified = ngram_join._verified
+
+    def counted(pairs, *rest):
+        counts.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(ngram_join, "_verified", counted)
+    for texts in (150, 600):
+        counts.clear()
+        rows = passages(texts, texts)
+        found = ngram_join.similar_documents(documents(spark, rows), words=5, similarity=(80, 100))
+        assert found.where("doc <> component").count() == sum(x[0] != x[2] for x in brute(rows, 5, (80, 100)))
+        assert sum(counts) <= texts / 4
+
+
+@pytest.mark.parametrize("rows", [4, 1024])
+def test_tiles_find_what_hubs_do_not(spark, monkeypatch, rows):
+    """Without hubs beyond the first, in tiles of a few members and of many."""
+    monkeypatch.setattr(ngram_join, "TILE_ROWS", rows)
+    monkeypatch.setattr(ngram_join, "_hub_pairs", lambda rows, *rest: rows.selectExpr("doc AS a", "doc AS b").limit(0))
+    mixed = corpus(8, 50, 30) + [(1000 + k, text, *rest) for k, text, *rest in passages(3, 40, 12, 9)]
+    check(spark, mixed, 5, (80, 100))
+
+
+def test_tallies_of_sets_of_any_size():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 2**63, size).astype(np.uint64) * np.uint64(2)) for size in (1, 70, 500, 2000)]
+    sets.append(np.arange(5000, dtype=np.uint64))
+    tallies = [ngram_join._tally(x) for x in sets]
+    assert len(tallies[-1]) == 0
+    folded, none = ngram_join._folded(tallies)
+    assert none.tolist() == [False] * 4 + [True]
+    assert [int(x.sum()) for x in folded[:4]] == [len(x) for x in sets[:4]]
+
+
 def test_exactly_at_the_threshold(spark):
     words = [f"w{k}" for k in range(21)]
     rows = [(1, " ".join(words[:20]), "", "", 0), (2, " ".join(words[:18]), "", "", 0)]

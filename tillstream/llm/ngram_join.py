@@ -6,8 +6,11 @@ share a prefix token under each other order as well, before their whole sets are
 
 Pairs are not listed within a group that shares a token. Equal sets are one node. In the first
 round each member of a group is compared with one hub, its member with the token furthest in
-front. The second round compares only members that the links so far leave in different components,
-and finds every remaining link between components. What comes out is the components, exactly.
+front; in further rounds, while they connect much, with another one. Of the tokens that the same
+members share, one speaks for all. What the links so far leave in different components meets in
+tiles: members of similar size in blocks of bounded number, where prefixes under the other orders
+and a bound on the common tokens are compared in memory, and only what passes all of them leaves a
+tile as a pair. What comes out is the components, exactly.
 
 Tokens are 64-bit hashes of n-grams. How often a token occurs is counted over the whole corpus in
 2**18 cells by a part of the hash; any order is right, this one keeps frequent tokens out of prefixes.
@@ -21,6 +24,8 @@ empty table gives an empty table.
 from __future__ import annotations
 
 import hashlib
+import itertools
+import math
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
@@ -41,6 +46,9 @@ CELLS_LOG2 = 18
 BITS_LOG2 = 27
 _BLOCK = 1 << 14
 _SLICE = 256
+# Members of a tile, fewer for large sets: rows times the length of their tallies are bounded.
+TILE_ROWS = 1024
+_TILE_CELLS = 1 << 22
 _MAX_REMEMBERED = 200_000
 # One of these seeds per further order.
 _SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -315,13 +323,13 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     return len(np.intersect1d(a, b, assume_unique=True))
 
 
-def similar_pairs(
-    pairs: DataFrame, sets: DataFrame, similarity: Similarity, scratch: Scratch
-) -> DataFrame:
-    """The pairs ``(a, b)`` that are similar: the other orders' prefixes, then the sets.
+_SHORT = "doc long, first binary, second binary, tally binary, n binary"
+
+
+def _shortened(held: DataFrame, similarity: Similarity) -> DataFrame:
+    """Prefixes under the other orders and the tally of each set.
 
-    Prefixes travel as the 16-bit ends of their hashes: what two share, their ends share too. Of
-    the sets the tallies follow, that bound what they can share; whole sets for the few left.
+    Prefixes are the 16-bit ends of their hashes: what two share, their ends share too.
     """
 
     def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,6 +346,32 @@ def similar_pairs(
             columns.append(pa.array([np.uint64(len(x)).tobytes() for x in sets], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, ["doc", "first", "second", "tally", "n"])
 
+    return held.mapInArrow(shorten, _SHORT)
+
+
+def _ids(pairs: DataFrame, scratch: Scratch) -> DataFrame:
+    return scratch.keep(pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct())
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: Similarity, scratch: Scratch) -> DataFrame:
+    """The pairs whose whole sets are similar."""
+
+    def similar(a: np.ndarray, b: np.ndarray) -> bool:
+        return similarity.holds(_common(a, b), len(a), len(b))
+
+    whole = among(sets.select("doc", "tokens"), _ids(pairs, scratch), "left_semi")
+    return _pairwise(pairs, whole, similar, ["tokens"], np.uint64, scratch)
+
+
+def similar_pairs(
+    pairs: DataFrame, sets: DataFrame, similarity: Similarity, scratch: Scratch
+) -> DataFrame:
+    """The pairs ``(a, b)`` that are similar: the other orders' prefixes, then the sets.
+
+    Of the sets the tallies are compared first, that bound what they can share; whole sets for the
+    few left.
+    """
+
     def share(*fronts: np.ndarray) -> bool:
         half = len(fronts) // 2
         return all(_common(x, y) for x, y in zip(fronts[:half], fronts[half:], strict=True))
@@ -348,19 +382,151 @@ def similar_pairs(
         sizes = (int(size.view(np.uint64)[0]) for size in (size_a, size_b))
         return similarity.holds(_most_common(a, b), *sizes)
 
-    def similar(a: np.ndarray, b: np.ndarray) -> bool:
-        return similarity.holds(_common(a, b), len(a), len(b))
-
-    def ids(pairs: DataFrame) -> DataFrame:
-        return scratch.keep(pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct())
-
-    held = among(sets.select("doc", "tokens"), ids(pairs), "left_semi")
-    kind = "doc long, first binary, second binary, tally binary, n binary"
-    short = scratch.keep(held.mapInArrow(shorten, kind))
+    held = among(sets.select("doc", "tokens"), _ids(pairs, scratch), "left_semi")
+    short = scratch.keep(_shortened(held, similarity))
     passed = _pairwise(pairs, short, share, ["first", "second"], np.uint16, scratch)
     likely = _pairwise(passed, short, may_be_similar, ["tally", "n"], np.uint8, scratch)
-    whole = among(sets.select("doc", "tokens"), ids(likely), "left_semi")
-    return _pairwise(likely, whole, similar, ["tokens"], np.uint64, scratch)
+    return _verified(likely, sets, similarity, scratch)
+
+
+def _open_groups(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows ``(token, doc, n)`` of groups in several components, with their ``component``."""
+    found = components(links).select(F.col("node").alias("doc"), "component")
+    placed = rows.join(found, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+    ends = placed.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    apart = ends.where("least < most").select("token")
+    return placed.join(apart, "token", "left_semi").select("token", "doc", "n", "component")
+
+
+def _one_token_of_equal_groups(rows: DataFrame) -> DataFrame:
+    """Of tokens with the same members the least one; their number and two sums of hashes tell them apart."""
+    sums = [
+        F.sum(F.xxhash64(F.lit(seed), "doc").cast("decimal(20,0)")).alias(f"s{seed}") for seed in (1, 2)
+    ]
+    members = rows.groupBy("token").agg(F.count(F.lit(1)).alias("k"), *sums)
+    speakers = members.groupBy("k", "s1", "s2").agg(F.min("token").alias("token")).select("token")
+    return rows.join(speakers, "token", "left_semi")
+
+
+def _hub_pairs(rows: DataFrame, similarity: Similarity, seed: int) -> DataFrame:
+    """Each member of a group with a hub of another component, chosen by a hash."""
+    mark = F.xxhash64(F.lit(seed), "doc").alias("mark")
+    hubs = rows.groupBy("token").agg(F.min(F.struct(mark, "doc", "n", "component")).alias("hub"))
+    nowhere = F.lit(0).cast("long")
+    meets = (F.col("component") != F.col("hub.component")) & similarity.possible(
+        F.col("n"), nowhere, F.col("hub.n"), nowhere
+    )
+    return rows.join(hubs, "token").where(meets).select(*_ordered(F.col("doc"), F.col("hub.doc"))).distinct()
+
+
+_TILE = ["token", "band", "row", "col"]
+
+
+def _tiles(rows: DataFrame, similarity: Similarity) -> DataFrame:
+    """Members by tile, with their own band of sizes and the block they are in.
+
+    Similar sets are in one band or in neighbouring ones, so a set goes to the tiles of its own and of
+    the next. Blocks are bounded in rows, and for large sets in cells of their tallies.
+    """
+    ratio = math.log(similarity.denominator / similarity.numerator) + 0.001
+    own = F.floor(F.log("n") / ratio).cast("int")
+    banded = rows.withColumn("own", own).withColumn("band", F.explode(F.array(own, own + 1)))
+    fits = F.least(F.lit(TILE_ROWS), F.greatest(F.lit(64), F.floor(F.lit(_TILE_CELLS) / F.max("n"))))
+    sizes = banded.groupBy("token", "band").agg(F.ceil(F.count(F.lit(1)) / fits).cast("int").alias("blocks"))
+    dealt = banded.join(sizes, ["token", "band"]).withColumn(
+        "block", F.pmod(F.xxhash64(F.lit("block"), "doc"), "blocks").cast("int")
+    )
+    partner = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("partner")
+    return dealt.select("*", partner).select(
+        "token",
+        "band",
+        F.least("block", "partner").alias("row"),
+        F.greatest("block", "partner").alias("col"),
+        "block",
+        "own",
+        "doc",
+        "n",
+        "component",
+    )
+
+
+def _folded(tallies: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Tallies of one length as rows, and which sets have none."""
+    none = np.array([not len(x) for x in tallies])
+    width = min((len(x) for x in tallies if len(x)), default=1)
+    rows = [x.reshape(width, -1).sum(1) if len(x) else np.zeros(width) for x in tallies]
+    return np.array(rows, dtype=np.uint16), none
+
+
+def _passing(tile: pa.Table, similarity: Similarity) -> list[tuple[int, int]]:
+    """Pairs of a tile that all filters let pass."""
+    doc, n, component, own, block = (
+        tile.column(x).to_numpy() for x in ("doc", "n", "component", "own", "block")
+    )
+    band, crossed = tile.column("band")[0].as_py(), tile.column("row")[0] != tile.column("col")[0]
+    first, second, tally = (
+        _binaries(tile.column(x).combine_chunks(), kind)
+        for x, kind in (("first", np.uint16), ("second", np.uint16), ("tally", np.uint8))
+    )
+    folded, none = _folded(tally)
+    above, below = similarity.numerator, similarity.denominator
+    found = []
+    for k in range(len(doc) - 1):
+        later = slice(k + 1, len(doc))
+        may = component[later] != component[k]
+        may &= np.minimum(n[later], n[k]) * below >= np.maximum(n[later], n[k]) * above
+        if own[k] != band:
+            may &= own[later] == band
+        if crossed:
+            may &= block[later] != block[k]
+        others = np.flatnonzero(may) + k + 1
+        if not len(others):
+            continue
+        common = np.minimum(folded[others], folded[k]).sum(1, dtype=np.int64)
+        fits = none[others] | none[k] | (below * common >= above * (n[others] + n[k] - common))
+        found += [
+            (min(doc[k], doc[x]), max(doc[k], doc[x]))
+            for x in others[fits]
+            if _common(first[k], first[x]) and _common(second[k], second[x])
+        ]
+    return found
+
+
+def _met_in_tiles(
+    rows: DataFrame, sets: DataFrame, similarity: Similarity, scratch: Scratch
+) -> DataFrame:
+    """``(a, b)``: members of a group in different components that pass all filters."""
+    docs = scratch.keep(rows.select("doc").distinct())
+    short = scratch.keep(_shortened(among(sets.select("doc", "tokens"), docs, "left_semi"), similarity))
+    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = short.select("doc", "first", "second", "tally")
+    dealt = _tiles(rows, similarity).join(known, "doc").repartition(width, *_TILE).sortWithinPartitions(*_TILE)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        name = None
+
+        def close() -> pa.RecordBatch:
+            found = _passing(pa.Table.from_batches(held), similarity)
+            a, b = np.array(found, dtype=np.int64).reshape(-1, 2).T
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+        for batch in batches:
+            columns = [batch.column(x).to_numpy() for x in _TILE]
+            changes = np.any([x[1:] != x[:-1] for x in columns], axis=0)
+            bounds = [0, *(np.flatnonzero(changes) + 1), batch.num_rows]
+            for begin, stop in zip(bounds[:-1], bounds[1:], strict=True):
+                here = tuple(x[begin] for x in columns) if stop > begin else name
+                if held and here != name:
+                    yield close()
+                    held = []
+                name = here
+                held.append(batch.slice(begin, stop - begin))
+        if held:
+            yield close()
+        give_back()
+
+    return dealt.mapInArrow(meet, "a long, b long").distinct()
 
 
 def _ordered(a: Column, b: Column) -> list[Column]:
@@ -385,29 +551,21 @@ def links_between(sets: DataFrame, similarity: Similarity, scratch: Scratch) ->
     first = scratch.keep(with_hub.select(*_ordered(F.col("doc"), F.col("hub.doc"))).distinct())
     first_links = similar_pairs(first, sets, similarity, scratch)
 
-    found = components(first_links).select(F.col("node").alias("doc"), "component")
-    placed = scratch.keep(
-        shared.drop("hub")
-        .join(found, "doc", "left")
-        .withColumn("component", F.coalesce("component", "doc"))
-    )
-    apart = (
-        placed.groupBy("token")
-        .agg(F.min("component").alias("least"), F.max("component").alias("most"))
-        .where("least < most")
-        .select("token")
-    )
-    open_groups = placed.join(apart, "token", "left_semi")
-    x, y = open_groups.alias("x"), open_groups.alias("y")
-    meeting = (
-        (F.col("x.token") == F.col("y.token"))
-        & (F.col("x.doc") < F.col("y.doc"))
-        & (F.col("x.component") != F.col("y.component"))
-        & similarity.possible(F.col("x.n"), F.col("x.place"), F.col("y.n"), F.col("y.place"))
-    )
-    second = x.join(y, meeting).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
-    second = scratch.keep(second.join(first, ["a", "b"], "left_anti"))
-    return first_links.union(similar_pairs(second, sets, similarity, scratch))
+    links, compared = first_links, first
+    opened = scratch.keep(_open_groups(shared.select("token", "doc", "n"), links))
+    opened = scratch.keep(_one_token_of_equal_groups(opened))
+    for seed in itertools.count():
+        before = opened.count()
+        pairs = scratch.keep(_hub_pairs(opened, similarity, seed).join(compared, ["a", "b"], "left_anti"))
+        found = similar_pairs(pairs, sets, similarity, scratch)
+        if found.isEmpty():
+            break
+        links, compared = links.union(found), compared.union(pairs)
+        opened = scratch.keep(_open_groups(opened.select("token", "doc", "n"), links))
+        if 2 * opened.count() > before:
+            break
+    met = scratch.keep(_met_in_tiles(opened, sets, similarity, scratch).join(compared, ["a", "b"], "left_anti"))
+    return links.union(_verified(met, sets, similarity, scratch))
 
 
 def similar_documents(
