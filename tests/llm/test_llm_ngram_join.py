@@ -115,13 +115,20 @@ def test_unlike_texts_of_shared_passages_leave_no_pairs(spark, monkeypatch):
 
 @pytest.mark.parametrize("rows", [4, 1024])
 def test_tiles_find_what_hubs_do_not(spark, monkeypatch, rows):
-    """Without hubs beyond the first, in tiles of a few members and of many."""
+    """Without pairs of small groups or hubs beyond the first, in tiles of a few members and of many."""
     monkeypatch.setattr(ngram_join, "TILE_ROWS", rows)
+    monkeypatch.setattr(ngram_join, "PAIRED", 2)
     monkeypatch.setattr(ngram_join, "_hub_pairs", lambda rows, *rest: rows.selectExpr("doc AS a", "doc AS b").limit(0))
     mixed = corpus(8, 50, 30) + [(1000 + k, text, *rest) for k, text, *rest in passages(3, 40, 12, 9)]
     check(spark, mixed, 5, (80, 100))
 
 
+def test_further_hubs(spark, monkeypatch):
+    """All groups count as large: hub rounds first, then tiles."""
+    monkeypatch.setattr(ngram_join, "PAIRED", 2)
+    check(spark, corpus(9, 60, 20))
+
+
 def test_tallies_of_sets_of_any_size():
     rng = np.random.default_rng(2)
     sets = [np.unique(rng.integers(0, 2**63, size).astype(np.uint64) * np.uint64(2)) for size in (1, 70, 500, 2000)]

@@ -6,11 +6,12 @@ share a prefix token under each other order as well, before their whole sets are
 
 Pairs are not listed within a group that shares a token. Equal sets are one node. In the first
 round each member of a group is compared with one hub, its member with the token furthest in
-front; in further rounds, while they connect much, with another one. Of the tokens that the same
-members share, one speaks for all. What the links so far leave in different components meets in
-tiles: members of similar size in blocks of bounded number, where prefixes under the other orders
-and a bound on the common tokens are compared in memory, and only what passes all of them leaves a
-tile as a pair. What comes out is the components, exactly.
+front. Of the tokens that the same members share, one speaks for all from then on. What the links
+leave in different components meets pair by pair in groups of a few members, a bounded number for
+each. In larger ones further hubs follow, while they connect much, and then tiles: members of
+similar size in blocks of bounded number, where prefixes under the other orders and a bound on the
+common tokens are compared in memory, and only what passes all of them leaves a tile as a pair. What
+comes out is the components, exactly.
 
 Tokens are 64-bit hashes of n-grams. How often a token occurs is counted over the whole corpus in
 2**18 cells by a part of the hash; any order is right, this one keeps frequent tokens out of prefixes.
@@ -46,6 +47,8 @@ CELLS_LOG2 = 18
 BITS_LOG2 = 27
 _BLOCK = 1 << 14
 _SLICE = 256
+# Members of a group whose pairs are listed; larger ones meet in tiles.
+PAIRED = 32
 # Members of a tile, fewer for large sets: rows times the length of their tallies are bounded.
 TILE_ROWS = 1024
 _TILE_CELLS = 1 << 22
@@ -390,31 +393,49 @@ def similar_pairs(
 
 
 def _open_groups(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """The rows ``(token, doc, n)`` of groups in several components, with their ``component``."""
+    """The rows ``(token, doc, n, place)`` of groups in several components, with their ``component``."""
     found = components(links).select(F.col("node").alias("doc"), "component")
     placed = rows.join(found, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
     ends = placed.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most"))
     apart = ends.where("least < most").select("token")
-    return placed.join(apart, "token", "left_semi").select("token", "doc", "n", "component")
+    return placed.join(apart, "token", "left_semi").select("token", "doc", "n", "place", "component")
 
 
-def _one_token_of_equal_groups(rows: DataFrame) -> DataFrame:
-    """Of tokens with the same members the least one; their number and two sums of hashes tell them apart."""
+def _one_token_of_equal_groups(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """Of tokens with the same members one, each member with its first place among them.
+
+    The number of members and two sums of their hashes tell tokens apart. All these tokens are common
+    to any two members, so the first one is at these places in both.
+    """
     sums = [
         F.sum(F.xxhash64(F.lit(seed), "doc").cast("decimal(20,0)")).alias(f"s{seed}") for seed in (1, 2)
     ]
-    members = rows.groupBy("token").agg(F.count(F.lit(1)).alias("k"), *sums)
-    speakers = members.groupBy("k", "s1", "s2").agg(F.min("token").alias("token")).select("token")
-    return rows.join(speakers, "token", "left_semi")
+    members = scratch.keep(rows.groupBy("token").agg(F.count(F.lit(1)).alias("k"), *sums))
+    same = ["k", "s1", "s2"]
+    speakers = members.groupBy(*same).agg(F.min("token").alias("speaker"))
+    spoken = rows.join(members.join(speakers, same).select("token", "speaker"), "token")
+    firsts = spoken.groupBy("speaker", "doc", "n", "component").agg(F.min("place").alias("place"))
+    return firsts.withColumnRenamed("speaker", "token")
+
+
+def _pairs_of_few(rows: DataFrame, similarity: Similarity) -> DataFrame:
+    """Members of small groups that are in different components."""
+    x, y = rows.alias("x"), rows.alias("y")
+    meeting = (
+        (F.col("x.token") == F.col("y.token"))
+        & (F.col("x.doc") < F.col("y.doc"))
+        & (F.col("x.component") != F.col("y.component"))
+        & similarity.possible(F.col("x.n"), F.col("x.place"), F.col("y.n"), F.col("y.place"))
+    )
+    return x.join(y, meeting).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
 
 
 def _hub_pairs(rows: DataFrame, similarity: Similarity, seed: int) -> DataFrame:
     """Each member of a group with a hub of another component, chosen by a hash."""
     mark = F.xxhash64(F.lit(seed), "doc").alias("mark")
-    hubs = rows.groupBy("token").agg(F.min(F.struct(mark, "doc", "n", "component")).alias("hub"))
-    nowhere = F.lit(0).cast("long")
+    hubs = rows.groupBy("token").agg(F.min(F.struct(mark, "doc", "n", "place", "component")).alias("hub"))
     meets = (F.col("component") != F.col("hub.component")) & similarity.possible(
-        F.col("n"), nowhere, F.col("hub.n"), nowhere
+        F.col("n"), F.col("place"), F.col("hub.n"), F.col("hub.place")
     )
     return rows.join(hubs, "token").where(meets).select(*_ordered(F.col("doc"), F.col("hub.doc"))).distinct()
 
@@ -552,18 +573,28 @@ def links_between(sets: DataFrame, similarity: Similarity, scratch: Scratch) ->
     first_links = similar_pairs(first, sets, similarity, scratch)
 
     links, compared = first_links, first
-    opened = scratch.keep(_open_groups(shared.select("token", "doc", "n"), links))
-    opened = scratch.keep(_one_token_of_equal_groups(opened))
+    opened = scratch.keep(_open_groups(shared.drop("hub"), links))
+    opened = scratch.keep(_one_token_of_equal_groups(opened, scratch))
+    sizes = scratch.keep(opened.groupBy("token").agg(F.count(F.lit(1)).alias("members")))
+    # Of two members one is the hub, so they have met.
+    few = sizes.where(F.col("members").between(3, PAIRED)).select("token")
+    many = sizes.where(F.col("members") > PAIRED).select("token")
+    pairs = _pairs_of_few(opened.join(few, "token", "left_semi"), similarity)
+    pairs = scratch.keep(pairs.join(compared, ["a", "b"], "left_anti"))
+    links, compared = links.union(similar_pairs(pairs, sets, similarity, scratch)), compared.union(pairs)
+
+    opened = scratch.keep(opened.join(many, "token", "left_semi"))
+    left = opened.count()
     for seed in itertools.count():
-        before = opened.count()
-        pairs = scratch.keep(_hub_pairs(opened, similarity, seed).join(compared, ["a", "b"], "left_anti"))
-        found = similar_pairs(pairs, sets, similarity, scratch)
-        if found.isEmpty():
-            break
-        links, compared = links.union(found), compared.union(pairs)
-        opened = scratch.keep(_open_groups(opened.select("token", "doc", "n"), links))
-        if 2 * opened.count() > before:
+        opened = scratch.keep(_open_groups(opened.drop("component"), links)) if left else opened
+        before, left = left, opened.count()
+        if not left or (seed and 2 * left > before):
             break
+        pairs = scratch.keep(_hub_pairs(opened, similarity, seed).join(compared, ["a", "b"], "left_anti"))
+        links = links.union(similar_pairs(pairs, sets, similarity, scratch))
+        compared = compared.union(pairs)
+    if not left:
+        return links
     met = scratch.keep(_met_in_tiles(opened, sets, similarity, scratch).join(compared, ["a", "b"], "left_anti"))
     return links.union(_verified(met, sets, similarity, scratch))
 
