@@ -138,6 +138,9 @@ def test_tallies_of_sets_of_any_size():
     folded, none = ngram_join._folded(tallies)
     assert none.tolist() == [False] * 4 + [True]
     assert [int(x.sum()) for x in folded[:4]] == [len(x) for x in sets[:4]]
+    coarse = [ngram_join._coarse_tally(x) for x in sets]
+    assert [len(x) for x in coarse[:4]] == [64, 64, 64, 256] and len(coarse[4]) == 0
+    assert [int(x.sum()) for x in coarse[:4]] == [len(x) for x in sets[:4]]
 
 
 def test_exactly_at_the_threshold(spark):

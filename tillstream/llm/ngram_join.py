@@ -6,12 +6,11 @@ share a prefix token under each other order as well, before their whole sets are
 
 Pairs are not listed within a group that shares a token. Equal sets are one node. In the first
 round each member of a group is compared with one hub, its member with the token furthest in
-front. Of the tokens that the same members share, one speaks for all from then on. What the links
-leave in different components meets pair by pair in groups of a few members, a bounded number for
-each. In larger ones further hubs follow, while they connect much, and then tiles: members of
-similar size in blocks of bounded number, where prefixes under the other orders and a bound on the
-common tokens are compared in memory, and only what passes all of them leaves a tile as a pair. What
-comes out is the components, exactly.
+front. What the links leave in different components meets pair by pair in groups of a few members, a
+bounded number for each. In larger ones, where one token speaks for all that the same members share,
+further hubs follow, while they connect much, and then tiles: members of similar size in blocks of
+bounded number, where a bound on the common tokens is compared in memory, and only what passes it
+leaves a tile as a pair for the other filters. What comes out is the components, exactly.
 
 Tokens are 64-bit hashes of n-grams. How often a token occurs is counted over the whole corpus in
 2**18 cells by a part of the hash; any order is right, this one keeps frequent tokens out of prefixes.
@@ -49,7 +48,7 @@ _BLOCK = 1 << 14
 _SLICE = 256
 # Members of a group whose pairs are listed; larger ones meet in tiles.
 PAIRED = 32
-# Members of a tile, fewer for large sets: rows times the length of their tallies are bounded.
+# Members of a tile, fewer for large sets: rows times their size are bounded.
 TILE_ROWS = 1024
 _TILE_CELLS = 1 << 22
 _MAX_REMEMBERED = 200_000
@@ -471,6 +470,14 @@ def _tiles(rows: DataFrame, similarity: Similarity) -> DataFrame:
     )
 
 
+def _coarse_tally(tokens: np.ndarray) -> np.ndarray:
+    """The tally over about a value for four tokens, each in one byte, or nothing where one does not fit."""
+    tally = _tally(tokens).astype(np.int64)
+    width = max(64, len(tally) // 4) if len(tally) else 1
+    coarse = tally.reshape(width, -1).sum(1) if len(tally) else tally
+    return coarse.astype(np.uint8) if coarse.max(initial=0) < 256 else np.zeros(0, np.uint8)
+
+
 def _folded(tallies: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Tallies of one length as rows, and which sets have none."""
     none = np.array([not len(x) for x in tallies])
@@ -480,16 +487,12 @@ def _folded(tallies: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _passing(tile: pa.Table, similarity: Similarity) -> list[tuple[int, int]]:
-    """Pairs of a tile that all filters let pass."""
+    """Pairs of a tile in different components whose tallies let them be similar."""
     doc, n, component, own, block = (
         tile.column(x).to_numpy() for x in ("doc", "n", "component", "own", "block")
     )
     band, crossed = tile.column("band")[0].as_py(), tile.column("row")[0] != tile.column("col")[0]
-    first, second, tally = (
-        _binaries(tile.column(x).combine_chunks(), kind)
-        for x, kind in (("first", np.uint16), ("second", np.uint16), ("tally", np.uint8))
-    )
-    folded, none = _folded(tally)
+    folded, none = _folded(_binaries(tile.column("tally").combine_chunks(), np.uint8))
     above, below = similarity.numerator, similarity.denominator
     found = []
     for k in range(len(doc) - 1):
@@ -505,22 +508,24 @@ def _passing(tile: pa.Table, similarity: Similarity) -> list[tuple[int, int]]:
             continue
         common = np.minimum(folded[others], folded[k]).sum(1, dtype=np.int64)
         fits = none[others] | none[k] | (below * common >= above * (n[others] + n[k] - common))
-        found += [
-            (min(doc[k], doc[x]), max(doc[k], doc[x]))
-            for x in others[fits]
-            if _common(first[k], first[x]) and _common(second[k], second[x])
-        ]
+        found += [(min(doc[k], doc[x]), max(doc[k], doc[x])) for x in others[fits]]
     return found
 
 
 def _met_in_tiles(
     rows: DataFrame, sets: DataFrame, similarity: Similarity, scratch: Scratch
 ) -> DataFrame:
-    """``(a, b)``: members of a group in different components that pass all filters."""
+    """``(a, b)``: members of a group in different components whose tallies let them be similar."""
+
+    def tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            tallies = [_coarse_tally(tokens).tobytes() for tokens in _binaries(batch.column("tokens"))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(tallies, pa.binary())], ["doc", "tally"])
+
     docs = scratch.keep(rows.select("doc").distinct())
-    short = scratch.keep(_shortened(among(sets.select("doc", "tokens"), docs, "left_semi"), similarity))
+    held = among(sets.select("doc", "tokens"), docs, "left_semi")
+    known = scratch.keep(held.mapInArrow(tallied, "doc long, tally binary"))
     width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    known = short.select("doc", "first", "second", "tally")
     dealt = _tiles(rows, similarity).join(known, "doc").repartition(width, *_TILE).sortWithinPartitions(*_TILE)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -574,7 +579,6 @@ def links_between(sets: DataFrame, similarity: Similarity, scratch: Scratch) ->
 
     links, compared = first_links, first
     opened = scratch.keep(_open_groups(shared.drop("hub"), links))
-    opened = scratch.keep(_one_token_of_equal_groups(opened, scratch))
     sizes = scratch.keep(opened.groupBy("token").agg(F.count(F.lit(1)).alias("members")))
     # Of two members one is the hub, so they have met.
     few = sizes.where(F.col("members").between(3, PAIRED)).select("token")
@@ -584,6 +588,7 @@ def links_between(sets: DataFrame, similarity: Similarity, scratch: Scratch) ->
     links, compared = links.union(similar_pairs(pairs, sets, similarity, scratch)), compared.union(pairs)
 
     opened = scratch.keep(opened.join(many, "token", "left_semi"))
+    opened = scratch.keep(_one_token_of_equal_groups(opened, scratch))
     left = opened.count()
     for seed in itertools.count():
         opened = scratch.keep(_open_groups(opened.drop("component"), links)) if left else opened
@@ -596,7 +601,7 @@ def links_between(sets: DataFrame, similarity: Similarity, scratch: Scratch) ->
     if not left:
         return links
     met = scratch.keep(_met_in_tiles(opened, sets, similarity, scratch).join(compared, ["a", "b"], "left_anti"))
-    return links.union(_verified(met, sets, similarity, scratch))
+    return links.union(similar_pairs(met, sets, similarity, scratch))
 
 
 def similar_documents(
