@@ -98,37 +98,32 @@ def passages(seed, texts, pool=40, each=9):
 def test_unlike_texts_of_shared_passages_leave_no_pairs(spark, monkeypatch):
     """The pairs that leave the tiles do not grow with the square of the group."""
     counts = []
-    verified = ngram_join._verified
+    met_in_tiles = ngram_join._met_in_tiles
 
-    def counted(pairs, *rest):
-        counts.append(pairs.count())
-        return verified(pairs, *rest)
+    def counted(*arguments):
+        met = met_in_tiles(*arguments)
+        counts.append(met.count())
+        return met
 
-    monkeypatch.setattr(ngram_join, "_verified", counted)
+    monkeypatch.setattr(ngram_join, "_met_in_tiles", counted)
     for texts in (150, 600):
         counts.clear()
         rows = passages(texts, texts)
         found = ngram_join.similar_documents(documents(spark, rows), words=5, similarity=(80, 100))
         assert found.where("doc <> component").count() == sum(x[0] != x[2] for x in brute(rows, 5, (80, 100)))
-        assert sum(counts) <= texts / 4
+        # The smaller table has no group of more than a few members.
+        assert len(counts) == (texts > 150) and sum(counts) <= texts
 
 
 @pytest.mark.parametrize("rows", [4, 1024])
 def test_tiles_find_what_hubs_do_not(spark, monkeypatch, rows):
-    """Without pairs of small groups or hubs beyond the first, in tiles of a few members and of many."""
+    """Without pairs of small groups, in tiles of a few members and of many."""
     monkeypatch.setattr(ngram_join, "TILE_ROWS", rows)
     monkeypatch.setattr(ngram_join, "PAIRED", 2)
-    monkeypatch.setattr(ngram_join, "_hub_pairs", lambda rows, *rest: rows.selectExpr("doc AS a", "doc AS b").limit(0))
     mixed = corpus(8, 50, 30) + [(1000 + k, text, *rest) for k, text, *rest in passages(3, 40, 12, 9)]
     check(spark, mixed, 5, (80, 100))
 
 
-def test_further_hubs(spark, monkeypatch):
-    """All groups count as large: hub rounds first, then tiles."""
-    monkeypatch.setattr(ngram_join, "PAIRED", 2)
-    check(spark, corpus(9, 60, 20))
-
-
 def test_tallies_of_sets_of_any_size():
     rng = np.random.default_rng(2)
     sets = [np.unique(rng.integers(0, 2**63, size).astype(np.uint64) * np.uint64(2)) for size in (1, 70, 500, 2000)]

@@ -8,9 +8,9 @@ Pairs are not listed within a group that shares a token. Equal sets are one node
 round each member of a group is compared with one hub, its member with the token furthest in
 front. What the links leave in different components meets pair by pair in groups of a few members, a
 bounded number for each. In larger ones, where one token speaks for all that the same members share,
-further hubs follow, while they connect much, and then tiles: members of similar size in blocks of
-bounded number, where a bound on the common tokens is compared in memory, and only what passes it
-leaves a tile as a pair for the other filters. What comes out is the components, exactly.
+they meet in tiles: members of similar size in blocks of bounded number, where a bound on the common
+tokens is compared in memory, and only what passes it leaves a tile as a pair for the other filters.
+What comes out is the components, exactly.
 
 Tokens are 64-bit hashes of n-grams. How often a token occurs is counted over the whole corpus in
 2**18 cells by a part of the hash; any order is right, this one keeps frequent tokens out of prefixes.
@@ -24,7 +24,6 @@ empty table gives an empty table.
 from __future__ import annotations
 
 import hashlib
-import itertools
 import math
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
@@ -429,16 +428,6 @@ def _pairs_of_few(rows: DataFrame, similarity: Similarity) -> DataFrame:
     return x.join(y, meeting).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
 
 
-def _hub_pairs(rows: DataFrame, similarity: Similarity, seed: int) -> DataFrame:
-    """Each member of a group with a hub of another component, chosen by a hash."""
-    mark = F.xxhash64(F.lit(seed), "doc").alias("mark")
-    hubs = rows.groupBy("token").agg(F.min(F.struct(mark, "doc", "n", "place", "component")).alias("hub"))
-    meets = (F.col("component") != F.col("hub.component")) & similarity.possible(
-        F.col("n"), F.col("place"), F.col("hub.n"), F.col("hub.place")
-    )
-    return rows.join(hubs, "token").where(meets).select(*_ordered(F.col("doc"), F.col("hub.doc"))).distinct()
-
-
 _TILE = ["token", "band", "row", "col"]
 
 
@@ -577,31 +566,18 @@ def links_between(sets: DataFrame, similarity: Similarity, scratch: Scratch) ->
     first = scratch.keep(with_hub.select(*_ordered(F.col("doc"), F.col("hub.doc"))).distinct())
     first_links = similar_pairs(first, sets, similarity, scratch)
 
-    links, compared = first_links, first
-    opened = scratch.keep(_open_groups(shared.drop("hub"), links))
+    opened = scratch.keep(_open_groups(shared.drop("hub"), first_links))
     sizes = scratch.keep(opened.groupBy("token").agg(F.count(F.lit(1)).alias("members")))
     # Of two members one is the hub, so they have met.
     few = sizes.where(F.col("members").between(3, PAIRED)).select("token")
     many = sizes.where(F.col("members") > PAIRED).select("token")
     pairs = _pairs_of_few(opened.join(few, "token", "left_semi"), similarity)
-    pairs = scratch.keep(pairs.join(compared, ["a", "b"], "left_anti"))
-    links, compared = links.union(similar_pairs(pairs, sets, similarity, scratch)), compared.union(pairs)
-
-    opened = scratch.keep(opened.join(many, "token", "left_semi"))
-    opened = scratch.keep(_one_token_of_equal_groups(opened, scratch))
-    left = opened.count()
-    for seed in itertools.count():
-        opened = scratch.keep(_open_groups(opened.drop("component"), links)) if left else opened
-        before, left = left, opened.count()
-        if not left or (seed and 2 * left > before):
-            break
-        pairs = scratch.keep(_hub_pairs(opened, similarity, seed).join(compared, ["a", "b"], "left_anti"))
-        links = links.union(similar_pairs(pairs, sets, similarity, scratch))
-        compared = compared.union(pairs)
-    if not left:
-        return links
-    met = scratch.keep(_met_in_tiles(opened, sets, similarity, scratch).join(compared, ["a", "b"], "left_anti"))
-    return links.union(similar_pairs(met, sets, similarity, scratch))
+    crowded = scratch.keep(opened.join(many, "token", "left_semi"))
+    if not crowded.isEmpty():
+        speaking = scratch.keep(_one_token_of_equal_groups(crowded, scratch))
+        pairs = pairs.union(_met_in_tiles(speaking, sets, similarity, scratch)).distinct()
+    second = scratch.keep(pairs.join(first, ["a", "b"], "left_anti"))
+    return first_links.union(similar_pairs(second, sets, similarity, scratch))
 
 
 def similar_documents(
