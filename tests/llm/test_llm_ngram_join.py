@@ -91,7 +91,7 @@ def test_links_that_the_hubs_miss(spark):
 def passages(seed, texts, pool=40, each=9):
     """Unlike texts made of shared passages: all their rare tokens are those of many texts."""
     rng = random.Random(seed)
-    parts = [" ".join(f"p{k}w{j}" for j in range(12)) for k in range(pool)]
+    parts = [" ".join(f"p{k}w{j}" for j in range(60)) for k in range(pool)]
     return [(k, " ".join(rng.sample(parts, each)), "en", "a", 0) for k in range(texts)]
 
 
@@ -106,13 +106,13 @@ def test_unlike_texts_of_shared_passages_leave_no_pairs(spark, monkeypatch):
         return met
 
     monkeypatch.setattr(ngram_join, "_met_in_tiles", counted)
+    monkeypatch.setattr(ngram_join, "PAIRED", 4)
     for texts in (150, 600):
         counts.clear()
         rows = passages(texts, texts)
         found = ngram_join.similar_documents(documents(spark, rows), words=5, similarity=(80, 100))
         assert found.where("doc <> component").count() == sum(x[0] != x[2] for x in brute(rows, 5, (80, 100)))
-        # The smaller table has no group of more than a few members.
-        assert len(counts) == (texts > 150) and sum(counts) <= texts
+        assert len(counts) == 1 and counts[0] <= texts
 
 
 @pytest.mark.parametrize("rows", [4, 1024])

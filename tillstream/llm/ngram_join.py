@@ -45,10 +45,11 @@ CELLS_LOG2 = 18
 BITS_LOG2 = 27
 _BLOCK = 1 << 14
 _SLICE = 256
-# Members of a group whose pairs are listed; larger ones meet in tiles.
-PAIRED = 32
 # Members of a tile, fewer for large sets: rows times their size are bounded.
 TILE_ROWS = 1024
+# Members of a group whose pairs are listed, those that size and place allow: a group that one tile
+# would hold. Larger ones meet in tiles.
+PAIRED = TILE_ROWS
 _TILE_CELLS = 1 << 22
 _MAX_REMEMBERED = 200_000
 # One of these seeds per further order.
