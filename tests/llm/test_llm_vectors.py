@@ -158,9 +158,12 @@ def test_larger_factors_find_less_and_look_at_less():
         tree.search(ids[:1], vectors[:1], 3, 0.5)
 
 
-def test_neighbours_over_shards(spark, monkeypatch):
+@pytest.mark.parametrize("stripe_blocks", [1, 2, 16])
+def test_neighbours_over_shards(spark, monkeypatch, stripe_blocks):
+    """Also where a tree meets several blocks, and several stripes."""
     monkeypatch.setattr(neighbours, "SHARD_ROWS", 40)
-    monkeypatch.setattr(neighbours, "QUERY_ROWS", 5)
+    monkeypatch.setattr(neighbours, "QUERY_ROWS", 3)
+    monkeypatch.setattr(neighbours, "STRIPE_BLOCKS", stripe_blocks)
     vectors = clusters(7, 10, 15, 100).astype(np.float32)
     vectors[10:40] = vectors[10]
     table = frame(spark, vectors)
@@ -170,6 +173,15 @@ def test_neighbours_over_shards(spark, monkeypatch):
     assert sorted(map(tuple, got)) == nearest(wide, list(range(len(vectors))), asked, 20)
 
 
+def test_neighbours_where_shards_are_empty(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SHARD_ROWS", 1)
+    monkeypatch.setattr(neighbours, "QUERY_ROWS", 1)
+    vectors = clusters(8, 2, 6, 8)
+    got = neighbours.nearest_neighbours(frame(spark, vectors), F.col("id") % 5 == 0).collect()
+    asked = [k for k in range(len(vectors)) if k % 5 == 0]
+    assert sorted(map(tuple, got)) == nearest(vectors.astype(float), list(range(len(vectors))), asked, 20)
+
+
 @pytest.mark.parametrize("clash", [False, True])
 def test_neighbour_edges(spark, clash):
     """Fewer candidates than asked for; other lengths and invalid vectors take no part."""

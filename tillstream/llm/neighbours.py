@@ -1,8 +1,10 @@
 """Approximate nearest neighbours by vantage-point trees, one per shard.
 
 Vectors are dealt to shards by a hash of their id; each shard gets a tree, stored as a row of the index.
-Queries travel in blocks; each block meets each shard once, and the nearest of all shards are ranked
-per query. Pruning is relaxed by a factor; factor 1 gives the exact result.
+Queries travel in blocks, and blocks in stripes. A tree is sent once to each stripe, where the blocks
+pass by it one after the other, so that both sides of a tile are about equally many rows and little is
+copied for much work. The nearest of all shards are ranked per query. Pruning is relaxed by a
+factor; factor 1 gives the exact result.
 
 Defined results: vectors that are NULL, zero, empty or have NULL or non-finite components take no
 part. Rows with the same id are one vector, the least of them by value; rows without id take no part.
@@ -23,14 +25,18 @@ from pyspark.sql import functions as F
 from tillstream.llm.vantage_points import VantageTree
 from tillstream.llm.vectors import distinct_vectors
 from tillstream.operators.joins import lookup_join
-from tillstream.session import materialize
+from tillstream.session import materialize, session_options
 
 K = 20
 FACTOR = 1.0
 SHARD_ROWS = 8192
 QUERY_ROWS = 512
+# A stripe has about as many queries as a shard has vectors.
+STRIPE_BLOCKS = 16
 
-_KEY = ["dim", "shard", "block"]
+_TILE = ["dim", "shard", "stripe"]
+# Rows are trees and blocks of hundreds of KB to some MB.
+_FEW_ROWS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "4"}
 
 
 def _dealt(rows: DataFrame, per_part: int, name: str) -> tuple[DataFrame, DataFrame]:
@@ -83,24 +89,35 @@ def query_blocks(queries: DataFrame) -> DataFrame:
 def search(index: DataFrame, blocks: DataFrame, k: int = K, factor: float = FACTOR) -> DataFrame:
     """``(query, rank, id, score)``: the ``k`` nearest found per query.
 
-    Each pair of shard and block is a task's row. Pairs are formed from the lists of shards and
-    blocks, so no length of vectors is a hot key.
+    A tile is a tree and a stripe of blocks. Tiles are formed from the lists of shards and blocks, so no
+    length of vectors is a hot key. A task holds one tree and a few blocks at a time.
     """
     shards = index.groupBy("dim").agg(F.max("shard").alias("last"))
     groups = blocks.groupBy("dim").agg(F.max("block").alias("last"))
 
-    def each(name: str) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.col("last"))).alias(name)
+    def up_to(last: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), last.cast("int")))
 
-    trees = lookup_join(index, groups, "dim", ["shard"]).select("dim", "shard", each("block"), "tree")
+    stripes = up_to(F.floor(F.col("last") / STRIPE_BLOCKS)).alias("stripe")
+    trees = lookup_join(index, groups, "dim", ["shard"]).select("dim", "shard", stripes, "tree")
+    own = F.floor(F.col("block") / STRIPE_BLOCKS).cast("int").alias("stripe")
     asked = lookup_join(blocks, shards, "dim", ["block"]).select(
-        "dim", each("shard"), "block", "ids", "vectors"
+        "dim", up_to(F.col("last")).alias("shard"), own, "block", "ids", "vectors"
     )
+    # The tree, which has no block, comes before the blocks of its tile.
+    tiles = trees.unionByName(asked, allowMissingColumns=True).repartition(*_TILE)
+    tiles = tiles.sortWithinPartitions(*_TILE, F.col("block").asc_nulls_first())
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, tree = None, None
         for batch in batches:
-            for row in range(batch.num_rows):
-                tree = VantageTree.from_bytes(batch.column("tree")[row].as_buffer())
+            tiles_of_rows = zip(*(batch.column(name).to_pylist() for name in _TILE), strict=True)
+            for row, tile in enumerate(tiles_of_rows):
+                if batch.column("tree")[row].is_valid:
+                    held, tree = tile, VantageTree.from_bytes(batch.column("tree")[row].as_buffer())
+                    continue
+                if tile != held:
+                    continue  # No vector was dealt to this shard.
                 asking = np.frombuffer(batch.column("ids")[row].as_buffer(), np.int64)
                 vectors = np.frombuffer(batch.column("vectors")[row].as_buffer(), np.float64)
                 scores, ids = tree.search(asking, vectors.reshape(len(asking), -1), k, factor)
@@ -112,7 +129,8 @@ def search(index: DataFrame, blocks: DataFrame, k: int = K, factor: float = FACT
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["query", "id", "score"])
 
-    found = trees.join(asked, _KEY).mapInArrow(find, "query long, id long, score double")
+    with session_options(index.sparkSession, _FEW_ROWS):
+        found = materialize(tiles.mapInArrow(find, "query long, id long, score double"))
     nearest_first = Window.partitionBy("query").orderBy(F.col("score").desc(), "id")
     ranked = found.withColumn("rank", F.row_number().over(nearest_first)).where(F.col("rank") <= k)
     return ranked.select("query", "rank", "id", "score")
