@@ -17,9 +17,9 @@ import numpy as np
 
 from tillstream.llm.worker_memory import give_back, remember
 
-MAX_WORDS = 600_000
+MAX_WORDS = 350_000
 MAX_WORD_CHARS = 12_000_000
-RUN_CHARS = 2_000_000
+RUN_CHARS = 500_000
 
 # Letters of one code point up to ÿ, then signs other than the apostrophe, that makes endings.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
