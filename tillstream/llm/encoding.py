@@ -17,7 +17,7 @@ import numpy as np
 
 from tillstream.llm.worker_memory import give_back, remember
 
-MAX_WORDS = 350_000
+MAX_WORDS = 200_000
 MAX_WORD_CHARS = 12_000_000
 RUN_CHARS = 500_000
 
@@ -66,6 +66,7 @@ class WordEncoder:
         if any(ids != apart for ids in joined):
             raise ValueError(f"{path} does not keep to words")
         self._clear()
+        give_back()
 
     def forget(self) -> None:
         """Drop what is remembered; a worker that waits for another task holds none of it."""
@@ -136,6 +137,7 @@ class WordEncoder:
             chars += len(texts[end - 1])
             if chars >= RUN_CHARS or end == len(texts):
                 yield first, *self._run(texts[first:end])
+                give_back()
                 first, chars = end, 0
 
     def encode_ended(self, texts: Sequence[str], end_id: int) -> Iterator[np.ndarray]:

@@ -22,15 +22,19 @@ def remember(owner: str, forget: Callable[[], None]) -> None:
     for other, drop in _HELD.items():
         if other != owner:
             drop()
-    for other in [x for x in _HELD if x != owner]:
+    others = [x for x in _HELD if x != owner]
+    for other in others:
         del _HELD[other]
+    if others:
+        give_back()
     _HELD[owner] = forget
 
 
 def give_back() -> None:
-    """Return freed memory to the system at the end of a task, where its allocators can.
+    """Return freed memory to the system, where its allocators can.
 
-    A worker that waits would otherwise keep the most that any of its tasks has used.
+    A worker that waits, or goes on with another operator, would otherwise keep the most that any of its
+    tasks has used.
     """
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
