@@ -11,8 +11,12 @@ from collections.abc import Callable
 
 import pyarrow as pa
 
-# Options for jobs with whole texts: batches of about a thousand rows between Spark and Python.
-SMALL_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+# Options for jobs with whole texts: batches of about a thousand rows between Spark and Python, fewer
+# where they are long.
+SMALL_BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+}
 
 _HELD: dict[str, Callable[[], None]] = {}
 
