@@ -124,3 +124,17 @@ def test_fact_columns_of_hours(spark, month, tmp_path):
     warehouse.write_fact(month.limit(100), str(tmp_path / "fact"))
     found = warehouse.read_hours(spark, str(tmp_path / "fact"), "2023-01-01", "2023-02-01")
     assert found.columns == schemas.FACT_SALES.names and found.isEmpty()
+
+
+def test_bitmaps_take_no_room_for_keys_that_are_not_there(spark):
+    """One key in 32768 on each of many days: bytes go with the keys, not with days times buckets."""
+    sparse = spark.range(1000).selectExpr(
+        "date_add(DATE '2024-01-01', CAST(id % 50 AS int)) AS d", "CAST(id * 32768 + 64 AS int) AS k"
+    )
+    edges = spark.createDataFrame([(date(2024, 1, 1), k) for k in (1, 64, 65, 32768, 32769, 2**31 - 1)], "d date, k int")
+    stored = bitmaps.key_bitmaps(sparse.union(edges).union(edges), ["d"], "k")
+    assert stored.agg(F.sum(F.length("bitmap"))).first()[0] <= 8 * 1006
+    month = F.trunc("d", "month").alias("month")
+    # 64 is among both.
+    assert rows(bitmaps.unique_keys(stored, [month], "n")) == [(date(2024, 1, 1), 625), (date(2024, 2, 1), 380)]
+    assert rows(bitmaps.unique_keys(stored, [], "n")) == [(1005,)]
