@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -9,8 +10,10 @@ from pyspark.sql import functions as F
 from tillstream import schemas
 from tillstream.operators.quality import null_profile
 from tillstream.operators.rollups import windowed_metrics
+from tillstream.plans import queries
+from tillstream.session import shared_dir
 from tillstream.settings import Lake
-from tillstream.sources import lake
+from tillstream.sources import lake, tables
 from tillstream.streaming import bronze, dedup, metrics
 
 NOW = bronze.AVAILABLE_NOW
@@ -489,3 +492,35 @@ def test_prices_that_are_no_numbers_are_dead_letters(spark, tmp_path):
     assert rows(rejected.select("order_id", "reasons")) == [
         ("O-0", ["price_not_finite"]), ("O-1", ["price_not_finite"])
     ]
+
+
+def test_pieces_land_in_many_files_and_are_a_batch_each(spark, tmp_path):
+    source, out, state = (str(tmp_path / name) for name in ("in", "out", "state"))
+    sales = spark.range(100, numPartitions=4).selectExpr("id", "id % 3 AS piece")
+    seen = []
+
+    def write(batch, number):
+        seen.append((number, rows(batch.select("piece").distinct()), batch.count()))
+
+    def start(arrived):
+        writer = arrived.writeStream.foreachBatch(write).trigger(**NOW)
+        return writer.option("checkpointLocation", state).start(out)
+
+    # The last piece has no rows.
+    tables.stream_in_pieces(sales, source, [F.col("piece") == k for k in (2, 0, 1, 3)], start)
+    assert seen == [(0, [(2,)], 33), (1, [(0,)], 34), (2, [(1,)], 33), (3, [], 0)]
+    assert len(list(Path(source).glob("*.parquet"))) == 3 * 4 + 1
+
+
+def test_no_task_lands_a_whole_piece_of_the_lines(spark, tmp_path):
+    lines = spark.range(4000, numPartitions=4).selectExpr(
+        "id % 1500 AS l_orderkey", "CAST(1 AS int) AS l_linenumber",
+        "TIMESTAMP '1995-01-01 00:00:00' + make_interval(0, 0, 0, id % 90) AS l_shipdate",
+        "CAST(id AS double) AS l_extendedprice",
+    )
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    before = set(Path(shared_dir(spark)).glob("lines-*"))
+    unique = queries.stream_dedup(spark, str(tmp_path))
+    assert rows(unique) == sorted((f"{k}-1",) for k in range(1500))
+    (landing,) = set(Path(shared_dir(spark)).glob("lines-*")) - before
+    assert len(list(landing.glob("*.parquet"))) == 4 * queries.PIECES

@@ -12,6 +12,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tillstream import schemas, settings
 from tillstream.functions import codec, stamps
@@ -629,47 +630,47 @@ def _in_time_order(events: DataFrame, pieces: int) -> list[Column]:
     return [piece == k for k in range(pieces)]
 
 
-def _event_pieces(spark: SparkSession, sf_dir: str, shuffled: bool = False) -> DataFrame:
-    """The events as a stream of several batches, in order of time or thoroughly mixed."""
+def _windows(
+    spark: SparkSession, sf_dir: str, watermark: str | None, shuffled: bool = False
+) -> str:
+    """Windows of the events in several batches, in order of time or thoroughly mixed."""
     events = tables.table(spark, sf_dir, "events")
     if shuffled:
         piece = F.pmod(F.xxhash64("event_id"), F.lit(PIECES))
         conditions = [piece == k for k in range(PIECES)]
     else:
         conditions = _in_time_order(events, PIECES)
-    path = scratch_path(spark, "events")
-    tables.land_in_pieces(events, path, conditions)
-    return tables.stream_pieces(spark, path)
+    paths = Lake(scratch_path(spark, "stream"))
 
+    def start(arrived: DataFrame) -> StreamingQuery:
+        return metric_stream.start_windows(
+            _event_sales(arrived),
+            paths.windowed_metrics,
+            paths.checkpoint("metrics"),
+            bronze_stream.AVAILABLE_NOW,
+            watermark=watermark,
+        )
 
-def _windows(spark: SparkSession, events: DataFrame, watermark: str | None) -> str:
-    paths = Lake(scratch_path(spark, "stream"))
-    metric_stream.start_windows(
-        _event_sales(events),
-        paths.windowed_metrics,
-        paths.checkpoint("metrics"),
-        bronze_stream.AVAILABLE_NOW,
-        watermark=watermark,
-    ).awaitTermination()
+    tables.stream_in_pieces(events, scratch_path(spark, "events"), conditions, start)
     return paths.windowed_metrics
 
 
 def stream_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows that are final, of events that come in order of time."""
     delay = settings.WATERMARK_DELAY
-    path = _windows(spark, _event_pieces(spark, sf_dir), delay)
+    path = _windows(spark, sf_dir, delay)
     return _plain(metric_stream.read_windows(spark, path, delay))
 
 
 def stream_open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All windows, of events that come in no order."""
-    path = _windows(spark, _event_pieces(spark, sf_dir, shuffled=True), None)
+    path = _windows(spark, sf_dir, None, shuffled=True)
     return _plain(metric_stream.read_windows(spark, path))
 
 
 def stream_late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With final windows, events in no order are counted in one, or kept as late: none is lost."""
-    path = _windows(spark, _event_pieces(spark, sf_dir, shuffled=True), settings.WATERMARK_DELAY)
+    path = _windows(spark, sf_dir, settings.WATERMARK_DELAY, shuffled=True)
     counted = metric_stream.read_windows(spark, path).select(
         "category", F.col("order_count").alias("orders"), F.lit(0).alias("late")
     )
@@ -686,13 +687,16 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         tables.order_id().alias("order_id"), F.col("l_shipdate").alias("order_ts"), "l_extendedprice"
     )
     piece = F.pmod(F.xxhash64("order_ts", "l_extendedprice"), F.lit(PIECES))
-    tables.land_in_pieces(lines, landing, [piece == k for k in range(PIECES)])
-    start_unique(
-        tables.stream_pieces(spark, landing).drop("l_extendedprice"),
-        paths.bronze_batches,
-        paths.checkpoint("dedup"),
-        bronze_stream.AVAILABLE_NOW,
-    ).awaitTermination()
+
+    def start(arrived: DataFrame) -> StreamingQuery:
+        return start_unique(
+            arrived.drop("l_extendedprice"),
+            paths.bronze_batches,
+            paths.checkpoint("dedup"),
+            bronze_stream.AVAILABLE_NOW,
+        )
+
+    tables.stream_in_pieces(lines, landing, [piece == k for k in range(PIECES)], start)
     return lake.read_table(spark, paths.bronze_batches, schemas.schema(order_id="string"))
 
 
@@ -700,16 +704,20 @@ def stream_state_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly windows out of Spark's state, of events in order of time and one that closes the last."""
     events = tables.table(spark, sf_dir, "events")
     path, paths = scratch_path(spark, "events"), Lake(scratch_path(spark, "stream"))
-    tables.land_in_pieces(events, path, _in_time_order(events, PIECES))
+
+    def start(arrived: DataFrame) -> StreamingQuery:
+        return metric_stream.start_state_windows(
+            _event_sales(arrived),
+            paths.windowed_metrics,
+            paths.checkpoint("metrics"),
+            bronze_stream.AVAILABLE_NOW,
+        )
+
+    tables.stream_in_pieces(events, path, _in_time_order(events, PIECES), start)
     # Its own window stays open.
-    closing = events.agg((F.max("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"))
-    tables.land_in_pieces(closing, path, [F.lit(True)])
-    metric_stream.start_state_windows(
-        _event_sales(tables.stream_pieces(spark, path, events.schema)),
-        paths.windowed_metrics,
-        paths.checkpoint("metrics"),
-        bronze_stream.AVAILABLE_NOW,
-    ).awaitTermination()
+    last = events.agg((F.max("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"))
+    closing = events.limit(0).unionByName(last, allowMissingColumns=True)
+    tables.stream_in_pieces(closing, path, [F.lit(True)], start)
     return _plain(lake.read_table(spark, paths.windowed_metrics, schemas.WINDOWED_METRICS))
 
 
@@ -733,14 +741,13 @@ def stream_state_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies within the delay go, those that come when the state has forgotten the order stay."""
     sent = materialize(_sent_again(tables.table(spark, sf_dir, "events")))
     path, paths = scratch_path(spark, "orders"), Lake(scratch_path(spark, "stream"))
-    tables.land_in_pieces(sent, path, _in_time_order(sent, COPY_PIECES))
-    start_dedup(
-        tables.stream_pieces(spark, path),
-        paths.bronze,
-        paths.checkpoint("dedup"),
-        bronze_stream.AVAILABLE_NOW,
-        event_time="ts",
-    ).awaitTermination()
+
+    def start(arrived: DataFrame) -> StreamingQuery:
+        return start_dedup(
+            arrived, paths.bronze, paths.checkpoint("dedup"), bronze_stream.AVAILABLE_NOW, event_time="ts"
+        )
+
+    tables.stream_in_pieces(sent, path, _in_time_order(sent, COPY_PIECES), start)
     return lake.read_table(spark, paths.bronze, schemas.schema(order_id="string", again="boolean"))
 
 
@@ -761,15 +768,18 @@ def stream_unique_within(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = []
     for pieces in (1, PIECES):
         path, paths = scratch_path(spark, "orders"), Lake(scratch_path(spark, "stream"))
-        tables.land_in_pieces(dated, path, _in_time_order(dated, pieces))
-        start_unique(
-            tables.stream_pieces(spark, path).drop("ts"),
-            paths.bronze_batches,
-            paths.checkpoint("unique"),
-            bronze_stream.AVAILABLE_NOW,
-            delay="2 days",
-            partitions=bronze_stream.PARTITIONS,
-        ).awaitTermination()
+
+        def start(arrived: DataFrame, paths: Lake = paths) -> StreamingQuery:
+            return start_unique(
+                arrived.drop("ts"),
+                paths.bronze_batches,
+                paths.checkpoint("unique"),
+                bronze_stream.AVAILABLE_NOW,
+                delay="2 days",
+                partitions=bronze_stream.PARTITIONS,
+            )
+
+        tables.stream_in_pieces(dated, path, _in_time_order(dated, pieces), start)
         kept = schemas.schema(order_id="string", again="boolean")
         landed = lake.read_table(spark, paths.bronze_batches, kept)
         results.append(landed.withColumn("batches", F.lit(pieces)))

@@ -7,8 +7,11 @@ of the rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tillstream.functions.money import with_revenue
@@ -30,13 +33,21 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/{{{name}.parquet}}")
 
 
-def land_in_pieces(rows: DataFrame, path: str, pieces: list[Column]) -> None:
-    """Append the rows as one file after the other, so that a stream sees a batch for each.
+def stream_in_pieces(
+    rows: DataFrame,
+    path: str,
+    pieces: list[Column],
+    start: Callable[[DataFrame], StreamingQuery],
+) -> None:
+    """Land the rows piece by piece and run a stream on each, so that it sees a batch for each.
 
-    ``pieces`` are conditions that together hold for every row once.
+    ``pieces`` are conditions that together hold for every row once. ``start`` starts the stream, always
+    with the same checkpoint, to end when it has taken what has come. A piece lies in as many files as
+    tasks read it, so no task handles a whole one.
     """
     for piece in pieces:
-        rows.filter(piece).coalesce(1).write.mode("append").parquet(path)
+        rows.filter(piece).write.mode("append").parquet(path)
+        start(stream_pieces(rows.sparkSession, path, rows.schema)).awaitTermination()
 
 
 def land_in_files(rows: DataFrame, path: str, most: int) -> None:
@@ -45,11 +56,14 @@ def land_in_files(rows: DataFrame, path: str, most: int) -> None:
 
 
 def stream_pieces(
-    spark: SparkSession, path: str, schema: StructType | None = None, files: int = 1
+    spark: SparkSession, path: str, schema: StructType | None = None, files: int | None = None
 ) -> DataFrame:
-    """The files landed at a path as a stream, so many per batch."""
+    """The files landed at a path as a stream, so many per batch; else all that have come."""
     schema = schema or spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
+    reader = spark.readStream.schema(schema)
+    if files is not None:
+        reader = reader.option("maxFilesPerTrigger", files)
+    return reader.parquet(path)
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
