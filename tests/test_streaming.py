@@ -11,7 +11,7 @@ from tillstream import schemas
 from tillstream.operators.quality import null_profile
 from tillstream.operators.rollups import windowed_metrics
 from tillstream.plans import queries
-from tillstream.session import shared_dir
+from tillstream.session import session_options, shared_dir
 from tillstream.settings import Lake
 from tillstream.sources import lake, tables
 from tillstream.streaming import bronze, dedup, metrics
@@ -345,6 +345,21 @@ def test_spaced_rows_without_time_and_ties(spark):
     assert rows(kept.select("revenue")) == [(1.0,), (2.0,), (3.0,), (5.0,), (7.0,)]
 
 
+def test_unique_rows_are_gathered_by_day(spark, tmp_path):
+    """Each day is written by one task, not by every one."""
+    out = str(tmp_path / "out")
+    hours = spark.range(480, numPartitions=4).selectExpr(
+        "CAST(id AS string) AS order_id",
+        "TIMESTAMP '2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, id) AS order_ts",
+    )
+    dated = hours.selectExpr("*", "year(order_ts) AS year", "month(order_ts) AS month", "day(order_ts) AS day")
+    with session_options(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        dedup.unique_writer(out, ["order_id"], "order_ts", "1 hour", bronze.PARTITIONS)(dated.union(dated), 0)
+    assert len(list((tmp_path / "out").rglob("*.parquet"))) == 20
+    written = spark.read.parquet(out).withColumn("day_of_time", F.dayofmonth("order_ts"))
+    assert rows(written.where("day = day_of_time").agg(F.count("*"), F.count_distinct("order_id"))) == [(480, 480)]
+
+
 def test_unique_within_a_delay_reads_only_the_days_around(spark, tmp_path):
     out = str(tmp_path / "out")
     days = spark.range(60).selectExpr(

@@ -123,7 +123,8 @@ def unique_writer(
 ) -> Callable[[DataFrame, int], None]:
     """Function for ``foreachBatch`` that adds the rows whose key the table does not hold yet.
 
-    Copies within a batch are ranked before the shuffle, or with ``delay`` read in order of time. Of the
+    Copies within a batch are ranked before the shuffle, or with ``delay`` read in order of time. What is
+    left is gathered by the table's partitions, so that not every task writes a file to each. Of the
     table only keys and event times are read, not those of the batch itself, which a replay replaces,
     and in a table by days only the days that ``delay`` reaches.
     """
@@ -160,6 +161,8 @@ def unique_writer(
                 first = dedup(first, keys, event_time, keep="first")
             else:
                 first = spaced(first, keys, event_time, delay)
+            if partitions:
+                first = first.hint("rebalance", *partitions)
             writer = first.withColumn(RUN, F.lit(batch_id).cast("long")).write.mode("overwrite")
             writer = writer.option("partitionOverwriteMode", "dynamic")
             writer.partitionBy(*partitions, RUN).parquet(path)
