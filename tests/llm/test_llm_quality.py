@@ -3,9 +3,10 @@ from __future__ import annotations
 import random
 import zlib
 
+import corpus_pipeline
 import numpy as np
 import pytest
-from llm_fixtures import EDGES, LONG, documents
+from llm_fixtures import EDGES, LONG, SF_DIR, documents, needs_tables
 from pyspark.sql import functions as F
 
 from tillstream.llm import byte_network
@@ -119,3 +120,36 @@ def test_scores_replace_columns_of_their_name(spark, network):
     assert found.columns == frame.columns
     kinds = dict(found.dtypes)
     assert (kinds["score"], kinds["predicted"], kinds["doc"]) == ("double", "int", "string")
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_good_documents_are_those_of_their_scores(spark, network, clash):
+    rows = [*EDGES, *[(100 + k, text, "en", "a", len(text)) for k, text, _ in sample(40, seed=5)]]
+    docs = documents(spark, rows, clash)
+    for threshold in (0.0, 0.3, byte_network.THRESHOLD, 1.1):
+        scored = docs.withColumn("_score", byte_network.quality_score(F.col("text"), network))
+        wanted = scored.where(F.col("_score") >= threshold).drop("_score")
+        kept = byte_network.keep_good(docs, network, threshold=threshold)
+        assert kept.schema == docs.schema
+        assert sorted(map(str, kept.collect())) == sorted(map(str, wanted.collect()))
+
+
+@needs_tables
+def test_good_documents_are_found_in_small_batches(spark, monkeypatch):
+    """The batches are bounded although the frame that is returned is computed later."""
+
+    def score(text, network):
+        @F.pandas_udf("double")
+        def batch_is_small(texts):
+            return texts.notna() * float(len(texts) <= 1000)
+
+        return batch_is_small(text)
+
+    monkeypatch.setattr(byte_network, "quality_score", score)
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    stages = dict(corpus_pipeline.STAGES)
+    monkeypatch.setattr(byte_network, "train", lambda *_: None)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name, None)
+    assert stages["quality"](spark, docs, SF_DIR).count() == 3000
+    assert spark.conf.get(name, None) == before

@@ -26,8 +26,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.llm.text import whole_text
-from tillstream.llm.worker_memory import remember
+from tillstream.llm.text import as_rows, own_columns, whole_text
+from tillstream.llm.worker_memory import SMALL_BATCHES, remember
+from tillstream.operators.joins import lookup_join
+from tillstream.session import materialize, session_options
 
 TRAIN_ROWS = 8000
 TRAIN_BYTES = 16_384
@@ -287,6 +289,26 @@ def quality_score(text: Column, network: Network) -> Column:
     return scored(whole_text(text))
 
 
+def keep_good(
+    docs: DataFrame, network: Network, text_col: str = "text", threshold: float = THRESHOLD
+) -> DataFrame:
+    """The documents that score at least ``threshold``.
+
+    Texts are scored at once, in small batches, and only md5 digests of those below are written. These are
+    looked up by broadcast while they fit, so that the documents stay where they are.
+    """
+
+    def digest(text: Column) -> Column:
+        return F.unhex(F.md5(whole_text(text))).alias("_digest")
+
+    text = F.col(text_col)
+    below = docs.where(quality_score(text, network) < threshold).select(digest(text)).distinct()
+    with session_options(docs.sparkSession, SMALL_BATCHES):
+        below = materialize(below)
+    rows = as_rows(docs).select("row", digest(F.col("row").getField(text_col)))
+    return lookup_join(rows, below, "_digest", how="left_anti").select(*own_columns(docs))
+
+
 def classify(
     docs: DataFrame, network: Network, text_col: str = "text", threshold: float = THRESHOLD
 ) -> DataFrame:
