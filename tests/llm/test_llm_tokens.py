@@ -8,6 +8,7 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -18,6 +19,8 @@ from tokenizers import Tokenizer
 from tillstream.llm import encoding, token_files
 from tillstream.llm.bpe_count import PieceCounter, count_tokens
 from tillstream.llm.elias_fano import EliasFano
+from tillstream.llm.worker_memory import SMALL_BATCHES
+from tillstream.session import session_options
 
 WORD_PATH = public_tokenizers.path("word_bpe_49k.json")
 PIECE_PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -190,3 +193,15 @@ def test_counts_replace_columns_of_their_name(spark):
     beside = count_tokens(frame, PIECE_PATH, prefix="new_").first()
     assert (beside.n_tokens, beside.new_n_tokens) == ("old", 2)
     assert count_tokens(frame.limit(0), PIECE_PATH).collect() == []
+
+
+def test_small_batches_are_bounded_in_bytes(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], ["b", "n"])
+
+    docs = spark.range(0, 2000, 1, 1).selectExpr("repeat('text ', 1000) AS text")
+    with session_options(spark, SMALL_BATCHES):
+        found = docs.mapInArrow(sizes, "b long, n long").collect()
+    assert sum(row.n for row in found) == 2000
+    assert max(row.b for row in found) <= 1 << 20

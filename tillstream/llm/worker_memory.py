@@ -12,10 +12,11 @@ from collections.abc import Callable
 import pyarrow as pa
 
 # Options for jobs with whole texts: batches of about a thousand rows between Spark and Python, fewer
-# where they are long.
+# where they are long. Each batch lies in the executor's native memory several times, which its allocator
+# keeps per thread at the most it ever was.
 SMALL_BATCHES = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(1 << 19),
 }
 
 _HELD: dict[str, Callable[[], None]] = {}
