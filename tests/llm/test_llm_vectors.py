@@ -116,6 +116,67 @@ def test_no_vectors(spark):
     ]
 
 
+def test_only_vectors_with_a_similar_one_are_dealt_whole(spark, monkeypatch):
+    """Vectors far apart share cells; none of them is kept again for a table or a cell of it."""
+    rows = []
+
+    class Counted(lattice_dedup.Scratch):
+        def keep(self, df):
+            kept = super().keep(df)
+            rows.append(kept.count())
+            return kept
+
+    monkeypatch.setattr(lattice_dedup, "Scratch", Counted)
+    vectors = np.random.default_rng(9).standard_normal((2000, 24)).astype(np.float32)
+    vectors[-1] = vectors[0] * 1.5
+    got = sorted(map(tuple, lattice_dedup.near_duplicates(frame(spark, vectors)).collect()))
+    linked = {0: (1, 0), 1999: (1, 0)}
+    assert got == [(k, *linked.get(k, (0, k))) for k in range(2000)]
+    # Ids and digests, once each, and next to nothing of the 64 cells of a vector.
+    assert sum(rows) < 2.1 * len(vectors)
+
+
+@pytest.mark.parametrize("part_rows", [1 << 15, 7])
+def test_passes_give_what_one_gives(spark, monkeypatch, part_rows):
+    """Tables one by one and in shares, also of cells split into parts."""
+    vectors = clusters(10, size=30)
+    once = sorted(map(tuple, lattice_dedup.near_duplicates(frame(spark, vectors), tables=3).collect()))
+    monkeypatch.setattr(lattice_dedup, "PART_ROWS", part_rows)
+    monkeypatch.setattr(lattice_dedup, "PASS_BYTES", 120_000)
+    monkeypatch.setattr(lattice_dedup, "PASS_VECTORS", 0)
+    planned = []
+    made = lattice_dedup.passes
+    monkeypatch.setattr(lattice_dedup, "passes", lambda *a: planned.extend(made(*a)) or made(*a))
+    got = sorted(map(tuple, lattice_dedup.near_duplicates(frame(spark, vectors), tables=3).collect()))
+    assert got == once
+    assert len(planned) >= 9 and all(x.moved <= 120_000 for x in planned)
+
+
+def test_passes_hold_all_tables_and_no_more_than_told():
+    crowds = {(64, 1): (np.array([5]), np.array([4]), np.array([1000]))}
+    planned = lattice_dedup.passes({0: 100, 1: 100, 2: 0, 3: 100, 4: 100}, crowds, 10, 8, 2500)
+    assert [(x.tables, x.shares) for x in planned[-1:]] == [((3, 4), 1)]
+    assert planned[0].tables == (0,) and {x.tables for x in planned[1:-1]} == {(1,)}
+    assert sorted(x.share for x in planned[1:-1]) == list(range(planned[1].shares))
+    assert planned[1].shares * 2500 >= 1000 + 3 * 1000 * 9 * 10 and all(x.moved <= 2500 for x in planned)
+
+
+def test_near_duplicates_of_doubles(spark):
+    """Kept as they are: beyond what a float holds, and apart where floats are equal."""
+    vectors = [[1e300, 0.0], [1e-300, 0.0], [1.0, 1e-12], [1.0, 0.0], [1.0, 0.0], [0.0, 1.0]]
+    table = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, lattice_dedup.near_duplicates(table).collect()))
+    assert got == [(k, 4, 0) for k in range(5)] + [(5, 0, 5)]
+
+
+def test_rounded_vectors_are_no_further_than_said():
+    rng = np.random.default_rng(11)
+    unit = lattice_dedup.units(rng.standard_normal((500, 64)) ** 3)
+    data, step = lattice_dedup.rounded(unit)
+    off = np.linalg.norm(unit - data * step[:, None].astype(float), axis=1)
+    assert (off <= [lattice_dedup.rounding(x[None], 64) * (1 + 1e-6) for x in step]).all()
+
+
 def nearest(vectors, ids, asked, k):
     """Query, rank, id and score of all pairs, summed in order."""
     out = []

@@ -20,6 +20,9 @@ def _minimal_vectors() -> np.ndarray:
 
 
 MINIMAL = _minimal_vectors()
+# Points at a time, so that their distances stay in the cache.
+_ROWS = 2048
+_DOUBLED = (MINIMAL * 2).astype(np.int16)
 
 
 def _nearest_even(points: np.ndarray) -> np.ndarray:
@@ -41,16 +44,40 @@ def nearest(points: np.ndarray) -> np.ndarray:
     return np.where(closer[:, None], whole, moved)
 
 
-def cells(points: np.ndarray, probes: int) -> np.ndarray:
-    """Names of the nearest lattice point and of the ``probes - 1`` nearest around it.
+def around(points: np.ndarray, probes: int) -> np.ndarray:
+    """The nearest lattice point and the ``probes - 1`` nearest around it, in a byte each: the point's 8
+    doubled coordinates, then the places of the others' differences from it in ``MINIMAL``."""
+    return np.concatenate([_around(points[k : k + _ROWS], probes) for k in range(0, len(points), _ROWS)])
+
+
+def _around(points: np.ndarray, probes: int) -> np.ndarray:
+    home = nearest(points)
+    doubled = (home * 2).clip(-128, 127).astype(np.int8).view(np.uint8)
+    if probes == 1:
+        return doubled
+    # |rest - m|^2 without the part that is the same for all; all m are equally long. The last bits of
+    # each number give way to its place, so that a plain partition, which is faster, returns places.
+    far = (home - points) @ MINIMAL.T
+    bits = far.view(np.int64)
+    bits &= ~255
+    bits |= np.arange(len(MINIMAL))
+    far.partition(probes - 2, axis=1)
+    order = bits[:, : probes - 1] & 255
+    return np.concatenate([doubled, order.astype(np.uint8)], 1)
+
+
+def names(found: np.ndarray) -> np.ndarray:
+    """Names of the points that ``around`` found, the home first.
 
     A name holds the 8 doubled coordinates in a byte each, so different cells have different names
     as far as coordinates go from -64 to 63.
     """
-    home = nearest(points)
-    rest = points - home
-    # |rest - m|^2 without the part that is the same for all; all m are equally long.
-    order = np.argpartition(-(rest @ MINIMAL.T), max(probes - 2, 0), axis=1)[:, : probes - 1]
-    around = home[:, None, :] + MINIMAL[order]
-    doubled = np.concatenate([home[:, None, :], around], 1) * 2
-    return np.ascontiguousarray(doubled.clip(-128, 127).astype(np.int8)).view(np.int64)[:, :, 0]
+    home = found[..., :8].view(np.int8)[..., None, :]
+    others = home + _DOUBLED[found[..., 8:]]
+    doubled = np.concatenate([np.broadcast_to(home, (*home.shape[:-2], 1, 8)), others], -2)
+    return np.ascontiguousarray(doubled.clip(-128, 127).astype(np.int8)).view(np.int64)[..., 0]
+
+
+def cells(points: np.ndarray, probes: int) -> np.ndarray:
+    """Names of the nearest lattice point and of the ``probes - 1`` nearest around it."""
+    return names(around(points, probes))

@@ -17,9 +17,11 @@ def valid(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def distinct_vectors(frame: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+def distinct_vectors(
+    frame: DataFrame, id_col: str, vector_col: str, kind: str = "array<double>"
+) -> DataFrame:
     """``(id, vector)`` of the valid vectors, one row per id."""
-    vector = F.col(vector_col).cast("array<double>")
+    vector = F.col(vector_col).cast(kind)
     rows = frame.select(F.col(id_col).cast("long").alias("id"), vector.alias("vector"))
     rows = rows.where(F.col("id").isNotNull() & valid(F.col("vector")))
     return rows.groupBy("id").agg(F.min("vector").alias("vector"))
