@@ -54,6 +54,7 @@ TASK_BYTES = 1 << 25
 _SEED = 20
 _TILE = 1024
 _BUCKETS = 4
+_LEAST_BYTES = 1 << 20
 _RESIDENT = 128
 _MOST_PARTS = (1 << 15) - 1
 #: Of the members of a block: their cell, block and place among the cells of a vector, a resident's larger.
@@ -62,8 +63,8 @@ _ROUNDED = {**_MEMBER, "step": "<f4", "data": "i1"}
 # Shuffle files go when their job ends, and not when the driver happens to collect its garbage.
 _OPTIONS = {
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
-    "spark.sql.execution.arrow.maxRecordsPerBatch": str(1 << 14),
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(1 << 22),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": str(1 << 15),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(1 << 23),
 }
 _WHOLE_OPTIONS = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(1 << 12)}
 
@@ -274,8 +275,10 @@ def dealt(nodes: DataFrame, one: Pass, crowds: Crowds, layout: Layout, fields: M
     Rows come sorted by bucket. With ``copies`` only the cells in ``places`` are dealt to.
     """
     width = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(width, -(-one.moved // TASK_BYTES))
-    buckets, whole = tasks * _BUCKETS, "copies" in fields
+    tasks = max(-(-one.moved // TASK_BYTES), min(width, -(-one.moved // _LEAST_BYTES)))
+    # No more than it takes: a batch has a row for each.
+    buckets = max(tasks, -(-one.moved // TASK_BYTES) * _BUCKETS)
+    whole = "copies" in fields
     each = layout.probes
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
